@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+Every source of the workload is a batch read and there is no stateful or windowed
+stream operator to rebuild. The Column-level feature and scoring functions in
+``ontime.functions`` use only stateless built-ins, so they apply unchanged to a
+``readStream`` frame if one is ever needed.
+"""
