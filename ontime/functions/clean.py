@@ -49,26 +49,32 @@ def hhmm_minute(col) -> Column:
 
 def parse_flight_date(col, fmt: str = "M/d/yyyy h:mm:ss a") -> Column:
     """Flight date text such as '1/15/2023 12:00:00 AM'; other shapes give null."""
-    return F.try_to_date(_c(col), F.lit(fmt))
+    return F.try_to_date(_c(col), fmt)
 
 
 def local_departure(date_col, hour_col, minute_col) -> Column:
-    """Date + hour + minute as a timestamp; hour 24 or a missing part gives null."""
-    return F.try_make_timestamp(
+    """Date + hour + minute as a wall-clock timestamp (no zone); hour 24 or a missing
+    part gives null."""
+    return F.try_make_timestamp_ntz(
         F.year(_c(date_col)), F.month(_c(date_col)), F.dayofmonth(_c(date_col)),
         _c(hour_col), _c(minute_col), F.lit(0),
     )
 
 
 def observation_ts(year, month, day, hour) -> Column:
-    """UTC observation hour from its integer parts; impossible dates give null."""
-    return F.try_make_timestamp(_c(year), _c(month), _c(day), _c(hour), F.lit(0), F.lit(0))
+    """UTC observation hour (wall clock, no zone) from its integer parts; impossible
+    dates give null."""
+    return F.try_make_timestamp_ntz(_c(year), _c(month), _c(day), _c(hour), F.lit(0), F.lit(0))
 
 
 def hour_key(col) -> Column:
-    """Truncate to the hour, keeping the input's timestamp flavour."""
-    c = _c(col)
-    return F.date_trunc("hour", c)
+    """Truncate to the hour as a wall-clock timestamp.
+
+    ``date_trunc`` returns a zoned timestamp even for wall-clock input; the session
+    runs in UTC, so casting back keeps the same clock reading and both join sides
+    compare as the same type.
+    """
+    return F.date_trunc("hour", _c(col)).cast("timestamp_ntz")
 
 
 def station_key(usaf, wban) -> Column:

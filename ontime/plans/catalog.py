@@ -1,21 +1,41 @@
 """Query catalog over the driver tables: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the whole driver tables (no subsets, no row caps except where the
-cap is the feature, e.g. a top-k report) and is built from library operators.
+cap is the feature, e.g. a top-k report or a capped sample) and is built from the
+library operators. Floating outputs that are compared against the SQL oracle are
+rounded to 6 places (``+ 0.0`` folds a negative zero).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ontime.operators import eda
+from ontime.functions import clean as C
+from ontime.functions import features as X
+from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling, scoring
 from ontime.plans import driver_tables as dt
+from ontime.sources.tables import register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Parameters of the driver-table reports (sized for the synthetic data).
+TRAIN_YEARS = [1995, 1996, 1997, 1998, 1999]
+TEST_YEARS = [2000, 2001, 2002]
+WORST_ORIGINS_MIN = 1000
+WORST_ROUTES_MIN = 100
+WORST_K = 20
+FINGERPRINT_MIN = 300
+FINGERPRINT_K = 10
+TOP_K = 10
+NEAREST_RADIUS = 1.0
+SCORE_RESOLUTION = 10000
+HASH_FRACTION = 3 / 256
+SAMPLE_CAP = 100
+
 
 def query(name: str):
     def register(fn: Query) -> Query:
@@ -24,6 +44,350 @@ def query(name: str):
     return register
 
 
+def r6(col) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c, 6) + F.lit(0.0)
+
+
+# ---------------------------------------------------------------- reports
+
+@query("annual_stats")
+def annual_stats(spark, sf_dir):
+    return eda.annual_stats(dt.trips(spark, sf_dir))
+
+
 @query("worst_origins")
-def worst_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eda.worst(dt.trips(spark, sf_dir), "origin", min_n=1000, k=20)
+def worst_origins(spark, sf_dir):
+    return eda.worst(dt.trips(spark, sf_dir), "origin", min_n=WORST_ORIGINS_MIN, k=WORST_K)
+
+
+@query("season_hour")
+def season_hour(spark, sf_dir):
+    return eda.rate_by(dt.trips(spark, sf_dir), ["season", "crs_dep_hour"], with_avg_delay=False)
+
+
+@query("carrier_rates")
+def carrier_rates(spark, sf_dir):
+    out = eda.rate_by(dt.trips(spark, sf_dir), "carrier", order=False)
+    return out.orderBy(F.col("pct_delayed").desc(), "carrier")
+
+
+@query("severity_rates")
+def severity_rates(spark, sf_dir):
+    return eda.rate_by(dt.trips(spark, sf_dir), "weather_severity")
+
+
+@query("severity_export")
+def severity_export(spark, sf_dir):
+    t = dt.trips(spark, sf_dir)
+    sev = F.col("weather_severity").try_cast("int")
+    return (t.filter(sev.isNotNull()).withColumn("weather_severity", sev)
+            .groupBy("weather_severity")
+            .agg(r6(F.avg("dep_del15")).alias("delay_rate"), F.count(F.lit(1)).alias("n"))
+            .orderBy("weather_severity"))
+
+
+@query("worst_routes")
+def worst_routes(spark, sf_dir):
+    return eda.worst(dt.trips(spark, sf_dir), ["origin", "dest"], min_n=WORST_ROUTES_MIN, k=WORST_K)
+
+
+@query("monthly_trend")
+def monthly_trend(spark, sf_dir):
+    return eda.rate_by(dt.trips(spark, sf_dir), ["year", "month"], with_avg_delay=False)
+
+
+# ------------------------------------------------------- tables, split, union
+
+def _split(spark, sf_dir):
+    return features.time_split(dt.trips(spark, sf_dir), TRAIN_YEARS, TEST_YEARS)
+
+
+@query("union_view")
+def union_view(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    register_tables(spark, train, test)
+    return spark.sql("""
+        SELECT year, COUNT(*) AS flights, round(avg(dep_del15) * 100, 2) AS pct_delayed
+        FROM all_flights GROUP BY year ORDER BY year""")
+
+
+@query("split_profile")
+def split_profile(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+
+    def prof(df, name):
+        p = eda.delay_profile(df)
+        return p.select(F.lit(name).alias("split"), "rows", r6("mean_delay").alias("mean_delay"),
+                        "min_delay", "max_delay", r6("delay_rate").alias("delay_rate"))
+    return prof(train, "train").unionByName(prof(test, "test"))
+
+
+# ------------------------------------------------------------- exports
+
+@query("fingerprint")
+def fingerprint(spark, sf_dir):
+    out = eda.fingerprint(dt.trips(spark, sf_dir), min_n=FINGERPRINT_MIN, k=FINGERPRINT_K)
+    return out.select("origin", "crs_dep_hour", r6("delay_rate").alias("delay_rate"), "n")
+
+
+@query("rate_matrix")
+def rate_matrix(spark, sf_dir):
+    wide = eda.rate_matrix(dt.trips(spark, sf_dir), "origin", "crs_dep_hour", range(1, 8))
+    return wide.select("origin", *[r6(f"h{h}").alias(f"h{h}") for h in range(1, 8)])
+
+
+@query("histogram_by_season")
+def histogram_by_season(spark, sf_dir):
+    band = eda.open_band(dt.trips(spark, sf_dir), "dep_delay", 300)
+    return eda.histogram(band, "dep_delay", "season", -300.0, 300.0, 60)
+
+
+@query("box_by_season")
+def box_by_season(spark, sf_dir):
+    clipped = eda.within(dt.trips(spark, sf_dir), "dep_delay", -20, 120)
+    box = eda.box_stats(clipped, "dep_delay", "season")
+    return box.select("season", "n", *[r6(c).alias(c) for c in ("q1", "median", "q3")],
+                      "whisker_lo", "whisker_hi", "outliers")
+
+
+@query("top_values")
+def top_values(spark, sf_dir):
+    return eda.top_values(dt.trips(spark, sf_dir), "dest", TOP_K)
+
+
+@query("bucket_rare")
+def bucket_rare(spark, sf_dir):
+    t = dt.trips(spark, sf_dir)
+    b = ml.bucket_rare(t, "origin", ml.keep_set(t, "origin", TOP_K), "origin_b")
+    return eda.rate_by(b, "origin_b", with_avg_delay=False)
+
+
+@query("class_weight")
+def class_weight(spark, sf_dir):
+    t = dt.trips(spark, sf_dir)
+    w = ml.with_class_weight(t, ml.label_rate(t))
+    return (w.groupBy("dep_del15", r6("class_weight").alias("class_weight"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+# ----------------------------------------------------------- geo matching
+
+def _points(spark, sf_dir):
+    cust = dt.table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.col("c_acctbal") / F.lit(1000.0)).alias("c_x"),
+        F.col("c_nationkey").cast("double").alias("c_y"))
+    supp = dt.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", (F.col("s_acctbal") / F.lit(1000.0)).alias("s_x"),
+        F.col("s_nationkey").cast("double").alias("s_y"))
+    used = dt.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"))
+    return cust, geo.with_present(supp, used, "s_suppkey")
+
+
+@query("nearest")
+def nearest(spark, sf_dir):
+    cust, supp = _points(spark, sf_dir)
+    m = geo.nearest(cust, supp, ("c_x", "c_y"), ("s_x", "s_y"), "s_suppkey", NEAREST_RADIUS)
+    return m.select("c_custkey", "s_suppkey", r6("dist").alias("dist"))
+
+
+# ------------------------------------------------------ hourly join and cleaning (events)
+
+def _events(spark, sf_dir):
+    return dt.events(spark, sf_dir)
+
+
+@query("hourly_left_join")
+def hourly_left_join(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn("user_bucket", F.col("user_id") % F.lit(10))
+    e = joins.with_hour_key(e, "ts", "hour")
+    purchases = e.filter(F.col("event_type") == "purchase").select("event_id", "user_bucket", "hour")
+    views = joins.dedupe_hourly(
+        e.filter(F.col("event_type") == "view").select("user_bucket", "hour",
+                                                       F.col("value").alias("view_value")),
+        ["user_bucket", "hour"], ["view_value"])
+    j = joins.join_hourly(purchases, views, ["user_bucket", "hour"], ["user_bucket", "hour"])
+    j = j.withColumn("has_view", F.col("view_value").isNotNull().cast("int"))
+    j = features.fill_defaults(j, {"view_value": 0.0})
+    return j.select("event_id", "user_bucket", "hour", r6("view_value").alias("view_value"),
+                    "has_view")
+
+
+@query("hhmm")
+def hhmm(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn(
+        "crs_dep_time", F.hour("ts") * F.lit(100) + F.minute("ts"))
+    return e.select("event_id",
+                    C.hhmm_text("crs_dep_time").alias("crs_dep_hhmm"),
+                    C.hhmm_hour("crs_dep_time").alias("crs_dep_hour"),
+                    C.hhmm_minute("crs_dep_time").alias("crs_dep_minute"))
+
+
+@query("event_timestamp")
+def event_timestamp(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn(
+        "flight_date", F.date_format("ts", "M/d/yyyy h:mm:ss a"))
+    e = e.withColumn("flight_date_clean", C.parse_flight_date("flight_date"))
+    e = e.withColumn("crs_dep_local",
+                     C.local_departure("flight_date_clean", F.hour("ts"), F.minute("ts")))
+    return e.select("event_id", "flight_date_clean", "crs_dep_local",
+                    C.hour_key("crs_dep_local").alias("crs_dep_hour_local"),
+                    C.observation_ts(F.year("ts"), F.month("ts"), F.dayofmonth("ts"),
+                                     F.hour("ts")).alias("obs_ts_utc"))
+
+
+@query("sentinel_clean")
+def sentinel_clean(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    raw = (F.when(F.col("event_id") % F.lit(10) == F.lit(0), F.lit(C.MISSING))
+           .otherwise(F.round(F.col("value") * F.lit(10.0)).cast("int")))
+    e = e.withColumn("raw", raw)
+    return e.select("event_id",
+                    C.sentinel_to_null("raw").alias("raw_clean"),
+                    r6(C.sentinel_to_null("raw", scale=10.0)).alias("value_clean"))
+
+
+def _calendar(spark, sf_dir):
+    return _events(spark, sf_dir).select(
+        "event_id", "user_id", "event_type", "value",
+        F.hour("ts").alias("crs_dep_hour"), F.month("ts").alias("month"),
+        X.iso_weekday("ts").alias("dow"))
+
+
+@query("cyclical")
+def cyclical(spark, sf_dir):
+    c = features.cyclical(_calendar(spark, sf_dir))
+    names = ["hour_sin", "hour_cos", "month_sin", "month_cos", "dow_sin", "dow_cos"]
+    return c.select("event_id", *[r6(n).alias(n) for n in names])
+
+
+@query("calendar_flags")
+def calendar_flags(spark, sf_dir):
+    c = features.calendar_flags(_calendar(spark, sf_dir))
+    return c.select("event_id", "dow", "is_weekend", "is_peak_hour", "season")
+
+
+@query("humidity")
+def humidity(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    t = F.when(F.col("event_type") != F.lit("error"), F.col("value") / F.lit(10.0) - F.lit(10.0))
+    e = e.withColumn("air_temp_c", t).withColumn(
+        "dew_point_c", F.col("air_temp_c") - (F.col("user_id") % F.lit(15)).cast("double"))
+    h = features.fill_defaults(features.humidity(e), {"rel_humidity": 60.0})
+    return h.select("event_id", r6("rel_humidity").alias("rel_humidity"))
+
+
+# ------------------------------------------------------------- rates and scoring
+
+def _rates(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    carrier = joins.rate_table(train, "carrier")
+    airport = joins.rate_table(train, "origin")
+    return train, test, carrier, airport
+
+
+@query("rate_lookup")
+def rate_lookup(spark, sf_dir):
+    _, _, carrier, _ = _rates(spark, sf_dir)
+    carriers = dt.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("carrier"))
+    out = joins.lookup_rate(carriers, carrier, "carrier", scoring.DEFAULT_CARRIER_RATE)
+    out = joins.label_codes(out, "carrier", scoring.CARRIER_LABELS, "carrier_label")
+    return out.select("carrier", r6("rate").alias("rate"), "carrier_label")
+
+
+def rule_score(carrier_rate: str = "carrier_rate", origin_rate: str = "origin_rate",
+               severity: str = "weather_severity") -> Column:
+    """Deterministic stand-in score (used where a fitted model would make results
+    depend on training randomness)."""
+    s = (F.lit(0.5) * F.col(carrier_rate) + F.lit(0.5) * F.col(origin_rate)
+         + F.lit(0.03) * F.col(severity))
+    return F.least(s, F.lit(1.0))
+
+
+def _scored_test(spark, sf_dir):
+    _, test, carrier, airport = _rates(spark, sf_dir)
+    x = test.withColumnRenamed("crs_dep_hour", "dep_hour")
+    x = scoring.with_rates(x, carrier.select("carrier", "rate"), airport.select("origin", "rate"))
+    return x
+
+
+@query("risk_drivers")
+def risk_drivers(spark, sf_dir):
+    x = _scored_test(spark, sf_dir).withColumn("p_delay", rule_score())
+    x = scoring.presentation(x)
+    x = x.withColumn("drivers", F.array_join(scoring.drivers(), "; "))
+    return (x.groupBy("risk", "delta_band", "drivers").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("what_if")
+def what_if(spark, sf_dir):
+    x = scoring.what_if(_scored_test(spark, sf_dir))
+    x = x.withColumn("p_delay", rule_score())
+    return (x.groupBy("scenario", "season")
+            .agg(F.count(F.lit(1)).alias("n"), r6(F.avg("p_delay")).alias("mean_p")))
+
+
+# ------------------------------------------------------------------------- sampling (T4)
+
+@query("hash_sample")
+def hash_sample(spark, sf_dir):
+    o = dt.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return sampling.hash_sample(o, ["o_orderkey"], HASH_FRACTION)
+
+
+@query("hash_sample_capped")
+def hash_sample_capped(spark, sf_dir):
+    o = dt.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return sampling.hash_sample(o, ["o_orderkey"], HASH_FRACTION, cap=SAMPLE_CAP)
+
+
+# --------------------------------------------------- evaluation tables
+
+def _scores(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.select(
+        F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("p_delay"),
+        F.when(F.col("event_type") == F.lit("purchase"), F.lit(1.0)).otherwise(F.lit(0.0))
+        .alias("dep_del15"))
+
+
+@query("calibration")
+def calibration(spark, sf_dir):
+    c = evaluation.calibration(_scores(spark, sf_dir))
+    return c.select("bin", r6("p_mean").alias("p_mean"), r6("y_mean").alias("y_mean"), "n")
+
+
+@query("confusion")
+def confusion(spark, sf_dir):
+    s = _scores(spark, sf_dir).withColumn(
+        "prediction", F.when(F.col("p_delay") >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return evaluation.confusion(s)
+
+
+def _counts(spark, sf_dir):
+    return evaluation.score_counts(_scores(spark, sf_dir), "p_delay", "dep_del15",
+                                   SCORE_RESOLUTION)
+
+
+@query("roc")
+def roc(spark, sf_dir):
+    p = evaluation.roc_points(_counts(spark, sf_dir))
+    return p.select(r6("threshold").alias("threshold"), "tp", "fp",
+                    r6("tpr").alias("tpr"), r6("fpr").alias("fpr"))
+
+
+@query("pr")
+def pr(spark, sf_dir):
+    p = evaluation.pr_points(_counts(spark, sf_dir))
+    return p.select(r6("threshold").alias("threshold"), r6("precision").alias("precision"),
+                    r6("recall").alias("recall"))
+
+
+@query("roc_auc")
+def roc_auc(spark, sf_dir):
+    return evaluation.roc_auc(_counts(spark, sf_dir)).select(r6("auc").alias("auc"))
+
+
+@query("pr_auc")
+def pr_auc(spark, sf_dir):
+    return evaluation.pr_auc(_counts(spark, sf_dir)).select(r6("auc").alias("auc"))

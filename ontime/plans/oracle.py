@@ -95,3 +95,310 @@ SQL["worst_origins"] = with_trips(f"""
 SELECT origin, {rate_cols()}
 FROM trips GROUP BY origin HAVING COUNT(*) >= 1000
 ORDER BY pct_delayed DESC, origin LIMIT 20""")
+
+
+def r6(expr: str) -> str:
+    return f"(round({expr}, 6) + CAST(0 AS DOUBLE))"
+
+
+SQL["annual_stats"] = with_trips(f"""
+SELECT year, {rate_cols()},
+       round(CAST(quantile_disc(dep_delay, 0.95) AS DOUBLE), 2) AS p95_delay
+FROM trips GROUP BY year ORDER BY year""")
+
+SQL["season_hour"] = with_trips(f"""
+SELECT season, crs_dep_hour, {rate_cols(False)}
+FROM trips GROUP BY season, crs_dep_hour ORDER BY season, crs_dep_hour""")
+
+SQL["carrier_rates"] = with_trips(f"""
+SELECT carrier, {rate_cols()}
+FROM trips GROUP BY carrier ORDER BY pct_delayed DESC, carrier""")
+
+SQL["severity_rates"] = with_trips(f"""
+SELECT weather_severity, {rate_cols()}
+FROM trips GROUP BY weather_severity ORDER BY weather_severity""")
+
+SQL["severity_export"] = with_trips(f"""
+SELECT CAST(weather_severity AS INTEGER) AS weather_severity,
+       {r6('avg(dep_del15)')} AS delay_rate, COUNT(*) AS n
+FROM trips WHERE TRY_CAST(weather_severity AS INTEGER) IS NOT NULL
+GROUP BY 1 ORDER BY 1""")
+
+SQL["worst_routes"] = with_trips(f"""
+SELECT origin, dest, {rate_cols()}
+FROM trips GROUP BY origin, dest HAVING COUNT(*) >= 100
+ORDER BY pct_delayed DESC, origin, dest LIMIT 20""")
+
+SQL["monthly_trend"] = with_trips(f"""
+SELECT year, month, {rate_cols(False)}
+FROM trips GROUP BY year, month ORDER BY year, month""")
+
+SQL["union_view"] = with_trips("""
+, train_data AS (SELECT * FROM trips WHERE year IN (1995, 1996, 1997, 1998, 1999)),
+test_data AS (SELECT * FROM trips WHERE year IN (2000, 2001, 2002)),
+all_flights AS (SELECT * FROM train_data UNION ALL SELECT * FROM test_data)
+SELECT year, COUNT(*) AS flights, round(avg(dep_del15) * 100, 2) AS pct_delayed
+FROM all_flights GROUP BY year ORDER BY year""")
+
+SQL["split_profile"] = with_trips(f"""
+, s AS (SELECT CASE WHEN year IN (1995, 1996, 1997, 1998, 1999) THEN 'train'
+                    WHEN year IN (2000, 2001, 2002) THEN 'test' END AS split, *
+        FROM trips)
+SELECT split, COUNT(*) AS rows, {r6('avg(dep_delay)')} AS mean_delay,
+       min(dep_delay) AS min_delay, max(dep_delay) AS max_delay,
+       {r6('avg(dep_del15)')} AS delay_rate
+FROM s WHERE split IS NOT NULL GROUP BY split""")
+
+SQL["fingerprint"] = with_trips(f"""
+, cells AS (SELECT origin, crs_dep_hour, avg(dep_del15) AS delay_rate, COUNT(*) AS n
+            FROM trips GROUP BY origin, crs_dep_hour HAVING COUNT(*) >= 300),
+top AS (SELECT origin FROM cells GROUP BY origin ORDER BY sum(n) DESC, origin LIMIT 10)
+SELECT origin, crs_dep_hour, {r6('delay_rate')} AS delay_rate, n
+FROM cells WHERE origin IN (SELECT origin FROM top)""")
+
+SQL["rate_matrix"] = with_trips(
+    "SELECT origin, "
+    + ", ".join(f"{r6(f'avg(CASE WHEN crs_dep_hour = {h} THEN dep_del15 END)')} AS h{h}"
+                for h in range(1, 8))
+    + " FROM trips GROUP BY origin")
+
+SQL["histogram_by_season"] = with_trips("""
+SELECT season, CAST(floor((dep_delay + 300) / 10) + 1 AS BIGINT) AS bin, COUNT(*) AS n,
+       CAST(-300 AS DOUBLE) + (CAST(floor((dep_delay + 300) / 10) + 1 AS BIGINT) - 1) * CAST(10 AS DOUBLE) AS bin_lo
+FROM trips WHERE dep_delay > -300 AND dep_delay < 300
+GROUP BY 1, 2""")
+
+SQL["box_by_season"] = with_trips(f"""
+, c AS (SELECT season, dep_delay FROM trips WHERE dep_delay BETWEEN -20 AND 120),
+q AS (SELECT season, COUNT(*) AS n, quantile_cont(dep_delay, 0.25) AS q1,
+             quantile_cont(dep_delay, 0.5) AS median, quantile_cont(dep_delay, 0.75) AS q3
+      FROM c GROUP BY season),
+f AS (SELECT season, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
+w AS (SELECT c.season,
+             min(CASE WHEN dep_delay >= lo AND dep_delay <= hi THEN dep_delay END) AS whisker_lo,
+             max(CASE WHEN dep_delay >= lo AND dep_delay <= hi THEN dep_delay END) AS whisker_hi,
+             COUNT(*) FILTER (WHERE NOT (dep_delay >= lo AND dep_delay <= hi)) AS outliers
+      FROM c JOIN f ON c.season = f.season GROUP BY c.season)
+SELECT q.season, n, {r6('q1')} AS q1, {r6('median')} AS median, {r6('q3')} AS q3,
+       whisker_lo, whisker_hi, outliers
+FROM q JOIN w ON q.season = w.season""")
+
+SQL["top_values"] = with_trips("""
+SELECT dest, COUNT(*) AS n FROM trips GROUP BY dest ORDER BY n DESC, dest LIMIT 10""")
+
+SQL["bucket_rare"] = with_trips(f"""
+, keep AS (SELECT origin FROM trips GROUP BY origin ORDER BY COUNT(*) DESC, origin LIMIT 10)
+SELECT CASE WHEN origin IN (SELECT origin FROM keep) THEN origin ELSE 'OTHER' END AS origin_b,
+       {rate_cols(False)}
+FROM trips GROUP BY 1 ORDER BY 1""")
+
+SQL["class_weight"] = with_trips(f"""
+, r AS (SELECT avg(dep_del15) AS p FROM trips)
+SELECT dep_del15,
+       {r6('CASE WHEN dep_del15 = 1 THEN 2 * (1 - p) ELSE 2 * p END')} AS class_weight,
+       COUNT(*) AS n
+FROM trips, r GROUP BY 1, 2""")
+
+SQL["nearest"] = f"""
+WITH st AS (
+  SELECT s_suppkey, s_acctbal / CAST(1000 AS DOUBLE) AS sx, CAST(s_nationkey AS DOUBLE) AS sy
+  FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)),
+cu AS (
+  SELECT c_custkey, c_acctbal / CAST(1000 AS DOUBLE) AS cx, CAST(c_nationkey AS DOUBLE) AS cy
+  FROM customer),
+pairs AS (
+  SELECT c_custkey, s_suppkey, sqrt((cy - sy) * (cy - sy) + (cx - sx) * (cx - sx)) AS dist
+  FROM cu CROSS JOIN st),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY dist, s_suppkey) AS rn FROM pairs)
+SELECT c_custkey, s_suppkey, {r6('dist')} AS dist FROM ranked WHERE rn = 1 AND dist < 1.0"""
+
+SQL["hourly_left_join"] = f"""
+WITH p AS (SELECT event_id, user_id % 10 AS user_bucket, date_trunc('hour', ts) AS hour
+           FROM events WHERE event_type = 'purchase'),
+v AS (SELECT user_id % 10 AS user_bucket, date_trunc('hour', ts) AS hour, avg(value) AS view_value
+      FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+SELECT p.event_id, p.user_bucket, p.hour,
+       {r6('coalesce(v.view_value, CAST(0 AS DOUBLE))')} AS view_value,
+       CAST(v.view_value IS NOT NULL AS INTEGER) AS has_view
+FROM p LEFT JOIN v ON p.user_bucket = v.user_bucket AND p.hour = v.hour"""
+
+_HHMM = "lpad(CAST(CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS VARCHAR), 4, '0')"
+SQL["hhmm"] = f"""
+SELECT event_id, {_HHMM} AS crs_dep_hhmm,
+       CAST(substring({_HHMM}, 1, 2) AS INTEGER) AS crs_dep_hour,
+       CAST(substring({_HHMM}, 3, 2) AS INTEGER) AS crs_dep_minute
+FROM events"""
+
+SQL["event_timestamp"] = """
+SELECT event_id, CAST(ts AS DATE) AS flight_date_clean,
+       make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), 0) AS crs_dep_local,
+       date_trunc('hour', make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), 0))
+         AS crs_dep_hour_local,
+       make_timestamp(year(ts), month(ts), day(ts), hour(ts), 0, 0) AS obs_ts_utc
+FROM events"""
+
+_RAW = ("CASE WHEN event_id % 10 = 0 THEN -9999 "
+        "ELSE CAST(round(value * CAST(10 AS DOUBLE)) AS INTEGER) END")
+SQL["sentinel_clean"] = f"""
+SELECT event_id,
+       CASE WHEN {_RAW} = -9999 THEN NULL ELSE {_RAW} END AS raw_clean,
+       {r6(f'CASE WHEN {_RAW} = -9999 THEN NULL ELSE {_RAW} / CAST(10 AS DOUBLE) END')} AS value_clean
+FROM events"""
+
+_CAL = """cal AS (SELECT event_id, user_id, event_type, value,
+                 CAST(hour(ts) AS INTEGER) AS crs_dep_hour, CAST(month(ts) AS INTEGER) AS month,
+                 CAST(isodow(ts) AS INTEGER) AS dow FROM events)"""
+SQL["cyclical"] = f"""
+WITH {_CAL}
+SELECT event_id,
+  {r6('sin(crs_dep_hour * (2 * pi() / 24))')} AS hour_sin,
+  {r6('cos(crs_dep_hour * (2 * pi() / 24))')} AS hour_cos,
+  {r6('sin(month * (2 * pi() / 12))')} AS month_sin,
+  {r6('cos(month * (2 * pi() / 12))')} AS month_cos,
+  {r6('sin(dow * (2 * pi() / 7))')} AS dow_sin,
+  {r6('cos(dow * (2 * pi() / 7))')} AS dow_cos
+FROM cal"""
+
+SQL["calendar_flags"] = f"""
+WITH {_CAL}
+SELECT event_id, dow, CAST(dow IN (6, 7) AS INTEGER) AS is_weekend,
+       CAST(crs_dep_hour IN (7, 8, 17, 18, 19) AS INTEGER) AS is_peak_hour,
+       CASE WHEN month IN (12, 1, 2) THEN 'winter' WHEN month IN (3, 4, 5) THEN 'spring'
+            WHEN month IN (6, 7, 8) THEN 'summer' ELSE 'fall' END AS season
+FROM cal"""
+
+SQL["humidity"] = f"""
+WITH h AS (
+  SELECT event_id,
+         CASE WHEN event_type <> 'error' THEN value / CAST(10 AS DOUBLE) - CAST(10 AS DOUBLE) END AS t,
+         user_id % 15 AS k
+  FROM events),
+h2 AS (SELECT event_id, t, t - CAST(k AS DOUBLE) AS td FROM h)
+SELECT event_id,
+  {r6('coalesce(CASE WHEN t IS NOT NULL AND td IS NOT NULL THEN 100 * exp((17.625 * td) / (243.04 + td)) / exp((17.625 * t) / (243.04 + t)) END, CAST(60 AS DOUBLE))')} AS rel_humidity
+FROM h2"""
+
+_SPLIT_RATES = """
+, train AS (SELECT * FROM trips WHERE year IN (1995, 1996, 1997, 1998, 1999)),
+test AS (SELECT * FROM trips WHERE year IN (2000, 2001, 2002)),
+carrier_rate AS (SELECT carrier, avg(dep_del15) AS rate FROM train GROUP BY carrier),
+origin_rate AS (SELECT origin, avg(dep_del15) AS rate FROM train GROUP BY origin),
+x AS (
+  SELECT t.*, t.crs_dep_hour AS dep_hour,
+         coalesce(cr.rate, CAST(0.2 AS DOUBLE)) AS carrier_rate,
+         coalesce(orr.rate, CAST(0.215 AS DOUBLE)) AS origin_rate
+  FROM test t LEFT JOIN carrier_rate cr ON t.carrier = cr.carrier
+  LEFT JOIN origin_rate orr ON t.origin = orr.origin)"""
+
+_LABELS = {
+    "F9": "Frontier (F9)", "B6": "JetBlue (B6)", "NK": "Spirit (NK)",
+    "WN": "Southwest (WN)", "AA": "American (AA)", "G4": "Allegiant (G4)",
+    "OH": "PSA Airlines (OH)", "AS": "Alaska (AS)", "UA": "United (UA)",
+    "HA": "Hawaiian (HA)", "DL": "Delta (DL)", "MQ": "Envoy (MQ)",
+    "OO": "SkyWest (OO)", "9E": "Endeavor (9E)", "YX": "Republic (YX)",
+}
+_LABEL_CASE = "CASE carrier " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in _LABELS.items()) + " ELSE carrier END"
+
+SQL["rate_lookup"] = with_trips(f"""
+, train AS (SELECT * FROM trips WHERE year IN (1995, 1996, 1997, 1998, 1999)),
+carrier_rate AS (SELECT carrier, avg(dep_del15) AS rate FROM train GROUP BY carrier),
+c AS (SELECT s_name AS carrier FROM supplier)
+SELECT c.carrier, {r6('coalesce(cr.rate, CAST(0.2 AS DOUBLE))')} AS rate,
+       {_LABEL_CASE.replace('carrier', 'c.carrier')} AS carrier_label
+FROM c LEFT JOIN carrier_rate cr ON c.carrier = cr.carrier""")
+
+_SCORE = ("least(0.5 * carrier_rate + 0.5 * origin_rate + 0.03 * weather_severity, "
+          "CAST(1 AS DOUBLE))")
+
+_DRIVERS = """
+list_filter([
+  CASE WHEN dep_hour >= 15 THEN 'Late departure hour (' || CAST(dep_hour AS VARCHAR) || ':00)' END,
+  CASE WHEN weather_severity >= 2 THEN 'Weather severity = ' || CAST(weather_severity AS VARCHAR) END,
+  CASE WHEN air_temp_c < 0 THEN 'Freezing temperature (' || CAST(air_temp_c AS VARCHAR) || '°C)' END,
+  CASE WHEN wind_speed_ms > 10 THEN 'Strong wind (' || CAST(wind_speed_ms AS VARCHAR) || ' m/s)' END,
+  CASE WHEN precip_1h_mm > 0 THEN 'Precipitation (' || CAST(precip_1h_mm AS VARCHAR) || ' mm/h)' END,
+  CASE WHEN carrier_rate > 0.24 THEN 'High-delay carrier (' || carrier || ')' END,
+  CASE WHEN origin_rate > 0.25 THEN 'High-delay airport (' || origin || ')' END,
+  CASE WHEN month IN (6, 7) THEN 'Summer peak delay season' END
+], lambda d: d IS NOT NULL)"""
+
+SQL["risk_drivers"] = with_trips(_SPLIT_RATES + f"""
+, s AS (SELECT *, {_SCORE} AS p, {_DRIVERS} AS dl FROM x),
+s2 AS (SELECT *, (p - origin_rate) * 100 AS d FROM s)
+SELECT CASE WHEN p < 0.2 THEN 'LOW' WHEN p < 0.35 THEN 'MEDIUM' ELSE 'HIGH' END AS risk,
+       CASE WHEN d > 3 THEN 'above' WHEN d < -3 THEN 'below' ELSE 'between' END AS delta_band,
+       CASE WHEN len(dl) = 0 THEN 'Low-risk operating conditions'
+            ELSE array_to_string(dl[1:5], '; ') END AS drivers,
+       COUNT(*) AS n
+FROM s2 GROUP BY 1, 2, 3""")
+
+SQL["what_if"] = with_trips(_SPLIT_RATES + f"""
+, sc AS (SELECT * EXCLUDE (weather_severity), CAST(s.scenario AS INTEGER) AS scenario,
+                CAST(s.scenario AS INTEGER) AS weather_severity
+         FROM x CROSS JOIN (VALUES (0), (1), (2)) AS s(scenario))
+SELECT scenario, season, COUNT(*) AS n, {r6(f'avg({_SCORE})')} AS mean_p
+FROM sc GROUP BY 1, 2""")
+
+SQL["hash_sample"] = """
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) < '03'"""
+
+SQL["hash_sample_capped"] = """
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) < '03'
+ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"""
+
+_SCORES = """sc AS (
+  SELECT least(value / CAST(100 AS DOUBLE), CAST(1 AS DOUBLE)) AS p_delay,
+         CASE WHEN event_type = 'purchase' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS dep_del15
+  FROM events)"""
+
+SQL["calibration"] = f"""
+WITH {_SCORES}
+SELECT CAST(least(floor(p_delay * 10), 9) AS BIGINT) AS bin, {r6('avg(p_delay)')} AS p_mean,
+       {r6('avg(dep_del15)')} AS y_mean, COUNT(*) AS n
+FROM sc GROUP BY 1 ORDER BY 1"""
+
+SQL["confusion"] = f"""
+WITH {_SCORES}
+SELECT dep_del15, CASE WHEN p_delay >= 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction,
+       COUNT(*) AS n
+FROM sc GROUP BY 1, 2 ORDER BY 1, 2"""
+
+_COUNTS = _SCORES + """,
+counts AS (
+  SELECT round(p_delay * CAST(10000 AS DOUBLE)) / CAST(10000 AS DOUBLE) AS score,
+         CAST(sum(CASE WHEN dep_del15 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+         CAST(sum(CASE WHEN dep_del15 = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg
+  FROM sc GROUP BY 1),
+run AS (
+  SELECT score,
+         CAST(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+         CAST(sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+         sum(pos) OVER () AS P, sum(neg) OVER () AS N
+  FROM counts)"""
+
+SQL["roc"] = f"""
+WITH {_COUNTS}
+SELECT {r6('score')} AS threshold, tp, fp, {r6('tp / P')} AS tpr, {r6('fp / N')} AS fpr FROM run"""
+
+SQL["pr"] = f"""
+WITH {_COUNTS}
+SELECT {r6('score')} AS threshold, {r6('tp / (tp + fp)')} AS precision, {r6('tp / P')} AS recall
+FROM run"""
+
+SQL["roc_auc"] = f"""
+WITH {_COUNTS},
+pts AS (SELECT score, CAST(tp AS DOUBLE) / P AS tpr, CAST(fp AS DOUBLE) / N AS fpr FROM run),
+seg AS (SELECT (fpr - coalesce(lag(fpr) OVER (ORDER BY score DESC), 0))
+             * (tpr + coalesce(lag(tpr) OVER (ORDER BY score DESC), 0)) / 2 AS a FROM pts)
+SELECT {r6('sum(a)')} AS auc FROM seg"""
+
+SQL["pr_auc"] = f"""
+WITH {_COUNTS},
+pts AS (SELECT score, CAST(tp AS DOUBLE) / (tp + fp) AS prec, CAST(tp AS DOUBLE) / P AS rec FROM run),
+seg AS (SELECT (rec - coalesce(lag(rec) OVER (ORDER BY score DESC), 0))
+             * (prec + coalesce(lag(prec) OVER (ORDER BY score DESC), 1)) / 2 AS a FROM pts)
+SELECT {r6('sum(a)')} AS auc FROM seg"""
