@@ -114,8 +114,7 @@ def score(model: PipelineModel, df: DataFrame, labels: Mapping[str, list[str]] |
 def with_rates(df: DataFrame, carrier_rates: DataFrame, airport_rates: DataFrame,
                carrier: str = "carrier", origin: str = "origin") -> DataFrame:
     """Encoded historical rates with their defaults (0.200 carrier, 0.215 airport)."""
-    df = lookup_rate(df, carrier_rates.withColumnRenamed(carrier, carrier), carrier,
-                     DEFAULT_CARRIER_RATE, out="carrier_rate")
+    df = lookup_rate(df, carrier_rates, carrier, DEFAULT_CARRIER_RATE, out="carrier_rate")
     return lookup_rate(df, airport_rates, origin, DEFAULT_AIRPORT_RATE, out="origin_rate")
 
 

@@ -391,3 +391,91 @@ def roc_auc(spark, sf_dir):
 @query("pr_auc")
 def pr_auc(spark, sf_dir):
     return evaluation.pr_auc(_counts(spark, sf_dir)).select(r6("auc").alias("auc"))
+
+
+# ------------------------------------------------- model training and scoring
+# These depend on forest training randomness and partitioning, so they have no SQL
+# oracle; tests assert invariants and bands instead.
+
+_TRAINED: dict[tuple[int, str], tuple] = {}
+
+
+def _forest(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _TRAINED:
+        train, test = _split(spark, sf_dir)
+        trained = ml.train(train)
+        _TRAINED[key] = (trained, test)
+    return _TRAINED[key]
+
+
+def _predictions(spark, sf_dir):
+    trained, test = _forest(spark, sf_dir)
+    return trained, ml.predict(trained, test)
+
+
+@query("rf_metrics")
+def rf_metrics(spark, sf_dir):
+    trained, preds = _predictions(spark, sf_dir)
+    m = ml.evaluate(preds)
+    pos = evaluation.positive_f1(evaluation.confusion(preds)).first()  # one row
+    m.update({"pos_precision": pos["precision"] or 0.0, "pos_recall": pos["recall"] or 0.0,
+              "pos_f1": pos["f1"] or 0.0})
+    return ml.metrics_frame(spark, m)
+
+
+@query("importance")
+def importance(spark, sf_dir):
+    trained, preds = _predictions(spark, sf_dir)
+    return ml.feature_importance(trained, preds, k=30)
+
+
+@query("platt")
+def platt(spark, sf_dir):
+    _, preds = _predictions(spark, sf_dir)
+    table = ml.prediction_table(preds).select("dep_del15", "p_delay")
+    cal = ml.platt(table)
+    return evaluation.stack_curves({
+        "forest": evaluation.calibration(cal, "p_delay"),
+        "platt": evaluation.calibration(cal, "p_platt"),
+    })
+
+
+def _scoring_inputs(test):
+    return test.select("carrier", "origin", "dest", "month", "dow",
+                       F.col("crs_dep_hour").alias("dep_hour"), "distance", "crs_elapsed",
+                       "air_temp_c", "wind_speed_ms", "precip_1h_mm", "weather_severity")
+
+
+@query("score_batch")
+def score_batch(spark, sf_dir):
+    trained, test = _forest(spark, sf_dir)
+    _, _, carrier, airport = _rates(spark, sf_dir)
+    scored = scoring.score(trained.model, _scoring_inputs(test))
+    scored = scoring.with_rates(scored, carrier.select("carrier", "rate"),
+                                airport.select("origin", "rate"))
+    scored = scoring.presentation(scored)
+    return scored.select("carrier", "origin", "dest", "month", "dep_hour", "weather_severity",
+                         "p_delay", "risk", "delta_pp", "delta_band",
+                         F.array_join(scoring.drivers(), "; ").alias("drivers"))
+
+
+@query("what_if_model")
+def what_if_model(spark, sf_dir):
+    trained, test = _forest(spark, sf_dir)
+    x = scoring.what_if(_scoring_inputs(test))
+    scored = scoring.score(trained.model, x, severity_from_flags=False)
+    return scored.groupBy("scenario").agg(F.count(F.lit(1)).alias("n"),
+                                          F.avg("p_delay").alias("mean_p")).orderBy("scenario")
+
+
+@query("proxy_fallback")
+def proxy_fallback(spark, sf_dir):
+    train, test, carrier, airport = _rates(spark, sf_dir)
+    rates = (carrier.select("carrier", "rate"), airport.select("origin", "rate"))
+    proxy = scoring.train_proxy(
+        scoring.with_rates(train.withColumnRenamed("crs_dep_hour", "dep_hour"), *rates))
+    inputs = scoring.with_rates(_scoring_inputs(test), *rates)
+    scored = scoring.score_with_fallback(inputs, None, proxy)
+    return (scoring.presentation(scored).groupBy("backend", "risk")
+            .agg(F.count(F.lit(1)).alias("n"), F.avg("p_delay").alias("mean_p")))
