@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.features import p_positive
 from ontime.operators.eda import top_values
+from ontime.operators.features import require
 from ontime.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS, WEATHER_INPUTS
 from ontime.session import checkpoint_dir
 
@@ -99,7 +100,11 @@ def build_pipeline(cfg: ForestConfig) -> Pipeline:
     vec = [f"{c}_vec" for c in cfg.categorical]
     indexer = StringIndexer(inputCols=cfg.categorical, outputCols=idx, handleInvalid="keep")
     encoder = OneHotEncoder(inputCols=idx, outputCols=vec)
-    assembler = VectorAssembler(inputCols=vec + cfg.numeric, outputCol="features")
+    # "keep": at scoring time a row with a missing numeric input is still scored (the
+    # value becomes NaN) instead of failing the job or being dropped; training rows
+    # are required to be complete before the fit.
+    assembler = VectorAssembler(inputCols=vec + cfg.numeric, outputCol="features",
+                                handleInvalid="keep")
     forest = RandomForestClassifier(
         labelCol=cfg.label, featuresCol="features", weightCol=cfg.weight,
         numTrees=cfg.num_trees, maxDepth=cfg.max_depth, maxBins=cfg.max_bins, seed=cfg.seed,
@@ -117,13 +122,16 @@ class Trained:
 
 
 def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
-    """Fit the weighted forest. Tree building checkpoints into the shared folder."""
+    """Fit the weighted forest on rows whose label and numeric inputs are present.
+
+    Tree building checkpoints into the shared folder."""
     cfg = cfg or ForestConfig()
     checkpoint_dir(train_df.sparkSession)
     rate = label_rate(train_df, cfg.label)
     keep_o = top_list(train_df, "origin", cfg.top_k)
     keep_d = top_list(train_df, "dest", cfg.top_k)
-    prepared = with_class_weight(prepare(train_df, keep_o, keep_d), rate, cfg.label, cfg.weight)
+    complete = require(train_df, [cfg.label, *cfg.numeric])
+    prepared = with_class_weight(prepare(complete, keep_o, keep_d), rate, cfg.label, cfg.weight)
     model = build_pipeline(cfg).fit(prepared)
     return Trained(model, rate, keep_o, keep_d, cfg)
 
