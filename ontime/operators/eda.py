@@ -179,3 +179,18 @@ def season_order(col: str = "season") -> Column:
 def dimension_values(df: DataFrame, col: str, exclude: str = "OTHER") -> DataFrame:
     """Sorted distinct values of a category, without the catch-all bucket."""
     return df.select(col).filter(F.col(col) != F.lit(exclude)).distinct().orderBy(col)
+
+
+def first_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
+    """The first row per key by ``order`` (ascending, then all columns), i.e. rank 1 of
+    ``row_number() over (partition by keys order by order)``.
+
+    Written as a ``min_by`` aggregate instead of a window: it is combined map-side,
+    so a key holding a third of the rows still reduces to one partial row per task
+    instead of one task sorting all of that key's rows.
+    """
+    ks = _keys(keys)
+    rest = [c for c in df.columns if c not in ks]
+    ranked = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), ranked).alias("_first")
+    return df.groupBy(*ks).agg(best).select(*ks, "_first.*")

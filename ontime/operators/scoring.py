@@ -57,6 +57,15 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def scoring_frame(spark, rows) -> DataFrame:
+    """Scoring inputs (dicts or tuples) as a frame with the declared input schema."""
+    from ontime.schemas import SCORING_INPUT
+
+    names = SCORING_INPUT.fieldNames()
+    data = [tuple(r[n] for n in names) if isinstance(r, Mapping) else tuple(r) for r in rows]
+    return spark.createDataFrame(data, SCORING_INPUT)
+
+
 def sky_from_severity(sev) -> Column:
     s = _c(sev)
     return (F.when(s >= F.lit(2), F.lit(SKY_FOR_SEVERITY["ge2"]))

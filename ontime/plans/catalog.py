@@ -479,3 +479,20 @@ def proxy_fallback(spark, sf_dir):
     scored = scoring.score_with_fallback(inputs, None, proxy)
     return (scoring.presentation(scored).groupBy("backend", "risk")
             .agg(F.count(F.lit(1)).alias("n"), F.avg("p_delay").alias("mean_p")))
+
+
+# --------------------------------------------------------- ranking and dimensions
+
+@query("first_order")
+def first_order(spark, sf_dir):
+    """Earliest order per customer (ties by order key): rank 1 per key."""
+    o = dt.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey",
+                                                 "o_totalprice")
+    return eda.first_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@query("dimensions")
+def dimensions(spark, sf_dir):
+    t = dt.trips(spark, sf_dir)
+    b = ml.bucket_rare(t, "origin", ml.keep_set(t, "origin", TOP_K), "origin_b")
+    return eda.dimension_values(b, "origin_b")

@@ -402,3 +402,13 @@ pts AS (SELECT score, CAST(tp AS DOUBLE) / (tp + fp) AS prec, CAST(tp AS DOUBLE)
 seg AS (SELECT (rec - coalesce(lag(rec) OVER (ORDER BY score DESC), 0))
              * (prec + coalesce(lag(prec) OVER (ORDER BY score DESC), 1)) / 2 AS a FROM pts)
 SELECT {r6('sum(a)')} AS auc FROM seg"""
+
+SQL["first_order"] = """
+SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_totalprice) AS rn
+  FROM orders) WHERE rn = 1"""
+
+SQL["dimensions"] = with_trips("""
+, keep AS (SELECT origin FROM trips GROUP BY origin ORDER BY COUNT(*) DESC, origin LIMIT 10)
+SELECT DISTINCT origin AS origin_b FROM trips WHERE origin IN (SELECT origin FROM keep)
+ORDER BY 1""")
