@@ -28,8 +28,35 @@ from pyspark.sql import functions as F
 
 from ontime.functions.features import degree_distance
 
-# Default grid levels as fractions of the radius, fine to coarse.
-DEFAULT_LEVELS = (1.0 / 16, 1.0 / 4, 1.0)
+# Grid refinement factor per level, target right points per finest cell,
+# and the deepest refinement considered (4**12 cells per radius, far below the
+# precision of degree coordinates).
+REFINE = 4
+CELL_TARGET = 64
+MAX_DEPTH = 12
+
+
+def auto_levels(rpts: DataFrame, radius: float, x: str = "_rx", y: str = "_ry",
+                target: int = CELL_TARGET) -> list[float]:
+    """Grid levels as fractions of the radius, fine to coarse, from the data.
+
+    One aggregate counts the right points per cell at every candidate depth
+    (``radius / REFINE**d`` for d = 0..MAX_DEPTH) and keeps the most crowded cell per
+    depth: at most MAX_DEPTH+1 rows reach the driver. The finest level is the first
+    depth whose most crowded cell holds at most ``target`` points, so every block a
+    point probes at that level is small, however tightly the data clusters. Sparse
+    data needs only the radius level.
+    """
+    d = F.col("_depth")
+    size = F.lit(float(radius)) / F.pow(F.lit(float(REFINE)), d)
+    crowd = (rpts.select(F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("_depth"), x, y)
+             .groupBy(d, F.floor(F.col(x) / size).alias("cx"), F.floor(F.col(y) / size).alias("cy"))
+             .agg(F.count(F.lit(1)).alias("n"))
+             .groupBy(d).agg(F.max("n").alias("n"))
+             .collect())
+    fits = [int(r["_depth"]) for r in crowd if r["n"] <= target]
+    depth = min(fits) if fits else MAX_DEPTH
+    return [1.0 / REFINE ** k for k in range(depth, -1, -1)]
 
 
 def _cell(col: Column, size: float) -> Column:
@@ -45,9 +72,12 @@ def _block(cx: Column, cy: Column) -> Column:
 
 def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
             right_xy: tuple[str, str], right_key: str, radius: float,
-            levels: Sequence[float] = DEFAULT_LEVELS, dist_col: str = "dist") -> DataFrame:
+            levels: Sequence[float] | None = None, dist_col: str = "dist") -> DataFrame:
     """Left rows with ``right_key`` and ``dist`` of their nearest right point within
-    ``radius``; left rows with no right point in range are dropped."""
+    ``radius``; left rows with no right point in range are dropped.
+
+    ``levels`` are cell sizes as fractions of the radius; by default they are chosen
+    from the right side's density (``auto_levels``)."""
     lx, ly = left_xy
     rx, ry = right_xy
     pts = (left.select(F.col(lx).alias("_x"), F.col(ly).alias("_y"))
@@ -56,6 +86,8 @@ def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
             .filter(F.col("_rx").isNotNull() & F.col("_ry").isNotNull())
             .groupBy("_rx", "_ry").agg(F.min("_k").alias("_k")))
 
+    if levels is None:
+        levels = auto_levels(rpts, radius)
     sizes = sorted({float(f) * radius for f in levels if 0 < f <= 1.0} | {float(radius)})
     todo = pts
     settled = []

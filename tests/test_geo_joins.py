@@ -97,3 +97,18 @@ def test_attach_station_is_inner(spark):
     out = joins.attach_station(f, cw).collect()
     assert [(r["id"], r["origin_station"]) for r in out] == [(1, "722950-23174")]
     assert F is not None
+
+
+def test_nearest_dense_cluster_gets_fine_levels(spark):
+    rnd = random.Random(11)
+    # a third of the points packed into a 0.02 x 0.02 square
+    right = [(i, rnd.uniform(0, 20), rnd.uniform(0, 20)) for i in range(400)]
+    right += [(1000 + i, 5 + rnd.uniform(0, 0.02), 5 + rnd.uniform(0, 0.02)) for i in range(200)]
+    left = [(i, rnd.uniform(0, 20), rnd.uniform(0, 20)) for i in range(300)]
+    left += [(1000 + i, 5 + rnd.uniform(0, 0.02), 5 + rnd.uniform(0, 0.02)) for i in range(150)]
+    l_df, r_df = _frames(spark, left, right)
+    levels = geo.auto_levels(r_df.select(F.col("rx").alias("_rx"), F.col("ry").alias("_ry")), 1.0)
+    assert levels[0] <= 1.0 / 64 and levels[-1] == 1.0
+    got = {r["lk"]: r["rk"] for r in
+           geo.nearest(l_df, r_df, ("lx", "ly"), ("rx", "ry"), "rk", 1.0).collect()}
+    assert got == brute_nearest(left, right, 1.0)
