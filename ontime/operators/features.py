@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions import features as X
@@ -70,15 +70,50 @@ def select_model_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in MODEL_COLUMNS])
 
 
+def feature_columns(defaults: Mapping[str, object] | None = None) -> dict[str, Column]:
+    """Every derived modelling column as one expression over the joined columns.
+
+    Flags and humidity read the raw (unfilled) readings, then readings are filled,
+    so the result equals running cyclical -> calendar_flags -> weather_flags ->
+    humidity -> fill_defaults in sequence.
+    """
+    d = dict(defaults or X.WEATHER_DEFAULTS)
+    cols: dict[str, Column] = {}
+    for src, (name, period) in X.CYCLE_PERIODS.items():
+        cols[f"{name}_sin"] = X.cycle_sin(src, period)
+        cols[f"{name}_cos"] = X.cycle_cos(src, period)
+    cols["is_weekend"] = X.is_weekend("dow")
+    cols["is_peak_hour"] = X.is_peak_hour("crs_dep_hour")
+    cols["season"] = X.season("month")
+    flags = {
+        "is_freezing": X.is_freezing("air_temp_c"),
+        "is_overcast": X.is_overcast("sky_cond"),
+        "is_strong_wind": X.is_strong_wind("wind_speed_ms"),
+        "is_precip": X.is_precip("precip_1h_mm"),
+    }
+    cols["rel_humidity"] = F.coalesce(X.rel_humidity("air_temp_c", "dew_point_c"),
+                                      F.lit(d["rel_humidity"]))
+    for name in ("air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms", "sky_cond",
+                 "precip_1h_mm"):
+        cols[name] = F.coalesce(F.col(name), F.lit(d[name]))
+    cols.update(flags)
+    cols["weather_severity"] = (flags["is_freezing"] + flags["is_overcast"]
+                                + flags["is_strong_wind"] + flags["is_precip"])
+    return cols
+
+
 def build_features(joined: DataFrame, label: str = "dep_del15") -> DataFrame:
-    """Flights already joined to hourly weather -> modelling table rows."""
-    df = cyclical(joined)
-    df = calendar_flags(df)
-    df = weather_flags(df)
-    df = humidity(df)
-    df = fill_defaults(df)
-    df = require(df, [label])
-    return select_model_columns(df)
+    """Flights already joined to hourly weather -> modelling table rows.
+
+    One filter and one projection (instead of a chain of column steps) keeps the
+    logical plan shallow; Catalyst prunes whatever a downstream query does not use.
+    """
+    derived = feature_columns()
+    exprs = []
+    for name, kind in MODEL_COLUMNS:
+        expr = derived.get(name, F.col(name))
+        exprs.append(expr.cast(kind).alias(name))
+    return joined.filter(F.col(label).isNotNull()).select(*exprs)
 
 
 def time_split(df: DataFrame, train_years: Iterable[int], test_years: Iterable[int],

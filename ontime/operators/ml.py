@@ -38,6 +38,7 @@ class ForestConfig:
     max_bins: int = 32
     seed: int = 42
     top_k: int = 30
+    bucket_carrier: bool = True
     checkpoint_interval: int = 10
 
 
@@ -90,9 +91,16 @@ def bucket_list(df: DataFrame, col: str, keep: list[str], out: str) -> DataFrame
     return df.withColumn(out, F.when(c.isin(keep), c).otherwise(F.lit(OTHER)))
 
 
-def prepare(df: DataFrame, keep_origin: list[str], keep_dest: list[str]) -> DataFrame:
+def prepare(df: DataFrame, keep_origin: list[str], keep_dest: list[str],
+            keep_carrier: list[str] | None = None) -> DataFrame:
+    """Top-k buckets for origin and dest (new columns) and, when a keep list is given,
+    for carrier (in place). Bucketing every categorical bounds the one-hot width, and
+    with it the forest's binned feature matrix, whatever the key cardinality."""
     df = bucket_list(df, "origin", keep_origin, "origin_b")
-    return bucket_list(df, "dest", keep_dest, "dest_b")
+    df = bucket_list(df, "dest", keep_dest, "dest_b")
+    if keep_carrier is not None:
+        df = bucket_list(df, "carrier", keep_carrier, "carrier")
+    return df
 
 
 def build_pipeline(cfg: ForestConfig) -> Pipeline:
@@ -119,36 +127,72 @@ class Trained:
     keep_origin: list[str]
     keep_dest: list[str]
     cfg: ForestConfig
+    keep_carrier: list[str] | None = None
 
 
 def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     """Fit the weighted forest on rows whose label and numeric inputs are present.
 
-    Tree building checkpoints into the shared folder."""
+    Only the model's input columns are kept and persisted (memory, spilling to disk)
+    for the duration of the fit: the rate, the top-k lists, the indexer and every
+    tree level then read that copy instead of recomputing the upstream joins. A lost
+    block is recomputed from lineage. Tree building checkpoints into the shared folder.
+    """
+    from pyspark import StorageLevel
+
     cfg = cfg or ForestConfig()
     checkpoint_dir(train_df.sparkSession)
-    rate = label_rate(train_df, cfg.label)
-    keep_o = top_list(train_df, "origin", cfg.top_k)
-    keep_d = top_list(train_df, "dest", cfg.top_k)
-    complete = require(train_df, [cfg.label, *cfg.numeric])
-    prepared = with_class_weight(prepare(complete, keep_o, keep_d), rate, cfg.label, cfg.weight)
-    model = build_pipeline(cfg).fit(prepared)
-    return Trained(model, rate, keep_o, keep_d, cfg)
+    cats = [c for c in cfg.categorical if c not in ("origin_b", "dest_b")]
+    cols = list(dict.fromkeys([cfg.label, "origin", "dest", *cats, *cfg.numeric]))
+    complete = require(train_df.select(*cols), [cfg.label, *cfg.numeric])
+    complete = complete.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rate = label_rate(complete, cfg.label)
+        keep_o = top_list(complete, "origin", cfg.top_k)
+        keep_d = top_list(complete, "dest", cfg.top_k)
+        keep_c = top_list(complete, "carrier", cfg.top_k) if cfg.bucket_carrier else None
+        prepared = with_class_weight(prepare(complete, keep_o, keep_d, keep_c), rate,
+                                     cfg.label, cfg.weight)
+        model = build_pipeline(cfg).fit(prepared)
+    finally:
+        complete.unpersist()
+    return Trained(model, rate, keep_o, keep_d, cfg, keep_c)
 
 
 def predict(trained: Trained, df: DataFrame) -> DataFrame:
-    return trained.model.transform(prepare(df, trained.keep_origin, trained.keep_dest))
-
-
-def evaluate(preds: DataFrame, label: str = "dep_del15") -> dict[str, float]:
-    """ROC-AUC, PR-AUC (MLlib binned curves) and label-weighted F1."""
-    roc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                        metricName="areaUnderROC").evaluate(preds)
-    pr = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderPR").evaluate(preds)
-    f1 = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                           metricName="f1").evaluate(preds)
-    return {"roc_auc": roc, "pr_auc": pr, "f1": f1}
+    return trained.model.transform(
+        prepare(df, trained.keep_origin, trained.keep_dest, trained.keep_carrier))
+
+
+def evaluate(preds: DataFrame, label: str = "dep_del15",
+             positive_class: bool = False) -> dict[str, float]:
+    """ROC-AUC, PR-AUC (MLlib binned curves) and label-weighted F1; with
+    ``positive_class`` also precision, recall and F1 of the delayed class.
+
+    The scored rows are projected to the four columns the metrics need and
+    persisted once, so the evaluators' passes do not re-run the scoring plan.
+    """
+    from pyspark import StorageLevel
+
+    from ontime.operators.evaluation import confusion, positive_f1
+
+    scored = preds.select(F.col(label).cast("double").alias(label), "prediction",
+                          "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        roc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
+                                            metricName="areaUnderROC").evaluate(scored)
+        pr = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
+                                           metricName="areaUnderPR").evaluate(scored)
+        f1 = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
+                                               metricName="f1").evaluate(scored)
+        out = {"roc_auc": roc, "pr_auc": pr, "f1": f1}
+        if positive_class:
+            pos = positive_f1(confusion(scored, label), label).first()  # one row
+            out.update({"pos_precision": pos["precision"] or 0.0,
+                        "pos_recall": pos["recall"] or 0.0, "pos_f1": pos["f1"] or 0.0})
+    finally:
+        scored.unpersist()
+    return out
 
 
 def metrics_frame(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:

@@ -53,33 +53,33 @@ def r6(col) -> Column:
 
 @query("annual_stats")
 def annual_stats(spark, sf_dir):
-    return eda.annual_stats(dt.trips(spark, sf_dir))
+    return eda.annual_stats(dt.model_table(spark, sf_dir))
 
 
 @query("worst_origins")
 def worst_origins(spark, sf_dir):
-    return eda.worst(dt.trips(spark, sf_dir), "origin", min_n=WORST_ORIGINS_MIN, k=WORST_K)
+    return eda.worst(dt.model_table(spark, sf_dir), "origin", min_n=WORST_ORIGINS_MIN, k=WORST_K)
 
 
 @query("season_hour")
 def season_hour(spark, sf_dir):
-    return eda.rate_by(dt.trips(spark, sf_dir), ["season", "crs_dep_hour"], with_avg_delay=False)
+    return eda.rate_by(dt.model_table(spark, sf_dir), ["season", "crs_dep_hour"], with_avg_delay=False)
 
 
 @query("carrier_rates")
 def carrier_rates(spark, sf_dir):
-    out = eda.rate_by(dt.trips(spark, sf_dir), "carrier", order=False)
+    out = eda.rate_by(dt.model_table(spark, sf_dir), "carrier", order=False)
     return out.orderBy(F.col("pct_delayed").desc(), "carrier")
 
 
 @query("severity_rates")
 def severity_rates(spark, sf_dir):
-    return eda.rate_by(dt.trips(spark, sf_dir), "weather_severity")
+    return eda.rate_by(dt.model_table(spark, sf_dir), "weather_severity")
 
 
 @query("severity_export")
 def severity_export(spark, sf_dir):
-    t = dt.trips(spark, sf_dir)
+    t = dt.model_table(spark, sf_dir)
     sev = F.col("weather_severity").try_cast("int")
     return (t.filter(sev.isNotNull()).withColumn("weather_severity", sev)
             .groupBy("weather_severity")
@@ -89,18 +89,18 @@ def severity_export(spark, sf_dir):
 
 @query("worst_routes")
 def worst_routes(spark, sf_dir):
-    return eda.worst(dt.trips(spark, sf_dir), ["origin", "dest"], min_n=WORST_ROUTES_MIN, k=WORST_K)
+    return eda.worst(dt.model_table(spark, sf_dir), ["origin", "dest"], min_n=WORST_ROUTES_MIN, k=WORST_K)
 
 
 @query("monthly_trend")
 def monthly_trend(spark, sf_dir):
-    return eda.rate_by(dt.trips(spark, sf_dir), ["year", "month"], with_avg_delay=False)
+    return eda.rate_by(dt.model_table(spark, sf_dir), ["year", "month"], with_avg_delay=False)
 
 
 # ------------------------------------------------------- tables, split, union
 
 def _split(spark, sf_dir):
-    return features.time_split(dt.trips(spark, sf_dir), TRAIN_YEARS, TEST_YEARS)
+    return features.time_split(dt.model_table(spark, sf_dir), TRAIN_YEARS, TEST_YEARS)
 
 
 @query("union_view")
@@ -127,25 +127,25 @@ def split_profile(spark, sf_dir):
 
 @query("fingerprint")
 def fingerprint(spark, sf_dir):
-    out = eda.fingerprint(dt.trips(spark, sf_dir), min_n=FINGERPRINT_MIN, k=FINGERPRINT_K)
+    out = eda.fingerprint(dt.model_table(spark, sf_dir), min_n=FINGERPRINT_MIN, k=FINGERPRINT_K)
     return out.select("origin", "crs_dep_hour", r6("delay_rate").alias("delay_rate"), "n")
 
 
 @query("rate_matrix")
 def rate_matrix(spark, sf_dir):
-    wide = eda.rate_matrix(dt.trips(spark, sf_dir), "origin", "crs_dep_hour", range(1, 8))
+    wide = eda.rate_matrix(dt.model_table(spark, sf_dir), "origin", "crs_dep_hour", range(1, 8))
     return wide.select("origin", *[r6(f"h{h}").alias(f"h{h}") for h in range(1, 8)])
 
 
 @query("histogram_by_season")
 def histogram_by_season(spark, sf_dir):
-    band = eda.open_band(dt.trips(spark, sf_dir), "dep_delay", 300)
+    band = eda.open_band(dt.model_table(spark, sf_dir), "dep_delay", 300)
     return eda.histogram(band, "dep_delay", "season", -300.0, 300.0, 60)
 
 
 @query("box_by_season")
 def box_by_season(spark, sf_dir):
-    clipped = eda.within(dt.trips(spark, sf_dir), "dep_delay", -20, 120)
+    clipped = eda.within(dt.model_table(spark, sf_dir), "dep_delay", -20, 120)
     box = eda.box_stats(clipped, "dep_delay", "season")
     return box.select("season", "n", *[r6(c).alias(c) for c in ("q1", "median", "q3")],
                       "whisker_lo", "whisker_hi", "outliers")
@@ -153,19 +153,19 @@ def box_by_season(spark, sf_dir):
 
 @query("top_values")
 def top_values(spark, sf_dir):
-    return eda.top_values(dt.trips(spark, sf_dir), "dest", TOP_K)
+    return eda.top_values(dt.model_table(spark, sf_dir), "dest", TOP_K)
 
 
 @query("bucket_rare")
 def bucket_rare(spark, sf_dir):
-    t = dt.trips(spark, sf_dir)
+    t = dt.model_table(spark, sf_dir)
     b = ml.bucket_rare(t, "origin", ml.keep_set(t, "origin", TOP_K), "origin_b")
     return eda.rate_by(b, "origin_b", with_avg_delay=False)
 
 
 @query("class_weight")
 def class_weight(spark, sf_dir):
-    t = dt.trips(spark, sf_dir)
+    t = dt.model_table(spark, sf_dir)
     w = ml.with_class_weight(t, ml.label_rate(t))
     return (w.groupBy("dep_del15", r6("class_weight").alias("class_weight"))
             .agg(F.count(F.lit(1)).alias("n")))
@@ -416,12 +416,8 @@ def _predictions(spark, sf_dir):
 
 @query("rf_metrics")
 def rf_metrics(spark, sf_dir):
-    trained, preds = _predictions(spark, sf_dir)
-    m = ml.evaluate(preds)
-    pos = evaluation.positive_f1(evaluation.confusion(preds)).first()  # one row
-    m.update({"pos_precision": pos["precision"] or 0.0, "pos_recall": pos["recall"] or 0.0,
-              "pos_f1": pos["f1"] or 0.0})
-    return ml.metrics_frame(spark, m)
+    _, preds = _predictions(spark, sf_dir)
+    return ml.metrics_frame(spark, ml.evaluate(preds, positive_class=True))
 
 
 @query("importance")
@@ -493,6 +489,21 @@ def first_order(spark, sf_dir):
 
 @query("dimensions")
 def dimensions(spark, sf_dir):
-    t = dt.trips(spark, sf_dir)
+    t = dt.model_table(spark, sf_dir)
     b = ml.bucket_rare(t, "origin", ml.keep_set(t, "origin", TOP_K), "origin_b")
     return eda.dimension_values(b, "origin_b")
+
+
+# ---------------------------------------------------------- the modelling table
+
+_ROUNDED = ["distance", "crs_elapsed", "hour_sin", "hour_cos", "month_sin", "month_cos",
+            "dow_sin", "dow_cos", "air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms",
+            "precip_1h_mm", "rel_humidity"]
+
+
+@query("features_table")
+def features_table(spark, sf_dir):
+    """The whole 33-column modelling table computed from the source tables (the join
+    and every feature), as the feature job writes it."""
+    t = dt.trips(spark, sf_dir)
+    return t.select(*[r6(c).alias(c) if c in _ROUNDED else F.col(c) for c in t.columns])

@@ -412,3 +412,16 @@ SQL["dimensions"] = with_trips("""
 , keep AS (SELECT origin FROM trips GROUP BY origin ORDER BY COUNT(*) DESC, origin LIMIT 10)
 SELECT DISTINCT origin AS origin_b FROM trips WHERE origin IN (SELECT origin FROM keep)
 ORDER BY 1""")
+
+_ROUNDED = ["distance", "crs_elapsed", "hour_sin", "hour_cos", "month_sin", "month_cos",
+            "dow_sin", "dow_cos", "air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms",
+            "precip_1h_mm", "rel_humidity"]
+_MODEL_COLS = ["year", "month", "day", "dow", "crs_dep_hour", "carrier", "origin", "dest",
+               "distance", "crs_elapsed", "hour_sin", "hour_cos", "month_sin", "month_cos",
+               "dow_sin", "dow_cos", "is_weekend", "is_peak_hour", "season", "air_temp_c",
+               "dew_point_c", "slp_hpa", "wind_speed_ms", "sky_cond", "precip_1h_mm",
+               "rel_humidity", "is_freezing", "is_overcast", "is_strong_wind", "is_precip",
+               "weather_severity", "dep_delay", "dep_del15"]
+SQL["features_table"] = with_trips(
+    "SELECT " + ", ".join(f"{r6(c)} AS {c}" if c in _ROUNDED else c for c in _MODEL_COLS)
+    + " FROM trips")

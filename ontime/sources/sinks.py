@@ -11,13 +11,15 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
                       partitions: int | None = None) -> None:
     """Overwrite ``path`` as Parquet partitioned by ``keys``.
 
-    Rows are first hash-partitioned on the same keys so each task writes whole
-    partitions (few files per directory). ``partitions`` sets the task count;
-    without it AQE sizes the shuffle.
+    Rows are clustered by the keys with a ``rebalance`` hint: AQE then sizes the
+    write tasks from runtime statistics, splitting a partition value that holds a
+    large share of the rows over several tasks (each near the advisory partition
+    size) and merging small ones, so files stay few per directory and no task
+    writes a hot value alone. ``partitions`` fixes the initial task count.
     """
     cols = list(keys)
-    shuffled = df.repartition(partitions, *cols) if partitions else df.repartition(*cols)
-    shuffled.write.mode("overwrite").partitionBy(*cols).parquet(path)
+    args = ([partitions] if partitions else []) + cols
+    df.hint("rebalance", *args).write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
