@@ -83,6 +83,15 @@ def delay_profile(df: DataFrame, delay: str = "dep_delay", label: str = "dep_del
                   F.avg(label).alias("delay_rate"))
 
 
+def row_counts(**frames: DataFrame) -> DataFrame:
+    """One row per named frame with its row count (one aggregate job per frame)."""
+    out = None
+    for name, df in frames.items():
+        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 def positive_rate(df: DataFrame, label: str = "dep_del15") -> DataFrame:
     """One-row frame with the global label mean."""
     return df.agg(F.avg(label).alias("positive_rate"))

@@ -103,3 +103,16 @@ def stack_curves(curves: dict[str, DataFrame], tag: str = "model") -> DataFrame:
         d = df.withColumn(tag, F.lit(name))
         out = d if out is None else out.unionByName(d)
     return out
+
+
+def roc_curve(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
+              resolution: int = 10000) -> tuple[DataFrame, DataFrame]:
+    """(points, one-row auc) of the ROC curve on scores rounded to ``resolution``."""
+    counts = score_counts(scored, score, label, resolution)
+    return roc_points(counts), roc_auc(counts)
+
+
+def pr_curve(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
+             resolution: int = 10000) -> tuple[DataFrame, DataFrame]:
+    counts = score_counts(scored, score, label, resolution)
+    return pr_points(counts), pr_auc(counts)

@@ -116,5 +116,16 @@ def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
 
 
 def with_present(right: DataFrame, observed: DataFrame, key: str) -> DataFrame:
-    """Keep right rows whose key occurs in ``observed`` (verified stations)."""
+    """Keep right rows whose key occurs in ``observed`` (a left-semi join, so
+    duplicates in ``observed`` never multiply rows)."""
     return right.join(observed.select(key), key, "left_semi")
+
+
+def verified_stations(stations: DataFrame, weather: DataFrame, key: str = "station_id") -> DataFrame:
+    """Stations that have at least one observation."""
+    return with_present(stations, weather, key)
+
+
+# The grid search is the only nearest-point strategy; this name is kept for callers
+# that ask for it explicitly.
+nearest_grid = nearest

@@ -83,3 +83,23 @@ def label_codes(df: DataFrame, code: str, labels: Mapping[str, str], out: str) -
     """
     m = F.create_map(*[x for kv in labels.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(code)), F.col(code)))
+
+
+# Weather readings averaged, and the ordinal one maxed, per station-hour.
+WEATHER_MEANS = ["air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms", "precip_1h_mm"]
+WEATHER_MAX = ["sky_cond"]
+
+
+def join_weather(flights: DataFrame, weather: DataFrame, station: str = "origin_station",
+                 hour: str = "crs_dep_hour_local") -> DataFrame:
+    """Flights left-joined to their station's weather in the scheduled hour.
+
+    The weather side is first reduced to one row per (station, hour), so the join
+    keeps exactly the flight rows.
+    """
+    wx = dedupe_hourly(
+        weather.select("station_id", F.col("obs_ts_utc").alias("weather_join_hour"),
+                       *WEATHER_MEANS, *WEATHER_MAX),
+        ["station_id", "weather_join_hour"], WEATHER_MEANS, WEATHER_MAX)
+    f = flights.withColumn("weather_join_hour", F.col(hour))
+    return join_hourly(f, wx, [station, "weather_join_hour"], ["station_id", "weather_join_hour"])

@@ -243,6 +243,11 @@ def prediction_table(preds: DataFrame, label: str = "dep_del15") -> DataFrame:
                         "rawPrediction", p_positive("probability").alias("p_delay"))
 
 
+def write_predictions(preds: DataFrame, path: str, label: str = "dep_del15") -> None:
+    """Predictions table (label, prediction, probability vectors, P(delay)) as Parquet."""
+    prediction_table(preds, label).write.mode("overwrite").parquet(path)
+
+
 def platt(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
           fit_fraction: float = 0.5, key: str | None = None) -> DataFrame:
     """Platt scaling: logistic regression of the label on the raw score.

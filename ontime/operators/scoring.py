@@ -73,6 +73,17 @@ def sky_from_severity(sev) -> Column:
             .otherwise(F.lit(SKY_FOR_SEVERITY["else"])))
 
 
+def scoring_defaults(df: DataFrame) -> DataFrame:
+    """Stand-ins for readings a scoring request does not carry: dew point (air - 8),
+    sky cover from the stated severity, standard sea-level pressure."""
+    t = F.col("air_temp_c")
+    return df.withColumns({
+        "dew_point_c": F.least(t, t - F.lit(DEW_POINT_OFFSET_C)),
+        "sky_cond": sky_from_severity("weather_severity"),
+        "slp_hpa": F.lit(SEA_LEVEL_PRESSURE_HPA),
+    })
+
+
 def model_inputs(df: DataFrame, severity_from_flags: bool = True) -> DataFrame:
     """Scoring input columns -> the modelling-table feature columns.
 
@@ -80,12 +91,8 @@ def model_inputs(df: DataFrame, severity_from_flags: bool = True) -> DataFrame:
     the four flags, as in training, unless ``severity_from_flags`` is False, in
     which case the caller's value is kept (an explicit override).
     """
-    t = F.col("air_temp_c")
-    out = df.withColumns({
+    out = scoring_defaults(df).withColumns({
         "crs_dep_hour": F.col("dep_hour"),
-        "dew_point_c": F.least(t, t - F.lit(DEW_POINT_OFFSET_C)),
-        "sky_cond": sky_from_severity("weather_severity"),
-        "slp_hpa": F.lit(SEA_LEVEL_PRESSURE_HPA),
         "season": X.season("month"),
         "hour_sin": X.cycle_sin("dep_hour", 24), "hour_cos": X.cycle_cos("dep_hour", 24),
         "month_sin": X.cycle_sin("month", 12), "month_cos": X.cycle_cos("month", 12),
@@ -161,6 +168,18 @@ def score_with_fallback(df: DataFrame, model_path: str | None, proxy: PipelineMo
         return score_proxy(proxy, df).withColumn("backend", F.lit("proxy"))
 
 
+def delta_vs_history(df: DataFrame, prob: str = "p_delay", hist: str = "origin_rate") -> DataFrame:
+    """Difference to the airport's historical rate in percentage points, and its band."""
+    d = X.delta_pp(prob, hist)
+    return df.withColumns({"delta_pp": d, "delta_band": X.delta_band(d)})
+
+
+def with_drivers(df: DataFrame, out: str = "drivers", sep: str | None = None) -> DataFrame:
+    """Key-driver list (or one joined string when ``sep`` is given)."""
+    d = drivers()
+    return df.withColumn(out, F.array_join(d, sep) if sep is not None else d)
+
+
 def presentation(df: DataFrame, prob: str = "p_delay", hist: str = "origin_rate") -> DataFrame:
     """Risk tier, delta against the airport's historical rate (pp) and its band."""
     d = X.delta_pp(prob, hist)

@@ -20,10 +20,6 @@ from ontime.sources import places as PL
 from ontime.sources import sinks
 from ontime.sources import weather as WX
 
-WEATHER_MEANS = ["air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms", "precip_1h_mm"]
-WEATHER_MAX = ["sky_cond"]
-
-
 def ingest_flights(spark: SparkSession, src, dst: str, partitions: int | None = None) -> DataFrame:
     """Raw flight CSVs -> staging Parquet partitioned by year/month; returns the
     profile of what was written."""
@@ -53,14 +49,7 @@ def build_crosswalk(spark: SparkSession, stations_csv: str, airports_csv: str,
 def join_flights_weather(flights: DataFrame, weather: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Flights with a matched origin station, left-joined to that station's weather
     in the scheduled hour (one deduplicated observation per station-hour)."""
-    f = joins.attach_station(flights, crosswalk)
-    f = f.withColumn("weather_join_hour", F.col("crs_dep_hour_local"))
-    wx = joins.dedupe_hourly(
-        weather.select("station_id", F.col("obs_ts_utc").alias("weather_join_hour"),
-                       *WEATHER_MEANS, *WEATHER_MAX),
-        ["station_id", "weather_join_hour"], WEATHER_MEANS, WEATHER_MAX)
-    return joins.join_hourly(f, wx, ["origin_station", "weather_join_hour"],
-                             ["station_id", "weather_join_hour"])
+    return joins.join_weather(joins.attach_station(flights, crosswalk), weather)
 
 
 def run_features(spark: SparkSession, flights_path: str, weather_path: str, crosswalk: DataFrame,

@@ -36,21 +36,30 @@ def drop_cancelled(df: DataFrame) -> DataFrame:
             .drop("cancelled", "diverted"))
 
 
+def with_hhmm(df: DataFrame, col: str = "crs_dep_time", prefix: str = "crs_dep") -> DataFrame:
+    """``<prefix>_hhmm`` text plus ``<prefix>_hour`` and ``<prefix>_minute`` ints."""
+    return df.withColumns({
+        f"{prefix}_hhmm": C.hhmm_text(col),
+        f"{prefix}_hour": C.hhmm_hour(col),
+        f"{prefix}_minute": C.hhmm_minute(col),
+    })
+
+
+def with_departure_ts(df: DataFrame) -> DataFrame:
+    """Parsed flight date, local scheduled departure and its hour (HHMM parts must exist)."""
+    df = df.withColumn("flight_date_clean", C.parse_flight_date("flight_date"))
+    df = df.withColumn("crs_dep_local",
+                       C.local_departure("flight_date_clean", "crs_dep_hour", "crs_dep_minute"))
+    return df.withColumn("crs_dep_hour_local", C.hour_key("crs_dep_local"))
+
+
 def with_departure(df: DataFrame) -> DataFrame:
     """Scheduled departure parts and timestamps.
 
     HHMM 2400 gives hour 24 and a null timestamp (the row is kept); a date in any
     other shape gives a null date.
     """
-    return df.withColumns({
-        "crs_dep_hhmm": C.hhmm_text("crs_dep_time"),
-        "crs_dep_hour": C.hhmm_hour("crs_dep_time"),
-        "crs_dep_minute": C.hhmm_minute("crs_dep_time"),
-        "flight_date_clean": C.parse_flight_date("flight_date"),
-    }).withColumn(
-        "crs_dep_local",
-        C.local_departure("flight_date_clean", "crs_dep_hour", "crs_dep_minute"),
-    ).withColumn("crs_dep_hour_local", C.hour_key("crs_dep_local"))
+    return with_departure_ts(with_hhmm(df))
 
 
 def stage_flights(raw: DataFrame) -> DataFrame:

@@ -41,5 +41,10 @@ def clean_weather(raw: DataFrame) -> DataFrame:
     )
 
 
+def with_obs_ts(df: DataFrame) -> DataFrame:
+    """UTC observation hour from year/month/day/hour_utc."""
+    return df.withColumn("obs_ts_utc", C.observation_ts("year", "month", "day", "hour_utc"))
+
+
 def stage_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean_weather(read_weather(spark, path))
