@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ontime.functions.features import iso_weekday
 from ontime.operators import features as feat
 from ontime.schemas import MODEL_COLUMN_NAMES
-from ontime.session import scratch_path
+from ontime.session import app_id, scratch_path
 from ontime.sources.sinks import write_partitioned
 
 # Fixed value: TPC-H nation has exactly 25 rows, so broadcasting it is bounded.
@@ -39,7 +39,7 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse a lazy plan object within one application (plans only, never data: every
     action still scans the files). Saves re-reading Parquet footers and re-analysing
     the same join tree for every report."""
-    k = (spark.sparkContext.applicationId, *key)
+    k = (app_id(spark), *key)
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]
@@ -117,7 +117,7 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     year splits and monthly reports prune directories.
     """
     def build() -> DataFrame:
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         tag = hashlib.md5(f"{app}|{os.path.abspath(sf_dir)}".encode()).hexdigest()[:16]
         path = scratch_path(spark, f"model_table_{tag}")
         write_partitioned(trips(spark, sf_dir), path, ["year", "month"])

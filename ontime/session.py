@@ -35,6 +35,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """Application id (classic sessions) or the session's own id (Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -45,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="ontime-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: the server uses spark.checkpoint.dir itself
+        pass
     return path
 
 
