@@ -46,7 +46,10 @@ def test_pipeline_end_to_end(spark, workdir):
     assert spark.table(names[2]).count() == 8
     register_location(spark, "train_ext", f"{workdir}/train")
     assert spark.table("train_ext").count() == 7
-    assert "train_ext" in {r.tableName for r in list_tables(spark).collect()}
+    register_location(spark, "test_ext", f"{workdir}/test", like="train_ext")
+    assert spark.table("test_ext").count() == 1
+    assert spark.table("test_ext").columns == spark.table("train_ext").columns
+    assert {"train_ext", "test_ext"} <= {r.tableName for r in list_tables(spark).collect()}
 
     metrics = jobs.run_training(spark, f"{workdir}/train", f"{workdir}/train",
                                 f"{workdir}/model", f"{workdir}/pred", f"{workdir}/metrics",
