@@ -155,15 +155,18 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
               F.percentile(col, 0.75).alias("q3")))
     q = q.withColumn("lo_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1")))
+    fences = q.select(F.col(by).alias("_g"), "lo_fence", "hi_fence")
     v = F.col(col)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    second = (df.select(by, col).join(q.select(by, "lo_fence", "hi_fence"), by)
+    # null-safe equality keeps a null group's rows with their own fences
+    second = (df.select(by, col).join(fences, F.col(by).eqNullSafe(F.col("_g")))
               .groupBy(by)
               .agg(F.min(F.when(inside, v)).alias("whisker_lo"),
                    F.max(F.when(inside, v)).alias("whisker_hi"),
-                   F.count_if(~inside).alias("outliers")))
-    return q.join(second, by).select(by, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi",
-                                      "outliers")
+                   F.count_if(~inside).alias("outliers"))
+              .withColumnRenamed(by, "_g"))
+    return (q.join(second, F.col(by).eqNullSafe(F.col("_g")))
+            .select(by, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "outliers"))
 
 
 def rate_matrix(df: DataFrame, row: str, column: str, values: Sequence, label: str = "dep_del15",

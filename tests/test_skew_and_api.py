@@ -108,3 +108,13 @@ def test_bucket_rare_broadcasts_only_the_keep_set(spark):
     assert out.count() == df.count()
     assert out.select("origin_b").distinct().count() == 4
     assert "BroadcastHashJoin" in plan_of(out)
+
+
+def test_box_stats_null_group_and_fences(spark):
+    rows = [("a", float(v)) for v in [1, 2, 3, 4, 100]] + [(None, 5.0), (None, 6.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    out = {r.g: r for r in eda.box_stats(df, "v", "g").collect()}
+    a = out["a"]
+    assert (a.q1, a.median, a.q3) == (2.0, 3.0, 4.0)
+    assert a.whisker_lo == 1.0 and a.whisker_hi == 4.0 and a.outliers == 1
+    assert out[None].n == 2 and out[None].outliers == 0
