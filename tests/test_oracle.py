@@ -37,5 +37,6 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and df.columns == ["origin", "flights", "avg_delay", "pct_delayed"]
+    assert df.count() > 0
+    assert df.columns == ["year", "flights", "avg_delay", "pct_delayed", "p95_delay"]
     assert SF_TINY in entry.SF_SMOKE
