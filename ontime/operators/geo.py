@@ -17,6 +17,9 @@ dist < radius", computed without materialising all pairs:
    fine levels where blocks are small; sparse areas at coarse ones.
 3. The best candidate per left point is a ``min(struct(dist, key))`` aggregate,
    combined map-side, then joined back to the left rows on the coordinates.
+4. With more than two levels the unsettled set is checkpointed between levels
+   (reliable checkpoint in ``spark.checkpoint.dir``), so plans stay linear in the
+   number of levels.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.features import degree_distance
+from ontime.session import cut_lineage
 
 # Grid refinement factor per level, target right points per finest cell,
 # and the deepest refinement considered (4**12 cells per radius, far below the
@@ -107,6 +111,12 @@ def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
         settled.append(done.select("_x", "_y", F.col("_b._k").alias("_k"), F.col("_b._d").alias("_d")))
         if not last:
             todo = todo.join(done.select("_x", "_y"), ["_x", "_y"], "left_anti")
+            if len(sizes) > 2:
+                # Each level reads the previous unsettled set twice (its probes and
+                # the next anti-join), so an uncut plan doubles per level. A reliable
+                # checkpoint into the shared folder keeps every level's plan small
+                # and is also the restart point if an executor is lost.
+                todo = cut_lineage(todo)
 
     matches = settled[0]
     for more in settled[1:]:
