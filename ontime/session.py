@@ -35,6 +35,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle partition count aims at ``target_partition_mb`` per partition
+    (never fewer than two per core, never more than ``max_partitions``); AQE then
+    coalesces small partitions and splits skewed ones around the same advisory size,
+    so partitions fit executor memory without spilling. The broadcast threshold is
+    kept at a fixed, checked size.
+    """
+    per = target_partition_mb * MB
+    parts = max(2 * total_cores, min(max_partitions, -(-int(input_bytes) // per)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(per),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(per),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
 def app_id(spark: SparkSession) -> str:
     """Application id (classic sessions) or the session's own id (Spark Connect)."""
     try:

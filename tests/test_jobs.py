@@ -61,3 +61,30 @@ def test_pipeline_end_to_end(spark, workdir):
     jobs.run_exports(spark, f"{workdir}/train", f"{workdir}/pred", f"{workdir}/exports")
     for name in ("delay_distribution", "airport_fingerprint", "weather_severity", "calibration"):
         assert glob.glob(os.path.join(workdir, "exports", name, "*.csv")), name
+
+
+def test_cli_end_to_end(workdir):
+    """The command line drives the same jobs (local master)."""
+    import contextlib
+    import io
+
+    from ontime.__main__ import main
+
+    write_text(workdir, "raw/flights/a.csv", FLIGHTS)
+    write_text(workdir, "raw/weather/2023/722950-23174-2023", WEATHER_A)
+    write_text(workdir, "raw/isd.csv", STATIONS)
+    write_text(workdir, "raw/airports.csv", AIRPORTS)
+    m = ["--master", "local[2]"]
+    main(m + ["ingest-flights", f"{workdir}/raw/flights/*.csv", f"{workdir}/stg/f"])
+    main(m + ["ingest-weather", f"{workdir}/raw/weather/*/*", f"{workdir}/stg/w"])
+    main(m + ["crosswalk", f"{workdir}/raw/isd.csv", f"{workdir}/raw/airports.csv",
+              f"{workdir}/stg/w", f"{workdir}/cw"])
+    main(m + ["features", f"{workdir}/stg/f", f"{workdir}/stg/w", f"{workdir}/cw",
+              f"{workdir}/train", f"{workdir}/test", "--train-years", "2023",
+              "--test-years", "2024"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        main(m + ["report", f"{workdir}/train", f"{workdir}/test", "--min-airport", "1",
+                  "--min-route", "1"])
+    text = buf.getvalue()
+    assert "-- annual" in text and "-- worst_routes" in text and "AAA" in text
