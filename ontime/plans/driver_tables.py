@@ -28,10 +28,6 @@ from ontime.schemas import MODEL_COLUMN_NAMES
 from ontime.session import app_id, scratch_path
 from ontime.sources.sinks import write_partitioned
 
-# Fixed value: TPC-H nation has exactly 25 rows, so broadcasting it is bounded.
-NATION_ROWS = 25
-
-
 _PLANS: dict[tuple, DataFrame] = {}
 
 
@@ -51,6 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def nation_names(spark: SparkSession, sf_dir: str, key_alias: str, name_alias: str) -> DataFrame:
+    """Nation key -> name, broadcast: the nation table has 25 rows at every scale."""
     n = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias(key_alias), F.col("n_name").alias(name_alias))
     return F.broadcast(n)

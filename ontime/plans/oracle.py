@@ -8,8 +8,6 @@ would otherwise leak into the output.
 
 from __future__ import annotations
 
-D = "CAST({} AS DOUBLE)".format
-
 TRIPS_RAW = """
 trips_raw AS (
   SELECT
