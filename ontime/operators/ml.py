@@ -237,10 +237,12 @@ def feature_importance(trained: Trained, preds: DataFrame, k: int = 30) -> DataF
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
-def prediction_table(preds: DataFrame, label: str = "dep_del15") -> DataFrame:
-    """Label, prediction, positive probability (plus the raw vectors)."""
+def prediction_table(preds: DataFrame, label: str = "dep_del15",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """Label, prediction, positive probability (plus the raw vectors and any ``keep``
+    columns)."""
     return preds.select(F.col(label).cast("double").alias(label), "prediction", "probability",
-                        "rawPrediction", p_positive("probability").alias("p_delay"))
+                        "rawPrediction", p_positive("probability").alias("p_delay"), *keep)
 
 
 def write_predictions(preds: DataFrame, path: str, label: str = "dep_del15") -> None:

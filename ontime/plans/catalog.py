@@ -508,3 +508,31 @@ def features_table(spark, sf_dir):
     and every feature), as the feature job writes it."""
     t = dt.trips(spark, sf_dir)
     return t.select(*[r6(c).alias(c) if c in _ROUNDED else F.col(c) for c in t.columns])
+
+
+# ---------------------------------------------------------------- export samples (T4)
+
+# Sample sizes of the plotting exports.
+DELAY_SAMPLE_FRACTION = 0.01
+DELAY_SAMPLE_CAP = 100_000
+PRED_SAMPLE_FRACTION = 0.25
+PRED_SAMPLE_CAP = 200_000
+SAMPLE_KEYS = ["year", "month", "day", "crs_dep_hour", "carrier", "origin", "dest"]
+
+
+@query("delay_distribution")
+def delay_distribution(spark, sf_dir):
+    """Delay and season of a 1% key-hash sample of trips with |delay| < 300, capped."""
+    band = eda.open_band(dt.model_table(spark, sf_dir), "dep_delay", 300)
+    s = sampling.hash_sample(band, SAMPLE_KEYS, DELAY_SAMPLE_FRACTION, DELAY_SAMPLE_CAP)
+    return s.select("dep_delay", "season")
+
+
+@query("predictions_sample")
+def predictions_sample(spark, sf_dir):
+    """Label and P(delay) of a 25% sample of the test predictions, capped."""
+    _, preds = _predictions(spark, sf_dir)
+    table = ml.prediction_table(preds, keep=tuple(SAMPLE_KEYS))
+    keys = SAMPLE_KEYS + ["p_delay"]
+    s = sampling.hash_sample(table, keys, PRED_SAMPLE_FRACTION, PRED_SAMPLE_CAP)
+    return s.select("dep_del15", "p_delay")

@@ -424,3 +424,12 @@ _MODEL_COLS = ["year", "month", "day", "dow", "crs_dep_hour", "carrier", "origin
 SQL["features_table"] = with_trips(
     "SELECT " + ", ".join(f"{r6(c)} AS {c}" if c in _ROUNDED else c for c in _MODEL_COLS)
     + " FROM trips")
+
+_SAMPLE_KEY = ("concat_ws('|', CAST(year AS VARCHAR), CAST(month AS VARCHAR), CAST(day AS VARCHAR), "
+               "CAST(crs_dep_hour AS VARCHAR), carrier, origin, dest)")
+SQL["delay_distribution"] = with_trips(f"""
+SELECT dep_delay, season FROM trips
+WHERE dep_delay > -300 AND dep_delay < 300
+  AND substring(md5({_SAMPLE_KEY}), 1, 2) < '03'
+ORDER BY md5({_SAMPLE_KEY}), year, month, day, crs_dep_hour, carrier, origin, dest
+LIMIT 100000""")
