@@ -191,6 +191,16 @@ def nearest(spark, sf_dir):
     return m.select("c_custkey", "s_suppkey", r6("dist").alias("dist"))
 
 
+@query("nearest_grid")
+def nearest_grid(spark, sf_dir):
+    """Same match with four fixed grid levels (radius/64 .. radius): exercises the
+    settle-early path and the per-level lineage cut on the real tables."""
+    cust, supp = _points(spark, sf_dir)
+    m = geo.nearest_grid(cust, supp, ("c_x", "c_y"), ("s_x", "s_y"), "s_suppkey",
+                         NEAREST_RADIUS, levels=(1 / 64, 1 / 16, 1 / 4, 1.0))
+    return m.select("c_custkey", "s_suppkey", r6("dist").alias("dist"))
+
+
 # ------------------------------------------------------ hourly join and cleaning (events)
 
 def _events(spark, sf_dir):

@@ -433,3 +433,5 @@ WHERE dep_delay > -300 AND dep_delay < 300
   AND substring(md5({_SAMPLE_KEY}), 1, 2) < '03'
 ORDER BY md5({_SAMPLE_KEY}), year, month, day, crs_dep_hour, carrier, origin, dest
 LIMIT 100000""")
+
+SQL["nearest_grid"] = SQL["nearest"]
