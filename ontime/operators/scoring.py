@@ -7,6 +7,7 @@ computed by the same Column functions as training.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -35,6 +36,16 @@ HIGH_AIRPORT_RATE_ABOVE = 0.25
 SUMMER_PEAK_MONTHS = [6, 7]
 MAX_DRIVERS = 5
 FALLBACK_DRIVER = "Low-risk operating conditions"
+DRIVER_WORDING = [
+    "Late departure hour ({hour}:00)",
+    "Weather severity = {severity}",
+    "Freezing temperature ({temp}°C)",
+    "Strong wind ({wind} m/s)",
+    "Precipitation ({precip} mm/h)",
+    "High-delay carrier ({carrier})",
+    "High-delay airport ({origin})",
+    "Summer peak delay season",
+]
 
 # Carrier code -> display label.
 CARRIER_LABELS = {
@@ -186,30 +197,37 @@ def presentation(df: DataFrame, prob: str = "p_delay", hist: str = "origin_rate"
     return df.withColumns({"risk": X.risk_tier(prob), "delta_pp": d, "delta_band": X.delta_band(d)})
 
 
+def _wording(template: str, values: Mapping[str, Column]) -> Column:
+    """A wording template with ``{name}`` slots as a string Column."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            parts.append(values[piece].cast("string"))
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
 def drivers(temp: str = "air_temp_c", wind: str = "wind_speed_ms", precip: str = "precip_1h_mm",
             hour: str = "dep_hour", sev: str = "weather_severity", month: str = "month",
             carrier: str = "carrier", origin: str = "origin", carrier_rate: str = "carrier_rate",
             origin_rate: str = "origin_rate") -> Column:
     """Up to five reasons from the ordered rules, or the fallback reason."""
-    s = lambda c: F.col(c).cast("string")
-    rules = [
-        (F.col(hour) >= F.lit(LATE_HOUR_FROM),
-         F.concat(F.lit("Late departure hour ("), s(hour), F.lit(":00)"))),
-        (F.col(sev) >= F.lit(DRIVER_SEVERITY_FROM),
-         F.concat(F.lit("Weather severity = "), s(sev))),
-        (X.is_freezing(temp) == F.lit(1),
-         F.concat(F.lit("Freezing temperature ("), s(temp), F.lit("°C)"))),
-        (F.col(wind) > F.lit(X.STRONG_WIND_ABOVE_MS),
-         F.concat(F.lit("Strong wind ("), s(wind), F.lit(" m/s)"))),
-        (F.col(precip) > F.lit(0.0),
-         F.concat(F.lit("Precipitation ("), s(precip), F.lit(" mm/h)"))),
-        (F.col(carrier_rate) > F.lit(HIGH_CARRIER_RATE_ABOVE),
-         F.concat(F.lit("High-delay carrier ("), F.col(carrier), F.lit(")"))),
-        (F.col(origin_rate) > F.lit(HIGH_AIRPORT_RATE_ABOVE),
-         F.concat(F.lit("High-delay airport ("), F.col(origin), F.lit(")"))),
-        (F.col(month).isin(SUMMER_PEAK_MONTHS), F.lit("Summer peak delay season")),
+    values = {"hour": F.col(hour), "severity": F.col(sev), "temp": F.col(temp),
+              "wind": F.col(wind), "precip": F.col(precip), "carrier": F.col(carrier),
+              "origin": F.col(origin)}
+    conditions = [
+        F.col(hour) >= F.lit(LATE_HOUR_FROM),
+        F.col(sev) >= F.lit(DRIVER_SEVERITY_FROM),
+        X.is_freezing(temp) == F.lit(1),
+        F.col(wind) > F.lit(X.STRONG_WIND_ABOVE_MS),
+        F.col(precip) > F.lit(0.0),
+        F.col(carrier_rate) > F.lit(HIGH_CARRIER_RATE_ABOVE),
+        F.col(origin_rate) > F.lit(HIGH_AIRPORT_RATE_ABOVE),
+        F.col(month).isin(SUMMER_PEAK_MONTHS),
     ]
-    found = F.array_compact(F.array(*[F.when(cond, text) for cond, text in rules]))
+    found = F.array_compact(F.array(*[F.when(cond, _wording(text, values))
+                                      for cond, text in zip(conditions, DRIVER_WORDING)]))
     return F.when(F.size(found) == F.lit(0), F.array(F.lit(FALLBACK_DRIVER))) \
         .otherwise(F.slice(found, 1, MAX_DRIVERS))
 

@@ -8,6 +8,8 @@ would otherwise leak into the output.
 
 from __future__ import annotations
 
+from ontime.operators.scoring import CARRIER_LABELS
+
 TRIPS_RAW = """
 trips_raw AS (
   SELECT
@@ -289,13 +291,7 @@ x AS (
   FROM test t LEFT JOIN carrier_rate cr ON t.carrier = cr.carrier
   LEFT JOIN origin_rate orr ON t.origin = orr.origin)"""
 
-_LABELS = {
-    "F9": "Frontier (F9)", "B6": "JetBlue (B6)", "NK": "Spirit (NK)",
-    "WN": "Southwest (WN)", "AA": "American (AA)", "G4": "Allegiant (G4)",
-    "OH": "PSA Airlines (OH)", "AS": "Alaska (AS)", "UA": "United (UA)",
-    "HA": "Hawaiian (HA)", "DL": "Delta (DL)", "MQ": "Envoy (MQ)",
-    "OO": "SkyWest (OO)", "9E": "Endeavor (9E)", "YX": "Republic (YX)",
-}
+_LABELS = CARRIER_LABELS
 _LABEL_CASE = "CASE carrier " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in _LABELS.items()) + " ELSE carrier END"
 
