@@ -48,3 +48,24 @@ def test_curve_window_runs_on_reduced_counts(spark):
     p = plan_of(entry.queries()["roc"](spark, SF_SMALL))
     # the single-partition window sits above an aggregate over the scored rows
     assert p.index("Window") < p.rindex("HashAggregate")
+
+
+def test_weather_join_plan(spark, workdir):
+    """Station attach broadcasts the small crosswalk via the size check on its Parquet
+    source; the weather side is aggregated per (station, hour) before the left join."""
+    from ontime.operators import joins
+
+    def parquet(df, name):
+        df.write.parquet(f"{workdir}/{name}")
+        return spark.read.parquet(f"{workdir}/{name}")
+
+    flights = parquet(spark.createDataFrame(
+        [("AAA", 1, None)], "origin string, id int, crs_dep_hour_local timestamp_ntz"), "f")
+    cw = parquet(spark.createDataFrame([("AAA", "s1")], "iata string, station_id string"), "cw")
+    wx = parquet(spark.createDataFrame(
+        [("s1", None, 1.0, 1.0, 1000.0, 2.0, 0.0, 3)],
+        "station_id string, obs_ts_utc timestamp_ntz, air_temp_c double, dew_point_c double, "
+        "slp_hpa double, wind_speed_ms double, precip_1h_mm double, sky_cond int"), "wx")
+    p = plan_of(joins.join_weather(joins.attach_station(flights, cw), wx))
+    assert "BroadcastHashJoin" in p
+    assert "LeftOuter" in p and p.index("LeftOuter") < p.rindex("HashAggregate")
