@@ -58,6 +58,8 @@ def auto_levels(rpts: DataFrame, radius: float, x: str = "_rx", y: str = "_ry",
              .agg(F.count(F.lit(1)).alias("n"))
              .groupBy(d).agg(F.max("n").alias("n"))
              .collect())
+    if not crowd:  # no right points at all: one level finds nothing, quickly
+        return [1.0]
     fits = [int(r["_depth"]) for r in crowd if r["n"] <= target]
     depth = min(fits) if fits else MAX_DEPTH
     return [1.0 / REFINE ** k for k in range(depth, -1, -1)]

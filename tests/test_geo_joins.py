@@ -112,3 +112,10 @@ def test_nearest_dense_cluster_gets_fine_levels(spark):
     got = {r["lk"]: r["rk"] for r in
            geo.nearest(l_df, r_df, ("lx", "ly"), ("rx", "ry"), "rk", 1.0).collect()}
     assert got == brute_nearest(left, right, 1.0)
+
+
+def test_nearest_with_empty_right_side(spark):
+    l_df, r_df = _frames(spark, [(1, 0.0, 0.0)], [(1, 0.5, 0.5)])
+    empty = r_df.limit(0)
+    assert geo.auto_levels(empty.select(F.col("rx").alias("_rx"), F.col("ry").alias("_ry")), 1.0) == [1.0]
+    assert geo.nearest(l_df, empty, ("lx", "ly"), ("rx", "ry"), "rk", 1.0).count() == 0
