@@ -3,7 +3,7 @@
   python -m ontime ingest-flights SRC_GLOB DST
   python -m ontime ingest-weather SRC_GLOB DST
   python -m ontime crosswalk STATIONS_CSV AIRPORTS_CSV WEATHER DST
-  python -m ontime features FLIGHTS WEATHER CROSSWALK TRAIN TEST --train-years 2023 2024 --test-years 2025
+  python -m ontime features FLIGHTS WEATHER CROSSWALK TRAIN TEST [--train-years 2023 2024 --test-years 2025]
   python -m ontime train TRAIN TEST MODEL PREDICTIONS METRICS
   python -m ontime export TRAIN PREDICTIONS OUT_DIR
   python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000]
@@ -59,8 +59,8 @@ def main(argv=None) -> None:
     a = sub.add_parser("features")
     for n in ("flights", "weather", "crosswalk", "train", "test"):
         a.add_argument(n)
-    a.add_argument("--train-years", type=int, nargs="+", required=True)
-    a.add_argument("--test-years", type=int, nargs="+", required=True)
+    a.add_argument("--train-years", type=int, nargs="+", default=[2023, 2024])
+    a.add_argument("--test-years", type=int, nargs="+", default=[2025])
     a = sub.add_parser("train")
     for n in ("train", "test", "model", "predictions", "metrics"):
         a.add_argument(n)
