@@ -140,19 +140,24 @@ def histogram(df: DataFrame, col: str, by: str | None, lo: float, hi: float,
             .withColumn("bin_lo", F.lit(float(lo)) + (F.col("bin") - 1) * F.lit((hi - lo) / n_bins)))
 
 
-def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: str, exact: bool = True) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers and outlier counts per group.
 
+    ``exact`` uses interpolated exact quartiles (a value-count buffer per group,
+    combined map-side; its size grows with the number of distinct values); otherwise
+    the fixed-size ``percentile_approx`` sketch, for continuous values at scale.
+
     Pass 1: one aggregate for the quartiles. Pass 2: the quartiles (one row per group)
     are joined back and a second aggregate finds whisker ends and outliers. The group
     table's size is not bounded by the API, so no broadcast hint: AQE turns the join
     into a broadcast at runtime when the measured side is small.
     """
+    pick = F.percentile if exact else F.percentile_approx
     q = (df.groupBy(by)
          .agg(F.count(F.lit(1)).alias("n"),
-              F.percentile(col, 0.25).alias("q1"),
-              F.percentile(col, 0.5).alias("median"),
-              F.percentile(col, 0.75).alias("q3")))
+              pick(col, 0.25).cast("double").alias("q1"),
+              pick(col, 0.5).cast("double").alias("median"),
+              pick(col, 0.75).cast("double").alias("q3")))
     q = q.withColumn("lo_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1")))
     fences = q.select(F.col(by).alias("_g"), "lo_fence", "hi_fence")

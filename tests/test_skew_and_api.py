@@ -118,3 +118,11 @@ def test_box_stats_null_group_and_fences(spark):
     assert (a.q1, a.median, a.q3) == (2.0, 3.0, 4.0)
     assert a.whisker_lo == 1.0 and a.whisker_hi == 4.0 and a.outliers == 1
     assert out[None].n == 2 and out[None].outliers == 0
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    df = spark.range(0, 2001).selectExpr("'g' AS g", "CAST(id AS DOUBLE) AS v")
+    ex = eda.box_stats(df, "v", "g").first()
+    ap = eda.box_stats(df, "v", "g", exact=False).first()
+    assert (ex.q1, ex.median, ex.q3) == (500.0, 1000.0, 1500.0)
+    assert abs(ap.median - 1000.0) <= 5 and ap.n == 2001
