@@ -145,3 +145,39 @@ def test_roc_curve_on_reduced_counts(spark):
     assert abs(auc - 5.0 / 6.0) < 1e-12
     pts = evaluation.roc_points(counts).orderBy(F.col("threshold").desc()).collect()
     assert pts[-1].tpr == 1.0 and pts[-1].fpr == 1.0
+
+
+def _scoring_rows(spark, table):
+    return table.select("carrier", "origin", "dest", "month", "dow",
+                        F.col("crs_dep_hour").alias("dep_hour"), "distance", "crs_elapsed",
+                        "air_temp_c", "wind_speed_ms", "precip_1h_mm", "weather_severity",
+                        "dep_del15")
+
+
+def test_proxy_and_fallback(fitted, spark, workdir):
+    from ontime.operators import joins
+
+    trained, train, test, _ = fitted
+    rates = (joins.rate_table(train, "carrier").select("carrier", "rate"),
+             joins.rate_table(train, "origin").select("origin", "rate"))
+    proxy = scoring.train_proxy(scoring.with_rates(_scoring_rows(spark, train), *rates))
+    inputs = scoring.with_rates(_scoring_rows(spark, test).drop("dep_del15"), *rates)
+    path = f"{workdir}/forest"
+    ml.save_model(trained, path)
+    forest = scoring.score_with_fallback(inputs, path, proxy)
+    fallback = scoring.score_with_fallback(inputs, f"{workdir}/missing", proxy)
+    n = inputs.count()
+    assert forest.count() == n and fallback.count() == n
+    assert {r.backend for r in forest.select("backend").distinct().collect()} == {"forest"}
+    assert {r.backend for r in fallback.select("backend").distinct().collect()} == {"proxy"}
+    assert fallback.filter((F.col("p_delay") < 0) | (F.col("p_delay") > 1)).count() == 0
+
+
+def test_platt_with_key_holdout(fitted):
+    _, _, _, preds = fitted
+    table = ml.prediction_table(preds).select("dep_del15", "p_delay") \
+        .withColumn("row_key", F.monotonically_increasing_id())
+    cal = ml.platt(table, key="row_key")
+    assert cal.count() == table.count()
+    pts = sorted((r.p_delay, r.p_platt) for r in cal.select("p_delay", "p_platt").collect())
+    assert all(b[1] >= a[1] - 1e-12 for a, b in zip(pts, pts[1:]))
