@@ -45,8 +45,10 @@ def query(name: str):
 
 
 def r6(col) -> Column:
+    """Round to 6 places, half away from zero, with plain double arithmetic (the
+    oracle SQL spells out the same operations); ``+ 0.0`` folds a negative zero."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c, 6) + F.lit(0.0)
+    return (F.signum(c) * F.floor(F.abs(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)) + F.lit(0.0)
 
 
 # ---------------------------------------------------------------- reports

@@ -98,7 +98,9 @@ ORDER BY pct_delayed DESC, origin LIMIT 20""")
 
 
 def r6(expr: str) -> str:
-    return f"(round({expr}, 6) + CAST(0 AS DOUBLE))"
+    """Same operations as the Spark side: sign * floor(|x| * 1e6 + 0.5) / 1e6 + 0.0."""
+    return (f"(CAST(sign({expr}) AS DOUBLE) * floor(abs({expr}) * CAST(1e6 AS DOUBLE) + 0.5)"
+            f" / CAST(1e6 AS DOUBLE) + CAST(0 AS DOUBLE))")
 
 
 SQL["annual_stats"] = with_trips(f"""
