@@ -43,7 +43,10 @@ def build_crosswalk(spark: SparkSession, stations_csv: str, airports_csv: str,
     airports = PL.normalize_airports(PL.read_airports(spark, airports_csv))
     near = geo.nearest(airports, verified, ("a_lat", "a_lon"), ("s_lat", "s_lon"),
                        "station_id", radius)
-    return near.select("iata", "station_id", "dist")
+    # One station per code even when the airport file lists a code twice (the match
+    # is ranked per code): the closest over all of the code's rows, ties by station.
+    return eda.first_per_key(near.select("iata", "dist", "station_id"), "iata",
+                             ["dist", "station_id"]).select("iata", "station_id", "dist")
 
 
 def join_flights_weather(flights: DataFrame, weather: DataFrame, crosswalk: DataFrame) -> DataFrame:

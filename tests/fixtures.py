@@ -57,6 +57,7 @@ AIRPORTS = "\n".join([
     "US,AAA,large_airport,10.0,20.0",      # 0.5 from ALPHA
     "US,NEAR,medium_airport,30.99,30.0",   # 0.99 from DELTA
     "US,FAR,medium_airport,31.01,30.0",    # 1.01 from DELTA: no match
+    "US,AAA,medium_airport,10.9,20.5",     # AAA listed twice: still one station
     "US,SML,small_airport,10.0,20.0",
     "US,,large_airport,10.0,20.0",
     "CA,CAN,large_airport,10.0,20.0",

@@ -28,6 +28,7 @@ def test_pipeline_end_to_end(spark, workdir):
     pairs = {(r.iata, r.station_id) for r in cw.collect()}
     # AAA -> verified ALPHA; NEAR -> DELTA at 0.99; FAR (1.01) dropped
     assert pairs == {("AAA", "722950-23174"), ("NEAR", "722953-23177")}
+    assert cw.count() == 2  # AAA is listed twice in the airport file: one row per code
 
     profiles = jobs.run_features(spark, f"{workdir}/stg/flights", f"{workdir}/stg/weather", cw,
                                  f"{workdir}/train", f"{workdir}/test", [2023], [2024])
