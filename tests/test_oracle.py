@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from check_oracle import duck, rows_of  # noqa: E402
+from check_oracle import duck, rows_of, type_problems  # noqa: E402
 from conftest import SF_SMALL, SF_TINY  # noqa: E402
 
 SQLS = entry.oracle_sql()
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert type_problems(sdf, res) == []
     assert len(srows) == len(drows)
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
 
