@@ -210,13 +210,24 @@ def feature_family(name: str) -> str:
     return "temporal/flight"
 
 
-def feature_names(preds: DataFrame, features: str = "features") -> list[str]:
-    """Names of the assembled vector slots from the column's ML attribute metadata."""
+def feature_names(preds: DataFrame, features: str = "features",
+                  categorical: list[str] | None = None) -> list[str]:
+    """Names of the assembled vector slots from the column's ML attribute metadata.
+
+    One-hot slots are named ``<input>=<category>`` (the assembler's own names are
+    ``<input>_vec_<category>``); numeric slots keep their column name.
+    """
     meta = preds.schema[features].metadata.get("ml_attr", {})
+    prefixes = [(f"{c}_vec_", f"{c}=") for c in (categorical or CATEGORICAL_INPUTS)]
     slots: dict[int, str] = {}
     for group in meta.get("attrs", {}).values():
         for attr in group:
-            slots[int(attr["idx"])] = attr.get("name", f"feature_{attr['idx']}")
+            name = attr.get("name", f"feature_{attr['idx']}")
+            for raw, nice in prefixes:
+                if name.startswith(raw):
+                    name = nice + name[len(raw):]
+                    break
+            slots[int(attr["idx"])] = name
     size = int(meta.get("num_attrs", len(slots)))
     return [slots.get(i, f"feature_{i}") for i in range(size)]
 
@@ -229,7 +240,7 @@ def feature_importance(trained: Trained, preds: DataFrame, k: int = 30) -> DataF
     """
     forest = trained.model.stages[-1]
     values = forest.featureImportances.toArray().tolist()
-    names = feature_names(preds)
+    names = feature_names(preds, categorical=trained.cfg.categorical)
     names += [f"feature_{i}" for i in range(len(names), len(values))]
     rows = [(names[i], float(v), feature_family(names[i])) for i, v in enumerate(values)]
     spark = preds.sparkSession

@@ -68,7 +68,8 @@ def test_importance_named_and_normalised(fitted):
     imp = ml.feature_importance(trained, preds, k=1000).collect()
     assert abs(sum(r.importance for r in imp) - 1.0) < 1e-6
     names = {r.feature for r in imp}
-    assert "air_temp_c" in names and any(n.startswith("carrier") for n in names)
+    assert "air_temp_c" in names and any(n.startswith("carrier=") for n in names)
+    assert any(n.startswith("season=") for n in names) and not any("_vec_" in n for n in names)
     fams = {r.category for r in imp}
     assert fams <= {"carrier", "airport", "weather", "temporal/flight"}
 
