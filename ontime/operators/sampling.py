@@ -2,7 +2,7 @@
 
 ``DataFrame.sample(seed)`` depends on how rows are partitioned, so the same data read
 twice can give different samples. Here membership is a function of the row key only:
-the first two hex digits of ``md5(key)`` compared with a threshold out of 256.
+a prefix of ``md5(key)`` compared with a threshold.
 """
 
 from __future__ import annotations
@@ -17,17 +17,23 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
 
 
+# Fixed value: hex digits of the hash prefix compared (16**4 = 65536 sample steps).
+PREFIX_DIGITS = 4
+
+
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float,
                 cap: int | None = None) -> DataFrame:
     """Rows whose key hash falls in the first ``fraction`` of the hash space.
 
-    ``cap`` (the export size limit) keeps the rows with the smallest hashes, a
+    The fraction is applied in steps of 1/65536 (the first four hex digits of the
+    hash). ``cap`` (the export size limit) keeps the rows with the smallest hashes, a
     per-partition top-k then a cap-row merge; ties on the hash are broken by key.
     """
-    buckets = max(0, min(256, int(round(fraction * 256))))
-    threshold = format(buckets, "02x") if buckets < 256 else "g"
-    h = key_hash(keys)
-    out = df.withColumn("_h", h).filter(F.substring(F.col("_h"), 1, 2) < F.lit(threshold))
+    space = 16 ** PREFIX_DIGITS
+    steps = max(0, min(space, int(round(fraction * space))))
+    threshold = format(steps, f"0{PREFIX_DIGITS}x") if steps < space else "g"
+    out = (df.withColumn("_h", key_hash(keys))
+           .filter(F.substring(F.col("_h"), 1, PREFIX_DIGITS) < F.lit(threshold)))
     if cap is not None:
         out = out.orderBy("_h", *keys).limit(cap)
     return out.drop("_h")

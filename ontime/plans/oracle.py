@@ -339,11 +339,11 @@ FROM sc GROUP BY 1, 2""")
 
 SQL["hash_sample"] = """
 SELECT o_orderkey, o_orderdate FROM orders
-WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) < '03'"""
+WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 4) < '0300'"""
 
 SQL["hash_sample_capped"] = """
 SELECT o_orderkey, o_orderdate FROM orders
-WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 2) < '03'
+WHERE substring(md5(CAST(o_orderkey AS VARCHAR)), 1, 4) < '0300'
 ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"""
 
 _SCORES = """sc AS (
@@ -428,7 +428,7 @@ _SAMPLE_KEY = ("concat_ws('|', CAST(year AS VARCHAR), CAST(month AS VARCHAR), CA
 SQL["delay_distribution"] = with_trips(f"""
 SELECT dep_delay, season FROM trips
 WHERE dep_delay > -300 AND dep_delay < 300
-  AND substring(md5({_SAMPLE_KEY}), 1, 2) < '03'
+  AND substring(md5({_SAMPLE_KEY}), 1, 4) < '028f'
 ORDER BY md5({_SAMPLE_KEY}), year, month, day, crs_dep_hour, carrier, origin, dest
 LIMIT 100000""")
 
