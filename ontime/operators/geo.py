@@ -44,25 +44,26 @@ def auto_levels(rpts: DataFrame, radius: float, x: str = "_rx", y: str = "_ry",
                 target: int = CELL_TARGET) -> list[float]:
     """Grid levels as fractions of the radius, fine to coarse, from the data.
 
-    One aggregate counts the right points per cell at every candidate depth
-    (``radius / REFINE**d`` for d = 0..MAX_DEPTH) and keeps the most crowded cell per
-    depth: at most MAX_DEPTH+1 rows reach the driver. The finest level is the first
-    depth whose most crowded cell holds at most ``target`` points, so every block a
-    point probes at that level is small, however tightly the data clusters. Sparse
-    data needs only the radius level.
+    Progressive: count points per cell at depth 0 (``radius``-sized cells); if no
+    cell holds more than ``target`` points, one level is enough (the common, sparse
+    case costs one aggregate, combined map-side). Otherwise only the points inside
+    crowded cells go on to the next depth (cells ``REFINE`` times smaller per axis),
+    until no cell is crowded. Every block a point probes at the finest level is then
+    small, however tightly the data clusters. Only an emptiness check per depth
+    reaches the driver; the shrinking point set is checkpointed between depths.
     """
-    d = F.col("_depth")
-    size = F.lit(float(radius)) / F.pow(F.lit(float(REFINE)), d)
-    crowd = (rpts.select(F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("_depth"), x, y)
-             .groupBy(d, F.floor(F.col(x) / size).alias("cx"), F.floor(F.col(y) / size).alias("cy"))
-             .agg(F.count(F.lit(1)).alias("n"))
-             .groupBy(d).agg(F.max("n").alias("n"))
-             .collect())
-    if not crowd:  # no right points at all: one level finds nothing, quickly
-        return [1.0]
-    fits = [int(r["_depth"]) for r in crowd if r["n"] <= target]
-    depth = min(fits) if fits else MAX_DEPTH
-    return [1.0 / REFINE ** k for k in range(depth, -1, -1)]
+    pts = rpts.select(F.col(x).alias("_ax"), F.col(y).alias("_ay"))
+    for depth in range(MAX_DEPTH + 1):
+        size = radius / REFINE ** depth
+        keyed = pts.select("_ax", "_ay", _cell(F.col("_ax"), size).alias("cx"),
+                           _cell(F.col("_ay"), size).alias("cy"))
+        crowded = (keyed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("n") > F.lit(target)).select("cx", "cy"))
+        if crowded.isEmpty():
+            return [1.0 / REFINE ** k for k in range(depth, -1, -1)]
+        if depth < MAX_DEPTH:
+            pts = cut_lineage(keyed.join(crowded, ["cx", "cy"], "left_semi").select("_ax", "_ay"))
+    return [1.0 / REFINE ** k for k in range(MAX_DEPTH, -1, -1)]
 
 
 def _cell(col: Column, size: float) -> Column:
