@@ -37,10 +37,6 @@ WEATHER_FIELDS = [
 ]
 RAW_WEATHER = T.StructType([T.StructField(name, T.IntegerType()) for name in WEATHER_FIELDS])
 
-# Station history CSV header.
-STATION_FIELDS = ["USAF", "WBAN", "STATION NAME", "CTRY", "ST", "ICAO", "LAT", "LON",
-                  "ELEV", "BEGIN", "END"]
-RAW_STATIONS = T.StructType([T.StructField(name, T.StringType()) for name in STATION_FIELDS])
 
 # Airport CSV columns in use.
 AIRPORT_FIELDS = ["iso_country", "iata_code", "type", "latitude_deg", "longitude_deg"]

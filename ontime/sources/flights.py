@@ -10,8 +10,22 @@ from ontime.schemas import FLIGHT_COLUMNS, RAW_FLIGHTS
 
 
 def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header CSV glob(s), every column read as a string (no inference pass)."""
-    return spark.read.schema(RAW_FLIGHTS).option("header", "true").csv(path)
+    """Header CSV glob(s), every column a string, columns matched by header NAME.
+
+    No inference pass. Downloads carry many more columns than the 20 in use and in
+    their own order, so a positional schema would misplace values; the needed
+    columns are picked by name in ``normalize_flights`` (a missing one fails loudly).
+    """
+    df = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    require_columns(df, RAW_FLIGHTS.fieldNames(), "flight CSV")
+    return df
+
+
+def require_columns(df: DataFrame, names, what: str) -> None:
+    """Fail with the list of missing header names (a schema check, no data read)."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"{what} is missing columns {missing}; found {df.columns}")
 
 
 def _typed(col: str, kind: str):

@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions import clean as C
-from ontime.schemas import WEATHER_FIELDS
+from ontime.schemas import RAW_WEATHER
 
 
 def read_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw integer fields plus ``station_id``; blank lines are skipped."""
     text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_path"))
     parts = F.split(F.trim(F.col("value")), r"\s+")
-    fields = [F.try_element_at(parts, F.lit(i + 1)).try_cast("int").alias(name)
-              for i, name in enumerate(WEATHER_FIELDS)]
+    fields = [F.try_element_at(parts, F.lit(i + 1)).try_cast(f.dataType).alias(f.name)
+              for i, f in enumerate(RAW_WEATHER.fields)]
     return (text.filter(F.trim(F.col("value")) != F.lit(""))
             .select(C.station_from_path("_path").alias("station_id"), *fields))
 

@@ -6,7 +6,7 @@ from ontime.functions import clean as C
 from ontime.functions import features as X
 from ontime.operators import features as feat
 from ontime.operators import sampling
-from ontime.schemas import MODEL_COLUMN_NAMES
+from ontime.schemas import MODEL_COLUMN_NAMES, MODEL_TABLE
 
 
 def _joined(spark):
@@ -27,6 +27,8 @@ def _joined(spark):
 def test_build_features_semantics(spark):
     out = feat.build_features(_joined(spark))
     assert out.columns == MODEL_COLUMN_NAMES
+    assert [(f.name, f.dataType) for f in out.schema.fields] == \
+        [(f.name, f.dataType) for f in MODEL_TABLE.fields]
     rows = out.orderBy("year", "month").collect()
     assert len(rows) == 3  # null target dropped
     a, b, c = rows

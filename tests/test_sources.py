@@ -72,3 +72,26 @@ def test_station_and_airport_normalisation(spark, workdir):
     assert us_k == {"722950-23174", "722951-23175", "722954-23178"}
     ap = PL.normalize_airports(PL.read_airports(spark, write_text(workdir, "ap.csv", AIRPORTS)))
     assert {r["iata"] for r in ap.collect()} == {"AAA", "NEAR", "FAR"}
+
+
+def test_flight_columns_matched_by_name(spark, workdir):
+    """Extra columns and a different column order (as in real downloads) still map
+    every field by its header name."""
+    header = FLIGHTS.splitlines()[0].split(",")
+    rows = [line.split(",") for line in FLIGHTS.splitlines()[1:]]
+    order = list(reversed(range(len(header))))
+    new_header = ["EXTRA_A"] + [header[i] for i in order] + ["EXTRA_B"]
+    lines = [",".join(new_header)] + [",".join(["x"] + [r[i] for i in order] + ["y"]) for r in rows]
+    path = write_text(workdir, "raw/reordered.csv", "\n".join(lines) + "\n")
+    a = {r["tail"]: r.asDict() for r in FL.stage_flights(
+        FL.read_flights(spark, write_text(workdir, "raw/plain.csv", FLIGHTS))).collect()}
+    b = {r["tail"]: r.asDict() for r in FL.stage_flights(FL.read_flights(spark, path)).collect()}
+    assert a == b and len(a) == 9
+
+
+def test_missing_flight_column_fails_clearly(spark, workdir):
+    import pytest
+
+    text = FLIGHTS.replace("DEP_DELAY,", "DEP_DELAY_X,", 1)
+    with pytest.raises(ValueError, match="DEP_DELAY"):
+        FL.read_flights(spark, write_text(workdir, "raw/bad.csv", text))
