@@ -110,15 +110,18 @@ def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
                         degree_distance("_y", "_x", "_ry", "_rx").alias("_d"))
                 .filter(F.col("_d") < F.lit(float(radius))))
         best = cand.groupBy("_x", "_y").agg(F.min(F.struct("_d", "_k")).alias("_b"))
+        deep = len(sizes) > 2 and not last
+        if deep:
+            # Each level's result feeds both the final union and the next level's
+            # unsettled set, so an uncut plan doubles per level. Reliable checkpoints
+            # into the shared folder run every level's join once, keep plans small
+            # and are the restart points if an executor is lost.
+            best = cut_lineage(best)
         done = best if last else best.filter(F.col("_b._d") <= F.lit(size))
         settled.append(done.select("_x", "_y", F.col("_b._k").alias("_k"), F.col("_b._d").alias("_d")))
         if not last:
             todo = todo.join(done.select("_x", "_y"), ["_x", "_y"], "left_anti")
-            if len(sizes) > 2:
-                # Each level reads the previous unsettled set twice (its probes and
-                # the next anti-join), so an uncut plan doubles per level. A reliable
-                # checkpoint into the shared folder keeps every level's plan small
-                # and is also the restart point if an executor is lost.
+            if deep:
                 todo = cut_lineage(todo)
 
     matches = settled[0]
