@@ -119,3 +119,25 @@ def test_nearest_with_empty_right_side(spark):
     empty = r_df.limit(0)
     assert geo.auto_levels(empty.select(F.col("rx").alias("_rx"), F.col("ry").alias("_ry")), 1.0) == [1.0]
     assert geo.nearest(l_df, empty, ("lx", "ly"), ("rx", "ry"), "rk", 1.0).count() == 0
+
+
+try:
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    _coord = st.integers(min_value=-12, max_value=12).map(lambda v: v / 4.0)  # ties are common
+    _points = st.lists(st.tuples(_coord, _coord), min_size=0, max_size=25)
+
+    @settings(max_examples=8, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(left=_points, right=_points, radius=st.sampled_from([0.5, 1.0, 2.0]))
+    def test_nearest_property_vs_brute_force(spark, left, right, radius):
+        lrows = [(i, x, y) for i, (x, y) in enumerate(left)]
+        rrows = [(i, x, y) for i, (x, y) in enumerate(right)]
+        l_df = spark.createDataFrame(lrows, "lk long, lx double, ly double")
+        r_df = spark.createDataFrame(rrows, "rk long, rx double, ry double")
+        got = {r["lk"]: r["rk"] for r in
+               geo.nearest(l_df, r_df, ("lx", "ly"), ("rx", "ry"), "rk", radius).collect()}
+        assert got == brute_nearest(lrows, rrows, radius)
+except ImportError:  # hypothesis is optional
+    pass
