@@ -89,3 +89,10 @@ def test_cli_end_to_end(workdir):
                   "--min-route", "1"])
     text = buf.getvalue()
     assert "-- annual" in text and "-- worst_routes" in text and "AAA" in text
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        main(m + ["train", f"{workdir}/train", f"{workdir}/train", f"{workdir}/model",
+                  f"{workdir}/pred", f"{workdir}/metrics"])
+    assert '"roc_auc"' in buf.getvalue()
+    main(m + ["export", f"{workdir}/train", f"{workdir}/pred", f"{workdir}/plots"])
+    assert glob.glob(os.path.join(workdir, "plots", "calibration", "*.csv"))
