@@ -68,20 +68,33 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster names one.
 
-    On a cluster the setting must point at shared storage and is used as is. Only
-    when it is unset (tests, local runs) a private folder is created and recorded.
+    That setting is read, never written (Spark rejects changing it at runtime). When
+    it is unset (tests, local runs) the context's existing checkpoint folder is used,
+    else a private folder is created once per application and registered with
+    ``setCheckpointDir``.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="ontime-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # Spark Connect: the server uses spark.checkpoint.dir itself
-        pass
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
+    if not path:
+        key = app_id(spark)
+        if key in _PRIVATE_DIRS:
+            path = _PRIVATE_DIRS[key]
+        elif current:
+            path = current
+        else:
+            path = _PRIVATE_DIRS[key] = tempfile.mkdtemp(prefix="ontime-ckpt-")
+    if sc is not None and not current:
+        sc.setCheckpointDir(path)
     return path
 
 
