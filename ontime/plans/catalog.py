@@ -58,6 +58,13 @@ def annual_stats(spark, sf_dir):
     return eda.annual_stats(dt.model_table(spark, sf_dir))
 
 
+@query("annual_stats_approx")
+def annual_stats_approx(spark, sf_dir):
+    """Q1 with the fixed-size percentile sketch, as the SQL reports computed it (no SQL
+    oracle: DuckDB's approximate quantile is a different sketch)."""
+    return eda.annual_stats(dt.model_table(spark, sf_dir), exact=False)
+
+
 @query("worst_origins")
 def worst_origins(spark, sf_dir):
     return eda.worst(dt.model_table(spark, sf_dir), "origin", min_n=WORST_ORIGINS_MIN, k=WORST_K)

@@ -126,3 +126,17 @@ def test_box_stats_approx_close_to_exact(spark):
     ap = eda.box_stats(df, "v", "g", exact=False).first()
     assert (ex.q1, ex.median, ex.q3) == (500.0, 1000.0, 1500.0)
     assert abs(ap.median - 1000.0) <= 5 and ap.n == 2001
+
+
+def test_annual_stats_approx_close_to_exact(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    q = entry.queries()
+    exact = {r.year: r for r in q["annual_stats"](spark, SF_SMALL).collect()}
+    approx = {r.year: r for r in q["annual_stats_approx"](spark, SF_SMALL).collect()}
+    assert set(exact) == set(approx)
+    for y, r in exact.items():
+        a = approx[y]
+        assert (a.flights, a.avg_delay, a.pct_delayed) == (r.flights, r.avg_delay, r.pct_delayed)
+        assert abs(a.p95_delay - r.p95_delay) <= max(5.0, 0.01 * abs(r.p95_delay))
