@@ -86,6 +86,37 @@ def top_list(df: DataFrame, col: str, k: int) -> list[str]:
     return [r[0] for r in keep_set(df, col, k).collect()]
 
 
+def category_stats(df: DataFrame, label: str, cols: list[str], k: int) -> tuple[float, dict]:
+    """Positive rate and the k most frequent values of each column in ONE pass.
+
+    Each row contributes one (column, value) pair per column (a generator); a single
+    aggregate counts rows and positives per pair, combined map-side, so the large
+    input is scanned once. The rate and the per-column top-k (ties by value, as
+    ``top_values``) are read from that small result: a scalar and k values per column
+    reach the driver.
+    """
+    from pyspark import StorageLevel
+
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_name"),
+                                         F.col(c).cast("string").alias("_value"))
+                                for c in cols]))
+    counts = (df.select(F.col(label).alias("_y"), pairs.alias("_p"))
+              .groupBy(F.col("_p._name").alias("_name"), F.col("_p._value").alias("_value"))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        first = counts.filter(F.col("_name") == F.lit(cols[0]))
+        rate = first.agg((F.sum("pos") / F.sum("n")).alias("r")).first()["r"]
+        tops = {}
+        for c in cols:
+            top = (counts.filter(F.col("_name") == F.lit(c))
+                   .orderBy(F.col("n").desc(), F.col("_value").asc()).limit(k))
+            tops[c] = [r["_value"] for r in top.select("_value").collect()]
+    finally:
+        counts.unpersist()
+    return float(rate), tops
+
+
 def bucket_list(df: DataFrame, col: str, keep: list[str], out: str) -> DataFrame:
     c = F.col(col)
     return df.withColumn(out, F.when(c.isin(keep), c).otherwise(F.lit(OTHER)))
@@ -134,8 +165,9 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     """Fit the weighted forest on rows whose label and numeric inputs are present.
 
     Only the model's input columns are kept and persisted (memory, spilling to disk)
-    for the duration of the fit: the rate, the top-k lists, the indexer and every
-    tree level then read that copy instead of recomputing the upstream joins. A lost
+    for the duration of the fit: one pass gives the rate and all top-k lists, then
+    the indexer and every tree level read that copy instead of recomputing the
+    upstream joins. A lost
     block is recomputed from lineage. Tree building checkpoints into the shared folder.
     """
     from pyspark import StorageLevel
@@ -147,10 +179,10 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     complete = require(train_df.select(*cols), [cfg.label, *cfg.numeric])
     complete = complete.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rate = label_rate(complete, cfg.label)
-        keep_o = top_list(complete, "origin", cfg.top_k)
-        keep_d = top_list(complete, "dest", cfg.top_k)
-        keep_c = top_list(complete, "carrier", cfg.top_k) if cfg.bucket_carrier else None
+        bucketed = ["origin", "dest"] + (["carrier"] if cfg.bucket_carrier else [])
+        rate, tops = category_stats(complete, cfg.label, bucketed, cfg.top_k)
+        keep_o, keep_d = tops["origin"], tops["dest"]
+        keep_c = tops.get("carrier")
         prepared = with_class_weight(prepare(complete, keep_o, keep_d, keep_c), rate,
                                      cfg.label, cfg.weight)
         model = build_pipeline(cfg).fit(prepared)

@@ -182,3 +182,12 @@ def test_platt_with_key_holdout(fitted):
     assert cal.count() == table.count()
     pts = sorted((r.p_delay, r.p_platt) for r in cal.select("p_delay", "p_platt").collect())
     assert all(b[1] >= a[1] - 1e-12 for a, b in zip(pts, pts[1:]))
+
+
+def test_category_stats_match_separate_passes(fitted):
+    _, train, _, _ = fitted
+    complete = train.filter(F.col("dep_del15").isNotNull())
+    rate, tops = ml.category_stats(complete, "dep_del15", ["origin", "dest", "carrier"], 7)
+    assert abs(rate - ml.label_rate(complete)) < 1e-12
+    for c in ("origin", "dest", "carrier"):
+        assert tops[c] == ml.top_list(complete, c, 7)
