@@ -69,3 +69,14 @@ def test_weather_join_plan(spark, workdir):
     p = plan_of(joins.join_weather(joins.attach_station(flights, cw), wx))
     assert "BroadcastHashJoin" in p
     assert "LeftOuter" in p and p.index("LeftOuter") < p.rindex("HashAggregate")
+
+
+def test_reports_prune_the_model_table_scan(spark):
+    p = plan_of(entry.queries()["worst_origins"](spark, SF_SMALL))
+    scan = [line for line in p.splitlines() if "ReadSchema" in line or "FileScan" in line]
+    text = " ".join(scan)
+    assert "model_table_" in text
+    schema = text[text.index("ReadSchema"):]
+    assert "origin" in schema and "dep_del15" in schema and "dep_delay" in schema
+    for unused in ("carrier", "rel_humidity", "hour_sin", "season"):
+        assert unused not in schema
