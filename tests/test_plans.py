@@ -80,3 +80,30 @@ def test_reports_prune_the_model_table_scan(spark):
     assert "origin" in schema and "dep_del15" in schema and "dep_delay" in schema
     for unused in ("carrier", "rel_humidity", "hour_sin", "season"):
         assert unused not in schema
+
+
+def test_trips_join_order_at_scale(spark):
+    """With no table passing the broadcast size check (the cluster view), the line-item
+    stream is shuffled for its two own keys only; nation stays broadcast."""
+    from ontime.plans import driver_tables as dt
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    try:
+        p = plan_of(dt.trips_raw(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = p.splitlines()
+    li = [i for i, line in enumerate(lines) if "lineitem" in line and "FileScan" in line]
+    assert len(li) == 1
+    # walk up from the line-item scan: count the shuffles on its path to the root
+    depth = len(lines[li[0]]) - len(lines[li[0]].lstrip(" :+-"))
+    shuffles = 0
+    for line in reversed(lines[:li[0]]):
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d < depth:
+            depth = d
+            if "Exchange hashpartitioning" in line:
+                shuffles += 1
+    assert shuffles == 2
+    assert p.count("BroadcastExchange") == 2  # the two nation lookups
