@@ -13,8 +13,10 @@ are linked when Jaccard similarity is at least ``percent``; a component is what
    give one candidate edge each to it: a star, so edges are at most rows.
 4. Candidates are confirmed on the full sets, recomputed from the texts of the ids involved.
 5. Links give components. Buckets that still hold several components are tried again with more
-   centres (``growth`` times as many each round), leaving out pairs already compared and pairs
-   within one component, until no such pair is left: no link of a bucket is lost to the star.
+   centres (``growth`` times as many each round), leaving out pairs already compared, pairs
+   within one component, and pairs that cannot be similar: what two members share is bounded by
+   what each shares with their centre and with the rest of its star. This goes on until no pair
+   is left, so no link of a bucket is lost to the star.
 
 With 64 bands of 6 rows a pair at 0.75 shares no bucket with probability 4e-6.
 
@@ -144,14 +146,31 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(F.col(key).cast("long"), text).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) pairs whose full sets reach the similarity. Sides far apart in size are out at once."""
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b) pairs with both full sets and the size of their intersection."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - common
-    return both.where(100 * common >= percent * union).select("a", "b")
+    return both.withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+
+
+def linked(percent: int) -> Column:
+    return 100 * F.col("common") >= percent * (F.size("of_a") + F.size("of_b") - F.col("common"))
+
+
+def measure(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, link, common, shared) of each star edge from centre a to member b.
+
+    ``shared`` counts the shingles of b outside a that another member of a's star also has, so
+    two members x and y of one star have at most least(common) + least(shared) in common.
+    """
+    seen = cut_lineage(with_sets(star, sets).select(
+        "a", "b", linked(percent).alias("link"), "common", F.array_except("of_b", "of_a").alias("rest")))
+    same = Window.partitionBy("a", "g").orderBy("b")
+    rest = seen.select("a", "b", F.explode("rest").alias("g"))
+    rest = rest.select("a", "b", F.coalesce(F.lag("b").over(same), F.lead("b").over(same)).alias("other"))
+    shared = rest.where("other is not null").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    return seen.drop("rest").join(shared, ["a", "b"], "left").na.fill(0, ["shared"])
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -176,24 +195,27 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("links did not settle")
 
 
-def pairs_of_rounds(members: DataFrame, roots: DataFrame, tested: DataFrame, centres: int, percent: int) -> DataFrame:
-    """Candidate pairs across components in one bucket, one side among its ``centres`` first members."""
-    now = members.join(roots, F.col("rep") == F.col("node"), "left")
-    now = cut_lineage(now.select("bucket", "rep", "n", F.coalesce("root", "rep").alias("root")))
-    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    now = now.join(mixed.select("bucket"), "bucket", "left_semi")
+def more_pairs(open_rows: DataFrame, tested: DataFrame, centres: int, percent: int) -> DataFrame:
+    """Candidate pairs across components in one bucket, one side among its ``centres`` first members.
+
+    Pairs whose bound from the common centre is below the similarity cannot be links and are out.
+    """
     place = Window.partitionBy("bucket").orderBy(F.xxhash64("rep", F.lit(centres)), "rep")
-    hubs = now.withColumn("place", F.row_number().over(place)).where(F.col("place") <= centres)
-    hubs = hubs.select("bucket", F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("root").alias("c_root"))
-    near = (F.col("root") != F.col("c_root")) & similar_sizes("n", "c_n", percent)
-    met = now.join(hubs, "bucket").where(near)
-    met = met.select(F.least("c", "rep").alias("a"), F.greatest("c", "rep").alias("b")).distinct()
-    return met.join(tested, ["a", "b"], "left_anti")
+    hubs = open_rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= centres)
+    hubs = hubs.select("bucket", *(F.col(c).alias(f"c_{c}") for c in ("rep", "n", "root", "common", "shared")))
+    most = F.least("common", "c_common") + F.least("shared", "c_shared")
+    near = (F.col("root") != F.col("c_root")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("c_n")))
+    met = open_rows.join(hubs, "bucket").where(near)
+    met = met.select(F.least("c_rep", "rep").alias("a"), F.greatest("c_rep", "rep").alias("b")).distinct()
+    return met if tested is None else met.join(tested, ["a", "b"], "left_anti")
 
 
-def similar_sizes(one: str, other: str, percent: int) -> Column:
-    """Whether two set sizes allow the similarity at all."""
-    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, with each row's component."""
+    now = members.join(roots, F.col("rep") == F.col("node"), "left")
+    now = now.select("bucket", "rep", "n", "common", "shared", F.coalesce("root", "rep").alias("root"))
+    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return cut_lineage(now.join(mixed.select("bucket"), "bucket", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75,
@@ -209,27 +231,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     spread = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
     members = cut_lineage(
         spread.select(
-            "bucket", "rep", "n", F.first("rep").over(by_id).alias("centre"), F.first("n").over(by_id).alias("centre_n"),
-            F.lead("rep").over(by_id).alias("next"))
+            "bucket", "rep", "n", F.first("rep").over(by_id).alias("centre"), F.lead("rep").over(by_id).alias("next"))
         .where("centre <> rep or next is not null").drop("next"))
     ids = members.select(F.col("rep").alias(key)).distinct()
     involved = docs.select(key, text).join(ids, key, "left_semi").dropDuplicates([key])
     sets = cut_lineage(full_sets(involved, key, text, width))
 
-    star = members.where("centre <> rep").where(similar_sizes("n", "centre_n", percent))
-    pairs = cut_lineage(star.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
-    tested, centres = pairs, 1
-    links = cut_lineage(confirm(pairs, sets, percent))
+    members = members.where("centre <> rep")
+    star = members.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    measured = cut_lineage(measure(star, sets, percent))
+    links = measured.where("link").select("a", "b")
     roots = components(links)
-    largest = members.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-    while centres < largest:
+    bounds = measured.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "common", "shared")
+    members = members.join(bounds, ["centre", "rep"]).where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
+    members = cut_lineage(members.select("bucket", "rep", "n", "common", "shared"))
+    tested, centres = None, 1
+    while True:
+        open_rows = still_open(members, roots)
+        largest = open_rows.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
+        if centres >= largest:
+            break
         centres *= growth
-        pairs = cut_lineage(pairs_of_rounds(members, roots, tested, centres, percent))
-        found = cut_lineage(confirm(pairs, sets, percent))
+        pairs = cut_lineage(more_pairs(open_rows, tested, centres, percent))
+        found = cut_lineage(with_sets(pairs, sets).where(linked(percent)).select("a", "b"))
         if not found.isEmpty():
             links = links.union(found)
             roots = components(links)
-        tested = tested.union(pairs)
+        tested = pairs if tested is None else tested.union(pairs)
 
     named = classes.join(roots, F.col("rep") == F.col("node"), "left")
     named = named.select(*same_set, F.coalesce("root", "rep").alias("component"))
