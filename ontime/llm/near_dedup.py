@@ -12,11 +12,11 @@ are linked when Jaccard similarity is at least ``percent``; a component is what
 3. Rows of one bucket (a band and its key) are sorted; the first is the centre and the others
    give one candidate edge each to it: a star, so edges are at most rows.
 4. Candidates are confirmed on the full sets, recomputed from the texts of the ids involved.
-5. Links give components. Buckets that still hold several components are tried again with more
-   centres (``growth`` times as many each round), leaving out pairs already compared, pairs
-   within one component, and pairs that cannot be similar: what two members share is bounded by
-   what each shares with their centre and with the rest of its star. This goes on until no pair
-   is left, so no link of a bucket is lost to the star.
+5. Links give components. Stars whose members are still in several components are compared
+   further, against ``growth`` times as many members each round, leaving out pairs already
+   compared, pairs within one component, and pairs that cannot be similar: what two members
+   share is bounded by what each shares with their centre and with the rest of its star. This
+   goes on until no pair is left, so no link of a bucket is lost to the star.
 
 With 64 bands of 6 rows a pair at 0.75 shares no bucket with probability 4e-6.
 
@@ -159,13 +159,13 @@ def linked(percent: int) -> Column:
 
 
 def measure(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, link, common, shared) of each star edge from centre a to member b.
+    """(a, b, n, link, common, shared) of each star edge from centre a to member b of n shingles.
 
     ``shared`` counts the shingles of b outside a that another member of a's star also has, so
     two members x and y of one star have at most least(common) + least(shared) in common.
     """
     seen = cut_lineage(with_sets(star, sets).select(
-        "a", "b", linked(percent).alias("link"), "common", F.array_except("of_b", "of_a").alias("rest")))
+        "a", "b", F.size("of_b").alias("n"), linked(percent).alias("link"), "common", F.array_except("of_b", "of_a").alias("rest")))
     same = Window.partitionBy("a", "g").orderBy("b")
     rest = seen.select("a", "b", F.explode("rest").alias("g"))
     rest = rest.select("a", "b", F.coalesce(F.lag("b").over(same), F.lead("b").over(same)).alias("other"))
@@ -195,27 +195,25 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("links did not settle")
 
 
-def more_pairs(open_rows: DataFrame, tested: DataFrame, centres: int, percent: int) -> DataFrame:
-    """Candidate pairs across components in one bucket, one side among its ``centres`` first members.
+def more_pairs(open_rows: DataFrame, after: int, upto: int, percent: int) -> DataFrame:
+    """Candidate pairs across components within a star, one side at places ``after`` to ``upto``.
 
     Pairs whose bound from the common centre is below the similarity cannot be links and are out.
     """
-    place = Window.partitionBy("bucket").orderBy(F.xxhash64("rep", F.lit(centres)), "rep")
-    hubs = open_rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= centres)
-    hubs = hubs.select("bucket", *(F.col(c).alias(f"c_{c}") for c in ("rep", "n", "root", "common", "shared")))
+    hubs = open_rows.where((F.col("place") > after) & (F.col("place") <= upto))
+    hubs = hubs.select("centre", *(F.col(c).alias(f"c_{c}") for c in ("rep", "n", "root", "common", "shared", "place")))
     most = F.least("common", "c_common") + F.least("shared", "c_shared")
     near = (F.col("root") != F.col("c_root")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("c_n")))
-    met = open_rows.join(hubs, "bucket").where(near)
-    met = met.select(F.least("c_rep", "rep").alias("a"), F.greatest("c_rep", "rep").alias("b")).distinct()
-    return met if tested is None else met.join(tested, ["a", "b"], "left_anti")
+    met = open_rows.join(hubs, "centre").where((F.col("place") > F.col("c_place")) & near)
+    return met.select(F.least("c_rep", "rep").alias("a"), F.greatest("c_rep", "rep").alias("b")).distinct()
 
 
 def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components, with each row's component."""
+    """Rows of stars whose members are in several components, with each row's component."""
     now = members.join(roots, F.col("rep") == F.col("node"), "left")
-    now = now.select("bucket", "rep", "n", "common", "shared", F.coalesce("root", "rep").alias("root"))
-    mixed = now.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return cut_lineage(now.join(mixed.select("bucket"), "bucket", "left_semi"))
+    now = now.select(*members.columns, F.coalesce("root", "rep").alias("root"))
+    mixed = now.groupBy("centre").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return cut_lineage(now.join(mixed.select("centre"), "centre", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75,
@@ -242,22 +240,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     measured = cut_lineage(measure(star, sets, percent))
     links = measured.where("link").select("a", "b")
     roots = components(links)
-    bounds = measured.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "common", "shared")
-    members = members.join(bounds, ["centre", "rep"]).where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
-    members = cut_lineage(members.select("bucket", "rep", "n", "common", "shared"))
-    tested, centres = None, 1
+    by_hash = Window.partitionBy("centre").orderBy(F.xxhash64("rep"), "rep")
+    able = measured.where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
+    able = able.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "n", "common", "shared")
+    able = cut_lineage(able.withColumn("place", F.row_number().over(by_hash)))
+    after, upto = 0, growth
     while True:
-        open_rows = still_open(members, roots)
-        largest = open_rows.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-        if centres >= largest:
+        open_rows = still_open(able, roots)
+        if (open_rows.agg(F.max("place")).first()[0] or 0) <= after:
             break
-        centres *= growth
-        pairs = cut_lineage(more_pairs(open_rows, tested, centres, percent))
+        pairs = cut_lineage(more_pairs(open_rows, after, upto, percent))
         found = cut_lineage(with_sets(pairs, sets).where(linked(percent)).select("a", "b"))
         if not found.isEmpty():
             links = links.union(found)
             roots = components(links)
-        tested = pairs if tested is None else tested.union(pairs)
+        after, upto = upto, upto * growth
 
     named = classes.join(roots, F.col("rep") == F.col("node"), "left")
     named = named.select(*same_set, F.coalesce("root", "rep").alias("component"))
