@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, near_dedup, quality_rules
+from . import langid, near_dedup, packing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Pieces of at most 4096 tokens with a CRC-32 of their ids, packed."""
+    import public_tokenizers
+
+    pieces = packing.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = langid.fold(F.col("doc_id"), 4, 2)
@@ -33,6 +45,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
