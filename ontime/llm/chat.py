@@ -50,12 +50,14 @@ def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     state = cut_lineage(known.select("tree", "node", F.col("n").alias("up"), F.col("score").cast("double").alias("total")))
     tables = []
     for _ in range(MAX_ROUNDS):
-        if state.where("up is not null").isEmpty():
+        climbing = state.where("up is not null")
+        if climbing.isEmpty():
             return tables, state.select("tree", "node", "total")
-        tables.append(state.where("up is not null").select("tree", "node", "up"))
+        tables.append(climbing.select("tree", "node", "up"))
         above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up_up"), F.col("total").alias("more"))
-        state = state.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-        state = cut_lineage(state.select("tree", "node", F.col("up_up").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")))
+        met = climbing.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        met = met.select("tree", "node", F.col("up_up").alias("up"), (F.col("total") + F.col("more")).alias("total"))
+        state = cut_lineage(state.where("up is null").union(met))
     raise ValueError("the parents form a cycle")
 
 

@@ -55,53 +55,22 @@ class WordEncoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.max_words = max_words
-        self.forget()
+        self.known = W.IdCache(self.encode_words, max_words)
 
-    def forget(self) -> None:
-        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
-
-    def learn(self, hashes: np.ndarray, strings: list[str]) -> None:
-        """Encode new words, many at a time, and add them to the arrays."""
-        starts, sizes = [], []
+    def encode_words(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many words, told apart by their offsets in one text, and each word's count."""
+        ids, sizes = [], []
         for at in range(0, len(strings), 2000):
             part = strings[at : at + 2000]
             begin = np.cumsum([0] + [len(w) + 1 for w in part])
             e = self.model.encode(" ".join(part), add_special_tokens=False)
-            first = np.array([o[0] for o in e.offsets], np.int64)
-            size = np.diff(np.searchsorted(first, begin))
-            new = np.array(e.ids, "<u4")
-            if self.used + len(new) > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros(max(len(self.ids), len(new)), "<u4"))
-            self.ids[self.used : self.used + len(new)] = new
-            starts.append(self.used + np.cumsum(size) - size)
-            sizes.append(size)
-            self.used += len(new)
-        hashes = np.append(self.hashes, hashes)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.starts = np.concatenate([self.starts, *starts])[order]
-        self.sizes = np.concatenate([self.sizes, *sizes])[order]
+            sizes.append(np.diff(np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), begin)))
+            ids.append(np.array(e.ids, "<u4"))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's begin (one more than texts)."""
-        y, starts, ends, doc = words(x)
-        h = y.hashes(starts, ends)
-        distinct, example, which = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hashes) > self.max_words:
-            self.forget()
-        spot = np.searchsorted(self.hashes, distinct)
-        new = (spot == len(self.hashes)) | (self.hashes[np.minimum(spot, len(self.hashes) - 1)] != distinct) if len(self.hashes) else np.ones(len(distinct), bool)
-        if new.any():
-            raw, at = y.data.tobytes(), example[new]
-            self.learn(distinct[new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-            spot = np.searchsorted(self.hashes, distinct)
-        size = self.sizes[spot][which]
-        total = np.zeros(len(size) + 1, np.int64)
-        np.cumsum(size, out=total[1:])
-        ids = self.ids[np.repeat(self.starts[spot][which] - total[:-1], size) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(doc, np.arange(len(x) + 1))]
+        return self.known.lookup(*words(x))
 
 
 def words(x: W.Texts) -> tuple[W.Texts, np.ndarray, np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, near_dedup, packing, quality_rules, url_filter
+from . import byte_bpe, chat, langid, near_dedup, packing, quality_rules, topk, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,23 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op2_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantize(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 RULES = [
     url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"),
     url_filter.Rule("block", "example.org", "/en/1"), url_filter.Rule("allow", "com", "/fr/"),
@@ -76,6 +93,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op6_url_filter": op6_url_filter,
+    "op2_threshold_top_k": op2_threshold_top_k,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_language_id": op9_language_id,
@@ -96,6 +115,17 @@ SQL: dict[str, str] = {
             CAST(sum(24 + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;'))
                 + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|'))) AS BIGINT) AS formatted_chars
         FROM said GROUP BY conv_id""",
+    "op2_threshold_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 5""",
     "op6_url_filter": """
         WITH rest AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),

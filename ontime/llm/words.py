@@ -7,7 +7,7 @@ handled whole, in slices of bounded bytes (one longer text is a slice of its own
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -130,3 +130,48 @@ def windows(h: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.
 
 def rebuilt(names: list[str], columns: list[np.ndarray | pa.Array | list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+
+
+class IdCache:
+    """Token ids of distinct words, found by 64-bit word hash in sorted arrays.
+
+    ``encode`` gives the ids of many words at once and how many ids each word has. The arrays are emptied when
+    more than ``max_words`` words are held.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], max_words: int) -> None:
+        self.encode, self.max_words = encode, max_words
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def learn(self, hashes: np.ndarray, strings: list[str]) -> None:
+        ids, sizes = self.encode(strings)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[self.used : self.used + len(ids)] = ids
+        hashes = np.append(self.hashes, hashes)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.starts = np.append(self.starts, self.used + np.cumsum(sizes) - sizes)[order]
+        self.sizes = np.append(self.sizes, sizes)[order]
+        self.used += len(ids)
+
+    def lookup(self, x: Texts, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts' words in order, and where each text's begin (one more than texts)."""
+        distinct, example, which = np.unique(x.hashes(starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > self.max_words:
+            self.forget()
+        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        if new.any():
+            raw, at = x.data.tobytes(), example[new]
+            spans = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
+            self.learn(distinct[new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+        spot = np.searchsorted(self.hashes, distinct)
+        size = self.sizes[spot][which]
+        total = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=total[1:])
+        ids = self.ids[np.repeat(self.starts[spot][which] - total[:-1], size) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(doc, np.arange(len(x) + 1))]
