@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, langid, near_dedup, packing, quality_rules, topk, url_filter
+from . import (byte_bpe, chat, langid, learn, near_dedup, packing, quality_fm, quality_rules, topk, toxicity,
+               url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,26 @@ def op2_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
 
 
+#: Bound of the labelled rows that a classifier learns from.
+SAMPLE_ROWS = 5000
+
+
+def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = docs.withColumn("held_out", learn.fold(F.col("doc_id"), 5, 0))
+    sample = learn.labelled_sample(docs.where("not held_out"), table(spark, sf_dir, "labels"), "quality", SAMPLE_ROWS)
+    return quality_fm.apply(docs, quality_fm.fit(sample)).drop("text", "n_chars")
+
+
+def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", learn.fold(F.col("doc_id"), 5, 0))
+    sample = learn.labelled_sample(docs.where("not held_out"), table(spark, sf_dir, "labels"), "toxic", SAMPLE_ROWS, balance=True)
+    model = toxicity.fit(sample)
+    found = toxicity.apply(docs, model).drop("text")
+    return found.withColumn("flagged", toxicity.flagged(model, F.col("score"), F.col("lang"))).drop("lang")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -94,9 +115,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op6_url_filter": op6_url_filter,
     "op2_threshold_top_k": op2_threshold_top_k,
+    "op3_quality_fm": op3_quality_fm,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_toxicity_cnn": op8_toxicity_cnn,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
