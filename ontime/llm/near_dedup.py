@@ -146,31 +146,30 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(F.col(key).cast("long"), text).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) pairs with both full sets and the size of their intersection."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
-
-
-def linked(percent: int) -> Column:
-    return 100 * F.col("common") >= percent * (F.size("of_a") + F.size("of_b") - F.col("common"))
-
-
 def measure(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n, link, common, shared) of each star edge from centre a to member b of n shingles.
+    """Each star edge from centre a to member b compared on the full sets, as one row:
 
-    ``shared`` counts the shingles of b outside a that another member of a's star also has, so
-    two members x and y of one star have at most least(common) + least(shared) in common.
+    ``link``, the sizes ``a_n`` and ``n``, ``common``, the shingles ``missing`` from b that a has and the ``extra`` ones
+    that a lacks, and ``shared``, how many extra ones another member of the star has too. So two
+    members x and y of one star have at most least(common) + least(shared) shingles in common, and exactly
+    a_n - |missing x + missing y| + |extra x and extra y|.
     """
-    seen = cut_lineage(with_sets(star, sets).select(
-        "a", "b", F.size("of_b").alias("n"), linked(percent).alias("link"), "common", F.array_except("of_b", "of_a").alias("rest")))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    both = star.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("of_a").alias("a_n"), F.size("of_b").alias("n"),
+        F.array_except("of_a", "of_b").alias("missing"), F.array_except("of_b", "of_a").alias("extra"))
+    common = F.col("n") - F.size("extra")
+    seen = cut_lineage(both.withColumn("common", common).withColumn("link", similar(common, F.col("a_n"), F.col("n"), percent)))
     same = Window.partitionBy("a", "g").orderBy("b")
-    rest = seen.select("a", "b", F.explode("rest").alias("g"))
-    rest = rest.select("a", "b", F.coalesce(F.lag("b").over(same), F.lead("b").over(same)).alias("other"))
-    shared = rest.where("other is not null").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    return seen.drop("rest").join(shared, ["a", "b"], "left").na.fill(0, ["shared"])
+    extra = seen.select("a", "b", F.explode("extra").alias("g"))
+    extra = extra.select("a", "b", F.coalesce(F.lag("b").over(same), F.lead("b").over(same)).alias("other"))
+    shared = extra.where("other is not null").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    return seen.join(shared, ["a", "b"], "left").na.fill(0, ["shared"])
+
+
+def similar(common: Column, one: Column, other: Column, percent: int) -> Column:
+    return 100 * common >= percent * (one + other - common)
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -195,17 +194,21 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("links did not settle")
 
 
-def more_pairs(open_rows: DataFrame, after: int, upto: int, percent: int) -> DataFrame:
-    """Candidate pairs across components within a star, one side at places ``after`` to ``upto``.
+def more_links(open_rows: DataFrame, after: int, upto: int, percent: int) -> DataFrame:
+    """Links across components within a star, one side at places ``after`` to ``upto``.
 
-    Pairs whose bound from the common centre is below the similarity cannot be links and are out.
+    The bound from the centre leaves most pairs out; the others are compared exactly by what sets them apart from
+    the centre's set, so no set and no pair is sent anywhere.
     """
     hubs = open_rows.where((F.col("place") > after) & (F.col("place") <= upto))
-    hubs = hubs.select("centre", *(F.col(c).alias(f"c_{c}") for c in ("rep", "n", "root", "common", "shared", "place")))
-    most = F.least("common", "c_common") + F.least("shared", "c_shared")
-    near = (F.col("root") != F.col("c_root")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("c_n")))
-    met = open_rows.join(hubs, "centre").where((F.col("place") > F.col("c_place")) & near)
-    return met.select(F.least("c_rep", "rep").alias("a"), F.greatest("c_rep", "rep").alias("b")).distinct()
+    hubs = hubs.select("centre", *(F.col(c).alias(f"h_{c}") for c in hubs.columns if c != "centre"))
+    most = F.least("common", "h_common") + F.least("shared", "h_shared")
+    common = (F.col("a_n") - F.size("missing") - F.size("h_missing")
+              + F.size(F.array_intersect("missing", "h_missing")) + F.size(F.array_intersect("extra", "h_extra")))
+    across = (F.col("place") > F.col("h_place")) & (F.col("root") != F.col("h_root"))
+    able = similar(most, F.col("n"), F.col("h_n"), percent)
+    met = open_rows.join(hubs, "centre").where(F.when(across & able, similar(common, F.col("n"), F.col("h_n"), percent)).otherwise(F.lit(False)))
+    return met.select(F.least("h_rep", "rep").alias("a"), F.greatest("h_rep", "rep").alias("b")).distinct()
 
 
 def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -217,7 +220,7 @@ def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75,
-                    bands: int = 64, rows: int = 6, growth: int = 16) -> DataFrame:
+                    bands: int = 64, rows: int = 6, growth: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     drawn = cut_lineage(sketches(docs, key, text, width, bands, rows))
     same_set = ["n_shingles", "digest_a", "digest_b"]
@@ -242,15 +245,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     roots = components(links)
     by_hash = Window.partitionBy("centre").orderBy(F.xxhash64("rep"), "rep")
     able = measured.where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
-    able = able.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "n", "common", "shared")
+    able = able.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "a_n", "n", "common", "shared", "missing", "extra")
     able = cut_lineage(able.withColumn("place", F.row_number().over(by_hash)))
     after, upto = 0, growth
     while True:
         open_rows = still_open(able, roots)
         if (open_rows.agg(F.max("place")).first()[0] or 0) <= after:
             break
-        pairs = cut_lineage(more_pairs(open_rows, after, upto, percent))
-        found = cut_lineage(with_sets(pairs, sets).where(linked(percent)).select("a", "b"))
+        found = cut_lineage(more_links(open_rows, after, upto, percent))
         if not found.isEmpty():
             links = links.union(found)
             roots = components(links)
