@@ -6,11 +6,11 @@
   python -m ontime features FLIGHTS WEATHER CROSSWALK TRAIN TEST [--train-years 2023 2024 --test-years 2025]
   python -m ontime train TRAIN TEST MODEL PREDICTIONS METRICS
   python -m ontime export TRAIN PREDICTIONS OUT_DIR
-  python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000]
+  python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000 --out DIR]
 
 Paths are anything Spark reads (local, HDFS, object stores). On a cluster the
-master and resources come from spark-submit; ``--cores`` and ``--input-gb`` only
-size the shuffle (see ``session.scale_settings``).
+master and resources come from spark-submit; ``--cores`` and ``--input-gb``, given
+together, size the shuffle (see ``session.scale_settings``), else submitted settings stand.
 """
 
 from __future__ import annotations
@@ -25,8 +25,12 @@ from ontime.sources import sinks
 from ontime.sources.tables import register_tables
 
 
-def report(spark, train_path: str, test_path: str, min_airport: int, min_route: int) -> None:
-    """The seven grouped reports over the union of the train and test tables."""
+def report(spark, train_path: str, test_path: str, min_airport: int, min_route: int,
+           out: str | None = None) -> None:
+    """The seven grouped reports over the union of the train and test tables.
+
+    With ``out`` each is written whole as a table there; the screen shows 20 rows.
+    """
     register_tables(spark, spark.read.parquet(train_path), spark.read.parquet(test_path))
     flights = spark.table("all_flights")
     outputs = {
@@ -41,14 +45,18 @@ def report(spark, train_path: str, test_path: str, min_airport: int, min_route:
     }
     for name, df in outputs.items():
         print(f"-- {name}")
-        df.show(1000, truncate=False)
+        if out is None:
+            df.show(20, truncate=False)
+        else:
+            sinks.write_parquet(df, f"{out}/{name}")
+            spark.read.parquet(f"{out}/{name}").show(20, truncate=False)
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="ontime")
     ap.add_argument("--master", default=None, help="only for local runs")
-    ap.add_argument("--cores", type=int, default=8)
-    ap.add_argument("--input-gb", type=float, default=1.0)
+    ap.add_argument("--cores", type=int, default=None)
+    ap.add_argument("--input-gb", type=float, default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("ingest-flights"); a.add_argument("src"); a.add_argument("dst")
     a = sub.add_parser("ingest-weather"); a.add_argument("src"); a.add_argument("dst")
@@ -70,12 +78,15 @@ def main(argv=None) -> None:
     a = sub.add_parser("report"); a.add_argument("train"); a.add_argument("test")
     a.add_argument("--min-airport", type=int, default=10000)
     a.add_argument("--min-route", type=int, default=1000)
+    a.add_argument("--out", default=None, help="folder for the reports as tables")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
 
     existing = SparkSession.getActiveSession()
-    extra = scale_settings(int(args.input_gb * 1024 ** 3), args.cores)
+    extra = {}  # without both flags the submitted settings stand
+    if args.input_gb is not None and args.cores is not None:
+        extra = scale_settings(int(args.input_gb * 1024 ** 3), args.cores)
     spark = build_session(master=args.master or "local[*]", extra=extra) if args.master \
         else _cluster_session(extra)
     if args.cmd == "ingest-flights":
@@ -95,7 +106,7 @@ def main(argv=None) -> None:
     elif args.cmd == "export":
         jobs.run_exports(spark, args.train, args.predictions, args.out)
     elif args.cmd == "report":
-        report(spark, args.train, args.test, args.min_airport, args.min_route)
+        report(spark, args.train, args.test, args.min_airport, args.min_route, args.out)
     if existing is None:  # stop only a session this command created
         spark.stop()
 
@@ -105,8 +116,8 @@ def _cluster_session(extra: dict[str, str]):
     from pyspark.sql import SparkSession
 
     b = SparkSession.builder.appName("ontime")
-    base = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true",
-            "spark.sql.adaptive.skewJoin.enabled": "true"}
+    base = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true",
+            "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true"}
     for k, v in {**base, **extra}.items():
         b = b.config(k, v)
     return b.getOrCreate()

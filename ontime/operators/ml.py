@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ontime.functions.features import p_positive
 from ontime.operators.eda import top_values
 from ontime.operators.features import require
+from ontime.operators.sampling import hash_sample
 from ontime.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS, WEATHER_INPUTS
 from ontime.session import checkpoint_dir
 
@@ -38,7 +39,7 @@ class ForestConfig:
     max_bins: int = 32
     seed: int = 42
     top_k: int = 30
-    bucket_carrier: bool = True
+    bucket_carrier: bool = False  # True: carriers outside the top_k become OTHER, as origin and dest do
     checkpoint_interval: int = 10
 
 
@@ -168,7 +169,7 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     for the duration of the fit: one pass gives the rate and all top-k lists, then
     the indexer and every tree level read that copy instead of recomputing the
     upstream joins. A lost
-    block is recomputed from lineage. Tree building checkpoints into the shared folder.
+    block is recomputed from lineage.
     """
     from pyspark import StorageLevel
 
@@ -305,8 +306,7 @@ def platt(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
     vec = VA(inputCols=[score], outputCol="_pv").transform(scored)
     fit_rows = vec
     if key is not None:
-        h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int")
-        fit_rows = vec.filter(h < F.lit(int(fit_fraction * 65536)))
+        fit_rows = hash_sample(vec, [key], fit_fraction)
     lr = LogisticRegression(featuresCol="_pv", labelCol=label, predictionCol="_pp",
                             probabilityCol="_prob", rawPredictionCol="_raw", maxIter=100)
     fitted = lr.fit(fit_rows)

@@ -17,17 +17,17 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
 
 
-# Fixed value: hex digits of the hash prefix compared (16**4 = 65536 sample steps).
-PREFIX_DIGITS = 4
+# Fixed value: hex digits of the hash prefix compared (sample steps of 16**-15).
+PREFIX_DIGITS = 15
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float,
                 cap: int | None = None) -> DataFrame:
     """Rows whose key hash falls in the first ``fraction`` of the hash space.
 
-    The fraction is applied in steps of 1/65536 (the first four hex digits of the
-    hash). ``cap`` (the export size limit) keeps the rows with the smallest hashes, a
-    per-partition top-k then a cap-row merge; ties on the hash are broken by key.
+    The fraction is applied in steps of 16**-15 (the first 15 hex digits of the hash),
+    finer than a double's own steps near 1. There is no size limit unless ``cap`` asks for the
+    ``cap`` rows with the smallest hashes (a top-k; ties on the hash are broken by key).
     """
     space = 16 ** PREFIX_DIGITS
     steps = max(0, min(space, int(round(fraction * space))))

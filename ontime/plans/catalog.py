@@ -17,6 +17,7 @@ from ontime.functions import clean as C
 from ontime.functions import features as X
 from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling, scoring
 from ontime.plans import driver_tables as dt
+from ontime.session import app_id
 from ontime.sources.tables import register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -416,11 +417,11 @@ def pr_auc(spark, sf_dir):
 # These depend on forest training randomness and partitioning, so they have no SQL
 # oracle; tests assert invariants and bands instead.
 
-_TRAINED: dict[tuple[int, str], tuple] = {}
+_TRAINED: dict[tuple[str, str], tuple] = {}
 
 
 def _forest(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _TRAINED:
         train, test = _split(spark, sf_dir)
         trained = ml.train(train)
@@ -533,25 +534,23 @@ def features_table(spark, sf_dir):
 
 # Sample sizes of the plotting exports.
 DELAY_SAMPLE_FRACTION = 0.01
-DELAY_SAMPLE_CAP = 100_000
 PRED_SAMPLE_FRACTION = 0.25
-PRED_SAMPLE_CAP = 200_000
 SAMPLE_KEYS = ["year", "month", "day", "crs_dep_hour", "carrier", "origin", "dest"]
 
 
 @query("delay_distribution")
 def delay_distribution(spark, sf_dir):
-    """Delay and season of a 1% key-hash sample of trips with |delay| < 300, capped."""
+    """Delay and season of a 1% key-hash sample of trips with |delay| < 300."""
     band = eda.open_band(dt.model_table(spark, sf_dir), "dep_delay", 300)
-    s = sampling.hash_sample(band, SAMPLE_KEYS, DELAY_SAMPLE_FRACTION, DELAY_SAMPLE_CAP)
+    s = sampling.hash_sample(band, SAMPLE_KEYS, DELAY_SAMPLE_FRACTION)
     return s.select("dep_delay", "season")
 
 
 @query("predictions_sample")
 def predictions_sample(spark, sf_dir):
-    """Label and P(delay) of a 25% sample of the test predictions, capped."""
+    """Label and P(delay) of a 25% sample of the test predictions."""
     _, preds = _predictions(spark, sf_dir)
     table = ml.prediction_table(preds, keep=tuple(SAMPLE_KEYS))
     keys = SAMPLE_KEYS + ["p_delay"]
-    s = sampling.hash_sample(table, keys, PRED_SAMPLE_FRACTION, PRED_SAMPLE_CAP)
+    s = sampling.hash_sample(table, keys, PRED_SAMPLE_FRACTION)
     return s.select("dep_del15", "p_delay")

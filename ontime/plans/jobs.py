@@ -87,7 +87,7 @@ def run_training(spark: SparkSession, train_path: str, test_path: str, model_pat
 
 
 def run_exports(spark: SparkSession, train_path: str, pred_path: str, out_dir: str,
-                sample_cap: int = 100_000) -> None:
+                sample_cap: int | None = None) -> None:
     """Small report tables as header CSV folders, written by the executors."""
     train = spark.read.parquet(train_path)
     pred = spark.read.parquet(pred_path).select("dep_del15", "p_delay")
@@ -104,3 +104,6 @@ def run_exports(spark: SparkSession, train_path: str, pred_path: str, out_dir: s
                     .orderBy("weather_severity"),
                     os.path.join(out_dir, "weather_severity"))
     sinks.write_csv(evaluation.calibration(pred), os.path.join(out_dir, "calibration"))
+    whole = spark.read.parquet(pred_path)
+    sinks.write_csv(sampling.hash_sample(whole, whole.columns, 0.25, sample_cap),
+                    os.path.join(out_dir, "predictions_sample"), ["dep_del15", "p_delay"])

@@ -7,7 +7,9 @@ default), adaptive execution with skew-join splitting and partition coalescing o
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,18 +40,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 MB = 1024 * 1024
 
 
-def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def scale_settings(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
 
     The initial shuffle partition count aims at ``target_partition_mb`` per partition
-    (never fewer than two per core, never more than ``max_partitions``); AQE then
+    (never fewer than two per core); AQE then
     coalesces small partitions and splits skewed ones around the same advisory size,
     so partitions fit executor memory without spilling. The broadcast threshold is
     kept at a fixed, checked size.
     """
     per = target_partition_mb * MB
-    parts = max(2 * total_cores, min(max_partitions, -(-int(input_bytes) // per)))
+    parts = max(2 * total_cores, -(-int(input_bytes) // per))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(per),
@@ -75,9 +76,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster names one.
 
     That setting is read, never written (Spark rejects changing it at runtime). When
-    it is unset (tests, local runs) the context's existing checkpoint folder is used,
-    else a private folder is created once per application and registered with
-    ``setCheckpointDir``.
+    it is unset the context's existing checkpoint folder is used. Only a local master (tests,
+    scripts on one machine) may do without both: it gets a private folder, which is removed
+    when the program ends. On a cluster that is an error, as executors share no local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -92,7 +93,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         elif current:
             path = current
         else:
+            if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             path = _PRIVATE_DIRS[key] = tempfile.mkdtemp(prefix="ontime-ckpt-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
     if sc is not None and not current:
         sc.setCheckpointDir(path)
     return path

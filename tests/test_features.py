@@ -86,3 +86,22 @@ def test_prob_bin_edges(spark):
     df = spark.createDataFrame([(0.0,), (0.1,), (0.999,), (1.0,)], "p double")
     assert [r[0] for r in df.select(X.prob_bin("p")).collect()] == [0, 1, 9, 9]
     assert F is not None
+
+
+def test_hash_sample_takes_tiny_fractions(spark):
+    from ontime.operators import sampling
+
+    df = spark.range(2_000_000).withColumnRenamed("id", "k")
+    assert 5 <= sampling.hash_sample(df, ["k"], 1e-5).count() <= 45
+
+
+def test_partition_sizing_has_no_ceiling():
+    from ontime.session import scale_settings
+
+    assert int(scale_settings(100 * 10**12, 1000)["spark.sql.shuffle.partitions"]) > 300_000
+
+
+def test_forest_keeps_every_carrier_by_default():
+    from ontime.operators.ml import ForestConfig
+
+    assert not ForestConfig().bucket_carrier
