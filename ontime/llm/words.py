@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
