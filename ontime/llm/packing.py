@@ -36,7 +36,7 @@ from . import words as W
 
 CAPACITY = 4096
 END_ID = 1
-MAX_WORDS = 1_000_000
+MAX_WORDS = 250_000
 
 
 class WordEncoder:

@@ -164,7 +164,10 @@ class IdCache:
         distinct, example, which = np.unique(x.hashes(starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) > self.max_words:
             self.forget()
-        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        new = np.ones(len(distinct), bool)
+        if len(self.hashes):
+            spot = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+            new = self.hashes[spot] != distinct
         if new.any():
             raw, at = x.data.tobytes(), example[new]
             spans = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
