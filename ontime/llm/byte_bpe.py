@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from . import words as W
 
 MAX_WORDS = 600_000
+DECODE_IDS = 1 << 17
 OVERLAP = re.compile(rb"(?s)(.)(.{0,15}?)\1\2\1")
 
 
@@ -211,11 +212,17 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = b.column(spot).fill_null([])
-            begins = np.append(0, np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False)))
-            raw, total = codec(path, pattern).decode(held.flatten().to_numpy(zero_copy_only=False))
-            bounds = pa.py_buffer(total[begins].astype(np.int64))
-            made = pa.Array.from_buffers(pa.large_binary(), len(held), [None, bounds, pa.py_buffer(raw)])
-            yield pa.RecordBatch.from_arrays([*b.columns, made.cast(pa.binary())], names=schema.names)
+            begins = np.append(0, np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+            at = 0
+            while at < len(held):  # rows of about DECODE_IDS ids at a time; one longer row is a part of its own
+                to = max(at + 1, int(np.searchsorted(begins, begins[at] + DECODE_IDS, side="right")) - 1)
+                to = min(to, len(held))
+                part = held.slice(at, to - at).flatten().to_numpy(zero_copy_only=False)
+                raw, total = codec(path, pattern).decode(part)
+                bounds = pa.py_buffer(total[begins[at : to + 1] - begins[at]].astype(np.int64))
+                made = pa.Array.from_buffers(pa.large_binary(), to - at, [None, bounds, pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, to - at) for c in b.columns), made.cast(pa.binary())], names=schema.names)
+                at = to
 
     return df.select(*own).mapInArrow(run, schema)
 
