@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from . import words as W
 
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 DECODE_IDS = 1 << 17
 OVERLAP = re.compile(rb"(?s)(.)(.{0,15}?)\1\2\1")
 
