@@ -8,7 +8,8 @@ merged by rank directly.
 
 Texts are cut only where a match of the pattern surely ends (before white space, around runs of
 ASCII and Latin-1 letters, digits and signs, but not after an apostrophe); each distinct piece is
-encoded once per Python worker and then found by hash.
+encoded once per Python worker and then found by hash. ``round_trip`` encodes and decodes in one pass,
+so ids do not travel between two Python workers.
 
 Defined cases: null text counts as empty and has no ids; decoding an id outside the ranks is an error;
 null ids decode to no bytes; an id sequence that splits a character decodes to its exact bytes, and as
@@ -203,6 +204,17 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
     return df.select(*own, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
+def decoded_parts(code: Codec, ids: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, pa.Array]]:
+    """First row, end row and bytes of rows of about DECODE_IDS ids at a time; one longer row is a part of its own."""
+    at, rows = 0, len(begins) - 1
+    while at < rows:
+        to = min(rows, max(at + 1, int(np.searchsorted(begins, begins[at] + DECODE_IDS, side="right")) - 1))
+        raw, total = code.decode(ids[begins[at] : begins[to]])
+        bounds = pa.py_buffer(total[begins[at : to + 1] - begins[at]].astype(np.int64))
+        yield at, to, pa.Array.from_buffers(pa.large_binary(), to - at, [None, bounds, pa.py_buffer(raw)]).cast(pa.binary())
+        at = to
+
+
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the exact bytes of its ids."""
     own = [c for c in df.columns if c != "decoded"]
@@ -213,20 +225,32 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
         for b in batches:
             held = b.column(spot).fill_null([])
             begins = np.append(0, np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
-            at = 0
-            while at < len(held):  # rows of about DECODE_IDS ids at a time; one longer row is a part of its own
-                to = max(at + 1, int(np.searchsorted(begins, begins[at] + DECODE_IDS, side="right")) - 1)
-                to = min(to, len(held))
-                part = held.slice(at, to - at).flatten().to_numpy(zero_copy_only=False)
-                raw, total = codec(path, pattern).decode(part)
-                bounds = pa.py_buffer(total[begins[at : to + 1] - begins[at]].astype(np.int64))
-                made = pa.Array.from_buffers(pa.large_binary(), to - at, [None, bounds, pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([*(c.slice(at, to - at) for c in b.columns), made.cast(pa.binary())], names=schema.names)
-                at = to
+            flat = held.flatten().to_numpy(zero_copy_only=False)
+            for at, to, made in decoded_parts(codec(path, pattern), flat, begins):
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, to - at) for c in b.columns), made], names=schema.names)
 
     return df.select(*own).mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``df`` without the text, with ``ids`` and with ``decoded``, the exact bytes made from these ids."""
+    own = [c for c in df.columns if c not in ("ids", "decoded", text)]
+    schema = T.StructType([*(df.schema[c] for c in own), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in W.slices(b.column(len(own)), W.SLICE_BYTES // 2):
+                code = codec(path, pattern)
+                ids, begins = code.encode(x)
+                for at, to, made in decoded_parts(code, ids, begins):
+                    kept = [c.slice(x.first + at, to - at) for c in b.columns[: len(own)]]
+                    part = lists(ids[begins[at] : begins[to]], begins[at : to + 1] - begins[at])
+                    yield pa.RecordBatch.from_arrays([*kept, part, made], names=schema.names)
+
+    return df.select(*own, F.col(text).alias("__text")).mapInArrow(run, schema)
+
+
 def decoded_text(raw: bytes) -> str:
     """Decoded bytes as text; what is not a whole character becomes U+FFFD."""
     return raw.decode("utf-8", "replace")

@@ -64,7 +64,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
+    found = byte_bpe.round_trip(docs, path, pattern)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

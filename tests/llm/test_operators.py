@@ -222,9 +222,11 @@ def test_byte_bpe_equals_tiktoken_and_decodes(spark):
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
     made = byte_bpe.encode(docs(spark, texts), RANKS, public_tokenizers.PATTERN, offsets=True)
     got = {x.doc_id: x for x in byte_bpe.decode(made, RANKS, public_tokenizers.PATTERN).collect()}
+    once = {x.doc_id: x for x in byte_bpe.round_trip(docs(spark, texts), RANKS, public_tokenizers.PATTERN).collect()}
     for i, t in enumerate(texts):
         t = t or ""
         assert got[i].ids == enc.encode_ordinary(t) and bytes(got[i].decoded).decode() == t
+        assert once[i].ids == got[i].ids and once[i].decoded == got[i].decoded
         for token, a, b in zip(got[i].ids, got[i].starts, got[i].ends, strict=True):
             assert enc.decode_single_token_bytes(token) in t[a:b].encode()
     split = spark.createDataFrame([(enc.encode_ordinary("🙂👍🏽")[:-1],), (None,), ([],)], "ids array<int>")
