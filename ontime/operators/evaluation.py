@@ -1,17 +1,20 @@
 """Classifier evaluation tables: calibration, confusion, ROC and PR curves, AUCs.
 
-Curves are computed on a reduced table: rows are first grouped by score (optionally
-rounded to a fixed resolution, which bounds the group count whatever the data size),
-with positive/negative counts combined map-side. Only that bounded table is ordered
-for the running totals, so no task ever holds the scored rows themselves.
+Curves are exact: rows are grouped by score with positive/negative counts combined map-side, the
+scores are dealt into ranges of about equal numbers of distinct scores, and each range adds the
+totals of the ranges above it to its own running totals. No task orders all scores.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime.functions.features import prob_bin
+from ontime.session import cut_lineage
 
 
 def calibration(df: DataFrame, score: str = "p_delay", label: str = "dep_del15",
@@ -52,48 +55,74 @@ def score_counts(df: DataFrame, score: str, label: str, resolution: int | None =
                  F.sum(F.when(y == F.lit(1), 0).otherwise(1)).cast("long").alias("neg")))
 
 
+def score_ranges(counts: DataFrame) -> DataFrame:
+    """``counts`` with ``range``: a higher range has higher scores; null and NaN scores are in -1, the last.
+
+    The limits are approximate quantiles of the distinct scores, one fewer than shuffle partitions.
+    """
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = counts.where(~F.isnan("score")).agg(
+        F.percentile_approx("score", [i / (n + 1) for i in range(1, n + 1)], 100 * n)).first()[0] or []
+    splits = [-math.inf, *sorted({0.0, *(m for m in marks if math.isfinite(m))}), math.inf]
+    cut = Bucketizer(splits=splits, inputCol="score", outputCol="_range", handleInvalid="keep")
+    missing = F.col("score").isNull() | F.isnan("score")
+    return (cut.transform(counts)
+            .withColumn("range", F.when(missing, -1).otherwise(F.col("_range").cast("int"))).drop("_range"))
+
+
 def _running(counts: DataFrame) -> DataFrame:
-    desc = Window.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    """Each score with its counts, the running counts from the highest score, and the totals P and N."""
+    dealt = score_ranges(cut_lineage(counts.withColumn("score", F.col("score").cast("double"))))
+    above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
-    return (counts
-            .withColumn("tp", F.sum("pos").over(desc))
-            .withColumn("fp", F.sum("neg").over(desc))
-            .withColumn("P", F.sum("pos").over(whole))
-            .withColumn("N", F.sum("neg").over(whole)))
+    # one row a range, so this table is bounded by the number of ranges
+    totals = dealt.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        "range", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        F.sum("p").over(whole).alias("P"), F.sum("n").over(whole).alias("N"))
+    own = (Window.partitionBy("range").orderBy(F.col("score").desc())
+           .rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.join(F.broadcast(totals), "range").select(
+        "score", "pos", "neg", (F.sum("pos").over(own) + F.col("p_above")).alias("tp"),
+        (F.sum("neg").over(own) + F.col("n_above")).alias("fp"), "P", "N")
 
 
 def roc_points(counts: DataFrame) -> DataFrame:
-    """(threshold, tp, fp, tpr, fpr), one point per distinct score, highest first."""
-    r = _running(counts)
-    return r.select(F.col("score").alias("threshold"), "tp", "fp",
-                    F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
-                    F.try_divide(F.col("fp"), F.col("N")).alias("fpr"))
+    """(threshold, tp, fp, tpr, fpr), one point per distinct score."""
+    return _running(counts).select(
+        F.col("score").alias("threshold"), "tp", "fp",
+        F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
+        F.try_divide(F.col("fp"), F.col("N")).alias("fpr"))
 
 
 def pr_points(counts: DataFrame) -> DataFrame:
     """(threshold, precision, recall), one point per distinct score."""
-    r = _running(counts)
-    return r.select(F.col("score").alias("threshold"),
-                    F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                    F.try_divide(F.col("tp"), F.col("P")).alias("recall"))
+    return _running(counts).select(
+        F.col("score").alias("threshold"),
+        F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        F.try_divide(F.col("tp"), F.col("P")).alias("recall"))
 
 
-def _trapezoid(points: DataFrame, x: str, y: str, x0: float, y0: float) -> DataFrame:
-    w = Window.orderBy(F.col("threshold").desc())
-    px = F.coalesce(F.lag(x).over(w), F.lit(x0))
-    py = F.coalesce(F.lag(y).over(w), F.lit(y0))
-    return (points.select(((F.col(x) - px) * (F.col(y) + py) / F.lit(2.0)).alias("a"))
-            .agg(F.sum("a").alias("auc")))
+def _before() -> tuple[Column, Column]:
+    """True and false positives of the point before: the running counts without the score's own."""
+    return F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
 
 
 def roc_auc(counts: DataFrame) -> DataFrame:
-    """Area under the ROC curve starting at (0, 0) (exact on the distinct scores)."""
-    return _trapezoid(roc_points(counts), "fpr", "tpr", 0.0, 0.0)
+    """Area under the ROC curve starting at (0, 0); null if a class is absent."""
+    tp, _ = _before()
+    width = F.try_divide(F.col("neg"), F.col("N"))
+    return _running(counts).agg(
+        F.sum(width * F.try_divide(F.col("tp") + tp, F.lit(2.0) * F.col("P"))).alias("auc"))
 
 
 def pr_auc(counts: DataFrame) -> DataFrame:
     """Trapezoidal area under precision-recall starting at recall 0, precision 1."""
-    return _trapezoid(pr_points(counts), "recall", "precision", 0.0, 1.0)
+    tp, fp = _before()
+    precision = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    before = F.coalesce(F.try_divide(tp, tp + fp), F.lit(1.0))
+    return _running(counts).agg(
+        F.sum(F.try_divide(F.col("pos"), F.col("P")) * (precision + before) / F.lit(2.0)).alias("auc"))
 
 
 def stack_curves(curves: dict[str, DataFrame], tag: str = "model") -> DataFrame:
@@ -106,13 +135,13 @@ def stack_curves(curves: dict[str, DataFrame], tag: str = "model") -> DataFrame:
 
 
 def roc_curve(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
-              resolution: int = 10000) -> tuple[DataFrame, DataFrame]:
-    """(points, one-row auc) of the ROC curve on scores rounded to ``resolution``."""
+              resolution: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(points, one-row auc) of the ROC curve; on rounded scores if ``resolution`` is given."""
     counts = score_counts(scored, score, label, resolution)
     return roc_points(counts), roc_auc(counts)
 
 
 def pr_curve(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
-             resolution: int = 10000) -> tuple[DataFrame, DataFrame]:
+             resolution: int | None = None) -> tuple[DataFrame, DataFrame]:
     counts = score_counts(scored, score, label, resolution)
     return pr_points(counts), pr_auc(counts)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from ontime.functions.features import p_positive
 from ontime.operators.eda import top_values
 from ontime.operators.features import require
-from ontime.operators.sampling import hash_sample
+from ontime.operators.sampling import in_sample
 from ontime.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS, WEATHER_INPUTS
 from ontime.session import checkpoint_dir
 
@@ -295,21 +297,20 @@ def write_predictions(preds: DataFrame, path: str, label: str = "dep_del15") ->
 
 
 def platt(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
-          fit_fraction: float = 0.5, key: str | None = None) -> DataFrame:
+          fit_fraction: float = 0.5, key: Sequence[str] | None = None) -> DataFrame:
     """Platt scaling: logistic regression of the label on the raw score.
 
     Fit on a key-hash half of the rows (or all rows when no key is given), applied
-    to every row; adds ``p_platt``. The fitted map is monotone in the raw score.
+    to every row; adds ``p_platt`` and ``in_fit``, true for the rows that were fitted on. The
+    fitted map is monotone in the raw score.
     """
     from pyspark.ml.feature import VectorAssembler as VA
 
-    vec = VA(inputCols=[score], outputCol="_pv").transform(scored)
-    fit_rows = vec
-    if key is not None:
-        fit_rows = hash_sample(vec, [key], fit_fraction)
+    vec = VA(inputCols=[score], outputCol="_pv").transform(scored).withColumn(
+        "in_fit", in_sample(key, fit_fraction) if key is not None else F.lit(True))
     lr = LogisticRegression(featuresCol="_pv", labelCol=label, predictionCol="_pp",
                             probabilityCol="_prob", rawPredictionCol="_raw", maxIter=100)
-    fitted = lr.fit(fit_rows)
+    fitted = lr.fit(vec.filter("in_fit"))
     out = fitted.transform(vec)
     return out.withColumn("p_platt", p_positive("_prob")).drop("_pv", "_pp", "_prob", "_raw")
 

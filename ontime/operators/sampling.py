@@ -21,19 +21,26 @@ def key_hash(keys: Sequence[str]) -> Column:
 PREFIX_DIGITS = 15
 
 
-def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float,
-                cap: int | None = None) -> DataFrame:
-    """Rows whose key hash falls in the first ``fraction`` of the hash space.
+def in_sample(keys: Sequence[str], fraction: float) -> Column:
+    """Whether the row's key hash falls in the first ``fraction`` of the hash space.
 
     The fraction is applied in steps of 16**-15 (the first 15 hex digits of the hash),
-    finer than a double's own steps near 1. There is no size limit unless ``cap`` asks for the
-    ``cap`` rows with the smallest hashes (a top-k; ties on the hash are broken by key).
+    finer than a double's own steps near 1.
     """
     space = 16 ** PREFIX_DIGITS
     steps = max(0, min(space, int(round(fraction * space))))
     threshold = format(steps, f"0{PREFIX_DIGITS}x") if steps < space else "g"
-    out = (df.withColumn("_h", key_hash(keys))
-           .filter(F.substring(F.col("_h"), 1, PREFIX_DIGITS) < F.lit(threshold)))
-    if cap is not None:
-        out = out.orderBy("_h", *keys).limit(cap)
-    return out.drop("_h")
+    return F.substring(key_hash(keys), 1, PREFIX_DIGITS) < F.lit(threshold)
+
+
+def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float,
+                cap: int | None = None) -> DataFrame:
+    """Rows for which ``in_sample`` holds.
+
+    There is no size limit unless ``cap`` asks for the ``cap`` rows with the smallest
+    hashes (a top-k; ties on the hash are broken by key).
+    """
+    out = df.filter(in_sample(keys, fraction))
+    if cap is None:
+        return out
+    return out.withColumn("_h", key_hash(keys)).orderBy("_h", *keys).limit(cap).drop("_h")

@@ -17,7 +17,7 @@ from ontime.functions import clean as C
 from ontime.functions import features as X
 from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling, scoring
 from ontime.plans import driver_tables as dt
-from ontime.session import app_id
+from ontime.session import app_id, cut_lineage
 from ontime.sources.tables import register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,6 @@ FINGERPRINT_MIN = 300
 FINGERPRINT_K = 10
 TOP_K = 10
 NEAREST_RADIUS = 1.0
-SCORE_RESOLUTION = 10000
 HASH_FRACTION = 3 / 256
 SAMPLE_CAP = 100
 
@@ -385,8 +384,7 @@ def confusion(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    return evaluation.score_counts(_scores(spark, sf_dir), "p_delay", "dep_del15",
-                                   SCORE_RESOLUTION)
+    return evaluation.score_counts(_scores(spark, sf_dir), "p_delay", "dep_del15")
 
 
 @query("roc")
@@ -449,8 +447,10 @@ def importance(spark, sf_dir):
 @query("platt")
 def platt(spark, sf_dir):
     _, preds = _predictions(spark, sf_dir)
-    table = ml.prediction_table(preds).select("dep_del15", "p_delay")
-    cal = ml.platt(table)
+    # the forest scores the rows once; the fit and both curves read the result
+    table = cut_lineage(ml.prediction_table(preds, keep=tuple(SAMPLE_KEYS))
+                        .select("dep_del15", "p_delay", *SAMPLE_KEYS))
+    cal = ml.platt(table, key=SAMPLE_KEYS).filter(~F.col("in_fit"))
     return evaluation.stack_curves({
         "forest": evaluation.calibration(cal, "p_delay"),
         "platt": evaluation.calibration(cal, "p_platt"),

@@ -365,7 +365,7 @@ FROM sc GROUP BY 1, 2 ORDER BY 1, 2"""
 
 _COUNTS = _SCORES + """,
 counts AS (
-  SELECT round(p_delay * CAST(10000 AS DOUBLE)) / CAST(10000 AS DOUBLE) AS score,
+  SELECT p_delay AS score,
          CAST(sum(CASE WHEN dep_del15 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
          CAST(sum(CASE WHEN dep_del15 = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg
   FROM sc GROUP BY 1),

@@ -141,7 +141,7 @@ def test_drivers_rules(spark):
 def test_roc_curve_on_reduced_counts(spark):
     df = spark.createDataFrame([(0.9, 1.0), (0.8, 1.0), (0.7, 0.0), (0.6, 1.0), (0.2, 0.0)],
                                "p double, y double")
-    counts = evaluation.score_counts(df, "p", "y", 1000)
+    counts = evaluation.score_counts(df, "p", "y")
     auc = evaluation.roc_auc(counts).first().auc
     assert abs(auc - 5.0 / 6.0) < 1e-12
     pts = evaluation.roc_points(counts).orderBy(F.col("threshold").desc()).collect()
@@ -178,7 +178,7 @@ def test_platt_with_key_holdout(fitted):
     _, _, _, preds = fitted
     table = ml.prediction_table(preds).select("dep_del15", "p_delay") \
         .withColumn("row_key", F.monotonically_increasing_id())
-    cal = ml.platt(table, key="row_key")
+    cal = ml.platt(table, key=["row_key"])
     assert cal.count() == table.count()
     pts = sorted((r.p_delay, r.p_platt) for r in cal.select("p_delay", "p_platt").collect())
     assert all(b[1] >= a[1] - 1e-12 for a, b in zip(pts, pts[1:]))

@@ -102,6 +102,29 @@ def test_roc_and_pr_curve_helpers(spark):
     assert ppts.count() == 4 and 0.0 < pauc.first().auc <= 1.0
 
 
+def test_curves_are_exact_over_ranges(spark):
+    """Running counts equal brute force on close, tied, missing and NaN scores in many ranges."""
+    rnd = random.Random(3)
+    rows = [(rnd.choice([rnd.random(), 0.5, 0.5 + rnd.random() * 1e-9, -3.0]), float(rnd.random() < 0.4)) for _ in range(3000)]
+    rows += [(None, 1.0), (float("nan"), 0.0)]
+    counts = evaluation.score_counts(spark.createDataFrame(rows, "p double, y double").repartition(6), "p", "y")
+    got = {repr(r.threshold): (r.tp, r.fp) for r in evaluation.roc_points(counts).collect()}
+    known = [r for r in rows if r[0] is not None and r[0] == r[0]]
+    for t in {r[0] for r in known}:
+        assert got[repr(t)] == (sum(y == 1 for p, y in known if p >= t), sum(y == 0 for p, y in known if p >= t))
+    assert got["None"] == (sum(y == 1 for _, y in rows), sum(y == 0 for _, y in rows))
+    ranges = evaluation.score_ranges(counts).groupBy("range").count().collect()
+    assert len(ranges) >= 8 and max(r["count"] for r in ranges) < 900
+    plan = plan_of(evaluation.roc_points(counts))
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_curves_of_an_empty_table(spark):
+    counts = evaluation.score_counts(spark.createDataFrame([], "p double, y double"), "p", "y")
+    assert evaluation.roc_points(counts).count() == 0
+    assert evaluation.roc_auc(counts).first().auc is None and evaluation.pr_auc(counts).first().auc is None
+
+
 def test_bucket_rare_broadcasts_only_the_keep_set(spark):
     _, df = skewed_flights(spark)
     out = ml.bucket_rare(df, "origin", ml.keep_set(df, "origin", 3), "origin_b")
