@@ -2,7 +2,9 @@
 
 Broadcast hints are given only to sides whose size is fixed by construction (a
 crosswalk with one row per airport code is *not* assumed small: it gets a runtime
-check through AQE). Hot keys on the large side are split by AQE's skew-join rule.
+check through AQE). Adaptive execution splits a hot key only where the sort of each side
+reads its own shuffle, not an aggregate, so ``join_weather`` and ``lookup_rate`` read their reduced
+side from a checkpoint under the shared folder.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.clean import hour_key
+from ontime.session import cut_lineage
 
 
 def attach_station(flights: DataFrame, crosswalk: DataFrame, airport: str = "origin",
@@ -42,8 +45,8 @@ def join_hourly(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                 right_keys: Sequence[str]) -> DataFrame:
     """Left join on (station, hour)-style keys; right keys are dropped from the output.
 
-    Both sides shuffle on the same keys (sort-merge); a hot key on the left side is
-    split by AQE (left outer joins allow splitting the left side).
+    Both sides shuffle on the same keys (sort-merge). A hot key on the left side is split by
+    AQE if ``right`` is a plain table (written or checkpointed), not an aggregate.
     """
     renamed = right
     for rk in right_keys:
@@ -95,11 +98,12 @@ def join_weather(flights: DataFrame, weather: DataFrame, station: str = "origin_
     """Flights left-joined to their station's weather in the scheduled hour.
 
     The weather side is first reduced to one row per (station, hour), so the join
-    keeps exactly the flight rows.
+    keeps exactly the flight rows; it is checkpointed, so that a hot station-hour is split.
     """
     wx = dedupe_hourly(
         weather.select("station_id", F.col("obs_ts_utc").alias("weather_join_hour"),
                        *WEATHER_MEANS, *WEATHER_MAX),
         ["station_id", "weather_join_hour"], WEATHER_MEANS, WEATHER_MAX)
+    wx = cut_lineage(wx)
     f = flights.withColumn("weather_join_hour", F.col(hour))
     return join_hourly(f, wx, [station, "weather_join_hour"], ["station_id", "weather_join_hour"])

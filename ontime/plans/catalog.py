@@ -225,6 +225,7 @@ def hourly_left_join(spark, sf_dir):
         e.filter(F.col("event_type") == "view").select("user_bucket", "hour",
                                                        F.col("value").alias("view_value")),
         ["user_bucket", "hour"], ["view_value"])
+    views = cut_lineage(views)  # so that a hot key of the purchases can be split
     j = joins.join_hourly(purchases, views, ["user_bucket", "hour"], ["user_bucket", "hour"])
     j = j.withColumn("has_view", F.col("view_value").isNotNull().cast("int"))
     j = features.fill_defaults(j, {"view_value": 0.0})
@@ -298,11 +299,16 @@ def humidity(spark, sf_dir):
 
 # ------------------------------------------------------------- rates and scoring
 
+_RATES: dict[tuple[str, str], list[DataFrame]] = {}
+
+
 def _rates(spark, sf_dir):
+    """Train, test, and the rate tables, checkpointed so that the lookups can split a hot key."""
     train, test = _split(spark, sf_dir)
-    carrier = joins.rate_table(train, "carrier")
-    airport = joins.rate_table(train, "origin")
-    return train, test, carrier, airport
+    key = (app_id(spark), sf_dir)
+    if key not in _RATES:
+        _RATES[key] = [cut_lineage(joins.rate_table(train, k)) for k in ("carrier", "origin")]
+    return train, test, *_RATES[key]
 
 
 @query("rate_lookup")

@@ -9,17 +9,21 @@ written output in one aggregate instead of re-running the input plan.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling
+from ontime.schemas import MODEL_COLUMNS
+from ontime.session import scratch_path
 from ontime.sources import flights as FL
 from ontime.sources import places as PL
 from ontime.sources import sinks
 from ontime.sources import weather as WX
 
+
 def ingest_flights(spark: SparkSession, src, dst: str, partitions: int | None = None) -> DataFrame:
     """Raw flight CSVs -> staging Parquet partitioned by year/month; returns the
     profile of what was written."""
@@ -58,10 +62,22 @@ def join_flights_weather(flights: DataFrame, weather: DataFrame, crosswalk: Data
 def run_features(spark: SparkSession, flights_path: str, weather_path: str, crosswalk: DataFrame,
                  train_path: str, test_path: str, train_years: Sequence[int],
                  test_years: Sequence[int]) -> DataFrame:
-    """Build the modelling table, write the year split, return per-split profiles."""
-    joined = join_flights_weather(spark.read.parquet(flights_path),
-                                  spark.read.parquet(weather_path), crosswalk)
-    table = features.build_features(joined)
+    """Build the modelling table once, write the year split, return per-split profiles.
+
+    The split years prune the flight folders. Weather is read for these years and one on either
+    side, so a departure hour that falls into a neighbouring year keeps its reading. The joined table
+    is written once by year, and both splits read only their own years of it.
+    """
+    years = sorted({*train_years, *test_years})
+    near = sorted({y + d for y in years for d in (-1, 0, 1)})
+    joined = join_flights_weather(
+        spark.read.parquet(flights_path).filter(F.col("year").isin(years)),
+        spark.read.parquet(weather_path).filter(F.col("year").isin(near)), crosswalk)
+    whole = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    sinks.write_partitioned(features.build_features(joined), whole, ["year"])
+    # the folder name gives year as an int at the end; the table keeps its own order and types
+    table = spark.read.parquet(whole).select(
+        *[F.col(name).cast(kind).alias(name) for name, kind in MODEL_COLUMNS])
     train, test = features.time_split(table, train_years, test_years)
     sinks.write_parquet(train, train_path)
     sinks.write_parquet(test, test_path)

@@ -1,11 +1,13 @@
 """Hot-key behaviour (one key holding a third of the rows) and the smaller API entry
 points."""
 
+import contextlib
 import random
 
 from pyspark.sql import functions as F
 
 from ontime.operators import eda, evaluation, geo, joins, ml, scoring
+from ontime.session import cut_lineage
 
 
 def plan_of(df) -> str:
@@ -64,6 +66,48 @@ def test_hourly_join_with_hot_left_key(spark):
     assert out.filter(F.col("temp") == 3.0).count() == 900
 
 
+@contextlib.contextmanager
+def small_limits(spark):
+    """No broadcasts and skew limits low enough for test rows."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_weather_join_splits_a_hot_station_hour(spark):
+    weather = spark.range(800).selectExpr(
+        "CONCAT('S', id % 40) AS station_id", "TIMESTAMP_NTZ '2023-01-01 09:00:00' AS obs_ts_utc",
+        *[f"CAST(id % 7 AS DOUBLE) AS {c}" for c in joins.WEATHER_MEANS], "CAST(id % 5 AS INT) AS sky_cond")
+    flights = spark.range(0, 40000, 1, 8).selectExpr(
+        "id", "IF(id % 2 = 0, 'S1', CONCAT('S', id % 40)) AS origin_station",
+        "TIMESTAMP_NTZ '2023-01-01 09:00:00' AS crs_dep_hour_local", "uuid() AS pad")
+    with small_limits(spark):
+        out = joins.join_weather(flights, weather)
+        rows = out.collect()
+        assert len(rows) == 40000 and all(r.sky_cond is not None for r in rows)
+        assert "skew=true" in plan_of(out)
+
+
+def test_rate_lookups_split_hot_carriers_and_origins(spark):
+    base = spark.range(0, 40000, 1, 8).selectExpr(
+        "id", "IF(id % 2 = 0, 'C1', CONCAT('C', id % 30)) AS carrier", "IF(id % 2 = 0, 'O1', CONCAT('O', id % 50)) AS origin",
+        "CAST(id % 4 = 0 AS DOUBLE) AS dep_del15", "uuid() AS pad")
+    rates = [cut_lineage(joins.rate_table(base, k)).select(k, "rate") for k in ("carrier", "origin")]
+    with small_limits(spark):
+        out = scoring.with_rates(base, *rates)
+        assert len(out.collect()) == 40000
+        assert plan_of(out).count("skew=true") >= 2
+
+
 def test_row_counts_and_dimension_values(spark):
     a = spark.range(5)
     b = spark.createDataFrame([("X",), ("OTHER",), ("A",), ("X",)], "c string")
