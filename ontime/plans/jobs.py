@@ -90,6 +90,7 @@ def run_features(spark: SparkSession, flights_path: str, weather_path: str, cros
 
 def run_training(spark: SparkSession, train_path: str, test_path: str, model_path: str,
                  pred_path: str, metrics_path: str, cfg: ml.ForestConfig | None = None) -> dict:
+    """Fit, score and evaluate; the confusion table and importances are written beside the metrics."""
     train = spark.read.parquet(train_path)
     test = spark.read.parquet(test_path)
     trained = ml.train(train, cfg)
@@ -98,6 +99,8 @@ def run_training(spark: SparkSession, train_path: str, test_path: str, model_pat
     scored = spark.read.parquet(pred_path)
     metrics = ml.evaluate(scored)
     sinks.write_metrics(spark, metrics, metrics_path)
+    sinks.write_parquet(evaluation.confusion(scored), f"{metrics_path}_confusion")
+    sinks.write_parquet(ml.feature_importance(trained, preds), f"{metrics_path}_importance")
     ml.save_model(trained, model_path)
     return metrics
 
@@ -120,6 +123,9 @@ def run_exports(spark: SparkSession, train_path: str, pred_path: str, out_dir: s
                     .orderBy("weather_severity"),
                     os.path.join(out_dir, "weather_severity"))
     sinks.write_csv(evaluation.calibration(pred), os.path.join(out_dir, "calibration"))
+    counts = evaluation.score_counts(pred, "p_delay", "dep_del15")
+    sinks.write_csv(evaluation.roc_points(counts), os.path.join(out_dir, "roc"))
+    sinks.write_csv(evaluation.pr_points(counts), os.path.join(out_dir, "pr"))
     whole = spark.read.parquet(pred_path)
     sinks.write_csv(sampling.hash_sample(whole, whole.columns, 0.25, sample_cap),
                     os.path.join(out_dir, "predictions_sample"), ["dep_del15", "p_delay"])

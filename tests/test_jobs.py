@@ -58,9 +58,11 @@ def test_pipeline_end_to_end(spark, workdir):
     assert set(metrics) == {"roc_auc", "pr_auc", "f1"}
     assert spark.read.json(f"{workdir}/metrics").count() == 1
     assert ml.load_model(f"{workdir}/model") is not None
+    assert sum(r.n for r in spark.read.parquet(f"{workdir}/metrics_confusion").collect()) == 7
+    assert spark.read.parquet(f"{workdir}/metrics_importance").count() > 0
 
     jobs.run_exports(spark, f"{workdir}/train", f"{workdir}/pred", f"{workdir}/exports")
-    for name in ("delay_distribution", "airport_fingerprint", "weather_severity", "calibration"):
+    for name in ("delay_distribution", "airport_fingerprint", "weather_severity", "calibration", "roc", "pr"):
         assert glob.glob(os.path.join(workdir, "exports", name, "*.csv")), name
 
 
