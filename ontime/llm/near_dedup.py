@@ -172,26 +172,36 @@ def similar(common: Column, one: Column, other: Column, percent: int) -> Column:
     return 100 * common >= percent * (one + other - common)
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that the links reach, for every node on a link.
 
-    Each round gives every node the smallest root among itself and its neighbours and then
-    follows that root's own root, so chains shorten by half. Edges whose ends agree are dropped.
+    Each round hooks every root to its smallest neighbouring root, follows the hooks to their
+    ends and replaces edges by the edges between the roots found. A root that stays for two
+    rounds has absorbed another one or is done, so the number of rounds is at most logarithmic
+    in the nodes, whatever the order of the ids; rounds go on until no edge is left.
     """
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     edges = cut_lineage(edges.union(edges.select("v", "u")).where("u <> v").distinct())
-    state = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    state = cut_lineage(state.select("node", F.least("node", "root").alias("root")))
-    for _ in range(max_rounds):
-        of = state.select(F.col("node").alias("v"), F.col("root").alias("root_v"))
-        near = edges.join(of, "v").groupBy(F.col("u").alias("node")).agg(F.min("root_v").alias("near"))
-        hooked = state.join(near, "node").select("node", F.col("root").alias("before"), F.least("root", "near").alias("root"))
-        up = hooked.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        moved = cut_lineage(hooked.join(up, "root").select("node", "before", F.col("above").alias("root")))
-        state = moved.select("node", "root")
-        if moved.where("before <> root").isEmpty():
-            return state
-    raise RuntimeError("links did not settle")
+    state = edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
+    while not edges.isEmpty():
+        hooks = edges.groupBy(F.col("u").alias("root")).agg(F.min("v").alias("near"))
+        up = ends(cut_lineage(hooks.select("root", F.least("root", "near").alias("above"))))
+        state = state.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+        state = cut_lineage(state)
+        edges = edges.join(up.select(F.col("root").alias("u"), F.col("above").alias("up_u")), "u")
+        edges = edges.join(up.select(F.col("root").alias("v"), F.col("above").alias("up_v")), "v").where("up_u <> up_v")
+        edges = cut_lineage(edges.select(F.col("up_u").alias("u"), F.col("up_v").alias("v")).distinct())
+    return state
+
+
+def ends(up: DataFrame) -> DataFrame:
+    """(root, above) with ``above`` followed to its end; every round halves the way there."""
+    while True:
+        top = up.select(F.col("root").alias("above"), F.col("above").alias("top"))
+        moved = cut_lineage(up.join(top, "above").select("root", F.col("above").alias("before"), F.col("top").alias("above")))
+        up = moved.select("root", "above")
+        if moved.where("before <> above").isEmpty():
+            return up
 
 
 def more_links(open_rows: DataFrame, after: int, upto: int, percent: int) -> DataFrame:

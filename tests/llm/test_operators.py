@@ -133,6 +133,14 @@ def test_components_follow_chains(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_follow_long_chains_in_any_order(spark):
+    ids = list(range(501))
+    random.Random(5).shuffle(ids)
+    links = spark.createDataFrame([*zip(ids, ids[1:])] + [(1000, 1001)], "a long, b long")
+    got = {x.node: x.root for x in near_dedup.components(links).collect()}
+    assert got == {**dict.fromkeys(range(501), 0), 1000: 1000, 1001: 1000}
+
+
 def test_packing_places_every_token(spark):
     texts = [*AWKWARD, *[prose(k, 10 + 37 * k) for k in range(60)], "don't STOP it's 'twas", "ΑΣ ΟΔΟΣ İ Å"]
     pieces = packing.tokenize(docs(spark, texts), WORDS)
