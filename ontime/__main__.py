@@ -6,7 +6,7 @@
   python -m ontime features FLIGHTS WEATHER CROSSWALK TRAIN TEST [--train-years 2023 2024 --test-years 2025]
   python -m ontime train TRAIN TEST MODEL PREDICTIONS METRICS
   python -m ontime export TRAIN PREDICTIONS OUT_DIR
-  python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000 --out DIR]
+  python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000 --out TRAIN_reports]
 
 Paths are anything Spark reads (local, HDFS, object stores). On a cluster the
 master and resources come from spark-submit; ``--cores`` and ``--input-gb``, given
@@ -26,10 +26,10 @@ from ontime.sources.tables import register_tables
 
 
 def report(spark, train_path: str, test_path: str, min_airport: int, min_route: int,
-           out: str | None = None) -> None:
+           out: str) -> None:
     """The seven grouped reports over the union of the train and test tables.
 
-    With ``out`` each is written whole as a table there; the screen shows 20 rows.
+    Each is written whole as a table under ``out``; the screen shows 20 rows.
     """
     register_tables(spark, spark.read.parquet(train_path), spark.read.parquet(test_path))
     flights = spark.table("all_flights")
@@ -45,11 +45,8 @@ def report(spark, train_path: str, test_path: str, min_airport: int, min_route:
     }
     for name, df in outputs.items():
         print(f"-- {name}")
-        if out is None:
-            df.show(20, truncate=False)
-        else:
-            sinks.write_parquet(df, f"{out}/{name}")
-            spark.read.parquet(f"{out}/{name}").show(20, truncate=False)
+        sinks.write_parquet(df, f"{out}/{name}")
+        spark.read.parquet(f"{out}/{name}").show(20, truncate=False)
 
 
 def main(argv=None) -> None:
@@ -78,7 +75,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("report"); a.add_argument("train"); a.add_argument("test")
     a.add_argument("--min-airport", type=int, default=10000)
     a.add_argument("--min-route", type=int, default=1000)
-    a.add_argument("--out", default=None, help="folder for the reports as tables")
+    a.add_argument("--out", default=None, help="folder for the reports as tables (default: TRAIN_reports)")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -106,7 +103,8 @@ def main(argv=None) -> None:
     elif args.cmd == "export":
         jobs.run_exports(spark, args.train, args.predictions, args.out)
     elif args.cmd == "report":
-        report(spark, args.train, args.test, args.min_airport, args.min_route, args.out)
+        report(spark, args.train, args.test, args.min_airport, args.min_route,
+               args.out or f"{args.train.rstrip('/')}_reports")
     if existing is None:  # stop only a session this command created
         spark.stop()
 

@@ -98,3 +98,19 @@ def test_cli_end_to_end(workdir):
     assert '"roc_auc"' in buf.getvalue()
     main(m + ["export", f"{workdir}/train", f"{workdir}/pred", f"{workdir}/plots"])
     assert glob.glob(os.path.join(workdir, "plots", "calibration", "*.csv"))
+
+
+def test_report_writes_every_row_without_out(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from ontime.__main__ import main
+
+    rows = spark.range(96).select(
+        F.lit(2023).alias("year"), (F.col("id") % 12 + 1).alias("month"), (F.col("id") % 4).cast("string").alias("season"),
+        F.floor(F.col("id") / 4).alias("crs_dep_hour"), F.col("id").cast("string").alias("carrier"), F.lit("A").alias("origin"),
+        F.lit("B").alias("dest"), F.lit(0).alias("weather_severity"), F.lit(1.0).alias("dep_delay"), F.lit(0).alias("dep_del15"))
+    rows.write.parquet(f"{workdir}/train")
+    rows.limit(0).write.parquet(f"{workdir}/test")
+    main(["--master", "local[2]", "report", f"{workdir}/train", f"{workdir}/test"])
+    got = {n: spark.read.parquet(f"{workdir}/train_reports/{n}").count() for n in ("season_hour", "carriers", "monthly")}
+    assert got == {"season_hour": 96, "carriers": 96, "monthly": 12}
