@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 import re
 from collections import Counter
@@ -62,6 +63,18 @@ def test_rules_reject_repetition_and_noise(spark):
     assert kept[0] and not kept[1]
 
 
+def test_rules_reject_encoded_blocks(spark):
+    r = random.Random(8)
+    text = "\n".join(prose(k, 60) for k in range(90))[:30_000]
+    raw = r.randbytes(45_000)
+    blocks = [base64.b64encode(raw).decode(), base64.encodebytes(raw).decode(), base64.a85encode(raw).decode()]
+    got = quality_rules.apply(docs(spark, [text, *[text + "\n" + b for b in blocks]])).collect()
+    assert {x.doc_id: x.kept for x in got} == {0: True, 1: False, 2: False, 3: False}
+    assert all(x.bad_chunk_share > 0.6 for x in got if x.doc_id)
+    noise = " ".join("".join(chr(r.randint(33, 126)) for _ in range(12)) for _ in range(400))
+    assert [x.kept for x in quality_rules.apply(docs(spark, [noise])).collect()] == [False]
+
+
 def test_rules_empty_table_and_clashing_columns(spark):
     assert quality_rules.apply(docs(spark, [])).collect() == []
     odd = docs(spark, ["a b"]).withColumn("kept", F.lit("x")).withColumn("n_words", F.lit(9.5))
