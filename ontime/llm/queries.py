@@ -53,8 +53,9 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", learn.fold(F.col("doc_id"), 5, 0))
-    sample = learn.labelled_sample(docs.where("not held_out"), table(spark, sf_dir, "labels"), "toxic", SAMPLE_ROWS, balance=True)
-    model = toxicity.fit(sample)
+    train, labels = docs.where("not held_out"), table(spark, sf_dir, "labels")
+    sample = learn.labelled_sample(train, labels, "toxic", SAMPLE_ROWS, balance=True)
+    model = toxicity.calibrate(toxicity.fit(sample), train, labels, "toxic")
     found = toxicity.apply(docs, model).drop("text")
     return found.withColumn("flagged", toxicity.flagged(model, F.col("score"), F.col("lang"))).drop("lang")
 

@@ -5,18 +5,19 @@ word, its first four and its first five bytes (so forms of one stem share rows).
 in at least ``least`` texts of the training sample; other hashes have a zero row. Filters over
 one, two and three words run over the whole text, the largest response of each filter is kept, and a logistic
 layer on these gives the score. Training runs on a bounded sample of labelled rows (parameter ``rows`` of the
-sample); a fifth of it is held back, and on it the threshold is calibrated: one for all, put at
-score 0.5, and one for each language, which decides ``flagged``. The language is no input of the score.
+sample), a fifth of it held back. ``calibrate`` then scores every labelled row: one threshold for all, put at
+score 0.5, and one for each language, which decides ``flagged``, at the real share of toxic rows. The language
+is no input of the score.
 
 Defined cases: null text and texts without letters have zero responses and are scored like any other; without
-labelled rows of both classes every score is 0; a language without calibrated rows takes the threshold 0.5; other
+labelled rows of both classes every score is 0; a language with fewer than 20 labelled rows of a class takes the threshold 0.5; other
 columns pass through and an input column with a result's name is replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,11 @@ FILTERS = 12
 DIMENSIONS = 8
 PARTS = 3
 MAX_ROWS = 400_000
+#: Calibration: logits from -LOGITS to LOGITS in bins, and the least rows of a class that make a threshold.
+LOGITS = 16
+BINS_PER_UNIT = 64
+BINS = 2 * LOGITS * BINS_PER_UNIT
+LEAST = 20
 
 
 def word_hashes(x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +58,7 @@ class Model:
     weights: np.ndarray
     bias: float = 0.0
     thresholds: dict[str, float] = field(default_factory=dict)
+    learned: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # word hash sums of the texts learned from
 
     def rows(self, h: np.ndarray) -> np.ndarray:
         spot = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
@@ -75,10 +82,11 @@ class Model:
                 pooled[doc[cut], w * FILTERS : (w + 1) * FILTERS] = np.maximum.reduceat(r, cut, axis=0)
         return pooled, every
 
+    def logits(self, h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+        return self.responses(self.rows(h), doc, n)[0] @ self.weights + self.bias
+
     def score(self, x: W.Texts) -> np.ndarray:
-        h, doc = word_hashes(x)
-        pooled, _ = self.responses(self.rows(h), doc, len(x))
-        return sigmoid(pooled @ self.weights + self.bias)
+        return sigmoid(self.logits(*word_hashes(x), len(x)))
 
 
 def train(rows: np.ndarray, begins: np.ndarray, y: np.ndarray, model: Model, epochs: int, batch: int, rate: float, seed: int) -> None:
@@ -129,14 +137,68 @@ def train(rows: np.ndarray, begins: np.ndarray, y: np.ndarray, model: Model, epo
             model.bias -= rate * float(g.sum()) / np.sqrt(bias + 1e-8)
 
 
-def best_threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit between two rows that gives the highest F1."""
-    order = np.argsort(-z, kind="stable")
-    right = np.cumsum(y[order])
-    f1 = 2 * right / (np.arange(1, len(z) + 1) + y.sum())
-    f1[:-1][np.diff(z[order]) == 0] = -1  # equal logits cannot be told apart
+def best_cut(toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The logit with the highest F1, from (weighted) rows of each class in each bin."""
+    held = np.flatnonzero(toxic + clean)[::-1]
+    right = np.cumsum(toxic[held])
+    f1 = 2 * right / (np.cumsum((toxic + clean)[held]) + toxic.sum())
     i = int(f1.argmax())
-    return float(z[order[i]] + z[order[i + 1]]) / 2 if i + 1 < len(z) else float(z[order[i]]) - 1.0
+    low = held[i] / BINS_PER_UNIT - LOGITS
+    return (low + (held[i + 1] + 1) / BINS_PER_UNIT - LOGITS) / 2 if i + 1 < len(held) else low - 1.0
+
+
+def at_real_rates(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Toxic and clean rows per bin from (label, learned from, bin) counts.
+
+    Rows that the weights were learned from score too well, so the others give the shape, at the number of
+    all rows of the class; with fewer than LEAST others in a class all rows give it.
+    """
+    unseen = cells[:, 0].sum(axis=1)
+    if unseen.min() < LEAST:
+        clean, toxic = cells.sum(axis=1)
+    else:
+        clean, toxic = cells[:, 0] * (cells.sum(axis=(1, 2)) / unseen)[:, None]
+    return toxic, clean
+
+
+def calibrate(model: Model | None, docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
+              lang: str = "lang") -> Model | None:
+    """``model`` with its thresholds from every labelled row of ``docs``, at the real share of toxic rows.
+
+    Scores are counted by language, class and bin in Spark; only these counts reach the driver.
+    """
+    if model is None:
+        return None
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for b in batches:
+            for x in W.slices(b.column(2), W.SLICE_BYTES // 4):
+                h, doc = word_hashes(x)
+                z = np.clip(model.logits(h, doc, len(x)), -LOGITS, LOGITS)
+                spot = np.minimum(np.floor((z.astype(float) + LOGITS) * BINS_PER_UNIT), BINS - 1).astype(np.int64)
+                total = np.append(np.uint64(0), np.cumsum(h.sum(axis=1, dtype=np.uint64), dtype=np.uint64))
+                begins = np.searchsorted(doc, np.arange(len(x) + 1))
+                learned = np.isin(total[begins[1:]] - total[begins[:-1]], model.learned).astype(np.int64)
+                yield W.rebuilt(["key", "lang", "cell"], [
+                    b.column(0).slice(x.first, len(x)), b.column(1).slice(x.first, len(x)), learned * BINS + spot])
+
+    own = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    own = own.groupBy(F.col(key).cast("string").alias("key")).agg(F.max(label).cast("int").alias("label"))
+    rows = docs.select(F.col(key).cast("string"), F.col(lang).cast("string"), text)
+    scored = rows.mapInArrow(run, "key string, lang string, cell long")
+    found = scored.join(own, "key").groupBy("lang", "label", "cell").count().collect()
+    cells: dict[str | None, np.ndarray] = {}
+    for r in found:
+        cells.setdefault(r["lang"], np.zeros((2, 2 * BINS)))[r["label"], r["cell"]] += r["count"]
+    every = sum(cells.values(), np.zeros((2, 2 * BINS)))
+    if every.sum(axis=1).min() == 0:
+        return model
+    middle = best_cut(*at_real_rates(every.reshape(2, 2, BINS)))
+    limits = {name: best_cut(*at_real_rates(c.reshape(2, 2, BINS))) for name, c in cells.items()
+              if name is not None and c.sum(axis=1).min() >= LEAST}
+    return replace(model, bias=model.bias - middle, thresholds={n: float(sigmoid(np.float64(z - middle))) for n, z in limits.items()})
 
 
 def fit(sample: DataFrame, text: str = "text", lang: str = "lang", least: int = 3, epochs: int = 6, batch: int = 64,
@@ -193,20 +255,7 @@ def fit(sample: DataFrame, text: str = "text", lang: str = "lang", least: int =
     place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(begins[order], length)
     train(numbers[place], np.append(0, np.cumsum(length)), y[order], model, epochs, batch, rate, seed)
 
-    z = np.zeros(len(y), np.float32)
-    for at in range(0, len(y), 64):
-        to = min(at + 64, len(y))
-        part = slice(begins[at], begins[to])
-        z[at:to] = model.responses(numbers[part], owner[part] - at, to - at)[0] @ model.weights
-    z += model.bias
-    check = held if len(np.unique(y[held])) == 2 else np.ones(len(y), bool)
-    middle = best_threshold(z[check], y[check])
-    model.bias -= middle
-    names = np.array(got.column("lang").to_pylist(), object)
-    for name in {n for n in names[check] if n is not None}:
-        own = check & (names == name)
-        if y[own].sum() >= 20 and (1 - y[own]).sum() >= 20:
-            model.thresholds[name] = float(sigmoid(np.float64(best_threshold(z[own], y[own]) - middle)))
+    model.learned = np.unique(seed_of[~held])
     return model
 
 

@@ -303,6 +303,33 @@ def test_classifiers_learn_and_score_every_text(spark):
         assert apply(odd.limit(0), model).count() == 0
 
 
+def test_toxicity_thresholds_are_from_all_labelled_rows(spark):
+    table = labelled(spark, 900).withColumn("lang", F.when(F.col("doc_id") % 9 == 0, "bb").otherwise("aa"))
+    texts, labels = table.drop("quality", "toxic"), table.select("doc_id", "toxic")
+    model = toxicity.fit(learn.labelled_sample(texts, labels, "toxic", 150, balance=True))
+    assert len(model.learned) < 150
+    made = toxicity.calibrate(model, texts, labels, "toxic")
+    assert set(made.thresholds) == {"aa", "bb"}  # 25 and 75 rows of bb, of which the sample has too few
+    found = toxicity.apply(table, made).toPandas()
+    z = [float(model.logits(*toxicity.word_hashes(x), len(x))[0]) for x in (next(W.slices(pa.array([t]))) for t in found.text)]
+    order = np.argsort(-np.array(z))
+    right = np.cumsum(found.toxic.to_numpy()[order])
+    best = (2 * right / (np.arange(1, len(z) + 1) + found.toxic.sum())).max()
+    own = 2 * (found.predicted & found.toxic).sum() / (found.predicted.sum() + found.toxic.sum())
+    assert own > best - 0.03
+
+
+def test_toxicity_cut_keeps_real_rates():
+    toxic, clean = np.zeros(toxicity.BINS), np.zeros(toxicity.BINS)
+    toxic[1000:1100] = 1
+    clean[900:1050] = 1
+    few = toxicity.best_cut(toxic, clean)
+    assert toxicity.best_cut(toxic, clean * 20) > few  # the rarer toxic rows are, the higher the cut
+    cells = np.zeros((2, 2, toxicity.BINS))
+    cells[0, 0], cells[1, 0], cells[1, 1, -1] = clean, toxic, 300
+    assert [v.sum() for v in toxicity.at_real_rates(cells)] == [400, 150]
+
+
 def test_factorisation_machine_identity():
     x = next(W.slices(pa.array(["a b b c", ""])))
     r = np.random.default_rng(1)
