@@ -5,11 +5,14 @@ are hashed over the rest; class 0 is any run of other characters. Trigrams of cl
 counted per language over every training row, summed by Spark, and turned into interpolated
 Kneser-Ney probabilities. The model is a sorted array of trigram keys (21 bits) with one row of
 log-probabilities per key, and two bigram tables for what was never seen; its size is bounded
-by ``2**21`` keys times the number of languages, and checked before it is broadcast.
+by ``2**21`` keys times the number of languages (three times, see below), and checked before it is broadcast.
 
 A text gets the language of lowest cross-entropy per character. It is rejected when that
-entropy lies above what the training rows of the language and length band reach (a high
-quantile plus a slack). Training counts and thresholds cover all training rows.
+entropy lies far above the median of the training rows of the language and length band, in
+multiples of their median deviation. For this each half of the training rows (dealt by content) is
+measured by a model of the other half, and so is every text that is judged: no text is accepted
+for having been counted itself. Text repeated in both halves is learned and can be accepted.
+Counts and limits cover all training rows.
 
 Defined cases: null text and texts without a letter get language ``und``, score 0 and are
 rejected; so does every text when there is nothing to learn from; ties go to the language that
@@ -20,7 +23,7 @@ an input column with the name of a result column is replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cache
 
 import numpy as np
@@ -38,8 +41,10 @@ MASK = (1 << BITS) - 1
 UNKNOWN = "und"
 #: Length bands for rejection: a text's band is the number of these that its letter count reaches.
 LENGTHS = np.array([16, 64, 256, 1024])
-ENTROPY_BINS = 512
-BINS_PER_BIT = 32
+ENTROPY_BINS = 4096
+BINS_PER_BIT = 128
+#: A band of so many rows leans half on its own rows.
+FEW = 50
 
 
 @cache
@@ -86,6 +91,7 @@ class Model:
     back: np.ndarray  # log2 weight of the lower order after each bigram
     log2: np.ndarray  # log2 p(c | b) for each bigram
     limits: np.ndarray | None = None  # highest accepted entropy: language x length band
+    others: list[Model] = field(default_factory=list)  # for texts of half 0 and 1: learned without that half
 
     def entropies(self, x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Bits per character under each language, and the letters, of each text."""
@@ -135,8 +141,13 @@ def kneser_ney(keys: np.ndarray, count: np.ndarray, union: np.ndarray) -> tuple[
     return np.log2(p3), np.log2(back), np.log2(p2)
 
 
+def halves(x: W.Texts) -> np.ndarray:
+    """Half 0 or 1 of each text, by its content, so copies of a text are in one half."""
+    return (x.hashes(x.offsets[:-1], x.offsets[1:]) >> np.uint64(17) & np.uint64(1)).astype(np.int64)
+
+
 def count_trigrams(rows: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, key, n) over all rows; each batch is summed before the shuffle."""
+    """(lang, half, key, n) over all rows; each batch is summed before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,19 +155,20 @@ def count_trigrams(rows: DataFrame, text: str, lang: str) -> DataFrame:
             code, names = np.asarray(label.indices), label.dictionary
             for x in W.slices(b.column(0)):
                 key, doc, _ = trigrams(x)
-                both = code[x.first + doc].astype(np.int64) << (3 * BITS) | key
+                both = (code[x.first + doc].astype(np.int64) * 2 + halves(x)[doc]) << (3 * BITS) | key
                 both, n = np.unique(both, return_counts=True)
-                yield W.rebuilt(["lang", "key", "n"], [
-                    names.take(pa.array(both >> (3 * BITS))), both & ((1 << (3 * BITS)) - 1), n.astype(np.int64)])
+                yield W.rebuilt(["lang", "half", "key", "n"], [
+                    names.take(pa.array(both >> (3 * BITS + 1))), both >> (3 * BITS) & 1, both & ((1 << (3 * BITS)) - 1), n.astype(np.int64)])
 
     counted = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null")
-    return counted.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    counted = counted.mapInArrow(run, "lang string, half long, key long, n long")
+    return counted.groupBy("lang", "half", "key").agg(F.sum("n").alias("n"))
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 64,
-        max_bytes: int = 256 << 20, quantile: float = 0.999, slack_bits: float = 1.0) -> Model | None:
+        max_bytes: int = 256 << 20, deviations: float = 8.0) -> Model | None:
     """Learn from every row with a language; None where there is nothing to learn."""
-    totals = count_trigrams(rows, text, lang).toArrow()  # at most 2**21 keys a language
+    totals = count_trigrams(rows, text, lang).toArrow()  # at most 2**22 rows a language
     if totals.num_rows == 0:
         return None
     languages = sorted(set(totals.column("lang").unique().to_pylist()))
@@ -164,20 +176,42 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages:
     union = np.unique(key)
     if len(languages) > max_languages or len(union) * len(languages) * 4 > max_bytes:
         raise ValueError(f"{len(languages)} languages over {len(union)} trigrams pass max_languages or max_bytes")
-    label = np.searchsorted(np.array(languages, object), totals.column("lang").to_numpy(zero_copy_only=False))
-    parts = []
-    for i in range(len(languages)):
-        own = np.flatnonzero(label == i)
-        own = own[np.argsort(key[own])]
-        parts.append(kneser_ney(key[own], n[own], union))
-    log3, back, log2 = (np.stack(p, axis=1).astype(np.float32) for p in zip(*parts, strict=True))
-    model = Model(languages, union, log3, back, log2)
-    model.limits = calibrate(model, rows, text, lang, quantile, slack_bits)
+    label = pc.index_in(totals.column("lang"), value_set=pa.array(languages)).to_numpy()
+    half = totals.column("half").to_numpy()
+
+    def learn(own: np.ndarray) -> Model:
+        parts = []
+        for i in range(len(languages)):
+            of = np.flatnonzero(own & (label == i))
+            if len(of) == 0:  # a half without the language; its rows are not calibrated on
+                of = np.flatnonzero(label == i)
+            keys, where = np.unique(key[of], return_inverse=True)
+            log3, back, log2 = kneser_ney(keys, np.bincount(where, weights=n[of]), union)
+            parts.append([v.astype(np.float32) for v in (log3, back, log2)])
+        return Model(languages, union, *(np.stack(p, axis=1) for p in zip(*parts, strict=True)))
+
+    model = learn(np.ones(len(key), bool))
+    model.others = [learn(half == 1), learn(half == 0)]
+    known = np.stack([np.isin(np.arange(len(languages)), label[half == 1 - h]) for h in (0, 1)])
+    model.limits = limits_of(entropy_counts(model, known, rows, text, lang), deviations)
     return model
 
 
-def calibrate(model: Model, rows: DataFrame, text: str, lang: str, quantile: float, slack_bits: float) -> np.ndarray:
-    """Highest accepted entropy per language and length band, from histograms over all training rows."""
+def unseen_entropies(model: Model, x: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``entropies``, each text by the model learned without its half; and the halves."""
+    half = halves(x)
+    h, letters = np.zeros((len(x), len(model.languages))), np.zeros(len(x), np.int64)
+    for k, other in enumerate(model.others):
+        mine = np.flatnonzero(half == k)
+        size = (x.offsets[1:] - x.offsets[:-1])[mine]
+        at = np.append(0, np.cumsum(size))
+        place = np.arange(at[-1]) - np.repeat(at[:-1], size) + np.repeat(x.offsets[mine], size)
+        h[mine], letters[mine] = other.entropies(W.Texts(x.data[place], at, 0))
+    return h, letters, half
+
+
+def entropy_counts(model: Model, known: np.ndarray, rows: DataFrame, text: str, lang: str) -> np.ndarray:
+    """Rows per language, length band and bin of the entropy under the model learned without the row's half."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,12 +220,13 @@ def calibrate(model: Model, rows: DataFrame, text: str, lang: str, quantile: flo
         for b in batches:
             code = pc.index_in(b.column(1), value_set=names).fill_null(-1).to_numpy()
             for x in W.slices(b.column(0)):
-                h, letters = model.entropies(x)
+                h, letters, half = unseen_entropies(model, x)
                 label = code[x.first : x.first + len(x)]
                 own = h[np.arange(len(x)), label]
                 band = np.searchsorted(LENGTHS, letters, side="right")
                 spot = np.minimum((own * BINS_PER_BIT).astype(np.int64), ENTROPY_BINS - 1)
-                cell = ((label * (len(LENGTHS) + 1) + band) * ENTROPY_BINS + spot)[(letters > 0) & (label >= 0)]
+                use = (letters > 0) & (label >= 0) & known[half, label]
+                cell = ((label * (len(LENGTHS) + 1) + band) * ENTROPY_BINS + spot)[use]
                 cell, n = np.unique(cell, return_counts=True)
                 yield W.rebuilt(["cell", "n"], [cell.astype(np.int64), n.astype(np.int64)])
 
@@ -200,10 +235,35 @@ def calibrate(model: Model, rows: DataFrame, text: str, lang: str, quantile: flo
     shape = (len(model.languages), len(LENGTHS) + 1, ENTROPY_BINS)
     hist = np.zeros(int(np.prod(shape)))
     hist[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    running = np.cumsum(hist.reshape(shape), axis=2)
-    total = running[:, :, -1:]
-    spot = (running < quantile * total).sum(axis=2) + 1
-    return np.where(total[:, :, 0] >= 50, spot / BINS_PER_BIT + slack_bits, np.inf)
+    return hist.reshape(shape)
+
+
+def limits_of(hist: np.ndarray, deviations: float) -> np.ndarray:
+    """Highest accepted entropy per language and length band, from counts of held-out rows.
+
+    It lies ``deviations`` median deviations above the median, and at least three quarters of a bit plus what few letters
+    scatter. A band of few rows leans on its language's limit, and that on the limit of all languages; without any
+    row a text must be no worse than under equal chances of all classes.
+    """
+    middle = (np.arange(ENTROPY_BINS) + 0.5) / BINS_PER_BIT
+    least = 0.75 + 4 / np.sqrt(np.append(1, LENGTHS))
+
+    def leaning(h: np.ndarray, least: np.ndarray | float, other: np.ndarray | float) -> np.ndarray | float:
+        n = h.sum()
+        if n == 0:
+            return other
+        median = middle[np.searchsorted(np.cumsum(h), n / 2)]
+        away = np.abs(middle - median)
+        order = np.argsort(away, kind="stable")
+        spread = 1.4826 * away[order][np.searchsorted(np.cumsum(h[order]), n / 2)]
+        return (n * (median + np.maximum(deviations * spread, least)) + FEW * other) / (n + FEW)
+
+    limits = np.zeros(hist.shape[:2])
+    for i, own in enumerate(hist):
+        of_all = leaning(hist.sum(axis=(0, 1)), least, np.full(len(least), float(BITS)))
+        of_language = leaning(own.sum(axis=0), least, of_all)
+        limits[i] = [leaning(h, least[b], of_language[b]) for b, h in enumerate(own)]
+    return np.minimum.accumulate(limits, axis=1)  # longer texts scatter less
 
 
 RESULT = T.StructType([
@@ -227,7 +287,7 @@ def predict(model: Model | None, texts: pa.Array) -> list:
             top = 1 / np.exp2((h[:, None] - all_h) * np.minimum(letters, 32)[:, None]).sum(axis=1)
             band = np.searchsorted(LENGTHS, letters, side="right")
             none = letters == 0
-            no = none | (h > model.limits[best, band])
+            no = none | (unseen_entropies(model, x)[0][np.arange(len(x)), best] > model.limits[best, band])
             names = np.array([*model.languages, UNKNOWN], object)
             best, top, h = np.where(none, len(model.languages), best), np.where(none, 0.0, top), np.where(none, 0.0, h)
         langs.append(names[best])

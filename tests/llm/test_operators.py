@@ -97,6 +97,25 @@ def test_language_models(spark):
     assert {x.lang_pred for x in langid.apply(asked, None).collect()} == {"und"}
 
 
+def test_language_rejects_planted_texts_it_was_fitted_on(spark):
+    r = random.Random(9)
+    known = {l: [prose(k * 100 + j, 1) for j in range(150)] for k, l in enumerate(("aa", "bb"))}
+    rows = []
+    for i in range(600):
+        lang, n = ("aa", "bb")[i % 2], (8, 40, 200)[i % 3]
+        rows.append((i, " ".join(r.choice(known[lang]) for _ in range(n)), lang))
+    for i in range(600, 630):  # a twentieth; labelled as the others
+        letters = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600))
+        foreign = ["".join(r.choice("bcfghjkpqvwxyzøß") for _ in range(r.randint(2, 9))) for _ in range(40)]
+        rows.append((i, letters if i % 2 else " ".join(r.choice(foreign) for _ in range(100)), ("aa", "bb")[i // 2 % 2]))
+    rows.append((630, "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(5000)), "aa"))  # alone in its band
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(table)
+    assert np.isfinite(model.limits).all()
+    got = {x.doc_id: x.rejected for x in langid.apply(table, model).collect()}
+    assert not any(got[i] for i in range(600)) and all(got[i] for i in range(600, 631))
+
+
 def test_language_probabilities_sum_to_one():
     x = next(W.slices(pa.array([prose(1, 200)])))
     keys, count = np.unique(langid.trigrams(x)[0], return_counts=True)
