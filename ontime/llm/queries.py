@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, chat, langid, learn, near_dedup, packing, quality_fm, quality_rules, topk, toxicity,
-               url_filter)
+from . import (byte_bpe, chat, exact_dedup, filter_audit, langid, learn, near_dedup, packing, prefix_trie, quality_fm,
+               quality_rules, topk, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +112,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs).drop("text")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.shared_openings(table(spark, sf_dir, "conversations")))
+
+
+def audit_filters(text: Column) -> dict[str, Column]:
+    """Failure conditions A to D of the filter audit."""
+    text = F.coalesce(text, F.lit(""))
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    capitals = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    return {"A": F.size(words) < 100, "B": 100 * F.size(F.array_distinct(words)) < 80 * F.size(words),
+            "C": 100 * capitals > 10 * F.length(text), "D": text.rlike(r"[#$%&*|]")}
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"), audit_filters(F.col("text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op6_url_filter": op6_url_filter,
@@ -123,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity_cnn": op8_toxicity_cnn,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
@@ -166,4 +191,92 @@ SQL: dict[str, str] = {
                 ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.verdict, 'allow') AS verdict
         FROM pages2 p LEFT JOIN hits h ON h.page_id = p.page_id AND h.k = 1""",
+    "op11_exact_dedup": r"""
+        WITH plain AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS plain, rowid AS row
+            FROM (SELECT doc_id, text, row_number() OVER () AS rowid FROM documents)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS LAST, row) AS k,
+                min(doc_id) OVER (PARTITION BY plain) AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size FROM plain)
+        SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(plain) AS text_sha256 FROM ranked""",
+    "op12_prefix_trie": """
+        WITH said AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+            FROM conversations WHERE conv_id IS NOT NULL),
+        crc_table AS (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, x:
+                CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) AS r(i)),
+        crcs AS (SELECT list(c ORDER BY i) AS t FROM crc_table),
+        convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) AS INTEGER) + 1]))) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM said), crcs),
+        turns AS (
+            SELECT c.conv_id, 0 AS part, s.k, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.base AND s.k <= c.h
+            UNION ALL
+            SELECT c.conv_id, 1, s.k, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.conv_id AND s.k > c.h),
+        placed AS (
+            SELECT conv_id, text, row_number() OVER w AS depth,
+                list({'role': role, 'text': text}) OVER (w ROWS UNBOUNDED PRECEDING) AS path
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)),
+        paths AS (
+            SELECT conv_id, depth, path, text FROM placed
+            UNION ALL SELECT conv_id, 0, [], '' FROM convs),
+        node AS (
+            SELECT min(conv_id) AS conv_id, depth, path, count(*) AS n_convs, (count(*) - 1) * length(any_value(text)) AS saved
+            FROM paths GROUP BY depth, path),
+        of_conv AS (
+            SELECT p.conv_id AS member, n.conv_id, n.depth, n.n_convs, n.saved
+            FROM paths p JOIN node n ON p.depth = n.depth AND p.path = n.path),
+        ended AS (
+            SELECT conv_id, depth, string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) AS ids FROM (
+                SELECT *, max(depth) OVER (PARTITION BY member) AS deepest FROM of_conv)
+            WHERE depth = deepest GROUP BY conv_id, depth),
+        linked AS (
+            SELECT n.conv_id, n.depth, n.n_convs, n.saved, p.conv_id AS parent_conv_id
+            FROM node n LEFT JOIN of_conv p ON p.member = n.conv_id AND p.depth = n.depth - 1),
+        counted AS (
+            SELECT l.*, (SELECT count(*) FROM linked c WHERE c.depth = l.depth + 1 AND c.parent_conv_id = l.conv_id) AS n_children
+            FROM linked l),
+        below AS (
+            SELECT o.conv_id, o.depth, sum(CASE WHEN c.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(c.saved) AS saved_tokens
+            FROM counted c JOIN of_conv o ON o.member = c.conv_id AND o.depth <= c.depth GROUP BY o.conv_id, o.depth)
+        SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+            CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+        FROM counted c JOIN below b USING (conv_id, depth) LEFT JOIN ended e USING (conv_id, depth)""",
+    "op13_filter_audit": r"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        failed AS (
+            SELECT doc_id, part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+                regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM docs),
+        marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+        masks AS (
+            SELECT part, CAST(a AS INT) + 2 * CAST(b AS INT) + 4 * CAST(c AS INT) + 8 * CAST(d AS INT) + 16 * CAST(e AS INT) AS mask,
+                count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+            FROM failed LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+        letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        steps AS (
+            SELECT v.letter || w.letter || x.letter || y.letter || z.letter AS filter_order,
+                unnest([1, 2, 3, 4, 5]) AS step, unnest([v.bit, w.bit, x.bit, y.bit, z.bit]) AS bit,
+                unnest([0, v.bit, v.bit + w.bit, v.bit + w.bit + x.bit, 31 - z.bit]) AS before
+            FROM letters v, letters w, letters x, letters y, letters z
+            WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31 AND v.bit | w.bit | x.bit | y.bit | z.bit = 31),
+        counts AS (
+            SELECT part, filter_order, step, bit,
+                sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM masks, steps GROUP BY ALL)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+            CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM counts""",
 }
