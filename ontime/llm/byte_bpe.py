@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -103,19 +104,27 @@ class Codec:
             if raw in self.ranks:
                 out.append(self.ranks[raw])
                 continue
-            parts = [raw[i : i + 1] for i in range(len(raw))]
-            pair = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            while any(p is not None for p in pair):
-                i = min((p, i) for i, p in enumerate(pair) if p is not None)[1]
-                parts[i : i + 2] = [parts[i] + parts[i + 1]]
-                del pair[i]
-                if i < len(pair):
-                    pair[i] = self.ranks.get(parts[i] + parts[i + 1])
-                if i:
-                    pair[i - 1] = self.ranks.get(parts[i - 1] + parts[i])
-            out += [self.ranks[p] for p in parts]
+            out += self.merged(raw)
         return out
 
+    def merged(self, raw: bytes) -> list[int]:
+        """Ranks of the parts of ``raw`` that stay; a heap of pairs by rank and place, so n log n in its length."""
+        n, ranks = len(raw), self.ranks
+        end, before = list(range(1, n + 1)), list(range(-1, n))  # a part's end by its start (-1: merged away)
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(raw[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, stop = heappop(heap)
+            middle = end[i]
+            if middle in (-1, n) or end[middle] != stop:
+                continue  # one of the two parts has changed since
+            end[i], end[middle], before[stop] = stop, -1, i
+            if stop < n and (r := ranks.get(raw[i : end[stop]])) is not None:
+                heappush(heap, (r, i, end[stop]))
+            if (left := before[i]) >= 0 and (r := ranks.get(raw[left:stop])) is not None:
+                heappush(heap, (r, left, stop))
+        return [ranks[raw[i : end[i]]] for i in range(n) if end[i] != -1]
+
     def encode(self, x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's begin (one more than texts)."""
         starts, ends, doc = pieces(x)

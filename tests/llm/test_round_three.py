@@ -10,10 +10,15 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 
-from ontime.llm import exact_dedup, filter_audit, prefix_trie, queries
+from ontime.llm import byte_bpe, exact_dedup, filter_audit, near_dedup, prefix_trie, quality_rules, queries
+from ontime.llm import words as W
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 DOCS = "doc_id long, text string, lang string, id string, digest string, part int, mask string, n int, range int"
 
@@ -199,3 +204,47 @@ def test_slots_are_minimal_and_verified():
     with pytest.raises(ValueError):
         prefix_trie.Slots(np.array([1, 1]), np.array([2, 2]))
     assert len(prefix_trie.Slots(a[:0], b[:0]).find(a[:0], b[:0])) == 0
+
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s
+
+
+def test_complementary_words_are_told_apart(spark):
+    """Words that collide under every polynomial hash modulo 2**64: right ids, sets and repeat counts."""
+    one = thue_morse(2048)
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [f"{one} {other}", f"{other} {one}", f"{one} {one}", one, other, f"{one}\n{other}"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    for r in byte_bpe.round_trip(table, RANKS, public_tokenizers.PATTERN).collect():
+        assert r.ids == plain.encode_ordinary(texts[r.doc_id])
+    kept = {r.doc_id: r.kept for r in near_dedup.near_duplicates(table).collect()}
+    assert kept == {0: True, 1: True, 2: True, 3: True, 4: True, 5: False}  # 5 has the words of 0
+    rules = {r.doc_id: r for r in quality_rules.apply(table).collect()}
+    assert [rules[k].n_dup_lines for k in range(6)] == [0] * 6
+
+
+def test_cache_never_gives_another_words_ids():
+    """Even if every hash is the same."""
+    class Same(W.Texts):
+        def hashes(self, starts, ends):
+            return np.zeros(len(starts), np.uint64)
+
+    cache = W.IdCache(lambda words: (np.array([len(w) for w in words], "<u4"), np.ones(len(words), np.int64)), 100)
+    for text in ("one", "three four", "four three", "one"):
+        x = next(W.slices(pa.array([text])))
+        x = Same(x.data, x.offsets, 0)
+        assert cache.lookup(x, *x.spans(W.NOT_SPACE[x.data]))[0].tolist() == [len(w) for w in text.split()]
+
+
+@pytest.mark.parametrize("text", ["ab" * 500_000, "".join(random.Random(2).choices("acgt", k=300_000)), "=-" * 200_000, "日本" * 50_000])
+def test_long_runs_equal_tiktoken(text):
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    ids, begins = codec.encode(next(W.slices(pa.array([text]))))
+    assert ids.tolist() == plain.encode_ordinary(text) and begins.tolist() == [0, len(ids)]
