@@ -227,12 +227,12 @@ def prefix_trie(turns: DataFrame, limit: int | None = None) -> DataFrame:
     """The nodes of the trie over ``turns`` (conv_id, place, role, text), one row each.
 
     conv_id is the smallest member; ``limit`` is by default a quarter of a shuffle partition's share of the
-    conversations, 256 at least.
+    conversations, 16 at least.
     """
     paths = prefixes(turns)
     if not limit:
         shards = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        limit = max(256, paths.where("depth = 0").count() // (4 * shards))
+        limit = max(16, paths.where("depth = 0").count() // (4 * shards))
     many = paths.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("a", "b")
     heavy = {(r.a, r.b) for r in many.toLocalIterator()}  # bounded: see 2. above
     rows = paths.drop("ends").mapInArrow(lambda batches: subtree_of(batches, heavy), PATHS.replace("ends boolean", "ra long, rb long"))
