@@ -2,9 +2,8 @@
 
 Every report is one ``groupBy`` with algebraic aggregates (count, sum, avg), so
 Spark combines map-side before the shuffle and a hot key costs one partial row per
-task, not one task holding the key's rows. Exact percentiles use Spark's
-value-count buffer (also combined map-side); ``percentile_approx`` is offered for
-unbounded value domains.
+task, not one task holding the key's rows. Exact percentiles are selected by counting
+ranges (see ``percentiles``); ``percentile_approx`` is offered where a sketch will do.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.features import SEASON_ORDER
+from ontime.operators.percentiles import percentiles
+from ontime.session import cut_lineage
 
 
 def _keys(keys) -> list[str]:
@@ -59,19 +60,16 @@ def annual_stats(df: DataFrame, year: str = "year", delay: str = "dep_delay",
                  label: str = "dep_del15", exact: bool = True) -> DataFrame:
     """Per year: flights, rounded mean delay, percent delayed and 95th percentile delay.
 
-    ``exact`` uses the discrete percentile (an observed value); otherwise the
-    fixed-size approximate sketch.
+    ``exact`` gives the discrete percentile (an observed value), found by distributed selection; otherwise the
+    fixed-size approximate sketch is used.
     """
-    if exact:
-        p95 = F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY {delay})")
-    else:
-        p95 = F.percentile_approx(delay, 0.95)
-    return (df.groupBy(year)
-            .agg(F.count(F.lit(1)).alias("flights"),
-                 F.round(F.avg(delay), 2).alias("avg_delay"),
-                 pct(label).alias("pct_delayed"),
-                 F.round(p95.cast("double"), 2).alias("p95_delay"))
-            .orderBy(year))
+    totals = [F.count(F.lit(1)).alias("flights"), F.round(F.avg(delay), 2).alias("avg_delay"), pct(label).alias("pct_delayed")]
+    if not exact:
+        p95 = F.round(F.percentile_approx(delay, 0.95).cast("double"), 2)
+        return df.groupBy(year).agg(*totals, p95.alias("p95_delay")).orderBy(year)
+    p95 = percentiles(df, year, delay, {"p95_delay": 0.95}, interpolate=False).withColumnRenamed(year, "_g")
+    out = df.groupBy(year).agg(*totals).join(p95, F.col(year).eqNullSafe(F.col("_g")), "left")
+    return out.select(year, "flights", "avg_delay", "pct_delayed", F.round("p95_delay", 2).alias("p95_delay")).orderBy(year)
 
 
 def delay_profile(df: DataFrame, delay: str = "dep_delay", label: str = "dep_del15") -> DataFrame:
@@ -143,23 +141,22 @@ def histogram(df: DataFrame, col: str, by: str | None, lo: float, hi: float,
 def box_stats(df: DataFrame, col: str, by: str, exact: bool = True) -> DataFrame:
     """Quartiles, 1.5-IQR whiskers and outlier counts per group.
 
-    ``exact`` uses interpolated exact quartiles (a value-count buffer per group,
-    combined map-side; its size grows with the number of distinct values); otherwise
-    the fixed-size ``percentile_approx`` sketch, for continuous values at scale.
+    ``exact`` gives interpolated exact quartiles by distributed selection; otherwise the fixed-size
+    ``percentile_approx`` sketch is used.
 
-    Pass 1: one aggregate for the quartiles. Pass 2: the quartiles (one row per group)
-    are joined back and a second aggregate finds whisker ends and outliers. The group
-    table's size is not bounded by the API, so no broadcast hint: AQE turns the join
-    into a broadcast at runtime when the measured side is small.
+    The fences (one row per group) are checkpointed and joined back, so that AQE can split a hot group; a second
+    aggregate finds whisker ends and outliers. The group table's size is not bounded by the API, so there is no
+    broadcast hint: AQE turns the join into a broadcast at runtime when the measured side is small.
     """
-    pick = F.percentile if exact else F.percentile_approx
-    q = (df.groupBy(by)
-         .agg(F.count(F.lit(1)).alias("n"),
-              pick(col, 0.25).cast("double").alias("q1"),
-              pick(col, 0.5).cast("double").alias("median"),
-              pick(col, 0.75).cast("double").alias("q3")))
-    q = q.withColumn("lo_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1")))
+    n = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    if exact:
+        q = percentiles(df, by, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed(by, "_g")
+        q = n.join(q, F.col(by).eqNullSafe(F.col("_g")), "left").drop("_g")
+    else:
+        sketch = {name: F.percentile_approx(col, p).cast("double") for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+        q = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in sketch.items()])
+    q = cut_lineage(q.withColumns({"lo_fence": F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1")),
+                                   "hi_fence": F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))}))
     fences = q.select(F.col(by).alias("_g"), "lo_fence", "hi_fence")
     v = F.col(col)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))

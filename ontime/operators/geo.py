@@ -1,5 +1,9 @@
 """Nearest-point matching (airport -> nearest observing station) without a cross join.
 
+``nearest`` descends an occupancy pyramid of the right side (see ``pyramid``) and is what the jobs use. ``nearest_grid``
+is a plain grid search with the same results; it suits points without dense clusters, as it reads all points
+of a block.
+
 Semantics: for each left row, the right row at the smallest planar distance, kept
 only when that distance is below ``radius``; equal distances go to the smallest
 right key. This equals "rank every pair by distance, keep rank 1, then keep
@@ -30,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.features import degree_distance
+from ontime.operators.pyramid import nearest as nearest  # the default search, offered here too
 from ontime.session import cut_lineage
 
 # Grid refinement factor per level, target right points per finest cell,
@@ -77,9 +82,9 @@ def _block(cx: Column, cy: Column) -> Column:
     return F.array(*cells)
 
 
-def nearest(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
-            right_xy: tuple[str, str], right_key: str, radius: float,
-            levels: Sequence[float] | None = None, dist_col: str = "dist") -> DataFrame:
+def nearest_grid(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
+                 right_xy: tuple[str, str], right_key: str, radius: float,
+                 levels: Sequence[float] | None = None, dist_col: str = "dist") -> DataFrame:
     """Left rows with ``right_key`` and ``dist`` of their nearest right point within
     ``radius``; left rows with no right point in range are dropped.
 
@@ -140,8 +145,3 @@ def with_present(right: DataFrame, observed: DataFrame, key: str) -> DataFrame:
 def verified_stations(stations: DataFrame, weather: DataFrame, key: str = "station_id") -> DataFrame:
     """Stations that have at least one observation."""
     return with_present(stations, weather, key)
-
-
-# The grid search is the only nearest-point strategy; this name is kept for callers
-# that ask for it explicitly.
-nearest_grid = nearest
