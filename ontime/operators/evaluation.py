@@ -8,6 +8,7 @@ totals of the ranges above it to its own running totals. No task orders all scor
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -125,6 +126,77 @@ def pr_auc(counts: DataFrame) -> DataFrame:
         F.sum(F.try_divide(F.col("pos"), F.col("P")) * (precision + before) / F.lit(2.0)).alias("auc"))
 
 
+def rank_auc(counts: DataFrame) -> DataFrame:
+    """Mann-Whitney statistic: the chance that a positive scores above a negative, ties counting half.
+
+    Each score adds its positives' wins: the negatives below it and half of its own, found from the running counts
+    over range offsets, so no task ranks all scores. Null if a class is absent. Equals ``roc_auc``.
+    """
+    below = F.col("N") - F.col("fp")
+    wins = F.col("pos") * (below + F.col("neg") / F.lit(2.0))
+    return _running(counts).agg(F.try_divide(F.sum(wins), F.max("P").cast("double") * F.max("N")).alias("auc"))
+
+
+def average_precision(counts: DataFrame) -> DataFrame:
+    """Step-wise area under precision-recall: each score's recall step times the precision there."""
+    precision = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    return _running(counts).agg(F.sum(F.try_divide(F.col("pos"), F.col("P")) * precision).alias("ap"))
+
+
+def weighted_f1(conf: DataFrame, label: str = "dep_del15", prediction: str = "prediction") -> DataFrame:
+    """F1 of each class weighted by its share of the labels, from a confusion table (one row)."""
+    told = conf.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    classes = told.select(F.inline(F.array(
+        F.struct(F.col(label).cast("double").alias("c"), F.col("n").alias("own"), F.lit(0).cast("long").alias("guessed")),
+        F.struct(F.col(prediction).cast("double").alias("c"), F.lit(0).cast("long").alias("own"), F.col("n").alias("guessed")))),
+        F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0).alias("hit"))
+    per = classes.groupBy("c").agg(F.sum("own").alias("own"), F.sum("guessed").alias("guessed"), (F.sum("hit") / 2).alias("hit"))
+    # 2PR / (P + R) is 2 hit / (labels + predictions)
+    f1 = F.lit(2.0) * F.col("hit") / (F.col("own") + F.col("guessed"))
+    return per.agg(F.try_divide(F.sum(f1 * F.col("own")), F.sum("own")).alias("f1"))
+
+
+@dataclass(frozen=True)
+class PlattMap:
+    """p = 1 / (1 + exp(-(slope * score + intercept)))."""
+
+    slope: float
+    intercept: float
+    rounds: int
+
+    def __call__(self, score: str | Column) -> Column:
+        s = F.col(score) if isinstance(score, str) else score
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(self.slope) * s + F.lit(self.intercept))))
+
+
+def platt_fit(counts: DataFrame, rounds: int = 25, tolerance: float = 1e-12) -> PlattMap:
+    """Logistic fit of the label on the score by Newton's method.
+
+    ``counts`` (score, pos, neg) is checkpointed once; a round is one aggregate of five sums (gradient and
+    curvature), so only scalars reach the driver. It stops when a step is below ``tolerance``, when the
+    curvature vanishes (one score, or classes that a score separates) or after ``rounds``. Null and NaN scores take no part.
+    """
+    held = cut_lineage(counts.select(F.col("score").cast("double").alias("s"), "pos", (F.col("pos") + F.col("neg")).alias("n"))
+                       .where("s is not null and not isnan(s)"))
+    a = b = 0.0
+    for done in range(rounds):
+        p = PlattMap(a, b, done)(F.col("s"))
+        miss, w = F.col("pos") - F.col("n") * p, F.col("n") * p * (F.lit(1.0) - p)
+        s = F.col("s")
+        row = held.agg(F.sum(miss * s), F.sum(miss), F.sum(w * s * s), F.sum(w * s), F.sum(w)).first()
+        if row[0] is None:
+            break
+        ga, gb, haa, hab, hbb = row
+        det = haa * hbb - hab * hab
+        if not det > 1e-12 * max(haa * hbb, 1e-300):
+            break
+        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
+        a, b = a + da, b + db
+        if max(abs(da), abs(db)) < tolerance:
+            return PlattMap(a, b, done + 1)
+    return PlattMap(a, b, rounds)
+
+
 def stack_curves(curves: dict[str, DataFrame], tag: str = "model") -> DataFrame:
     """Stack same-shaped curve tables with a model tag column."""
     out = None

@@ -8,22 +8,23 @@ values, the k importances), never data-sized results.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions.features import p_positive
+from ontime.operators import evaluation, forest
 from ontime.operators.eda import top_values
 from ontime.operators.features import require
 from ontime.operators.sampling import in_sample
 from ontime.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS, WEATHER_INPUTS
-from ontime.session import checkpoint_dir
+from ontime.session import checkpoint_dir, cut_lineage
 
 # Fixed value: the catch-all bucket for rare and unseen categories.
 OTHER = "OTHER"
@@ -146,11 +147,11 @@ def build_pipeline(cfg: ForestConfig) -> Pipeline:
     # are required to be complete before the fit.
     assembler = VectorAssembler(inputCols=vec + cfg.numeric, outputCol="features",
                                 handleInvalid="keep")
-    forest = RandomForestClassifier(
+    trees = RandomForestClassifier(
         labelCol=cfg.label, featuresCol="features", weightCol=cfg.weight,
         numTrees=cfg.num_trees, maxDepth=cfg.max_depth, maxBins=cfg.max_bins, seed=cfg.seed,
         checkpointInterval=cfg.checkpoint_interval)
-    return Pipeline(stages=[indexer, encoder, assembler, forest])
+    return Pipeline(stages=[indexer, encoder, assembler, trees])
 
 
 @dataclass
@@ -200,33 +201,27 @@ def predict(trained: Trained, df: DataFrame) -> DataFrame:
 
 def evaluate(preds: DataFrame, label: str = "dep_del15",
              positive_class: bool = False) -> dict[str, float]:
-    """ROC-AUC, PR-AUC (MLlib binned curves) and label-weighted F1; with
-    ``positive_class`` also precision, recall and F1 of the delayed class.
+    """ROC-AUC, PR-AUC (average precision) and label-weighted F1; with ``positive_class`` also
+    precision, recall and F1 of the delayed class.
 
-    The scored rows are projected to the four columns the metrics need and
-    persisted once, so the evaluators' passes do not re-run the scoring plan.
+    All are exact: rank sums over range offsets and a confusion table (see ``evaluation``). The scored rows are
+    reduced to the score counts and the confusion table, which are checkpointed, so the scoring plan runs once for each.
     """
-    from pyspark import StorageLevel
-
-    from ontime.operators.evaluation import confusion, positive_f1
-
+    score = "p_delay" if "p_delay" in preds.columns else p_positive("probability")
     scored = preds.select(F.col(label).cast("double").alias(label), "prediction",
-                          "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        roc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                            metricName="areaUnderROC").evaluate(scored)
-        pr = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                           metricName="areaUnderPR").evaluate(scored)
-        f1 = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                               metricName="f1").evaluate(scored)
-        out = {"roc_auc": roc, "pr_auc": pr, "f1": f1}
-        if positive_class:
-            pos = positive_f1(confusion(scored, label), label).first()  # one row
-            out.update({"pos_precision": pos["precision"] or 0.0,
-                        "pos_recall": pos["recall"] or 0.0, "pos_f1": pos["f1"] or 0.0})
-    finally:
-        scored.unpersist()
-    return out
+                          (F.col(score) if isinstance(score, str) else score).alias("p_delay"))
+    both = cut_lineage(scored.groupBy("p_delay", label, "prediction").agg(F.count(F.lit(1)).alias("n")))
+    y = F.col(label) == F.lit(1)
+    counts = both.where(F.col(label).isNotNull()).groupBy(F.col("p_delay").alias("score")).agg(
+        F.sum(F.when(y, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(y, 0).otherwise(F.col("n"))).alias("neg"))
+    counts = cut_lineage(counts)
+    table = both.groupBy(label, "prediction").agg(F.sum("n").alias("n"))
+    out = {"roc_auc": evaluation.rank_auc(counts).first()[0], "pr_auc": evaluation.average_precision(counts).first()[0],
+           "f1": evaluation.weighted_f1(table, label).first()[0]}
+    if positive_class:
+        pos = evaluation.positive_f1(table, label).first()  # one row
+        out.update({"pos_precision": pos["precision"] or 0.0, "pos_recall": pos["recall"] or 0.0, "pos_f1": pos["f1"] or 0.0})
+    return {name: math.nan if value is None else float(value) for name, value in out.items()}
 
 
 def metrics_frame(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:
@@ -244,6 +239,13 @@ def feature_family(name: str) -> str:
     return "temporal/flight"
 
 
+def family(name: str):
+    """``feature_family`` as a column expression."""
+    c = F.col(name)
+    return (F.when(c.startswith("carrier"), "carrier").when(c.startswith("origin_b") | c.startswith("dest_b"), "airport")
+            .when(c.isin(WEATHER_INPUTS), "weather").otherwise("temporal/flight"))
+
+
 def feature_names(preds: DataFrame, features: str = "features",
                   categorical: list[str] | None = None) -> list[str]:
     """Names of the assembled vector slots from the column's ML attribute metadata.
@@ -272,8 +274,7 @@ def feature_importance(trained: Trained, preds: DataFrame, k: int = 30) -> DataF
     The importance vector has one entry per assembled slot (bounded by the model
     width, not by data), so it is turned into a small frame on the driver.
     """
-    forest = trained.model.stages[-1]
-    values = forest.featureImportances.toArray().tolist()
+    values = trained.model.stages[-1].featureImportances.toArray().tolist()
     names = feature_names(preds, categorical=trained.cfg.categorical)
     names += [f"feature_{i}" for i in range(len(names), len(values))]
     rows = [(names[i], float(v), feature_family(names[i])) for i, v in enumerate(values)]
@@ -282,6 +283,33 @@ def feature_importance(trained: Trained, preds: DataFrame, k: int = 30) -> DataF
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
 
 
+def forest_slots(trained: Trained) -> list[forest.Slot]:
+    """What each place of the fitted vector stands for."""
+    known = indexer_labels(trained.model)
+    return forest.slots({c: known[c] for c in trained.cfg.categorical}, trained.cfg.numeric)
+
+
+def forest_nodes(trained: Trained) -> DataFrame:
+    return forest.node_table(SparkSession.active(), trained.model, forest_slots(trained))
+
+
+def predict_by_nodes(trained: Trained, df: DataFrame, out: str = "p_delay") -> DataFrame:
+    """``df`` with P(delay) from the node table's expression; the same as ``predict`` to 1e-12."""
+    p = forest.score_expression(forest_nodes(trained), forest_slots(trained))
+    ready = prepare(df, trained.keep_origin, trained.keep_dest, trained.keep_carrier)
+    return ready.withColumn(out, p).select(*[F.col(c) for c in df.columns], out)
+
+
+def permutation_importance(trained: Trained, df: DataFrame, keys: Sequence[str], k: int | None = None) -> DataFrame:
+    """(feature, importance, category) per model input by permutation (see ``forest``), most important first."""
+    p = forest.score_expression(forest_nodes(trained), forest_slots(trained))
+    ready = prepare(df, trained.keep_origin, trained.keep_dest, trained.keep_carrier)
+    inputs = [*trained.cfg.categorical, *trained.cfg.numeric]
+    found = forest.permutation_importance(ready, keys, inputs, p, trained.cfg.label)
+    found = found.withColumn("category", family("feature")).orderBy(F.col("importance").desc(), "feature")
+    return found.limit(k) if k else found
+
+
 def prediction_table(preds: DataFrame, label: str = "dep_del15",
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Label, prediction, positive probability (plus the raw vectors and any ``keep``
@@ -297,21 +325,15 @@ def write_predictions(preds: DataFrame, path: str, label: str = "dep_del15") ->
 
 def platt(scored: DataFrame, score: str = "p_delay", label: str = "dep_del15",
           fit_fraction: float = 0.5, key: Sequence[str] | None = None) -> DataFrame:
-    """Platt scaling: logistic regression of the label on the raw score.
+    """Platt scaling: logistic regression of the label on the raw score (``evaluation.platt_fit``).
 
-    Fit on a key-hash half of the rows (or all rows when no key is given), applied
-    to every row; adds ``p_platt`` and ``in_fit``, true for the rows that were fitted on. The
-    fitted map is monotone in the raw score.
+    Fit on a key-hash half of the rows (or all rows when no key is given), applied to every row by a plain
+    expression; adds ``p_platt`` and ``in_fit``, true for the rows that were fitted on. The fitted map is monotone in
+    the raw score.
     """
-    from pyspark.ml.feature import VectorAssembler as VA
-
-    vec = VA(inputCols=[score], outputCol="_pv").transform(scored).withColumn(
-        "in_fit", in_sample(key, fit_fraction) if key is not None else F.lit(True))
-    lr = LogisticRegression(featuresCol="_pv", labelCol=label, predictionCol="_pp",
-                            probabilityCol="_prob", rawPredictionCol="_raw", maxIter=100)
-    fitted = lr.fit(vec.filter("in_fit"))
-    out = fitted.transform(vec)
-    return out.withColumn("p_platt", p_positive("_prob")).drop("_pv", "_pp", "_prob", "_raw")
+    marked = scored.withColumn("in_fit", in_sample(key, fit_fraction) if key is not None else F.lit(True))
+    fitted = evaluation.platt_fit(evaluation.score_counts(marked.where("in_fit"), score, label))
+    return marked.withColumn("p_platt", fitted(score))
 
 
 def save_model(trained: Trained, path: str) -> None:

