@@ -5,7 +5,9 @@
   python -m ontime crosswalk STATIONS_CSV AIRPORTS_CSV WEATHER DST
   python -m ontime features FLIGHTS WEATHER CROSSWALK TRAIN TEST [--train-years 2023 2024 --test-years 2025]
   python -m ontime train TRAIN TEST MODEL PREDICTIONS METRICS
-  python -m ontime export TRAIN PREDICTIONS OUT_DIR
+  python -m ontime export TRAIN PREDICTIONS OUT_DIR [--metrics METRICS]
+  python -m ontime rates TRAIN RATES
+  python -m ontime score INPUT OUT RATES [--model MODEL --backend auto|forest|proxy --part month]
   python -m ontime report TRAIN TEST [--min-airport 10000 --min-route 1000 --out TRAIN_reports]
 
 Paths are anything Spark reads (local, HDFS, object stores). On a cluster the
@@ -22,16 +24,16 @@ from ontime.operators import eda
 from ontime.plans import jobs
 from ontime.session import build_session, scale_settings
 from ontime.sources import sinks
-from ontime.sources.tables import register_tables
+from ontime.sources.tables import register_external
 
 
 def report(spark, train_path: str, test_path: str, min_airport: int, min_route: int,
            out: str) -> None:
-    """The seven grouped reports over the union of the train and test tables.
+    """The seven grouped reports over the union of the train and test tables, registered as external tables by their folders.
 
     Each is written whole as a table under ``out``; the screen shows 20 rows.
     """
-    register_tables(spark, spark.read.parquet(train_path), spark.read.parquet(test_path))
+    register_external(spark, train_path, test_path)
     flights = spark.table("all_flights")
     outputs = {
         "annual": eda.annual_stats(flights, exact=False),
@@ -72,6 +74,14 @@ def main(argv=None) -> None:
     a = sub.add_parser("export")
     for n in ("train", "predictions", "out"):
         a.add_argument(n)
+    a.add_argument("--metrics", default=None, help="where train has put its metrics; exports the importances too")
+    a = sub.add_parser("rates"); a.add_argument("train"); a.add_argument("rates")
+    a = sub.add_parser("score")
+    for n in ("input", "out", "rates"):
+        a.add_argument(n)
+    a.add_argument("--model", default=None)
+    a.add_argument("--backend", choices=["auto", "forest", "proxy"], default="auto")
+    a.add_argument("--part", default="month", help="input column with one output folder for each value")
     a = sub.add_parser("report"); a.add_argument("train"); a.add_argument("test")
     a.add_argument("--min-airport", type=int, default=10000)
     a.add_argument("--min-route", type=int, default=1000)
@@ -101,7 +111,11 @@ def main(argv=None) -> None:
         print(json.dumps(jobs.run_training(spark, args.train, args.test, args.model,
                                            args.predictions, args.metrics)))
     elif args.cmd == "export":
-        jobs.run_exports(spark, args.train, args.predictions, args.out)
+        jobs.run_exports(spark, args.train, args.predictions, args.out, metrics_path=args.metrics)
+    elif args.cmd == "rates":
+        jobs.write_rates(spark, args.train, args.rates)
+    elif args.cmd == "score":
+        jobs.run_scoring(spark, args.input, args.out, args.model, args.rates, args.backend, args.part).show(truncate=False)
     elif args.cmd == "report":
         report(spark, args.train, args.test, args.min_airport, args.min_route,
                args.out or f"{args.train.rstrip('/')}_reports")

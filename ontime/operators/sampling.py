@@ -37,10 +37,47 @@ def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float,
                 cap: int | None = None) -> DataFrame:
     """Rows for which ``in_sample`` holds.
 
-    There is no size limit unless ``cap`` asks for the ``cap`` rows with the smallest
-    hashes (a top-k; ties on the hash are broken by key).
+    There is no size limit unless ``cap`` asks for the ``cap`` rows with the smallest hashes (ties on the hash are
+    broken by key). Then hash prefixes are counted until the one on the border is known: rows below it are
+    kept by comparing their hash, and only the border's own rows are ranked.
     """
     out = df.filter(in_sample(keys, fraction))
     if cap is None:
         return out
-    return out.withColumn("_h", key_hash(keys)).orderBy("_h", *keys).limit(cap).drop("_h")
+    hashed = out.withColumn("_h", key_hash(keys))
+    below, border, open_rows = smallest(hashed, "_h", cap)
+    kept = hashed.where(F.substring("_h", 1, len(below)) < F.lit(below)) if below else hashed.limit(0)
+    if border is None:
+        return hashed.drop("_h")
+    if open_rows == 0:
+        return kept.drop("_h")
+    edge = hashed.where(F.col("_h").startswith(border)).orderBy("_h", *keys).limit(open_rows)
+    return kept.unionByName(edge).drop("_h")
+
+
+# Hex digits a round adds to the prefix, and the rows of a border that are ranked.
+STEP_DIGITS = 3
+BORDER_ROWS = 10_000
+
+
+def smallest(hashed: DataFrame, col: str, cap: int) -> tuple[str, str | None, int]:
+    """(prefix, border, n): the ``cap`` rows with the smallest hashes are all whose hash is below ``prefix`` and the n smallest
+    that start with ``border``; border None means every row.
+
+    A round counts at most 16 ** 3 prefixes under the border; it ends when the border holds few rows.
+    """
+    border, left = "", cap
+    while True:
+        digits = len(border) + STEP_DIGITS
+        inside = hashed.where(F.col(col).startswith(border)) if border else hashed
+        counts = {r.p: r.n for r in inside.groupBy(F.substring(col, 1, digits).alias("p"))
+                  .agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+        if not border and sum(counts.values()) <= cap:
+            return "", None, 0
+        for prefix in sorted(counts):
+            if counts[prefix] > left:
+                break
+            left -= counts[prefix]
+        border = prefix
+        if left == 0 or counts[border] <= BORDER_ROWS or digits >= 32:
+            return border, border, left

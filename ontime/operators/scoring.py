@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -23,7 +24,8 @@ from ontime.operators.joins import lookup_rate
 # Scoring-time stand-ins for readings the caller does not give.
 DEW_POINT_OFFSET_C = 8.0
 SEA_LEVEL_PRESSURE_HPA = 1013.0
-SKY_FOR_SEVERITY = {"ge2": 8, "eq1": 5, "else": 2}
+SKY_BY_SEVERITY = [(2, 8), (1, 5)]  # (severity from, sky cover); below all of them CLEAR_SKY
+CLEAR_SKY = 2
 DEFAULT_CARRIER_RATE = 0.200
 DEFAULT_AIRPORT_RATE = 0.215
 WHAT_IF_SEVERITIES = [0, 1, 2]
@@ -36,16 +38,6 @@ HIGH_AIRPORT_RATE_ABOVE = 0.25
 SUMMER_PEAK_MONTHS = [6, 7]
 MAX_DRIVERS = 5
 FALLBACK_DRIVER = "Low-risk operating conditions"
-DRIVER_WORDING = [
-    "Late departure hour ({hour}:00)",
-    "Weather severity = {severity}",
-    "Freezing temperature ({temp}°C)",
-    "Strong wind ({wind} m/s)",
-    "Precipitation ({precip} mm/h)",
-    "High-delay carrier ({carrier})",
-    "High-delay airport ({origin})",
-    "Summer peak delay season",
-]
 
 # Carrier code -> display label.
 CARRIER_LABELS = {
@@ -78,10 +70,10 @@ def scoring_frame(spark, rows) -> DataFrame:
 
 
 def sky_from_severity(sev) -> Column:
-    s = _c(sev)
-    return (F.when(s >= F.lit(2), F.lit(SKY_FOR_SEVERITY["ge2"]))
-            .when(s == F.lit(1), F.lit(SKY_FOR_SEVERITY["eq1"]))
-            .otherwise(F.lit(SKY_FOR_SEVERITY["else"])))
+    out = F
+    for least, sky in SKY_BY_SEVERITY:
+        out = out.when(_c(sev) >= F.lit(least), F.lit(sky))
+    return out.otherwise(F.lit(CLEAR_SKY))
 
 
 def scoring_defaults(df: DataFrame) -> DataFrame:
@@ -167,16 +159,48 @@ def score_proxy(proxy: PipelineModel, df: DataFrame) -> DataFrame:
     return proxy.transform(proxy_features(df)).select(*cols, X.p_positive("probability").alias("p_delay"))
 
 
-def score_with_fallback(df: DataFrame, model_path: str | None, proxy: PipelineModel) -> DataFrame:
-    """Score with the saved forest if it loads, else with the proxy; the choice is
-    made once and recorded in a ``backend`` column."""
+@dataclass(frozen=True)
+class Backend:
+    """The scorer that was chosen, and why the forest was not: the error of loading it, null if none was tried."""
+
+    name: str  # forest or proxy
+    model: PipelineModel
+    error: str | None = None
+
+
+def choose_backend(model_path: str | None, proxy: PipelineModel, wanted: str = "auto") -> Backend:
+    """The saved forest if it loads and is one, else the proxy with the error; ``wanted`` = proxy asks for the proxy, forest
+    makes a failed load an error.
+
+    Only loading is guarded: an error while scoring (a wrong column, a lost executor) is never hidden.
+    """
+    if wanted not in ("auto", "forest", "proxy"):
+        raise ValueError(f"backend {wanted!r} is none of auto, forest, proxy")
+    if wanted == "proxy":
+        return Backend("proxy", proxy)
     try:
         if not model_path:
-            raise FileNotFoundError("no model path")
+            raise FileNotFoundError("no model path given")
         model = ml.load_model(model_path)
-        return score(model, df).withColumn("backend", F.lit("forest"))
-    except Exception:  # any load failure falls back, as the interactive scorer did
-        return score_proxy(proxy, df).withColumn("backend", F.lit("proxy"))
+        unknown = {"carrier", "origin_b", "dest_b"} - set(ml.indexer_labels(model))
+        if unknown:
+            raise ValueError(f"the saved pipeline indexes no {sorted(unknown)}")
+        return Backend("forest", model)
+    except Exception as failed:  # what a load raises depends on the file system and on what is broken
+        if wanted == "forest":
+            raise
+        return Backend("proxy", proxy, f"{type(failed).__name__}: {str(failed).splitlines()[0][:300]}")
+
+
+def score_by(backend: Backend, df: DataFrame) -> DataFrame:
+    """``df`` with p_delay, backend and backend_error; for the proxy the rates must be attached."""
+    scored = score(backend.model, df) if backend.name == "forest" else score_proxy(backend.model, df)
+    return scored.withColumns({"backend": F.lit(backend.name), "backend_error": F.lit(backend.error).cast("string")})
+
+
+def score_with_fallback(df: DataFrame, model_path: str | None, proxy: PipelineModel, wanted: str = "auto") -> DataFrame:
+    """Score with the saved forest if it loads, else with the proxy; the choice is made once and kept in columns."""
+    return score_by(choose_backend(model_path, proxy, wanted), df)
 
 
 def delta_vs_history(df: DataFrame, prob: str = "p_delay", hist: str = "origin_rate") -> DataFrame:
@@ -216,18 +240,18 @@ def drivers(temp: str = "air_temp_c", wind: str = "wind_speed_ms", precip: str =
     values = {"hour": F.col(hour), "severity": F.col(sev), "temp": F.col(temp),
               "wind": F.col(wind), "precip": F.col(precip), "carrier": F.col(carrier),
               "origin": F.col(origin)}
-    conditions = [
-        F.col(hour) >= F.lit(LATE_HOUR_FROM),
-        F.col(sev) >= F.lit(DRIVER_SEVERITY_FROM),
-        X.is_freezing(temp) == F.lit(1),
-        F.col(wind) > F.lit(X.STRONG_WIND_ABOVE_MS),
-        F.col(precip) > F.lit(0.0),
-        F.col(carrier_rate) > F.lit(HIGH_CARRIER_RATE_ABOVE),
-        F.col(origin_rate) > F.lit(HIGH_AIRPORT_RATE_ABOVE),
-        F.col(month).isin(SUMMER_PEAK_MONTHS),
+    # The rules with their wording, in display order.
+    rules = [
+        (F.col(hour) >= F.lit(LATE_HOUR_FROM), "Late departure hour ({hour}:00)"),
+        (F.col(sev) >= F.lit(DRIVER_SEVERITY_FROM), "Weather severity = {severity}"),
+        (X.is_freezing(temp) == F.lit(1), "Freezing temperature ({temp}°C)"),
+        (F.col(wind) > F.lit(X.STRONG_WIND_ABOVE_MS), "Strong wind ({wind} m/s)"),
+        (F.col(precip) > F.lit(0.0), "Precipitation ({precip} mm/h)"),
+        (F.col(carrier_rate) > F.lit(HIGH_CARRIER_RATE_ABOVE), "High-delay carrier ({carrier})"),
+        (F.col(origin_rate) > F.lit(HIGH_AIRPORT_RATE_ABOVE), "High-delay airport ({origin})"),
+        (F.col(month).isin(SUMMER_PEAK_MONTHS), "Summer peak delay season"),
     ]
-    found = F.array_compact(F.array(*[F.when(cond, _wording(text, values))
-                                      for cond, text in zip(conditions, DRIVER_WORDING)]))
+    found = F.array_compact(F.array(*[F.when(met, _wording(text, values)) for met, text in rules]))
     return F.when(F.size(found) == F.lit(0), F.array(F.lit(FALLBACK_DRIVER))) \
         .otherwise(F.slice(found, 1, MAX_DRIVERS))
 

@@ -8,6 +8,7 @@ rounded to 6 places (``+ 0.0`` folds a negative zero).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,14 @@ from ontime.functions import clean as C
 from ontime.functions import features as X
 from ontime.operators import eda, evaluation, features, forest, geo, joins, ml, sampling, scoring
 from ontime.plans import driver_tables as dt
-from ontime.session import app_id, cut_lineage
-from ontime.sources.tables import register_tables
+from ontime.schemas import AIRPORT_FIELDS
+from ontime.session import app_id, cut_lineage, scratch_path
+from ontime.sources import flights as FL
+from ontime.sources import lines
+from ontime.sources import places as PL
+from ontime.sources import weather as WX
+from ontime.sources.sinks import write_partitioned
+from ontime.sources.tables import drop_table, list_tables, register_external, register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,6 +128,29 @@ def union_view(spark, sf_dir):
         FROM all_flights GROUP BY year ORDER BY year""")
 
 
+@query("external_tables")
+def external_tables(spark, sf_dir):
+    """Train and test splits as external tables by their folders (test LIKE train, partitions recovered): reports read by name, the
+    catalog's list before and after both are dropped, and the files that stay."""
+    base = scratch_path(spark, f"external-{uuid.uuid4().hex}")
+    for name, part in zip(("train", "test"), _split(spark, sf_dir), strict=True):
+        write_partitioned(part, f"{base}/{name}", ["year"])
+    names = ["ontime_train", "ontime_test"]
+    register_external(spark, f"{base}/train", f"{base}/test", *names, "ontime_flights")
+
+    def listed():
+        return sum(r.tableName in names for r in list_tables(spark).collect())
+
+    report = spark.sql("""SELECT year, count(*) AS flights, round(avg(dep_del15) * 100, 2) AS pct_delayed
+                          FROM ontime_flights GROUP BY year""")
+    report, before = cut_lineage(report), listed()
+    for name in [*names, "ontime_flights"]:
+        drop_table(spark, name)
+    kept = spark.read.parquet(f"{base}/train").count() + spark.read.parquet(f"{base}/test").count()
+    return report.select("year", "flights", "pct_delayed", F.lit(before).alias("listed"),
+                         F.lit(listed()).alias("listed_after"), F.lit(kept).cast("long").alias("rows_kept"))
+
+
 @query("split_profile")
 def split_profile(spark, sf_dir):
     train, test = _split(spark, sf_dir)
@@ -172,6 +202,24 @@ def bucket_rare(spark, sf_dir):
     return eda.rate_by(b, "origin_b", with_avg_delay=False)
 
 
+@query("train_buckets")
+def train_buckets(spark, sf_dir):
+    """The buckets that training and scoring use, from the one-pass category counts: rows and delays per bucket."""
+    t = dt.model_table(spark, sf_dir)
+    _, tops = ml.category_stats(t, "dep_del15", ["origin", "dest", "carrier"], TOP_K)
+    b = ml.prepare(t, tops["origin"], tops["dest"], tops["carrier"])
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("input"), F.col(c).alias("bucket")) for c in ("origin_b", "dest_b", "carrier")]))
+    return b.select("dep_del15", pairs).groupBy("input", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.avg("dep_del15")).alias("delay_rate"))
+
+
+@query("label_codes")
+def label_codes(spark, sf_dir):
+    """Display labels of the event types that have one; the others show their code."""
+    e = joins.label_codes(_events(spark, sf_dir), "event_type", {"view": "Page view (view)", "purchase": "Purchase (purchase)"}, "label")
+    return e.groupBy("event_type", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("class_weight")
 def class_weight(spark, sf_dir):
     t = dt.model_table(spark, sf_dir)
@@ -297,6 +345,126 @@ def humidity(spark, sf_dir):
     return h.select("event_id", r6("rel_humidity").alias("rel_humidity"))
 
 
+# ------------------------------------------------- raw lines: parsing and rejects
+
+# The header of the rendered flight lines (the needed columns, among others and in another order).
+FLIGHT_HEADER = ("FL_DATE,YEAR,MONTH,DAY_OF_MONTH,DAY_OF_WEEK,OP_UNIQUE_CARRIER,TAIL_NUM,EXTRA,ORIGIN,ORIGIN_STATE_ABR,DEST,"
+                 "DEST_STATE_ABR,CRS_DEP_TIME,DEP_DELAY,DEP_DEL15,CRS_ARR_TIME,ARR_DELAY,CANCELLED,DIVERTED,CRS_ELAPSED_TIME,DISTANCE")
+
+
+def _every(n: int, then, otherwise) -> Column:
+    return F.when(F.col("event_id") % F.lit(n) == F.lit(0), then).otherwise(otherwise)
+
+
+def _flight_lines(spark, sf_dir):
+    """One flight CSV line per event: quoted commas, empty and decimal fields, cancelled flights, and lines that do not fit."""
+    ts, user = F.col("ts"), F.col("user_id").cast("string")
+    zero = F.lit("0.00")
+    fields = [
+        F.concat(F.date_format(ts, "M/d/yyyy"), F.lit(" 12:00:00 AM")),
+        _every(97, F.lit("n/a"), F.year(ts).cast("string")), F.month(ts).cast("string"), F.dayofmonth(ts).cast("string"),
+        X.iso_weekday("ts").cast("string"), F.col("event_type"), F.concat(F.lit('"N,'), user, F.lit('"')), F.lit("x"),
+        F.concat(F.lit("O"), user), F.lit("AA"), F.concat(F.lit("D"), user), F.lit("BB"),
+        _every(5, F.concat((F.hour(ts) * 100 + F.minute(ts)).cast("string"), F.lit(".0")),
+               (F.hour(ts) * 100 + F.minute(ts)).cast("string")),
+        _every(11, F.lit(""), F.round(F.col("value")).cast("int").cast("string")), zero, F.lit("1200"), zero,
+        _every(13, F.lit("1.00"), zero), _every(17, F.lit("1.00"), zero), F.lit("90"), F.lit("500")]
+    line = F.concat_ws(",", *fields)
+    line = _every(89, F.concat(line, F.lit(",surplus")), _every(83, F.substring_index(line, ",", 12), line))
+    # written once, as the raw files of the ingest jobs are
+    return cut_lineage(_events(spark, sf_dir).select("event_id", line.alias("value")))
+
+
+@query("flight_parse")
+def flight_parse(spark, sf_dir):
+    """Rendered flight lines parsed, typed, filtered and staged; rejected lines are a table of their own."""
+    parsed = FL.parse_flights(_flight_lines(spark, sf_dir), FLIGHT_HEADER)
+    staged = FL.stage_flights(lines.accepted(parsed), ["event_id"])
+    good = staged.select("event_id", F.lit("staged").alias("status"), "year", "month", "day", "dow", "carrier", "tail", "origin",
+                         "crs_dep_hhmm", "crs_dep_local", "dep_delay", F.lit(0).alias("line_chars"))
+    bad = lines.rejected(parsed, ["event_id"])
+    none = F.lit(None)
+    return good.unionByName(bad.select(
+        "event_id", F.lit("rejected").alias("status"), *[none.cast(t).alias(c) for c, t in good.dtypes[2:-1]],
+        F.length("line").alias("line_chars")))
+
+
+def _weather_lines(spark, sf_dir):
+    """One padded observation line per event, from a path that names its station; some readings missing, some lines short."""
+    ts = F.col("ts")
+    tenths = F.round(F.col("value")).cast("int")
+    readings = [F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), _every(7, F.lit(-9999), tenths), tenths - 80,
+                F.lit(10130), F.lit(270), _every(3, F.lit(-9999), tenths), F.lit(4), _every(2, F.lit(-9999), F.lit(2)), F.lit(-9999)]
+    line = F.concat_ws(" ", *[F.lpad(r.cast("string"), 6, " ") for r in readings])
+    line = _every(71, F.substring(line, 1, 60), _every(67, F.replace(line, F.lit("270"), F.lit("27x")), line))
+    station = F.lpad((F.col("user_id") % 10).cast("string"), 6, "7")
+    path = F.concat(F.lit("file:/w/"), F.year(ts).cast("string"), F.lit("/"), station, F.lit("-00001-"), F.year(ts).cast("string"))
+    return cut_lineage(_events(spark, sf_dir).select("event_id", line.alias("value"), path.alias("_path")))
+
+
+@query("weather_parse")
+def weather_parse(spark, sf_dir):
+    """Rendered observation lines parsed, cleaned of sentinels and stamped; short or unreadable lines are rejected."""
+    parsed = WX.parse_weather(_weather_lines(spark, sf_dir))
+    clean = WX.clean_weather(lines.accepted(parsed), ["event_id"])
+    good = clean.select("event_id", F.lit("read").alias("status"), "station_id", "obs_ts_utc", "air_temp_c", "dew_point_c",
+                        "slp_hpa", "wind_dir", "wind_speed_ms", "sky_cond", "precip_1h_mm", "precip_6h_mm")
+    bad = lines.rejected(parsed, ["event_id", "station_id"])
+    rest = [F.lit(None).cast(t).alias(c) for c, t in good.dtypes[3:]]
+    return good.unionByName(bad.select("event_id", F.lit("rejected").alias("status"), "station_id", *rest))
+
+
+def _stations(spark, sf_dir):
+    """Stations from rendered history lines of the suppliers; latitudes beyond the pole and blank longitudes occur."""
+    s = dt.table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    fields = [F.lpad(k.cast("string"), 6, "0"), F.lit("00001"), F.lit('"Name, of station"'), F.lit("US"), F.lit("KXXX"),
+              (F.col("s_acctbal") / 100).cast("string"), F.when(k % 19 == 0, F.lit(" ")).otherwise(F.col("s_nationkey").cast("string"))]
+    raw = s.select(F.concat_ws(",", *fields).alias("value"))
+    parsed = lines.parse_csv(raw, ["USAF", "WBAN", "STATION NAME", "CTRY", "ICAO", "LAT", "LON"])
+    return PL.station_points(lines.accepted(parsed))
+
+
+def _airports(spark, sf_dir):
+    """Airports from rendered lines of the customers; other countries, small ones and blank codes occur."""
+    c = dt.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    fields = [F.when(k % 23 == 0, F.lit("CA")).otherwise(F.lit("US")),
+              F.when(k % 29 == 0, F.lit(" ")).otherwise(F.concat(F.lit("C"), k.cast("string"))),
+              F.when(k % 3 == 0, F.lit("small_airport")).otherwise(F.lit("large_airport")),
+              (F.col("c_acctbal") / 100).cast("string"), F.col("c_nationkey").cast("string")]
+    raw = c.select(F.concat_ws(",", *fields).alias("value"))
+    return PL.airport_points(lines.accepted(lines.parse_csv(raw, AIRPORT_FIELDS)))
+
+
+@query("station_points")
+def station_points(spark, sf_dir):
+    stations, airports = _stations(spark, sf_dir), _airports(spark, sf_dir)
+    return (stations.select(F.lit("station").alias("kind"), F.col("station_id").alias("key"), "lat", "lon")
+            .unionByName(airports.select(F.lit("airport").alias("kind"), F.col("iata").alias("key"), "lat", "lon")))
+
+
+@query("attach_station")
+def attach_station(spark, sf_dir):
+    """Orders as flights from their customer's airport, with the nearest station within a degree."""
+    cw = geo.nearest(_airports(spark, sf_dir), _stations(spark, sf_dir), ("lat", "lon"), ("lat", "lon"), "station_id", 1.0)
+    cw = cut_lineage(cw.select("iata", "station_id"))
+    flights = dt.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("origin"))
+    return joins.attach_station(flights, cw)
+
+
+@query("weather_join")
+def weather_join(spark, sf_dir):
+    """Purchases as flights, each with its station's parsed readings of the hour (averaged where there are several)."""
+    wx = WX.clean_weather(lines.accepted(WX.parse_weather(_weather_lines(spark, sf_dir))))
+    flights = _events(spark, sf_dir).where(F.col("event_type") == "purchase").select(
+        "event_id", F.concat(F.lpad((F.col("user_id") % 10).cast("string"), 6, "7"), F.lit("-00001")).alias("origin_station"),
+        C.hour_key("ts").alias("crs_dep_hour_local"))
+    j = joins.join_weather(flights, wx)
+    return j.select("event_id", "origin_station", "crs_dep_hour_local", *[r6(c).alias(c) for c in joins.WEATHER_MEANS], "sky_cond")
+
+
 # ------------------------------------------------------------- rates and scoring
 
 _RATES: dict[tuple[str, str], list[DataFrame]] = {}
@@ -532,6 +700,26 @@ def what_if_model(spark, sf_dir):
                                           F.avg("p_delay").alias("mean_p")).orderBy("scenario")
 
 
+@query("score_backends")
+def score_backends(spark, sf_dir):
+    """Test rows scored by the job's backend choice: a saved forest, a missing one, a broken one, and the proxy on request."""
+    trained, test = _forest(spark, sf_dir)
+    train, _, carrier, airport = _rates(spark, sf_dir)
+    rates = (carrier.select("carrier", "rate"), airport.select("origin", "rate"))
+    proxy = scoring.train_proxy(scoring.with_rates(train.withColumnRenamed("crs_dep_hour", "dep_hour"), *rates))
+    saved, broken = (scratch_path(spark, f"{kind}-{uuid.uuid4().hex}") for kind in ("forest", "broken"))
+    ml.save_model(trained, saved)
+    proxy.write().save(broken)  # a pipeline, but no forest
+    inputs = scoring.with_rates(_scoring_inputs(test), *rates)
+    asked = {"saved": (saved, "auto"), "missing": (f"{saved}-none", "auto"), "broken": (broken, "auto"), "proxy": (saved, "proxy")}
+    out = None
+    for name, (path, wanted) in asked.items():
+        one = scoring.presentation(scoring.score_with_fallback(inputs, path, proxy, wanted)).withColumn("asked", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("asked", "backend", F.col("backend_error").isNotNull().alias("failed")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("p_delay").between(0, 1)).alias("n_scored"))
+
+
 @query("proxy_fallback")
 def proxy_fallback(spark, sf_dir):
     train, test, carrier, airport = _rates(spark, sf_dir)

@@ -12,12 +12,13 @@ import os
 import uuid
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling
+from ontime.operators import eda, evaluation, features, geo, joins, ml, sampling, scoring
 from ontime.schemas import MODEL_COLUMNS
-from ontime.session import scratch_path
+from ontime.session import cut_lineage, scratch_path
 from ontime.sources import flights as FL
 from ontime.sources import places as PL
 from ontime.sources import sinks
@@ -41,12 +42,11 @@ def ingest_weather(spark: SparkSession, src, dst: str, partitions: int | None =
 def build_crosswalk(spark: SparkSession, stations_csv: str, airports_csv: str,
                     weather_path: str, radius: float = 1.0) -> DataFrame:
     """Airport code -> nearest station that has observations, within ``radius``."""
-    stations = PL.normalize_stations(PL.read_stations(spark, stations_csv))
+    stations = PL.station_points(PL.read_stations(spark, stations_csv))
     observed = spark.read.parquet(weather_path).select("station_id")
     verified = geo.with_present(stations, observed, "station_id")
-    airports = PL.normalize_airports(PL.read_airports(spark, airports_csv))
-    near = geo.nearest(airports, verified, ("a_lat", "a_lon"), ("s_lat", "s_lon"),
-                       "station_id", radius)
+    airports = PL.airport_points(PL.read_airports(spark, airports_csv))
+    near = geo.nearest(airports, verified, ("lat", "lon"), ("lat", "lon"), "station_id", radius)
     # One station per code even when the airport file lists a code twice (the match
     # is ranked per code): the closest over all of the code's rows, ties by station.
     return eda.first_per_key(near.select("iata", "dist", "station_id"), "iata",
@@ -105,9 +105,56 @@ def run_training(spark: SparkSession, train_path: str, test_path: str, model_pat
     return metrics
 
 
+def write_rates(spark: SparkSession, train_path: str, out: str) -> None:
+    """What scoring needs beside a forest: rates per carrier and origin as tables, and the fitted proxy model."""
+    train = spark.read.parquet(train_path)
+    for key in ("carrier", "origin"):
+        sinks.write_parquet(joins.rate_table(train, key), f"{out}/{key}")
+    rows = scoring.with_rates(train.withColumnRenamed("crs_dep_hour", "dep_hour"), *read_rates(spark, out))
+    scoring.train_proxy(rows).write().overwrite().save(f"{out}/proxy")
+
+
+def read_rates(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    carrier, origin = (spark.read.parquet(f"{out}/{key}").select(key, "rate") for key in ("carrier", "origin"))
+    return carrier, origin
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system that Spark would read it from."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def run_scoring(spark: SparkSession, input_path: str, out: str, model_path: str | None, rates_path: str,
+                backend: str = "auto", part: str = "month") -> DataFrame:
+    """Score a Parquet table of scoring inputs into ``out``, one folder for each value of ``part``; returns rows per part and backend.
+
+    The backend is chosen once (see ``scoring.choose_backend``); its name and the error that kept the forest away are columns.
+    A folder counts as done when its write was committed (_SUCCESS), so a run that was stopped goes on with
+    the missing ones, and a folder that was half written is written anew.
+    """
+    inputs = spark.read.parquet(input_path)
+    chosen = scoring.choose_backend(model_path, PipelineModel.load(f"{rates_path}/proxy"), backend)
+    rates = read_rates(spark, rates_path)
+    for row in inputs.select(part).distinct().orderBy(part).toLocalIterator():
+        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+        folder = f"{out}/{part}={name}"
+        if exists(spark, f"{folder}/_SUCCESS"):
+            continue
+        own = inputs.where(F.col(part).eqNullSafe(F.lit(row[0])))
+        scored = scoring.presentation(scoring.score_by(chosen, scoring.with_rates(own, *rates)))
+        scored = scoring.with_drivers(scored, sep="; ")
+        sinks.write_parquet(scored.drop(part), folder)
+    table = spark.read.option("basePath", out).parquet(f"{out}/{part}=*")
+    return table.groupBy(part, "backend", "backend_error").agg(F.count(F.lit(1)).alias("rows")).orderBy(part, "backend")
+
+
 def run_exports(spark: SparkSession, train_path: str, pred_path: str, out_dir: str,
-                sample_cap: int | None = None) -> None:
-    """Small report tables as header CSV folders, written by the executors."""
+                sample_cap: int | None = None, metrics_path: str | None = None) -> None:
+    """Small report tables as header CSV folders, written by the executors.
+
+    With ``metrics_path``, where ``run_training`` has put its importances, these are exported too.
+    """
     train = spark.read.parquet(train_path)
     pred = spark.read.parquet(pred_path).select("dep_del15", "p_delay")
     # The sample key is the whole row, so membership does not depend on partitioning.
@@ -123,9 +170,17 @@ def run_exports(spark: SparkSession, train_path: str, pred_path: str, out_dir: s
                     .orderBy("weather_severity"),
                     os.path.join(out_dir, "weather_severity"))
     sinks.write_csv(evaluation.calibration(pred), os.path.join(out_dir, "calibration"))
-    counts = evaluation.score_counts(pred, "p_delay", "dep_del15")
+    counts = cut_lineage(evaluation.score_counts(pred, "p_delay", "dep_del15"))  # read by both curves
     sinks.write_csv(evaluation.roc_points(counts), os.path.join(out_dir, "roc"))
     sinks.write_csv(evaluation.pr_points(counts), os.path.join(out_dir, "pr"))
+    if metrics_path:
+        found = spark.read.parquet(f"{metrics_path}_importance").orderBy(F.col("importance").desc(), "feature")
+        sinks.write_csv(found, os.path.join(out_dir, "feature_importance"), ["feature", "importance", "category"])
     whole = spark.read.parquet(pred_path)
+    # Platt: fitted on one half of the rows by their hash, the curve drawn on the other
+    scaled = ml.platt(whole.select("dep_del15", "p_delay", "rawPrediction"), key=["p_delay", "rawPrediction"]).where("not in_fit")
+    sinks.write_csv(evaluation.stack_curves({"forest": evaluation.calibration(scaled, "p_delay"),
+                                             "platt": evaluation.calibration(scaled, "p_platt")}),
+                    os.path.join(out_dir, "calibration_platt"), ["model", "bin", "p_mean", "y_mean", "n"])
     sinks.write_csv(sampling.hash_sample(whole, whole.columns, 0.25, sample_cap),
                     os.path.join(out_dir, "predictions_sample"), ["dep_del15", "p_delay"])

@@ -482,3 +482,89 @@ m AS (
          avg((t + ov - label) * (t + ov - label)) AS mv FROM s)
 SELECT 'event_type' AS feature, {r6('mt - base')} AS importance FROM m
 UNION ALL SELECT 'value', {r6('mv - base')} FROM m UNION ALL SELECT 'user_id', CAST(0 AS DOUBLE)"""
+
+SQL["external_tables"] = with_trips("""
+SELECT year, count(*) AS flights, round(avg(dep_del15) * 100, 2) AS pct_delayed, CAST(2 AS INTEGER) AS listed,
+       CAST(0 AS INTEGER) AS listed_after, CAST(sum(count(*)) OVER () AS BIGINT) AS rows_kept
+FROM trips WHERE year BETWEEN 1995 AND 2002 GROUP BY year""")
+
+SQL["score_backends"] = with_trips("""
+, n AS (SELECT count(*) AS n FROM trips WHERE year IN (2000, 2001, 2002))
+SELECT asked, backend, failed, n, n AS n_scored FROM n, (VALUES
+  ('saved', 'forest', false), ('missing', 'proxy', true), ('broken', 'proxy', true), ('proxy', 'proxy', false)) AS v(asked, backend, failed)""")
+
+# ------------------------------------------------- raw lines: what the rendered lines stand for
+
+SQL["flight_parse"] = """
+WITH said AS (
+  SELECT *, hour(ts) * 100 + minute(ts) AS hhmm, CAST(round(value) AS INTEGER) AS delay,
+         event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 AS bad FROM events),
+written AS (
+  SELECT event_id, bad, concat_ws(',', month(ts) || '/' || day(ts) || '/' || year(ts) || ' 12:00:00 AM',
+      CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(year(ts) AS VARCHAR) END, month(ts), day(ts), isodow(ts), event_type,
+      '"N,' || user_id || '"', 'x', 'O' || user_id, 'AA', 'D' || user_id, 'BB',
+      hhmm || CASE WHEN event_id % 5 = 0 THEN '.0' ELSE '' END, CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(delay AS VARCHAR) END,
+      '0.00', '1200', '0.00', CASE WHEN event_id % 13 = 0 THEN '1.00' ELSE '0.00' END,
+      CASE WHEN event_id % 17 = 0 THEN '1.00' ELSE '0.00' END, '90', '500') AS line FROM said)
+SELECT event_id, 'staged' AS status, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day, CAST(isodow(ts) AS INTEGER) AS dow, event_type AS carrier, 'N,' || user_id AS tail,
+       'O' || user_id AS origin, lpad(CAST(hhmm AS VARCHAR), 4, '0') AS crs_dep_hhmm,
+       CAST(date_trunc('minute', ts) AS TIMESTAMP) AS crs_dep_local, CAST(delay AS DOUBLE) AS dep_delay, CAST(0 AS INTEGER) AS line_chars
+FROM said WHERE NOT bad AND event_id % 11 > 0 AND event_id % 13 > 0 AND event_id % 17 > 0
+UNION ALL
+SELECT event_id, 'rejected', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CAST(CASE WHEN event_id % 89 = 0 THEN length(line) + 8
+                 WHEN event_id % 83 = 0 THEN length(array_to_string(string_split(line, ',')[1:12], ',')) ELSE length(line) END AS INTEGER)
+FROM written WHERE bad"""
+
+_OBSERVED = """obs AS (
+  SELECT event_id, event_type, ts, event_id % 71 = 0 OR event_id % 67 = 0 AS bad,
+         lpad(CAST(user_id % 10 AS VARCHAR), 6, '7') || '-00001' AS station_id, date_trunc('hour', ts) AS obs_ts_utc,
+         CASE WHEN event_id % 7 > 0 THEN round(value) / 10 END AS air_temp_c, (round(value) - 80) / 10 AS dew_point_c,
+         CAST(1013 AS DOUBLE) AS slp_hpa, 270 AS wind_dir, CASE WHEN event_id % 3 > 0 THEN round(value) / 10 END AS wind_speed_ms,
+         4 AS sky_cond, CASE WHEN event_id % 2 > 0 THEN CAST(0.2 AS DOUBLE) END AS precip_1h_mm, CAST(NULL AS DOUBLE) AS precip_6h_mm
+  FROM events)"""
+
+SQL["weather_parse"] = f"""
+WITH {_OBSERVED}
+SELECT event_id, 'read' AS status, station_id, CAST(obs_ts_utc AS TIMESTAMP) AS obs_ts_utc, air_temp_c, dew_point_c, slp_hpa, wind_dir,
+       wind_speed_ms, sky_cond, precip_1h_mm, precip_6h_mm FROM obs WHERE NOT bad
+UNION ALL
+SELECT event_id, 'rejected', station_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM obs WHERE bad"""
+
+_MEANS = ["air_temp_c", "dew_point_c", "slp_hpa", "wind_speed_ms", "precip_1h_mm"]
+SQL["weather_join"] = f"""
+WITH {_OBSERVED},
+w AS (SELECT station_id, obs_ts_utc, {', '.join(f'avg({c}) AS {c}' for c in _MEANS)}, max(sky_cond) AS sky_cond
+      FROM obs WHERE NOT bad GROUP BY station_id, obs_ts_utc)
+SELECT o.event_id, o.station_id AS origin_station, CAST(o.obs_ts_utc AS TIMESTAMP) AS crs_dep_hour_local,
+       {', '.join(f"{r6('w.' + c)} AS {c}" for c in _MEANS)}, w.sky_cond
+FROM obs o LEFT JOIN w ON o.station_id = w.station_id AND o.obs_ts_utc = w.obs_ts_utc WHERE o.event_type = 'purchase'"""
+
+_PLACES = """stations AS (
+  SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') || '-00001' AS station_id, s_acctbal / 100 AS lat, CAST(s_nationkey AS DOUBLE) AS lon
+  FROM supplier WHERE s_suppkey % 19 > 0 AND s_acctbal / 100 BETWEEN -90 AND 90),
+airports AS (
+  SELECT 'C' || c_custkey AS iata, c_acctbal / 100 AS lat, CAST(c_nationkey AS DOUBLE) AS lon
+  FROM customer WHERE c_custkey % 23 > 0 AND c_custkey % 29 > 0 AND c_custkey % 3 > 0 AND c_acctbal / 100 BETWEEN -90 AND 90)"""
+
+SQL["station_points"] = f"""
+WITH {_PLACES}
+SELECT 'station' AS kind, station_id AS key, lat, lon FROM stations UNION ALL SELECT 'airport', iata, lat, lon FROM airports"""
+
+SQL["attach_station"] = f"""
+WITH {_PLACES},
+pairs AS (SELECT iata, station_id, sqrt((a.lat - s.lat) * (a.lat - s.lat) + (a.lon - s.lon) * (a.lon - s.lon)) AS d FROM airports a, stations s),
+near AS (SELECT *, row_number() OVER (PARTITION BY iata ORDER BY d, station_id) AS k FROM pairs)
+SELECT o_orderkey, iata AS origin, station_id AS origin_station FROM orders JOIN near ON iata = 'C' || o_custkey WHERE k = 1 AND d < 1"""
+
+SQL["train_buckets"] = with_trips("\n, " + ",\n".join(
+    f"k_{c} AS (SELECT {c} AS v FROM trips GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 10)" for c in ("origin", "dest", "carrier"))
+    + "\n" + " UNION ALL ".join(
+    f"SELECT '{name}' AS input, CASE WHEN {c} IN (SELECT v FROM k_{c}) THEN {c} ELSE 'OTHER' END AS bucket, count(*) AS n, "
+    f"{r6('avg(dep_del15)')} AS delay_rate FROM trips GROUP BY 2"
+    for c, name in (("origin", "origin_b"), ("dest", "dest_b"), ("carrier", "carrier"))))
+
+SQL["label_codes"] = """
+SELECT event_type, CASE event_type WHEN 'view' THEN 'Page view (view)' WHEN 'purchase' THEN 'Purchase (purchase)' ELSE event_type END AS label,
+       count(*) AS n FROM events GROUP BY 1, 2"""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions import clean as C
 from ontime.schemas import FLIGHT_COLUMNS, RAW_FLIGHTS
+from ontime.sources.lines import CORRUPT, parse_csv
 
 
 def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,6 +24,24 @@ def read_flights(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df
 
 
+def parse_flights(lines: DataFrame, header: str, line: str = "value") -> DataFrame:
+    """Flight CSV lines of one layout (its header line) as the raw columns plus ``_corrupt_record``.
+
+    A line is rejected when its number of fields differs from the header's, or when a date part or the departure time is no
+    number. Other columns of ``lines`` pass through.
+    """
+    names = [n.strip().strip('"') for n in header.split(",")]
+    missing = [n for n in RAW_FLIGHTS.fieldNames() if n not in names]
+    if missing:
+        raise ValueError(f"flight header is missing columns {missing}; found {names}")
+    numbers = [src for src, dst, _ in FLIGHT_COLUMNS if dst in ("year", "month", "day", "crs_dep_time")]
+    unreadable = F.lit(False)
+    for n in numbers:
+        unreadable = unreadable | _typed(n, "int").isNull()
+    keep = [c for c in lines.columns if c != line]
+    return parse_csv(lines, names, line, unreadable).select(*keep, *RAW_FLIGHTS.fieldNames(), CORRUPT)
+
+
 def require_columns(df: DataFrame, names, what: str) -> None:
     """Fail with the list of missing header names (a schema check, no data read)."""
     missing = [n for n in names if n not in df.columns]
@@ -37,9 +58,9 @@ def _typed(col: str, kind: str):
     return c
 
 
-def normalize_flights(raw: DataFrame) -> DataFrame:
-    """Rename and type the raw columns; ints arriving as '800.0' are kept."""
-    return raw.select(*[_typed(src, kind).alias(dst) for src, dst, kind in FLIGHT_COLUMNS])
+def normalize_flights(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rename and type the raw columns; ints arriving as '800.0' are kept, and so are the columns ``keep``."""
+    return raw.select(*keep, *[_typed(src, kind).alias(dst) for src, dst, kind in FLIGHT_COLUMNS])
 
 
 def drop_cancelled(df: DataFrame) -> DataFrame:
@@ -76,5 +97,5 @@ def with_departure(df: DataFrame) -> DataFrame:
     return with_departure_ts(with_hhmm(df))
 
 
-def stage_flights(raw: DataFrame) -> DataFrame:
-    return with_departure(drop_cancelled(normalize_flights(raw)))
+def stage_flights(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return with_departure(drop_cancelled(normalize_flights(raw, keep)))

@@ -65,12 +65,12 @@ def test_weather_parse_whitespace_and_sentinels(spark, workdir):
 
 def test_station_and_airport_normalisation(spark, workdir):
     st = PL.read_stations(spark, write_text(workdir, "isd.csv", STATIONS))
-    norm = {r["station_id"]: r for r in PL.normalize_stations(st).collect()}
+    norm = {r["station_id"]: r for r in PL.station_points(st).collect()}
     assert "722950-23174" in norm  # padded USAF trimmed
     assert "722951-23175" not in norm and "722952-23176" not in norm  # blank/null coords
     us_k = {r["station_id"] for r in PL.us_airport_stations(st).collect()}
     assert us_k == {"722950-23174", "722951-23175", "722954-23178"}
-    ap = PL.normalize_airports(PL.read_airports(spark, write_text(workdir, "ap.csv", AIRPORTS)))
+    ap = PL.airport_points(PL.read_airports(spark, write_text(workdir, "ap.csv", AIRPORTS)))
     assert {r["iata"] for r in ap.collect()} == {"AAA", "NEAR", "FAR"}
 
 
