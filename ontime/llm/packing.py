@@ -4,16 +4,17 @@
    tokenizers library plus an end id; only longer documents are cut). Words are encoded once
    and remembered in a bounded table per Python worker.
 2. ``pack`` needs only the pieces' lengths. Their histogram (at most ``capacity`` counts) is
-   all that reaches the driver. There, patterns of up to four lengths that fill a sequence are
-   enumerated, repeat counts are fitted to the histogram by non-negative least squares and
-   rounded down, and the rest is packed best-fit decreasing on counts, never on rows. The plan is
+   all that reaches the driver. There, patterns of up to 24 lengths that fill a sequence exactly are
+   enumerated from what is left, repeat counts are fitted to the histogram by non-negative least squares and
+   rounded, and this is repeated on the residual until rounds place little. What remains (a few in a hundred pieces where there
+   are short ones) is packed best-fit decreasing on counts, never on rows. The plan is
    a list of runs: "ranks r to s of this length go to sequences from q, at this offset".
 3. A piece's rank among equal lengths is its partition's share (a count per partition and
    length, added up by Spark) plus its place within the partition, so no length is gathered in
    one task. Looking a rank up in the plan places the piece.
 
 The plan's size is bounded by the histogram, not by the rows: at most ``capacity`` distinct
-lengths, ``max_patterns`` patterns, and a few runs for each step of the best fit.
+lengths, ten rounds of at most 20,000 patterns, and a few runs for each step of the best fit.
 
 Defined cases: null text counts as empty; an empty text is a piece with the end id alone; repeated rows are
 packed as often as they come; an empty table gives an empty result.
@@ -149,45 +150,48 @@ class Plan:
 
     runs: list[tuple[int, int, int, int, int]] = field(default_factory=list)
     sequences: int = 0
+    by_pattern: int = 0  # pieces that a fitted pattern places; the others come from the best fit
 
 
-def patterns(count: np.ndarray, capacity: int, max_patterns: int = 20_000) -> np.ndarray:
-    """Multisets of one to four present lengths with a sum close to ``capacity``, padded with zeros."""
-    present = np.flatnonzero(count)
-    found = [np.zeros((0, 4), np.int64)]
-    if len(present) == 0:
-        return found[0]
-
-    def close(rest: np.ndarray) -> np.ndarray:
-        """The largest present length that fits each rest; 0 where none does."""
-        spot = np.searchsorted(present, rest, side="right") - 1
-        return np.where(spot >= 0, present[np.maximum(spot, 0)], 0)
-
-    one = np.zeros((len(present), 4), np.int64)
-    one[:, 0] = present
-    one[:, 1] = close(capacity - one[:, 0])
-    found.append(one)
-    grid = present[np.unique(np.linspace(0, len(present) - 1, 12).astype(int))]
-    for second in grid:
-        three = np.zeros((len(present), 4), np.int64)
-        three[:, 0], three[:, 1] = present, second
-        rest = capacity - present - second
-        three[:, 2] = close(rest)
-        found.append(three[rest >= 0])
-    for i, second in enumerate(grid[: len(grid) // 2 + 1]):
-        for third in grid[: i + 1]:
-            four = np.zeros((len(present), 4), np.int64)
-            four[:, 0], four[:, 1], four[:, 2] = present, second, third
-            rest = capacity - present - second - third
-            four[:, 3] = close(rest)
-            found.append(four[rest >= 0])
-    every = np.unique(-np.sort(-np.concatenate(found), axis=1), axis=0)
-    every = every[np.argsort(capacity - every.sum(axis=1), kind="stable")]
-    waste = capacity - every.sum(axis=1)
-    return every[waste <= capacity // 256][:max_patterns]
-
-
-def fit(patterns: np.ndarray, count: np.ndarray, steps: int = 150) -> np.ndarray:
+def patterns(left: np.ndarray, capacity: int, chance: np.random.Generator, many: int, documents: int = 24) -> np.ndarray:
+    """About ``many`` multisets of present lengths whose sum is ``capacity``, padded with zeros.
+
+    Pairs are enumerated. Longer patterns are drawn like the pieces that are left: first a long length (hard to place, so
+    in proportion to count x length ** 4), then lengths by their counts among those that still fit, and the last one is
+    replaced by the one that fills the sequence, where that is present.
+    """
+    lengths = np.flatnonzero(left)
+    if len(lengths) == 0:
+        return np.zeros((0, documents), np.int64)
+    upto_count = np.concatenate([[0], np.cumsum(left[lengths])])
+    upto_weight = np.cumsum(left[lengths] * lengths.astype(float) ** 4)
+
+    def fitting(room: np.ndarray) -> np.ndarray:
+        """The largest present length that fits each room; 0 where none does."""
+        spot = np.searchsorted(lengths, room, side="right") - 1
+        return np.where(spot >= 0, lengths[np.maximum(spot, 0)], 0)
+
+    drawn, rest, live = np.zeros((many, documents), np.int64), np.full(many, capacity), np.arange(many)
+    for k in range(documents - 1):
+        fits = np.searchsorted(lengths, rest[live], side="right")
+        live, fits = live[fits > 0], fits[fits > 0]
+        if k == 0:
+            pick = np.searchsorted(upto_weight, chance.random(len(live)) * upto_weight[-1], side="right")
+        else:
+            pick = np.searchsorted(upto_count, (chance.random(len(live)) * upto_count[fits]).astype(np.int64), side="right") - 1
+        got = lengths[np.minimum(pick, len(lengths) - 1)]
+        drawn[live, k] = got
+        rest[live] -= got
+    last = (drawn > 0).sum(axis=1) - 1
+    every = np.arange(many)
+    drawn[every, last] = fitting(rest + drawn[every, last])
+    pairs = np.zeros((len(lengths), documents), np.int64)
+    pairs[:, 0], pairs[:, 1] = lengths, fitting(capacity - lengths)
+    found = np.unique(-np.sort(-np.concatenate([drawn, pairs]), axis=1), axis=0)
+    return found[found.sum(axis=1) == capacity]
+
+
+def fit(patterns: np.ndarray, count: np.ndarray, steps: int = 60) -> np.ndarray:
     """Repeats x >= 0 that bring the patterns' lengths close to the histogram (least squares).
 
     Multiplicative updates: x <- x * (A'h) / (A'Ax); x stays non-negative and the squared
@@ -254,22 +258,62 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
     return [(many, np.array(held)) for bins in open_bins.values() for many, held in bins]
 
 
+def fit_patterns(left: np.ndarray, capacity: int, rounds: int = 10, most: int = 20_000) -> list[tuple[int, np.ndarray]]:
+    """Rounds of patterns for what is left of the histogram, fitted and rounded; ``left`` shrinks.
+
+    A round's patterns are at most twice the sequences that the rest needs, so that fitted repeats are near one or above and
+    survive rounding. Rounds end when one places under two of a hundred pieces left.
+    """
+    chance, taken = np.random.default_rng(7), []
+    for _ in range(rounds):
+        before = left.sum()
+        need = int(left @ np.arange(len(left)) / capacity) + 1
+        shapes = patterns(left, capacity, chance, max(64, min(most, 8 * need)))
+        if len(shapes) > 2 * need:
+            shapes = shapes[chance.permutation(len(shapes))[: 2 * need]]
+        taken += round_down(fit(shapes, left), shapes, left)
+        if before - left.sum() < 0.02 * before or not left.any():
+            break
+    return taken
+
+
+def give_back(taken: list[tuple[int, np.ndarray]], share: float, left: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The patterns without ``share`` of their sequences, spread evenly; ``left`` grows by these pieces."""
+    kept, owed = [], 0.0
+    for repeats, lengths in taken:
+        owed += repeats * share
+        back = min(repeats, int(owed))
+        owed -= back
+        np.add.at(left, lengths, back)
+        if repeats > back:
+            kept.append((repeats - back, lengths))
+    return kept
+
+
+#: Shares of the patterns' sequences that may be given back to the best fit.
+BACK = (0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
+
+
 def plan(count: np.ndarray, capacity: int = CAPACITY) -> Plan:
-    """Fit patterns to the histogram, pack the rest; the fit's weight is chosen by the result."""
+    """Fit patterns to the histogram, pack the rest best-fit decreasing.
+
+    Patterns may leave a rest without short pieces, which packs badly, so a share of them is given back where
+    that saves a sequence; the smallest such share is taken.
+    """
     full = count.copy()
     full[capacity] = 0  # these fill a sequence alone
-    shapes = patterns(full, capacity)
-    x = fit(shapes, full)
-    best = None
-    for weight in (1.0, 0.9, 0.7, 0.0):
-        left = full.copy()
-        bins = round_down(weight * x, shapes, left) if weight else []
-        bins = bins + best_fit(left, capacity)
+    rest = full.copy()
+    taken = fit_patterns(rest, capacity)
+    best, by_pattern = None, 0
+    for share in BACK:
+        left = rest.copy()
+        kept = give_back(taken, share, left)
+        bins = kept + best_fit(left, capacity)
         if best is None or sum(b[0] for b in bins) < sum(b[0] for b in best):
-            best = bins
+            best, by_pattern = bins, int(full.sum() - left.sum())
     if count[capacity]:
         best = [*best, (int(count[capacity]), np.array([capacity]))]
-    out, rank = Plan(), np.zeros(capacity + 1, np.int64)
+    out, rank = Plan(by_pattern=by_pattern), np.zeros(capacity + 1, np.int64)
     for many, lengths in best:
         offset = 0
         for length in lengths:
