@@ -117,13 +117,18 @@ def turns_text(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.concat(unescape_role(t["role"]), F.lit("\n"), unescape(t["text"]), F.lit("\n"))), "")
 
 
-def loss_text(turns: Column, loss: Column) -> Column:
-    """The text of all loss spans, unescaped and in order."""
-    return F.array_join(F.zip_with(turns, loss, lambda t, s: unescape(F.left(t["text"], (s["end"] - s["start"]).cast("int")))), "")
+def loss_text(formatted: Column, loss: Column) -> Column:
+    """What the loss spans cover in the formatted text, unescaped and in order."""
+    def covered(span: Column) -> Column:
+        return unescape(F.substr(formatted, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int")))
+
+    return F.array_join(F.transform(F.filter(loss, lambda s: s["end"] > s["start"]), covered), "")
 
 
 def reply_chain(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Linear conversations as reply trees: each row answers the one before it in ``order``."""
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
-    numbered = turns.withColumn("node", place).withColumnRenamed(key, "tree")
+    clash = {"tree", "node", "parent", "score"} - {key}
+    own = [c for c in turns.columns if c not in clash]  # such columns are replaced
+    numbered = turns.withColumn("_place", place).select(*own, "_place").withColumnRenamed(key, "tree").withColumnRenamed("_place", "node")
     return numbered.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.lit(1.0))

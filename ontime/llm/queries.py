@@ -27,7 +27,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = chat.best_paths(messages.select("tree", "node", "parent", "score"))
     made = chat.format_paths(path, messages)
     read = made.withColumn("turns", chat.parse(F.col("formatted")))
-    loss = chat.loss_text(F.col("turns"), F.col("loss"))
+    loss = chat.loss_text(F.col("formatted"), F.col("loss"))
     return read.select(
         F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
         F.sha2(chat.turns_text(F.col("turns")), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
