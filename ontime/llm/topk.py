@@ -8,8 +8,9 @@ current depth) is below its k-th best. Each group gives at most k rows a query;
 
 Defined cases: rows whose id or vector is null, or whose vector holds a null or non-finite
 component, take no part; vectors meet only vectors of the same length; an empty vector scores 0
-with every empty one; ties go to the smaller id; a query with fewer than k candidates gets all;
-products that could pass 2**63 are an error.
+with every empty one; ties go to the smaller id; a query with fewer than k candidates gets all; an id on several
+rows counts once, with its smallest vector; an empty side gives an empty result. Components and scores beyond the range
+of a long end at its limits: blocks that could reach them are scored whole, in whole numbers of any size.
 """
 
 from __future__ import annotations
@@ -37,16 +38,22 @@ class Lists:
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
-        self.largest = float(np.abs(vectors).max(initial=0))
         self.exact = vectors.astype(np.float64)
+        self.largest = float(np.abs(self.exact).max(initial=0))
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        most = self.largest * float(np.abs(query).max(initial=0)) * max(1, len(query))
+        most = self.reach(query)
         if most < 2.0**53:  # exact in doubles
             return (self.exact[rows] @ query.astype(np.float64)).astype(np.int64)
-        if most >= 2.0**63:
-            raise ValueError("inner products pass the range of a long")
-        return self.vectors[rows] @ query
+        if most < 2.0**62:
+            return self.vectors[rows] @ query
+        whole = query.tolist()
+        exact = (sum(a * b for a, b in zip(v, whole, strict=True)) for v in self.vectors[rows].tolist())
+        return np.array([min(max(s, -(2**63)), 2**63 - 1) for s in exact], np.int64)
+
+    def reach(self, query: np.ndarray) -> float:
+        """No inner product of the block with the query is larger."""
+        return self.largest * float(np.abs(query.astype(np.float64)).max(initial=0)) * max(1, len(query))
 
     def best(self, own: int, query: np.ndarray, k: int, depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
         """The k best (ids, scores) but the query's own, by falling score and rising id."""
@@ -56,7 +63,7 @@ class Lists:
         ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = 0
         while at < n:
-            to = n if len(up) + len(down) == 0 else min(n, max(depth, 2 * at))
+            to = n if len(up) + len(down) == 0 or self.reach(query) >= 2.0**62 else min(n, max(depth, 2 * at))
             met = np.zeros(n, bool)
             if to == n:
                 met[:] = True
@@ -70,7 +77,7 @@ class Lists:
                 keep = new >= np.partition(new, len(new) - k)[len(new) - k]
                 rows, new = rows[keep], new[keep]
             ids, scores = np.append(ids, self.ids[rows]), np.append(scores, new)
-            first = np.lexsort((ids, -scores))[:k]
+            first = np.lexsort((ids, ~scores))[:k]  # ~ reverses the order without overflow
             ids, scores = ids[first], scores[first]
             at = to
             if at < n and len(ids) == k:
@@ -92,7 +99,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, key: str = "vec_id"
     sides = []
     for side in (queries, candidates):
         side = side.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
-        side = side.where("id is not null and v is not null")
+        side = side.where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"))
         sides.append((side, max(1, math.ceil(side.count() / block_rows))))
     (asked, q_blocks), (held, c_blocks) = sides
 
