@@ -18,6 +18,7 @@ pass through and an input column with a result's name is replaced.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-HASHES = 3
+MOST_HASHES = 40
 
 
 @dataclass(frozen=True)
@@ -50,34 +51,34 @@ def split_url(url: Column) -> tuple[Column, Column]:
 class Cascade:
     """Bloom filters, each as its words; a key is listed when the first to lack it is an odd one."""
 
-    levels: list[list[int]]
+    levels: list[tuple[list[int], int]]  # words and hashes of each level
 
     def contains(self, key: Column) -> Column:
         answer = F.lit(len(self.levels) % 2 == 1)
         for i in range(len(self.levels) - 1, -1, -1):
-            answer = F.when(in_filter(self.levels[i], i, key), answer).otherwise(F.lit(i % 2 == 1))
+            answer = F.when(in_filter(*self.levels[i], i, key), answer).otherwise(F.lit(i % 2 == 1))
         return answer
 
 
-def positions(key: Column, level: int, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(level * HASHES + k)), F.lit(bits)) for k in range(HASHES)]
+def positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(level * MOST_HASHES + k)), F.lit(bits)) for k in range(hashes)]
 
 
-def in_filter(words: list[int], level: int, key: Column) -> Column:
+def in_filter(words: list[int], hashes: int, level: int, key: Column) -> Column:
     held = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")  # folded to a literal
     found = F.lit(True)
-    for p in positions(key, level, 64 * len(words)):
+    for p in positions(key, level, 64 * len(words), hashes):
         found &= F.getbit(F.get(held, F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1
     return found
 
 
-def make_filter(keys: DataFrame, count: int, level: int, bits_per_key: int, max_bits: int) -> list[int]:
+def make_filter(keys: DataFrame, count: int, level: int, hashes: int, max_bits: int) -> list[int]:
     bits = 64
-    while bits < bits_per_key * count:
+    while bits < math.ceil(1.5 * hashes) * count:  # a share of 2 ** -hashes passes by mistake
         bits *= 2
     if bits > max_bits:
         raise ValueError(f"{count} keys need {bits} bits, more than max_bits")
-    spots = keys.select(F.explode(F.array(*positions(F.col("key"), level, bits))).alias("p"))
+    spots = keys.select(F.explode(F.array(*positions(F.col("key"), level, bits, hashes))).alias("p"))
     words = spots.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("v"))
     out = [0] * (bits // 64)
     for row in words.collect():  # at most max_bits / 64 rows
@@ -85,15 +86,22 @@ def make_filter(keys: DataFrame, count: int, level: int, bits_per_key: int, max_
     return out
 
 
-def fit_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 8, max_bits: int = 1 << 24) -> Cascade:
-    """The cascade of the ``key`` column of ``listed``, exact for every key of either input."""
+def fit_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = 1 << 24) -> Cascade:
+    """The cascade of the ``key`` column of ``listed``, exact for every key of either input.
+
+    The first level has enough bits that about as many keys of the universe pass it by mistake as are listed, whatever the
+    universe's size, so every level is about the size of the list.
+    """
     include = cut_lineage(listed.select("key").distinct())
-    exclude = universe.select("key").distinct().join(include, "key", "left_anti")
-    levels: list[list[int]] = []
+    exclude = cut_lineage(universe.select("key").distinct().join(include, "key", "left_anti"))
+    levels: list[tuple[list[int], int]] = []
+    others = exclude.count()
     while (count := include.count()) or not levels:
         level = len(levels)
-        levels.append(make_filter(include, count, level, bits_per_key, max_bits))
-        wrong = cut_lineage(exclude.where(in_filter(levels[-1], level, F.col("key"))))
+        hashes = min(MOST_HASHES, max(3, math.ceil(math.log2(1 + others / max(count, 1)))))
+        levels.append((make_filter(include, count, level, hashes, max_bits), hashes))
+        wrong = cut_lineage(exclude.where(in_filter(*levels[-1], level, F.col("key"))))
+        others = count
         include, exclude = wrong, include
     return Cascade(levels)
 
