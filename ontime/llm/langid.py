@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import words as W
 
 BITS = 7
@@ -168,14 +169,16 @@ def count_trigrams(rows: DataFrame, text: str, lang: str) -> DataFrame:
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 64,
         max_bytes: int = 256 << 20, deviations: float = 8.0) -> Model | None:
     """Learn from every row with a language; None where there is nothing to learn."""
-    totals = count_trigrams(rows, text, lang).toArrow()  # at most 2**22 rows a language
+    counted = cut_lineage(count_trigrams(rows, text, lang))
+    n_languages, n_keys = counted.agg(F.count_distinct("lang"), F.count_distinct("key")).first()
+    if n_languages > max_languages or n_keys * n_languages * 4 > max_bytes:  # before anything reaches the driver
+        raise ValueError(f"{n_languages} languages over {n_keys} trigrams pass max_languages or max_bytes")
+    totals = counted.toArrow()  # at most 2**22 rows a language
     if totals.num_rows == 0:
         return None
     languages = sorted(set(totals.column("lang").unique().to_pylist()))
     key, n = totals.column("key").to_numpy().astype(np.uint32), totals.column("n").to_numpy().astype(float)
     union = np.unique(key)
-    if len(languages) > max_languages or len(union) * len(languages) * 4 > max_bytes:
-        raise ValueError(f"{len(languages)} languages over {len(union)} trigrams pass max_languages or max_bytes")
     label = pc.index_in(totals.column("lang"), value_set=pa.array(languages)).to_numpy()
     half = totals.column("half").to_numpy()
 

@@ -16,7 +16,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     """About ``rows`` of ``docs`` with their 0/1 ``label``, chosen by a hash of the key.
 
     The same rows are chosen however the data is partitioned. With ``balance`` each class gets
-    about half. The chosen keys (``rows`` is their bound) are broadcast, so texts do not move.
+    about half. The chosen keys (``rows`` is their bound) are broadcast, so only chosen texts move. Of rows that
+    repeat a key one is taken, the smallest, so ``rows`` also bounds the rows.
     """
     own = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     own = own.groupBy(key).agg(F.max(label).alias("label"))
@@ -26,7 +27,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     share = F.lit(0.0)
     for value, n in count.items():
         share = F.when(F.col("label") == value, rows / (2 * n) if balance else rows / total).otherwise(share)
-    return docs.join(F.broadcast(own.where(draw < share)), key)
+    chosen = docs.join(F.broadcast(own.where(draw < share)), key)
+    rest = [c for c in chosen.columns if c != key]
+    one = chosen.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return one.select(key, "_row.*")
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

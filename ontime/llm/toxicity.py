@@ -196,8 +196,11 @@ def calibrate(model: Model | None, docs: DataFrame, labels: DataFrame, label: st
     if every.sum(axis=1).min() == 0:
         return model
     middle = best_cut(*at_real_rates(every.reshape(2, 2, BINS)))
-    limits = {name: best_cut(*at_real_rates(c.reshape(2, 2, BINS))) for name, c in cells.items()
-              if name is not None and c.sum(axis=1).min() >= LEAST}
+    limits = {}
+    for name, c in cells.items():
+        own = c.sum(axis=1).min()
+        if name is not None and own > 0:  # the fewer rows of a class a language has, the more it leans on all languages
+            limits[name] = (own * best_cut(*at_real_rates(c.reshape(2, 2, BINS))) + LEAST * middle) / (own + LEAST)
     return replace(model, bias=model.bias - middle, thresholds={n: float(sigmoid(np.float64(z - middle))) for n, z in limits.items()})
 
 
