@@ -209,7 +209,7 @@ def test_chat_round_trip(spark):
     path = chat.best_paths(nodes.select("tree", "node", "parent", "score"))
     made = chat.format_paths(path, nodes)
     got = made.withColumn("turns", chat.parse(F.col("formatted"))).select(
-        "*", chat.turns_text(F.col("turns")).alias("said"), chat.loss_text(F.col("turns"), F.col("loss")).alias("learned")).collect()
+        "*", chat.turns_text(F.col("turns")).alias("said"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("learned")).collect()
     found = {(r.tree, r.leaf): r for r in got}
     assert set(found) == {(1, 2), (1, 4), (None, 1), (2, 7)}
     assert found[1, 4].rank == 1 and found[1, 2].rank == 2  # 1.9 against 1.5
@@ -289,7 +289,7 @@ def test_url_rules(spark):
 def test_cascade_is_exact_over_the_universe(spark):
     universe = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = universe.where("substr(key, 2) % 7 = 0")
-    cascade = url_filter.fit_cascade(listed, universe, bits_per_key=2)
+    cascade = url_filter.fit_cascade(listed, universe)
     assert len(cascade.levels) > 2
     wrong = universe.where(cascade.contains(F.col("key")) != (F.substr("key", F.lit(2)).cast("int") % 7 == 0))
     assert wrong.count() == 0

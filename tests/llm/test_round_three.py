@@ -14,8 +14,10 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from ontime.llm import byte_bpe, exact_dedup, filter_audit, near_dedup, prefix_trie, quality_rules, queries
+from ontime.llm import (byte_bpe, chat, exact_dedup, filter_audit, langid, learn, near_dedup, packing, prefix_trie, quality_rules,
+                        queries, topk, url_filter)
 from ontime.llm import words as W
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -248,3 +250,78 @@ def test_long_runs_equal_tiktoken(text):
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
     ids, begins = codec.encode(next(W.slices(pa.array([text]))))
     assert ids.tolist() == plain.encode_ordinary(text) and begins.tolist() == [0, len(ids)]
+
+
+def test_loss_is_read_by_place(spark):
+    """Spans that point elsewhere give another text, so the digest is of what the mask covers."""
+    rows = [(1, 0, "user", "ask", "x"), (1, 1, "assistant", "said & done", "y")]
+    turns = spark.createDataFrame(rows, "conv long, turn long, role string, text string, tree string")
+    nodes = chat.reply_chain(turns, "conv", ["turn"])
+    made = chat.format_paths(chat.best_paths(nodes.select("tree", "node", "parent", "score")), nodes)
+    moved = F.transform("loss", lambda s: F.struct((s["start"] - 2).alias("start"), s["end"].alias("end")))
+    r = made.select(chat.loss_text(F.col("formatted"), F.col("loss")).alias("a"), chat.loss_text(F.col("formatted"), moved).alias("b")).first()
+    assert r.a == "said & done" and r.b != r.a
+
+
+def test_top_k_repeated_ids_huge_components_and_empty_tables(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [0.5, 0.25]), (3, [9.0, 9.0]), (4, [0.0, 1.0])]
+    v = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, e array<double>, id int, rank int")
+    v = v.select("vec_id", topk.quantize(F.col("e")).alias("vector"))
+    got = topk.top_k(v, v, 2).collect()
+    assert len(got) == 10 and len({(r.query_id, r.vec_id) for r in got}) == 10
+    top, low = 2**63 - 1, -(2**63)
+    q = {0: [256, 512], 1: [top, 0], 2: [low, 256], 3: [128, 64], 4: [0, 256]}
+    for k, x in q.items():
+        every = sorted((-min(max(sum(a * b for a, b in zip(x, y)), low), top), j) for j, y in q.items() if j != k)
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank) if r.query_id == k] == every[:2]
+    none = v.limit(0)
+    assert topk.top_k(none, v, 2).collect() == topk.top_k(v, none, 2).collect() == []
+
+
+def test_first_level_grows_with_the_universe(spark):
+    listed = spark.createDataFrame([("k3",), ("k77",)], "key string")
+    for n in (100, 20_000):
+        universe = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"))
+        cascade = url_filter.fit_cascade(listed, universe)
+        assert universe.where(cascade.contains(F.col("key"))).count() == 2
+        passed = universe.where(url_filter.in_filter(*cascade.levels[0], 0, F.col("key"))).count()
+        assert passed <= 30  # a few of them by mistake, however many keys there are
+    pages = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judge(spark, pages, queries.RULES).collect() == []
+
+
+def test_sample_takes_one_row_of_an_id(spark):
+    many = spark.range(5000).select((F.col("id") % 3).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r.text for r in learn.labelled_sample(many, labels, "quality", 100).collect()}
+    assert got == {0: "t0", 1: "t1", 2: "t1001"}
+
+
+def test_language_limits_are_checked_before_anything_is_collected(spark):
+    rows = spark.createDataFrame([(f"text {k}", f"l{k}") for k in range(5)], "text string, lang string")
+    with pytest.raises(ValueError, match="5 languages"):
+        langid.fit(rows, max_languages=4)
+
+
+def test_pipeline_without_languages_keeps_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    table = spark.range(6).select(F.col("id").alias("doc_id"), F.lit("some words of a text").alias("text"), F.lit(None).cast("string").alias("lang"),
+                                  F.lit("s").alias("source"), F.lit(20).cast("long").alias("n_chars"), F.lit(1).alias("keys"))
+    kept = corpus_pipeline.language_stage(spark, table, "")
+    assert kept.count() == 6 and kept.columns == list(corpus_pipeline.COLUMNS)
+    table.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_patterns_place_most_pieces(spark):
+    r = np.random.default_rng(3)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lengths = [x.length for x in packing.tokenize(table, public_tokenizers.path("word_bpe_49k.json")).select("length").collect()]
+    for sizes, share in ((lengths, 0.8), (r.integers(1, 500, 20_000), 0.95), (r.lognormal(6, 1, 20_000).astype(int).clip(1, 4096), 0.8)):
+        count = np.bincount(sizes, minlength=4097)
+        made = packing.plan(count)
+        assert made.by_pattern >= share * count[:4096].sum()
+        assert made.sequences == -(-int(count @ np.arange(4097)) // 4096)  # the bound
+    same = packing.plan(np.bincount([1000] * 999, minlength=4097))  # no pattern fills a sequence
+    assert same.by_pattern == 0 and same.sequences == 250
