@@ -1,11 +1,13 @@
 """Language ID: interpolated Kneser-Ney character models in sorted hash arrays.
 
-Every letter maps to one of 127 classes: a-z (either case) keep their own, all other letters
-are hashed over the rest; class 0 is any run of other characters. Trigrams of classes are
-counted per language over every training row, summed by Spark, and turned into interpolated
-Kneser-Ney probabilities. The model is a sorted array of trigram keys (21 bits) with one row of
-log-probabilities per key, and two bigram tables for what was never seen; its size is bounded
-by ``2**21`` keys times the number of languages (three times, see below), and checked before it is broadcast.
+Characters are letters in lower case and combining marks of every script, each by its own code point;
+any run of other characters is one boundary. Trigrams of characters are counted per language over
+every training row, summed by Spark, and turned into interpolated Kneser-Ney probabilities. The model
+has the trigrams and the bigrams as sorted arrays of packed keys, with one row of log-probabilities per
+key, and a row per character for what was never seen. Three such models are broadcast (see below), each of at most
+``max_bytes`` for the trigrams' rows. Scripts of thousands of letters over a very large corpus have more
+trigrams than that: then the most frequent are kept and the others left to the lower order, as a count cutoff
+does. The keys are counted and chosen in Spark before any reaches the driver.
 
 A text gets the language of lowest cross-entropy per character. It is rejected when that
 entropy lies far above the median of the training rows of the language and length band, in
@@ -22,9 +24,10 @@ an input column with the name of a result column is replaced.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,10 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 from . import words as W
 
-BITS = 7
-PAIRS = 1 << (2 * BITS)
-MASK = (1 << BITS) - 1
+#: Bits of a code point in a packed key of the counts.
+POINT = 21
+#: Entropy of a text that no training row bounds: at least that of equal chances of so many characters.
+EQUAL = 7.0
 UNKNOWN = "und"
 #: Length bands for rejection: a text's band is the number of these that its letter count reaches.
 LENGTHS = np.array([16, 64, 256, 1024])
@@ -49,97 +53,147 @@ FEW = 50
 
 
 @cache
-def classes() -> np.ndarray:
-    """Class of every code point."""
-    out = np.zeros(0x110000, np.uint8)
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point: the code point it counts as (0: boundary), and whether it is a letter."""
+    own, letter = np.zeros(0x110000, np.uint32), np.zeros(0x110000, bool)
     for c in range(0x110000):
-        ch = chr(c)
-        if ch.isalpha():
-            low = ch.lower()[0]
-            out[c] = ord(low) - 96 if "a" <= low <= "z" else 27 + (ord(low) * 2654435761 % (1 << 32) >> 8) % 101
-    return out
+        kind = unicodedata.category(chr(c))[0]
+        if kind == "L":
+            own[c], letter[c] = ord(chr(c).lower()[0]), True
+        elif kind == "M":
+            own[c] = c
+    return own, letter
 
 
-def trigrams(x: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all class trigrams, their text numbers, and the number of letters of each text."""
-    n = len(x)
+def code_points(x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts and their text numbers."""
     raw, sizes = x.data.tobytes(), x.sums((x.data & 0xC0) != 0x80)
     try:
         points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
     except UnicodeDecodeError:  # some text is not valid UTF-8
         each = [raw[a:b].decode("utf-8", "replace") for a, b in zip(x.offsets[:-1], x.offsets[1:], strict=True)]
         points, sizes = np.frombuffer("".join(each).encode("utf-32-le"), np.uint32), [len(t) for t in each]
-    doc = np.repeat(np.arange(n), sizes)
-    s = classes()[points]
-    letters = np.bincount(doc[s > 0], minlength=n)
-    before = np.zeros(len(s), np.uint8)
+    return points, np.repeat(np.arange(len(x)), sizes)
+
+
+def trigrams(points: np.ndarray, doc: np.ndarray, symbol: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed keys of all trigrams and their text numbers; ``symbol`` numbers each code point (0: boundary)."""
+    s = symbol[points]
+    before = np.zeros_like(s)
     before[1:] = s[:-1]
     if len(s):
         before[1:][doc[1:] != doc[:-1]] = 0
     keep = (s > 0) | (before > 0)  # a run of other characters counts once; a text starts after one
-    s, doc = s[keep].astype(np.uint32), doc[keep]
+    s, doc = s[keep].astype(np.uint32 if 3 * bits <= 32 else np.uint64), doc[keep]
     one, two = np.zeros_like(s), np.zeros_like(s)
     one[1:] = np.where(doc[1:] == doc[:-1], s[:-1], 0)
     two[2:] = np.where(doc[2:] == doc[:-2], s[:-2], 0)
-    return two << (2 * BITS) | one << BITS | s, doc, letters
+    return two << (2 * bits) | one << bits | s, doc
+
+
+def letters_of(points: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(doc[characters()[1][points]], minlength=n)
+
+
+def unpacked(key: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The three characters of packed keys, first to last."""
+    return [key >> k * bits & ((1 << bits) - 1) for k in (2, 1, 0)]
+
+
+def places(among: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key in the sorted array, and whether it is there."""
+    spot = np.searchsorted(among, key)
+    spot[spot == len(among)] = 0
+    return spot, among[spot] == key
 
 
 @dataclass
 class Model:
+    """Rows are characters or sorted packed keys, columns are languages, values are log2."""
+
     languages: list[str]
-    keys: np.ndarray  # sorted trigram keys
-    log3: np.ndarray  # log2 p(c | ab), a row per key
-    back: np.ndarray  # log2 weight of the lower order after each bigram
-    log2: np.ndarray  # log2 p(c | b) for each bigram
+    alphabet: np.ndarray  # code points in order; character k + 1 is alphabet[k], the one after the last is any other
+    keys3: np.ndarray
+    keys2: np.ndarray  # every bigram that ends or begins a trigram
+    p3: np.ndarray  # p(c | ab) of trigrams
+    back3: np.ndarray  # weight of the lower order after bigram ab
+    p2: np.ndarray  # p(c | b) of bigrams
+    back2: np.ndarray  # weight of the lower order after character b
+    p1: np.ndarray  # p(c)
     limits: np.ndarray | None = None  # highest accepted entropy: language x length band
     others: list[Model] = field(default_factory=list)  # for texts of half 0 and 1: learned without that half
 
+    @property
+    def bits(self) -> int:
+        return bits_for(self.alphabet)
+
+    @cached_property
+    def symbol(self) -> np.ndarray:
+        """Character number of every code point."""
+        number = np.full(0x110000, len(self.alphabet) + 1, np.uint32)
+        number[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
+        number[0] = 0
+        return number[characters()[0]]
+
+    def log_p(self, key: np.ndarray) -> np.ndarray:
+        """log2 probability of each packed trigram under each language."""
+        spot, seen = places(self.keys3, key)
+        p = self.p3[spot]
+        lost = np.flatnonzero(~seen)
+        context, end = key[lost] >> self.bits, key[lost] & ((1 << 2 * self.bits) - 1)
+        at, known = places(self.keys2, end)
+        lower = np.where(known[:, None], self.p2[at], self.back2[end >> self.bits] + self.p1[end & ((1 << self.bits) - 1)])
+        at, known = places(self.keys2, context)
+        p[lost] = lower + np.where(known[:, None], self.back3[at], 0)
+        return p
+
     def entropies(self, x: W.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Bits per character under each language, and the letters, of each text."""
-        key, doc, letters = trigrams(x)
+        points, of = code_points(x)
+        key, doc = trigrams(points, of, self.symbol, self.bits)
         total = np.zeros((len(x), len(self.languages)))
         for at in range(0, len(key), 1 << 19):
-            k, d = key[at : at + (1 << 19)], doc[at : at + (1 << 19)]
-            spot = np.searchsorted(self.keys, k)
-            spot[spot == len(self.keys)] = 0
-            seen = self.keys[spot] == k
-            p = self.log3[spot]
-            lost = np.flatnonzero(~seen)
-            p[lost] = self.back[k[lost] >> BITS] + self.log2[k[lost] & (PAIRS - 1)]
+            p, d = self.log_p(key[at : at + (1 << 19)]), doc[at : at + (1 << 19)]
             cut = np.flatnonzero(np.diff(d, prepend=-1))
             total[d[cut]] += np.add.reduceat(p, cut, axis=0, dtype=np.float64)
         count = np.bincount(doc, minlength=len(x))
-        return -total / np.maximum(count, 1)[:, None], letters
+        return -total / np.maximum(count, 1)[:, None], letters_of(points, of, len(x))
+
+
+def bits_for(alphabet: np.ndarray) -> int:
+    """Bits of a character number: boundary, alphabet and any other."""
+    return (len(alphabet) + 1).bit_length()
 
 
-def kneser_ney(keys: np.ndarray, count: np.ndarray, union: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """log2 probabilities of one language over the sorted ``union`` of keys, and both bigram tables."""
+def kneser_ney(keys: np.ndarray, count: np.ndarray, keys3: np.ndarray, keys2: np.ndarray, bits: int, size: int) -> list[np.ndarray]:
+    """Tables p3, back3, p2, back2 and p1 (log2) of one language with these trigram counts, of ``size`` characters."""
 
     def discount(c: np.ndarray) -> float:
         once, twice = (c == 1).sum(), (c == 2).sum()
         return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
-    a_b, b_c, c_only = keys >> BITS, keys & (PAIRS - 1), keys & MASK
-    size = 1 << BITS
-    # how many different contexts each bigram and each class follows
-    pair = np.bincount(b_c, minlength=PAIRS).astype(float)
-    single = np.bincount(np.flatnonzero(pair) & MASK, minlength=size).astype(float)
-    d1 = 0.5
+    pairs, mask = (1 << 2 * bits) - 1, (1 << bits) - 1
+    # how many different contexts each bigram and each character follows
+    ends, pair = np.unique(keys & pairs, return_counts=True)
+    single = np.bincount(ends & mask, minlength=size).astype(float)
+    d1, d2, d3 = 0.5, discount(pair), discount(count)
     p1 = (np.maximum(single - d1, 0) + d1 * (single > 0).sum() / size) / single.sum()
-    after = pair.reshape(size, size).sum(1)
-    kinds = (pair.reshape(size, size) > 0).sum(1)
-    d2 = discount(pair)
-    safe = np.maximum(after, 1)[:, None]
-    p2 = np.where(after[:, None] > 0, np.maximum(pair.reshape(size, size) - d2, 0) / safe + (d2 * kinds[:, None] / safe) * p1, p1)
-    p2 = p2.reshape(-1)
-    d3 = discount(count)
-    context = np.bincount(a_b, weights=count, minlength=PAIRS)
-    types = np.bincount(a_b, minlength=PAIRS)
-    back = np.where(context > 0, d3 * types / np.maximum(context, 1), 1.0)
-    own = np.zeros(len(union))
-    own[np.searchsorted(union, keys)] = np.maximum(count - d3, 0)
-    p3 = own / np.maximum(context[union >> BITS], 1) + back[union >> BITS] * p2[union & (PAIRS - 1)]
-    return np.log2(p3), np.log2(back), np.log2(p2)
+    after = np.bincount(ends >> bits, weights=pair, minlength=size)
+    kinds = np.bincount(ends >> bits, minlength=size)
+    back2 = np.where(after > 0, d2 * kinds / np.maximum(after, 1), 1.0)
+    own = np.zeros(len(keys2))
+    own[np.searchsorted(keys2, ends)] = np.maximum(pair - d2, 0)
+    p2 = own / np.maximum(after[keys2 >> bits], 1) + back2[keys2 >> bits] * p1[keys2 & mask]
+    contexts, where, types = np.unique(keys >> bits, return_inverse=True, return_counts=True)
+    total, back3 = np.zeros(len(keys2)), np.ones(len(keys2))
+    at = np.searchsorted(keys2, contexts)
+    total[at] = np.bincount(where, weights=count)
+    back3[at] = d3 * types / total[at]
+    own = np.zeros(len(keys3))
+    own[np.searchsorted(keys3, keys)] = np.maximum(count - d3, 0)
+    context, end = np.searchsorted(keys2, keys3 >> bits), np.searchsorted(keys2, keys3 & pairs)
+    p3 = own / np.maximum(total[context], 1) + back3[context] * p2[end]
+    return [np.log2(v) for v in (p3, back3, p2, back2, p1)]
 
 
 def halves(x: W.Texts) -> np.ndarray:
@@ -155,30 +209,62 @@ def count_trigrams(rows: DataFrame, text: str, lang: str) -> DataFrame:
             label = b.column(1).dictionary_encode()
             code, names = np.asarray(label.indices), label.dictionary
             for x in W.slices(b.column(0)):
-                key, doc, _ = trigrams(x)
-                both = (code[x.first + doc].astype(np.int64) * 2 + halves(x)[doc]) << (3 * BITS) | key
+                points, of = code_points(x)
+                own = characters()[0]
+                used = np.union1d(np.flatnonzero(np.bincount(own[points], minlength=1)), [0])  # the slice's characters
+                number = np.zeros(0x110000, np.uint32)
+                number[used] = np.arange(len(used))
+                bits = max(1, (len(used) - 1).bit_length())
+                key, doc = trigrams(points, of, number[own], bits)
+                found, key = np.unique(key, return_inverse=True)
+                both = (code[x.first + doc].astype(np.int64) * 2 + halves(x)[doc]) * max(1, len(found)) + key
                 both, n = np.unique(both, return_counts=True)
+                group, key = np.divmod(both, max(1, len(found)))
+                first, second, third = (used[v].astype(np.int64) for v in unpacked(found[key], bits))
                 yield W.rebuilt(["lang", "half", "key", "n"], [
-                    names.take(pa.array(both >> (3 * BITS + 1))), both >> (3 * BITS) & 1, both & ((1 << (3 * BITS)) - 1), n.astype(np.int64)])
+                    names.take(pa.array(group >> 1)), group & 1, first << 2 * POINT | second << POINT | third, n.astype(np.int64)])
 
     counted = rows.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("l is not null")
     counted = counted.mapInArrow(run, "lang string, half long, key long, n long")
     return counted.groupBy("lang", "half", "key").agg(F.sum("n").alias("n"))
 
 
+def within(counted: DataFrame, keys: int) -> DataFrame:
+    """The counts of the most frequent keys, about ``keys`` of them: whole powers of two of occurrences, the last by key hash."""
+    by_key = counted.groupBy("key").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("power"))
+    room, share = keys, {}
+    for power, n in sorted(by_key.groupBy("power").count().collect(), reverse=True):  # at most 63 rows
+        share[power] = min(1.0, room / n)
+        room = max(0, room - n)
+    if min(share.values(), default=1.0) == 1.0:
+        return counted
+    part = F.element_at(F.create_map(*[F.lit(v) for pair in share.items() for v in pair]), F.col("power"))
+    chosen = by_key.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < part * (1 << 30)).select("key")
+    return counted.join(chosen, "key", "left_semi")
+
+
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 64,
-        max_bytes: int = 256 << 20, deviations: float = 8.0) -> Model | None:
-    """Learn from every row with a language; None where there is nothing to learn."""
+        max_bytes: int = 32 << 20, deviations: float = 8.0) -> Model | None:
+    """Learn from every row with a language; None where there is nothing to learn.
+
+    More than ``max_languages`` languages are an error, raised before any count reaches the driver.
+    """
     counted = cut_lineage(count_trigrams(rows, text, lang))
-    n_languages, n_keys = counted.agg(F.count_distinct("lang"), F.count_distinct("key")).first()
-    if n_languages > max_languages or n_keys * n_languages * 4 > max_bytes:  # before anything reaches the driver
-        raise ValueError(f"{n_languages} languages over {n_keys} trigrams pass max_languages or max_bytes")
-    totals = counted.toArrow()  # at most 2**22 rows a language
+    n_languages = counted.agg(F.count_distinct("lang")).first()[0]
+    if n_languages > max_languages:
+        raise ValueError(f"{n_languages} languages pass max_languages")
+    totals = within(counted, max_bytes // 4 // max(1, n_languages)).toArrow()  # at most two rows a cell
     if totals.num_rows == 0:
         return None
     languages = sorted(set(totals.column("lang").unique().to_pylist()))
-    key, n = totals.column("key").to_numpy().astype(np.uint32), totals.column("n").to_numpy().astype(float)
-    union = np.unique(key)
+    parts, n = unpacked(totals.column("key").to_numpy(), POINT), totals.column("n").to_numpy().astype(float)
+    alphabet = np.setdiff1d(np.concatenate(parts), [0])
+    bits = bits_for(alphabet)
+    dtype = np.uint32 if 3 * bits <= 32 else np.uint64
+    first, second, third = (np.where(v > 0, np.searchsorted(alphabet, v) + 1, 0).astype(dtype) for v in parts)
+    key = first << 2 * bits | second << bits | third
+    keys3 = np.unique(key)
+    keys2 = np.union1d(keys3 >> bits, keys3 & ((1 << 2 * bits) - 1))
     label = pc.index_in(totals.column("lang"), value_set=pa.array(languages)).to_numpy()
     half = totals.column("half").to_numpy()
 
@@ -189,14 +275,15 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages:
             if len(of) == 0:  # a half without the language; its rows are not calibrated on
                 of = np.flatnonzero(label == i)
             keys, where = np.unique(key[of], return_inverse=True)
-            log3, back, log2 = kneser_ney(keys, np.bincount(where, weights=n[of]), union)
-            parts.append([v.astype(np.float32) for v in (log3, back, log2)])
-        return Model(languages, union, *(np.stack(p, axis=1) for p in zip(*parts, strict=True)))
+            tables = kneser_ney(keys, np.bincount(where, weights=n[of]), keys3, keys2, bits, len(alphabet) + 2)
+            parts.append([v.astype(np.float32) for v in tables])
+        return Model(languages, alphabet, keys3, keys2, *(np.stack(p, axis=1) for p in zip(*parts, strict=True)))
 
     model = learn(np.ones(len(key), bool))
     model.others = [learn(half == 1), learn(half == 0)]
     known = np.stack([np.isin(np.arange(len(languages)), label[half == 1 - h]) for h in (0, 1)])
-    model.limits = limits_of(entropy_counts(model, known, rows, text, lang), deviations)
+    equal = max(EQUAL, float(np.log2(len(alphabet) + 2)))
+    model.limits = limits_of(entropy_counts(model, known, rows, text, lang), deviations, equal)
     return model
 
 
@@ -241,12 +328,12 @@ def entropy_counts(model: Model, known: np.ndarray, rows: DataFrame, text: str,
     return hist.reshape(shape)
 
 
-def limits_of(hist: np.ndarray, deviations: float) -> np.ndarray:
+def limits_of(hist: np.ndarray, deviations: float, equal: float) -> np.ndarray:
     """Highest accepted entropy per language and length band, from counts of held-out rows.
 
     It lies ``deviations`` median deviations above the median, and at least three quarters of a bit plus what few letters
     scatter. A band of few rows leans on its language's limit, and that on the limit of all languages; without any
-    row a text must be no worse than under equal chances of all classes.
+    row a text must be no worse than ``equal``, equal chances of all characters.
     """
     middle = (np.arange(ENTROPY_BINS) + 0.5) / BINS_PER_BIT
     least = 0.75 + 4 / np.sqrt(np.append(1, LENGTHS))
@@ -263,7 +350,7 @@ def limits_of(hist: np.ndarray, deviations: float) -> np.ndarray:
 
     limits = np.zeros(hist.shape[:2])
     for i, own in enumerate(hist):
-        of_all = leaning(hist.sum(axis=(0, 1)), least, np.full(len(least), float(BITS)))
+        of_all = leaning(hist.sum(axis=(0, 1)), least, np.full(len(least), equal))
         of_language = leaning(own.sum(axis=0), least, of_all)
         limits[i] = [leaning(h, least[b], of_language[b]) for b, h in enumerate(own)]
     return np.minimum.accumulate(limits, axis=1)  # longer texts scatter less

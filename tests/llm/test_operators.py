@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import base64
+import math
 import random
 import re
+import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -14,8 +17,8 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ontime.llm import (byte_bpe, chat, langid, learn, near_dedup, packing, quality_fm, quality_rules, topk, toxicity,
-                        url_filter)
+from ontime.llm import (byte_bpe, chat, langid, learn, near_dedup, packing, quality_fm, quality_rules, queries, topk,
+                        toxicity, url_filter)
 from ontime.llm import words as W
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -116,12 +119,97 @@ def test_language_rejects_planted_texts_it_was_fitted_on(spark):
     assert not any(got[i] for i in range(600)) and all(got[i] for i in range(600, 631))
 
 
-def test_language_probabilities_sum_to_one():
-    x = next(W.slices(pa.array([prose(1, 200)])))
-    keys, count = np.unique(langid.trigrams(x)[0], return_counts=True)
-    p3, _, p2 = langid.kneser_ney(keys, count.astype(float), np.arange(1 << 21, dtype=np.uint32))
-    assert np.allclose(np.exp2(p2).reshape(128, 128).sum(1), 1)
-    assert np.allclose(np.exp2(p3).reshape(-1, 128).sum(1), 1)
+def test_language_probabilities_sum_to_one(spark):
+    table = spark.createDataFrame([(prose(k, 30), "aa") for k in range(9)] + [("Žluťoučký kůň 漢字仮名", "bb")], "text string, lang string")
+    model = langid.fit(table)
+    size = len(model.alphabet) + 2
+    one = np.arange(size, dtype=model.keys3.dtype)
+    assert np.allclose(np.exp2(model.p1).sum(0), 1, atol=1e-5)
+    for context in [*(model.keys2[::7]), (size - 1) << model.bits | 1, (size - 1) << model.bits | size - 1]:  # the last two were never seen
+        keys = np.asarray(context, dtype=one.dtype) << model.bits | one
+        for m in (model, *model.others):
+            assert np.allclose(np.exp2(m.log_p(keys).astype(float)).sum(0), 1, atol=1e-4)
+
+
+def plain_symbols(text):
+    """Characters of a text: letters and marks in lower case, one 0 for each run of others."""
+    out = [0]
+    for ch in text or "":
+        kind = unicodedata.category(ch)[0]
+        c = ord(ch.lower()[0]) if kind == "L" else ord(ch) if kind == "M" else 0
+        if c or out[-1]:
+            out.append(c)
+    return out[1:]
+
+
+def plain_trigrams(text):
+    s = [0, 0, *plain_symbols(text)]
+    return list(zip(s, s[1:], s[2:]))
+
+
+def plain_kneser_ney(texts, size, alphabet):
+    """log2 p(c | ab) by dictionaries."""
+    count = Counter(t for x in texts for t in plain_trigrams(x))
+    follows = Counter((b, c) for _, b, c in count)
+    single = Counter(c for _, c in follows)
+    after, kinds, total, types = (Counter() for _ in range(4))
+    for (b, _), n in follows.items():
+        after[b] += n
+        kinds[b] += 1
+    for (a, b, _), n in count.items():
+        total[a, b] += n
+        types[a, b] += 1
+
+    def discount(c):
+        once, twice = sum(n == 1 for n in c.values()), sum(n == 2 for n in c.values())
+        return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+    d2, d3, all_single = discount(follows), discount(count), sum(single.values())
+
+    def p(a, b, c):
+        p1 = (max(single[c] - 0.5, 0) + 0.5 * len(single) / size) / all_single
+        p2 = max(follows[b, c] - d2, 0) / after[b] + d2 * kinds[b] / after[b] * p1 if after[b] else p1
+        return math.log2(max(count[a, b, c] - d3, 0) / total[a, b] + d3 * types[a, b] / total[a, b] * p2 if total[a, b] else p2)
+
+    return lambda a, b, c: p(*(v if v == 0 or v in alphabet else -1 for v in (a, b, c)))
+
+
+def test_language_query_against_plain_kneser_ney(spark, tmp_path):
+    """The whole query on a small folder: every column of every row by dictionaries."""
+    r = random.Random(4)
+    letters = {"aa": "abcdefg ", "bb": "defghij ", "cc": "абвгд ", "dd": "一二三四五六七八 ", "ee": "àäâáa "}
+    rows = [(i, "".join(r.choice(letters[lang]) for _ in range(r.choice((3, 20, 90)))), lang, "s", 1)
+            for i, lang in enumerate([*letters] * 40)]
+    rows += [(900, None, "aa", "s", 1), (901, "", "bb", "s", 1), (902, "12 ?", None, "s", 1), (903, "Zürich Ωμέγα हिन्दी " * 8, None, "s", 1),
+             (904, rows[1][1], "aa", "s", 1), (None, "cab", "aa", "s", 1), (905, "\u0301\u0301", "aa", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    held = {i: i is None or zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in rows}
+    train = [(t, lang) for i, t, lang, *_ in rows if not held[i]]
+    alphabet = {c for t, lang in train if lang for c in plain_symbols(t) if c}
+    p = {name: plain_kneser_ney([t for t, lang in train if lang == name], len(alphabet) + 2, alphabet) for name in sorted(letters)}
+    got = {x.doc_id: x for x in queries.QUERIES["op9_language_id"](spark, str(tmp_path)).collect()}
+    assert got.keys() == held.keys()
+    for i, text, *_ in rows:
+        n_letters = sum(ch.isalpha() for ch in text or "")
+        assert got[i].held_out == held[i]
+        if n_letters == 0:
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True)
+            continue
+        keys = plain_trigrams(text)
+        bits = {name: -sum(f(*k) for k in keys) / len(keys) for name, f in p.items()}
+        best = min(bits.values())
+        assert bits[got[i].lang_pred] == pytest.approx(best, abs=1e-4) and got[i].bits_per_char == pytest.approx(best, abs=1e-4)
+        assert got[i].score == pytest.approx(1 / sum(2 ** ((best - h) * min(n_letters, 32)) for h in bits.values()), abs=1e-3)
+    assert got[903].rejected and not any(x.rejected for i, x in got.items() if i is not None and i < 900 and len(rows[i][1].split()) > 8)
+
+
+def test_language_model_keeps_the_most_frequent_trigrams_in_a_small_model(spark):
+    rows = spark.createDataFrame([(prose(k, 200), ("aa", "bb")[k % 2]) for k in range(40)], "text string, lang string")
+    whole, small = langid.fit(rows), langid.fit(rows, max_bytes=8 * 400)
+    assert 300 <= len(small.keys3) <= 480 < len(whole.keys3)
+    x = next(W.slices(pa.array([prose(99, 300)])))
+    assert np.isfinite(small.entropies(x)[0]).all()
 
 
 def shingles(t):
