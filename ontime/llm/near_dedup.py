@@ -204,8 +204,19 @@ def ends(up: DataFrame) -> DataFrame:
             return up
 
 
+def placed(members: DataFrame) -> DataFrame:
+    """Each member's ``place`` among its star's members: from 1 to their number, by a hash, so about one member a place.
+
+    Only the stars' sizes are counted, each task its own share first; no task orders a star.
+    """
+    sizes = cut_lineage(members.groupBy("centre").agg(F.count("*").alias("members")))
+    share = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / (1 << 30)
+    place = (F.floor(share * F.col("members")) + 1).cast("long")
+    return members.join(sizes, "centre").withColumn("place", place).drop("members")
+
+
 def more_links(open_rows: DataFrame, after: int, upto: int, percent: int) -> DataFrame:
-    """Links across components within a star, one side at places ``after`` to ``upto``.
+    """Links across components within a star, one side at places ``after`` to ``upto``; of equal places the smaller id comes first.
 
     The bound from the centre leaves most pairs out; the others are compared exactly by what sets them apart from
     the centre's set, so no set and no pair is sent anywhere.
@@ -215,7 +226,8 @@ def more_links(open_rows: DataFrame, after: int, upto: int, percent: int) -> Dat
     most = F.least("common", "h_common") + F.least("shared", "h_shared")
     common = (F.col("a_n") - F.size("missing") - F.size("h_missing")
               + F.size(F.array_intersect("missing", "h_missing")) + F.size(F.array_intersect("extra", "h_extra")))
-    across = (F.col("place") > F.col("h_place")) & (F.col("root") != F.col("h_root"))
+    later = (F.col("place") > F.col("h_place")) | ((F.col("place") == F.col("h_place")) & (F.col("rep") > F.col("h_rep")))
+    across = later & (F.col("root") != F.col("h_root"))
     able = similar(most, F.col("n"), F.col("h_n"), percent)
     met = open_rows.join(hubs, "centre").where(F.when(across & able, similar(common, F.col("n"), F.col("h_n"), percent)).otherwise(F.lit(False)))
     return met.select(F.least("h_rep", "rep").alias("a"), F.greatest("h_rep", "rep").alias("b")).distinct()
@@ -253,10 +265,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     measured = cut_lineage(measure(star, sets, percent))
     links = measured.where("link").select("a", "b")
     roots = components(links)
-    by_hash = Window.partitionBy("centre").orderBy(F.xxhash64("rep"), "rep")
     able = measured.where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
     able = able.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "a_n", "n", "common", "shared", "missing", "extra")
-    able = cut_lineage(able.withColumn("place", F.row_number().over(by_hash)))
+    able = cut_lineage(placed(able))
     after, upto = 0, growth
     while True:
         open_rows = still_open(able, roots)

@@ -240,6 +240,25 @@ def test_near_duplicates_match_brute_force(spark):
         i: (len(sets[i]), root[i], root[i] == i) for i in range(len(texts))}
 
 
+def test_star_places_meet_every_pair_once(spark):
+    """Two members of a star meet once over the rounds, whatever places the hash deals them, ties included."""
+    rows = [(c, c * 1000 + k) for c, n in ((1, 300), (2, 3), (3, 1)) for k in range(1, n + 1)]
+    table = near_dedup.placed(spark.createDataFrame(rows, "centre long, rep long"))
+    got = table.collect()
+    size = Counter(c for c, _ in rows)
+    assert sorted((r.centre, r.rep) for r in got) == sorted(rows)
+    assert all(1 <= r.place <= size[r.centre] for r in got) and len({r.place for r in got if r.centre == 1}) < 300
+    fields = {"n": 10, "common": 10, "shared": 0, "a_n": 10}
+    empty = F.array().cast("array<long>")
+    table = table.select("*", *(F.lit(v).alias(k) for k, v in fields.items()), empty.alias("missing"), empty.alias("extra"), F.col("rep").alias("root"))
+    met, after, upto = [], 0, 4
+    while after < 300:
+        met += [(r.a, r.b) for r in near_dedup.more_links(table, after, upto, 75).collect()]
+        after, upto = upto, upto * 4
+    want = {(a, b) for c, a in rows for d, b in rows if c == d and a < b}
+    assert len(met) == len(set(met)) == len(want) and set(met) == want
+
+
 def test_near_duplicates_empty_and_null_ids(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).collect() == []
     rows = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (5, None), (5, None)], "doc_id long, text string")
