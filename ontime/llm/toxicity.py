@@ -10,8 +10,8 @@ score 0.5, and one for each language, which decides ``flagged``, at the real sha
 is no input of the score.
 
 Defined cases: null text and texts without letters have zero responses and are scored like any other; without
-labelled rows of both classes every score is 0; a language with fewer than 20 labelled rows of a class takes the threshold 0.5; other
-columns pass through and an input column with a result's name is replaced.
+labelled rows of both classes every score is 0; a language without labelled rows of both takes the threshold 0.5, and the
+fewer it has, the more it leans on the threshold for all; other columns pass through and an input column with a result's name is replaced.
 """
 
 from __future__ import annotations
