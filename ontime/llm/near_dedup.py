@@ -9,8 +9,9 @@ are linked when Jaccard similarity is at least ``percent``; a component is what
    one (optimal densification: probes of a fixed hash sequence, the same for every document).
    Only a 128-bit set digest and the band keys leave the pass, not the sets.
 2. Equal sets become one class, its smallest id standing for it, before any pair is made.
-3. Rows of one bucket (a band and its key) are sorted; the first is the centre and the others
-   give one candidate edge each to it: a star, so edges are at most rows.
+3. The smallest id of a bucket (a band and its key) is its centre and the others give one
+   candidate edge each to it: a star, so edges are at most rows. Centres come from an aggregate
+   joined back to the rows, so a hot bucket is combined before the shuffle and split in the join.
 4. Candidates are confirmed on the full sets, recomputed from the texts of the ids involved.
 5. Links give components. Stars whose members are still in several components are compared
    further, against ``growth`` times as many members each round, leaving out pairs already
@@ -22,7 +23,8 @@ With 64 bands of 6 rows a pair at 0.75 shares no bucket with probability 4e-6.
 
 Defined cases: null text and text without words are in no group and are kept; an empty table
 gives an empty result; every input row gives a row, so a repeated row is reported again with the
-same component; a row without id joins the component of an equal set and else stands alone;
+same component; rows that share an id are one document and so in one component, linked when any
+of their texts is; a row without id joins the component of an equal set and else stands alone;
 columns other than the id and text columns play no part.
 """
 
@@ -33,7 +35,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -147,24 +149,24 @@ def full_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
 
 def measure(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each star edge from centre a to member b compared on the full sets, as one row:
+    """Each star edge from centre a to member b compared on the full sets, as one row (one for each two texts, if an id has several):
 
-    ``link``, the sizes ``a_n`` and ``n``, ``common``, the shingles ``missing`` from b that a has and the ``extra`` ones
+    ``a_set``, a hash of the centre's set, ``link``, the sizes ``a_n`` and ``n``, ``common``, the shingles ``missing`` from b that a has and the ``extra`` ones
     that a lacks, and ``shared``, how many extra ones another member of the star has too. So two
     members x and y of one star have at most least(common) + least(shared) shingles in common, and exactly
     a_n - |missing x + missing y| + |extra x and extra y|.
     """
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = star.join(left, "a").join(right, "b").select(
-        "a", "b", F.size("of_a").alias("a_n"), F.size("of_b").alias("n"),
+    # members first: the rows dealt by centre then hold their sets, so a large star weighs what it costs and is split
+    both = star.join(right, "b").join(left, "a").select(
+        "a", "b", F.xxhash64("of_a").alias("a_set"), F.size("of_a").alias("a_n"), F.size("of_b").alias("n"),
         F.array_except("of_a", "of_b").alias("missing"), F.array_except("of_b", "of_a").alias("extra"))
     common = F.col("n") - F.size("extra")
     seen = cut_lineage(both.withColumn("common", common).withColumn("link", similar(common, F.col("a_n"), F.col("n"), percent)))
-    same = Window.partitionBy("a", "g").orderBy("b")
     extra = seen.select("a", "b", F.explode("extra").alias("g"))
-    extra = extra.select("a", "b", F.coalesce(F.lag("b").over(same), F.lead("b").over(same)).alias("other"))
-    shared = extra.where("other is not null").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    several = extra.groupBy("a", "g").agg(F.count("*").alias("times")).where("times > 1").select("a", "g")
+    shared = extra.join(several, ["a", "g"], "left_semi").groupBy("a", "b").agg(F.count("*").alias("shared"))
     return seen.join(shared, ["a", "b"], "left").na.fill(0, ["shared"])
 
 
@@ -250,23 +252,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = cut_lineage(classes)
 
     # members of buckets with at least two classes, with the first of each bucket as its centre
-    by_id = Window.partitionBy("bucket").orderBy("rep")
-    spread = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
-    members = cut_lineage(
-        spread.select(
-            "bucket", "rep", "n", F.first("rep").over(by_id).alias("centre"), F.lead("rep").over(by_id).alias("next"))
-        .where("centre <> rep or next is not null").drop("next"))
+    spread = classes.where("rep is not null").select("rep", F.explode("buckets").alias("bucket"))
+    centres = spread.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"))
+    centres = centres.where("centre <> last").select("bucket", "centre")
+    members = cut_lineage(spread.join(centres, "bucket").select("rep", "centre").distinct())
     ids = members.select(F.col("rep").alias(key)).distinct()
-    involved = docs.select(key, text).join(ids, key, "left_semi").dropDuplicates([key])
+    involved = docs.select(key, text).join(ids, key, "left_semi").distinct()
     sets = cut_lineage(full_sets(involved, key, text, width))
 
     members = members.where("centre <> rep")
-    star = members.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    star = members.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
     measured = cut_lineage(measure(star, sets, percent))
     links = measured.where("link").select("a", "b")
     roots = components(links)
     able = measured.where(100 * (F.col("common") + F.col("shared")) >= percent * F.col("n"))
-    able = able.select(F.col("a").alias("centre"), F.col("b").alias("rep"), "a_n", "n", "common", "shared", "missing", "extra")
+    able = able.select(F.struct("a", "a_set").alias("centre"), F.col("b").alias("rep"), "a_n", "n", "common", "shared", "missing", "extra")
     able = cut_lineage(placed(able))
     after, upto = 0, growth
     while True:

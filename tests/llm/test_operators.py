@@ -266,6 +266,17 @@ def test_near_duplicates_empty_and_null_ids(spark):
     assert got == [("4", 4, True), ("5", 5, True), ("5", 5, True), ("None", 4, False)]
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    """Rows that share an id are one document, linked when any of its texts is; no link of an equal set is lost."""
+    one, two, other = (prose(g, 60) for g in (21, 22, 23))
+    rows = [(1, one), (1, two), (2, one + " tail"), (3, two + " tail"), (9, two), (4, other), (1, one), (1, None), (7, "head " + two),
+            (5, other + " x"), (5, "alone in the world it stands"), (6, "it stands alone in the world")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.component_id, x.kept) for x in got if x.n_shingles} == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (9, 1, False), (7, 1, False), (4, 4, True), (5, 4, False), (6, 6, True)}
+    assert len(got) == len(rows)
+
+
 def test_components_follow_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (100, 101)], "a long, b long")
     got = {x.node: x.root for x in near_dedup.components(links).collect()}
