@@ -165,7 +165,7 @@ def measure(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = F.col("n") - F.size("extra")
     seen = cut_lineage(both.withColumn("common", common).withColumn("link", similar(common, F.col("a_n"), F.col("n"), percent)))
     extra = seen.select("a", "b", F.explode("extra").alias("g"))
-    several = extra.groupBy("a", "g").agg(F.count("*").alias("times")).where("times > 1").select("a", "g")
+    several = cut_lineage(extra.groupBy("a", "g").agg(F.count("*").alias("times")).where("times > 1").select("a", "g"))
     shared = extra.join(several, ["a", "g"], "left_semi").groupBy("a", "b").agg(F.count("*").alias("shared"))
     return seen.join(shared, ["a", "b"], "left").na.fill(0, ["shared"])
 
@@ -240,7 +240,7 @@ def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
     now = members.join(roots, F.col("rep") == F.col("node"), "left")
     now = now.select(*members.columns, F.coalesce("root", "rep").alias("root"))
     mixed = now.groupBy("centre").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return cut_lineage(now.join(mixed.select("centre"), "centre", "left_semi"))
+    return cut_lineage(now.join(cut_lineage(mixed.select("centre")), "centre", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75,
@@ -253,8 +253,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     # members of buckets with at least two classes, with the first of each bucket as its centre
     spread = classes.where("rep is not null").select("rep", F.explode("buckets").alias("bucket"))
+    # (most buckets hold one class: counts by 48 bits of the key leave them out first; joined sides are cut so that AQE splits hot keys)
+    low = F.col("bucket").bitwiseAND(F.lit((1 << 48) - 1))
+    often = cut_lineage(spread.groupBy(low.alias("low")).agg(F.count("*").alias("times")).where("times > 1").select("low"))
+    spread = cut_lineage(spread.join(often, low == F.col("low"), "left_semi"))
     centres = spread.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"))
-    centres = centres.where("centre <> last").select("bucket", "centre")
+    centres = cut_lineage(centres.where("centre <> last").select("bucket", "centre"))
     members = cut_lineage(spread.join(centres, "bucket").select("rep", "centre").distinct())
     ids = members.select(F.col("rep").alias(key)).distinct()
     involved = docs.select(key, text).join(ids, key, "left_semi").distinct()
