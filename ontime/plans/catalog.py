@@ -24,7 +24,7 @@ from ontime.sources import flights as FL
 from ontime.sources import lines
 from ontime.sources import places as PL
 from ontime.sources import weather as WX
-from ontime.sources.sinks import write_partitioned
+from ontime.sources.sinks import write_parquet, write_partitioned
 from ontime.sources.tables import drop_table, list_tables, register_external, register_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,11 +471,17 @@ _RATES: dict[tuple[str, str], list[DataFrame]] = {}
 
 
 def _rates(spark, sf_dir):
-    """Train, test, and the rate tables, checkpointed so that the lookups can split a hot key."""
+    """Train, test, and the rate tables, written and read back: Spark then knows their size before it plans a lookup
+    (a checkpoint keeps the estimate of the rows it was counted from), and the lookups can split a hot key."""
     train, test = _split(spark, sf_dir)
     key = (app_id(spark), sf_dir)
     if key not in _RATES:
-        _RATES[key] = [cut_lineage(joins.rate_table(train, k)) for k in ("carrier", "origin")]
+        tables = []
+        for k in ("carrier", "origin"):
+            path = scratch_path(spark, f"rates-{k}-{uuid.uuid4().hex}")
+            write_parquet(joins.rate_table(train, k), path)
+            tables.append(spark.read.parquet(path))
+        _RATES[key] = tables
     return train, test, *_RATES[key]
 
 

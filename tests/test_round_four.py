@@ -4,9 +4,14 @@ import os
 
 from conftest import SF_SMALL
 
+from ontime.plans import catalog
 from ontime.plans import driver_tables as dt
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_model_table_writes_the_joined_columns_only(spark):
     found = dt.model_table(spark, SF_SMALL)
     folder = os.path.dirname(found.inputFiles()[0])
@@ -17,3 +22,15 @@ def test_model_table_writes_the_joined_columns_only(spark):
     want = dt.trips(spark, SF_SMALL)
     assert found.dtypes == want.dtypes
     assert found.exceptAll(want).count() == 0 and want.exceptAll(found).count() == 0
+
+
+def test_small_rate_tables_are_broadcast_whatever_they_were_counted_from(spark):
+    catalog._rates(spark, SF_SMALL)  # counted under the ordinary limit
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(16 << 10))  # less than the estimate of the aggregate, more than the tables
+    try:
+        plan = plan_of(catalog._scored_test(spark, SF_SMALL))
+    finally:
+        spark.conf.set(key, old)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
