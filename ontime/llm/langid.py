@@ -4,10 +4,10 @@ Characters are letters in lower case and combining marks of every script, each b
 any run of other characters is one boundary. Trigrams of characters are counted per language over
 every training row, summed by Spark, and turned into interpolated Kneser-Ney probabilities. The model
 has the trigrams and the bigrams as sorted arrays of packed keys, with one row of log-probabilities per
-key, and a row per character for what was never seen. Three such models are broadcast (see below), each of at most
-``max_bytes`` for the trigrams' rows. Scripts of thousands of letters over a very large corpus have more
-trigrams than that: then the most frequent are kept and the others left to the lower order, as a count cutoff
-does. The keys are counted and chosen in Spark before any reaches the driver.
+key, and a row per character for what was never seen. Every trigram that was counted is in the model, whatever the
+size of the corpus. Three such models are broadcast (see below): together about 12 bytes times the languages plus 24 for each
+different trigram, and the bigrams. Where a caller bounds a model by ``max_bytes``, the most
+frequent trigrams are kept and the others left to the lower order, as a count cutoff does.
 
 A text gets the language of lowest cross-entropy per character. It is rejected when that
 entropy lies far above the median of the training rows of the language and length band, in
@@ -244,16 +244,19 @@ def within(counted: DataFrame, keys: int) -> DataFrame:
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 64,
-        max_bytes: int = 32 << 20, deviations: float = 8.0) -> Model | None:
+        max_bytes: int | None = None, deviations: float = 8.0) -> Model | None:
     """Learn from every row with a language; None where there is nothing to learn.
 
-    More than ``max_languages`` languages are an error, raised before any count reaches the driver.
+    More than ``max_languages`` languages are an error, raised before any count reaches the driver. ``max_bytes`` bounds the
+    rows of the trigrams; without it every trigram is kept.
     """
     counted = cut_lineage(count_trigrams(rows, text, lang))
     n_languages = counted.agg(F.count_distinct("lang")).first()[0]
     if n_languages > max_languages:
         raise ValueError(f"{n_languages} languages pass max_languages")
-    totals = within(counted, max_bytes // 4 // max(1, n_languages)).toArrow()  # at most two rows a cell
+    if max_bytes is not None:
+        counted = within(counted, max_bytes // 4 // max(1, n_languages))
+    totals = counted.toArrow()  # at most two rows a cell
     if totals.num_rows == 0:
         return None
     languages = sorted(set(totals.column("lang").unique().to_pylist()))
