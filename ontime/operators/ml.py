@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions.features import p_positive
-from ontime.operators import evaluation, forest
+from ontime.operators import evaluation, forest, forest_fit
 from ontime.operators.eda import top_values
 from ontime.operators.features import require
 from ontime.operators.sampling import in_sample
@@ -138,6 +138,7 @@ def prepare(df: DataFrame, keep_origin: list[str], keep_dest: list[str],
 
 
 def build_pipeline(cfg: ForestConfig) -> Pipeline:
+    """The stages before the forest: indexes, one-hot vectors and the assembled features."""
     idx = [f"{c}_idx" for c in cfg.categorical]
     vec = [f"{c}_vec" for c in cfg.categorical]
     indexer = StringIndexer(inputCols=cfg.categorical, outputCols=idx, handleInvalid="keep")
@@ -147,11 +148,14 @@ def build_pipeline(cfg: ForestConfig) -> Pipeline:
     # are required to be complete before the fit.
     assembler = VectorAssembler(inputCols=vec + cfg.numeric, outputCol="features",
                                 handleInvalid="keep")
-    trees = RandomForestClassifier(
+    return Pipeline(stages=[indexer, encoder, assembler])
+
+
+def classifier(cfg: ForestConfig) -> RandomForestClassifier:
+    return RandomForestClassifier(
         labelCol=cfg.label, featuresCol="features", weightCol=cfg.weight,
         numTrees=cfg.num_trees, maxDepth=cfg.max_depth, maxBins=cfg.max_bins, seed=cfg.seed,
         checkpointInterval=cfg.checkpoint_interval)
-    return Pipeline(stages=[indexer, encoder, assembler, trees])
 
 
 @dataclass
@@ -168,10 +172,10 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     """Fit the weighted forest on rows whose label and numeric inputs are present.
 
     Only the model's input columns are kept and persisted (memory, spilling to disk)
-    for the duration of the fit: one pass gives the rate and all top-k lists, then
-    the indexer and every tree level read that copy instead of recomputing the
-    upstream joins. A lost
-    block is recomputed from lineage.
+    until they are binned: one pass gives the rate and all top-k lists, then the indexer
+    reads that copy instead of recomputing the upstream joins. A lost
+    block is recomputed from lineage. The forest is grown by ``forest_fit`` on bins and category
+    numbers, not on assembled vectors, so that it does not slow down with the number of categories.
     """
     from pyspark import StorageLevel
 
@@ -188,7 +192,11 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
         keep_c = tops.get("carrier")
         prepared = with_class_weight(prepare(complete, keep_o, keep_d, keep_c), rate,
                                      cfg.label, cfg.weight)
-        model = build_pipeline(cfg).fit(prepared)
+        inputs = build_pipeline(cfg).fit(prepared)
+        known = indexer_labels(inputs)
+        trees = forest_fit.fit(inputs.stages[0].transform(prepared), classifier(cfg),
+                               [(f"{c}_idx", len(known[c])) for c in cfg.categorical], cfg.numeric, complete.unpersist)
+        model = PipelineModel(stages=[*inputs.stages, trees])
     finally:
         complete.unpersist()
     return Trained(model, rate, keep_o, keep_d, cfg, keep_c)
