@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,9 +31,8 @@ from pyspark.sql import functions as F
 
 from ontime.session import scratch_path
 
-# Rows of a block, which a task counts at once, and places of the filter in front of a tree's sorted keys.
-BLOCK = 32768
-FILTER = 1 << 20
+# Fixed value: rows of a block, which a task counts at once.
+BLOCK = 131072
 
 BLOCKS = "ids binary, y binary, weight binary, bins binary, slots binary"
 CELLS = "tree int, node int, slot int, bin int, n long, neg double, pos double"
@@ -118,94 +117,114 @@ def bags(ids: np.ndarray, trees: int, seed: int) -> np.ndarray:
     draws = np.searchsorted(cdf, (np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.uint8)
     out = np.empty((trees, len(ids)), np.uint8)
     for first in range(0, trees, 4):
-        z = ids.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + (first + 1) * 0xD1B54A32D192ED03) % (1 << 64))
+        z = ids.astype("<u8") + np.uint64((seed * 0x9E3779B97F4A7C15 + (first + 1) * 0xD1B54A32D192ED03) % (1 << 64))
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
-            z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+            z ^= z >> np.uint64(shift)
+            z *= np.uint64(factor)
+        bits = z.view("<u2").reshape(-1, 4)  # the lowest 16 bits first
         for tree in range(first, min(first + 4, trees)):
-            out[tree] = draws[(z >> np.uint64(16 * (tree - first))) & np.uint64(0xFFFF)]
+            out[tree] = draws[bits[:, tree - first]]
     return out
 
 
-def walk(x: np.ndarray, tree: Tree, rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rows that get as deep as ``depth``, and their nodes there."""
-    at = np.ones(len(rows), np.int64)
+def walk(x: Sequence[np.ndarray], tree: Tree, rows: np.ndarray, depth: int, wanted: Iterable[int]) -> list[tuple[int, np.ndarray]]:
+    """The ``wanted`` nodes at ``depth``, each with those of the rows that get there.
+
+    A split reads its own column only, and only the rows of its node.
+    """
+    way = {k >> up for k in wanted for up in range(depth + 1)}
+    here = [(1, rows)]
     for _ in range(depth):
-        live = tree.place[at] >= 0
-        rows, at = rows[live], at[live]
-        value, cut, kind = x.ravel()[tree.place[at] * x.shape[1] + rows], tree.cut[at], tree.kind[at]
-        left = np.where(kind == 0, value <= cut, (value == cut) == (kind == 1))
-        at = 2 * at + ~left
-    return rows, at
-
-
-class Cells:
-    """The sums of one tree's open nodes: a cell per node, per (node, numeric place, bin) and per (node, category)."""
-
-    def __init__(self, first: int, allowed: dict[int, np.ndarray], categories: int, numeric: int, bins: int):
-        self.first, self.categories, self.numeric = first, categories, numeric
-        nodes = np.array(sorted(allowed), np.int64)
-        self.total = np.full(first, -1, np.int64)
-        self.total[nodes - first] = np.arange(len(nodes))
-        self.base = np.full((first, numeric), -1, np.int64)
-        keys = []
-        parts = [(nodes, np.full(len(nodes), -1), np.zeros(len(nodes), np.int64))]
-        at = len(nodes)
-        for node in nodes:
-            slot = allowed[node]
-            keys.append((node - first) * (categories + 1) + slot[slot < categories])
-            for s in slot[slot >= categories]:
-                self.base[node - first, s - categories] = at
-                parts.append((np.full(bins, node), np.full(bins, s), np.arange(bins)))
-                at += bins
-        self.keys = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.int64)
-        self.seen = np.zeros(FILTER, bool)
-        self.seen[self.keys & (FILTER - 1)] = True
-        self.from_keys = at
-        if len(self.keys):
-            parts.append((self.keys // (categories + 1) + first, self.keys % (categories + 1), np.zeros(len(self.keys), np.int64)))
-        self.node, self.slot, self.bin = (np.concatenate(c).astype(np.int32) for c in zip(*parts))
-        self.n = np.zeros(len(self.node), np.int64)
-        self.sums = np.zeros(2 * len(self.node))
-
-    def add(self, x: np.ndarray, rows: np.ndarray, at: np.ndarray, y: np.ndarray, weight: np.ndarray, drawn: np.ndarray) -> None:
-        k = at - self.first
-        inside = self.total[k] >= 0
-        rows, k = rows[inside], k[inside]
-        cells, members = [self.total[k]], [np.arange(len(rows))]
-        for i in np.flatnonzero((self.base >= 0).any(axis=0)):
-            base = self.base[k, i]
-            who = np.flatnonzero(base >= 0)
-            cells.append(base[who] + x[i, rows[who]])
-            members.append(who)
-        for i in range(self.numeric, len(x)) if len(self.keys) else ():
-            key = k * (self.categories + 1) + x[i, rows]
-            who = np.flatnonzero(self.seen[key & (FILTER - 1)])
-            place = np.minimum(np.searchsorted(self.keys, key[who]), len(self.keys) - 1)
-            same = self.keys[place] == key[who]
-            cells.append(self.from_keys + place[same])
-            members.append(who[same])
-        cell, row = np.concatenate(cells), rows[np.concatenate(members)]
-        times = drawn[row].astype(float)
-        self.n += np.bincount(cell, times, len(self.n)).astype(np.int64)
-        self.sums += np.bincount(2 * cell + y[row], times * weight[row], len(self.sums))
+        below = []
+        for k, r in here:
+            if tree.place[k] < 0:
+                continue
+            value = x[tree.place[k]][r]
+            left = value <= tree.cut[k] if tree.kind[k] == 0 else value == tree.cut[k] if tree.kind[k] == 1 else value != tree.cut[k]
+            if 2 * k in way:
+                below.append((2 * k, r[left]))
+            if 2 * k + 1 in way:
+                below.append((2 * k + 1, r[~left]))
+        here = below
+    return here
+
+
+class Node:
+    """The sums of one open node: in total, per (numeric place, bin) and per category that it may split on."""
+
+    def __init__(self, allowed: np.ndarray, ranges: Sequence[tuple[int, int]], categories: int, bins: int):
+        self.slots = np.sort(allowed[allowed < categories])
+        self.numeric = np.sort(allowed[allowed >= categories])
+        # the columns with such a category
+        self.columns = [c for c, (a, b) in enumerate(ranges) if np.searchsorted(self.slots, a) < np.searchsorted(self.slots, b)]
+        self.categories = categories
+        self.bins = bins
+        cells = 1 + bins * len(self.numeric) + len(self.slots)
+        self.n, self.sums = np.zeros(cells), np.zeros((cells, 2))  # counts of rows, and weights of negative and positive ones
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Slot and bin of each cell, -1 and 0 for the total."""
+        of_bins = len(self.numeric)
+        slot = np.concatenate([[-1], np.repeat(self.numeric, self.bins), self.slots])
+        return slot, np.concatenate([[0], np.tile(np.arange(self.bins), of_bins), np.zeros(len(self.slots), np.int64)])
+
+    def put(self, at: int, size: int, cell: np.ndarray, y: np.ndarray, times: np.ndarray, weight: np.ndarray) -> None:
+        both = 2 * cell.astype(np.intp) + y
+        self.n[at : at + size] += np.bincount(both, times, 2 * size).reshape(-1, 2).sum(axis=1)
+        self.sums[at : at + size] += np.bincount(both, weight, 2 * size).reshape(-1, 2)
+
+    def add(self, x: Sequence[np.ndarray], first: int, rows: np.ndarray, y: np.ndarray, times: np.ndarray, weight: np.ndarray, marks: np.ndarray) -> None:
+        """Counts ``rows``; ``first`` is the place in ``x`` of the first categorical column, ``marks`` an array of falses per category."""
+        y, times, weight = y[rows], times[rows], weight[rows]
+        self.n[0] += times.sum()
+        self.sums[0] += np.bincount(y, weight, 2)
+        for i, place in enumerate(self.numeric):
+            self.put(1 + i * self.bins, self.bins, x[place - self.categories][rows], y, times, weight)
+        marks[self.slots] = True
+        found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for c in self.columns:
+            value = x[first + c][rows]
+            who = np.flatnonzero(marks[value])
+            found[0].append(who)
+            found[1].append(np.searchsorted(self.slots, value[who]))
+        marks[self.slots] = False
+        who = np.concatenate(found[0])
+        if len(who):
+            self.put(1 + self.bins * len(self.numeric), len(self.slots), np.concatenate(found[1]), y[who], times[who], weight[who])
 
 
 def level_cells(rows: DataFrame, trees: Sequence[Tree], allowed: Sequence[dict[int, np.ndarray]], depth: int, categories: int,
-                numeric: int, bins: int, small: type, seed: int) -> DataFrame:
-    """(tree, node, slot, bin, n, neg, pos) of the open nodes at ``depth``; slot -1 is the node's total."""
+                numeric: int, bins: int, small: type, seed: int, ranges: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """(tree, node, slot, bin, n, neg, pos) of the open nodes at ``depth``; slot -1 is the node's total.
+
+    ``ranges`` has the first slot of every categorical column and the one after its last; without it each column is looked at for
+    every category.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = {t: Cells(1 << depth, a, categories, numeric, bins) for t, a in enumerate(allowed) if a}
+        nodes: list[dict[int, Node]] = []
+        marks = np.zeros(categories + 1, bool)
         for ids, y, weight, x in blocks(batches, numeric, small):
+            if not nodes:
+                own = ranges or [(0, categories)] * (len(x) - numeric)
+                nodes = [{k: Node(a, own, categories, bins) for k, a in of.items()} for of in allowed]
             drawn = bags(ids, len(trees), seed) if len(trees) > 1 else np.ones((1, len(ids)), np.uint8)
-            for t, sums in cells.items():
-                sums.add(x, *walk(x, trees[t], np.flatnonzero(drawn[t]), depth), y, weight, drawn[t])
-        for t, c in cells.items():
-            who = np.flatnonzero(c.n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(who), t, np.int32)), *[pa.array(v[who]) for v in (c.node, c.slot, c.bin, c.n)],
-                 pa.array(c.sums[0::2][who]), pa.array(c.sums[1::2][who])],
-                names=["tree", "node", "slot", "bin", "n", "neg", "pos"])
+            for tree, of, times in zip(trees, nodes, drawn):
+                if not of:
+                    continue
+                often = times.astype(float)
+                weighted = often * weight
+                for k, r in walk(x, tree, np.flatnonzero(times), depth, of):
+                    of[k].add(x, numeric, r, y, often, weighted, marks)
+        for t, of in enumerate(nodes):
+            for k, node in of.items():
+                slot, bin_ = node.places()
+                who = np.flatnonzero(node.n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(who), v, np.int32)) for v in (t, k)]
+                    + [pa.array(v[who].astype(np.int32)) for v in (slot, bin_)]
+                    + [pa.array(node.n[who].astype(np.int64)), pa.array(node.sums[who, 0]), pa.array(node.sums[who, 1])],
+                    names=["tree", "node", "slot", "bin", "n", "neg", "pos"])
 
     sums = rows.mapInArrow(count, CELLS).groupBy("tree", "node", "slot", "bin")
     return sums.agg(*[F.sum(c).alias(c) for c in ("n", "neg", "pos")])
@@ -224,12 +243,12 @@ def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], numeric: int, small: type) -> Iterator[tuple[np.ndarray, ...]]:
-    """(ids, y, weight, x) of each block; ``x`` has a row per numeric column, then per categorical one."""
+    """(ids, y, weight, x) of each block; ``x`` has an array per numeric column, then per categorical one."""
     for batch in batches:
         for block in zip(*batch.columns):
             ids, y, weight, bins, slots = (np.frombuffer(v.as_buffer(), kind) for v, kind in zip(
                 block, (np.int64, np.uint8, np.float64, small, np.int32)))
-            yield ids, y, weight, np.vstack([bins.reshape(numeric, len(ids)).astype(np.int32), slots.reshape(-1, len(ids))])
+            yield ids, y, weight, [*bins.reshape(numeric, len(ids)), *slots.reshape(-1, len(ids))]
 
 
 def best_splits(cells: DataFrame) -> DataFrame:
@@ -263,6 +282,8 @@ def grow(rows: DataFrame, categories: Sequence[int], cuts: Sequence[Sequence[flo
     slots, numeric = sum(categories), len(cuts)
     places = slots + numeric
     column = np.repeat(np.arange(len(categories)), categories)  # a slot's categorical column
+    firsts = np.cumsum([0, *categories]).tolist()
+    ranges = list(zip(firsts, firsts[1:]))
     subset = math.ceil(math.sqrt(places)) if num_trees > 1 else places
     size = 1 << (max_depth + 1)
     trees = [Tree(np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int8)) for _ in range(num_trees)]
@@ -271,7 +292,8 @@ def grow(rows: DataFrame, categories: Sequence[int], cuts: Sequence[Sequence[flo
         allowed = [{k: np.random.default_rng([seed, t, k]).choice(places, subset, replace=False) for k in nodes}
                    for t, nodes in enumerate(open_nodes)]
         open_nodes = [[] for _ in trees]
-        for r in best_splits(level_cells(rows, trees, allowed, depth, slots, numeric, max_bins, bin_type(cuts), seed)).collect():
+        sums = level_cells(rows, trees, allowed, depth, slots, numeric, max_bins, bin_type(cuts), seed, ranges)
+        for r in best_splits(sums).collect():
             tree, k = trees[r.tree], r.node
             tree.held[k] = (r.all_n, r.all_neg, r.all_pos)
             if r.gain is None or max_depth == 0:
@@ -342,18 +364,16 @@ def as_model(spark: SparkSession, classifier: RandomForestClassifier, trees: Seq
 
 
 def fit(df: DataFrame, classifier: RandomForestClassifier, indexed: Sequence[tuple[str, int]], numeric: Sequence[str],
-        release=lambda: None) -> RandomForestClassificationModel:
+        total: int | None = None) -> RandomForestClassificationModel:
     """The forest on ``df``'s rows. ``indexed``: an index column and its number of known categories per categorical input, in
-    the vector's order, before the ``numeric`` ones; ``release`` is called once ``df`` is not read any more."""
+    the vector's order, before the ``numeric`` ones; ``total`` is the number of rows, counted if not given."""
     label, weight, seed = classifier.getLabelCol(), classifier.getWeightCol(), classifier.getSeed()
     sizes = [size for _, size in indexed]
     firsts = np.cumsum([0, *sizes]).tolist()
-    cuts = thresholds(df, numeric, weight, df.count(), classifier.getMaxBins(), seed)
+    cuts = thresholds(df, numeric, weight, df.count() if total is None else total, classifier.getMaxBins(), seed)
     rows = binned(df, numeric, cuts, [(c, first, size) for (c, size), first in zip(indexed, firsts)], label, weight)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows.count()  # the blocks are kept before what they were made of is let go
-        release()
         trees = grow(rows, sizes, cuts, classifier.getNumTrees(), classifier.getMaxDepth(), classifier.getMaxBins(), seed)
     finally:
         rows.unpersist()

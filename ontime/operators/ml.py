@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,35 +89,49 @@ def top_list(df: DataFrame, col: str, k: int) -> list[str]:
     return [r[0] for r in keep_set(df, col, k).collect()]
 
 
-def category_stats(df: DataFrame, label: str, cols: list[str], k: int) -> tuple[float, dict]:
-    """Positive rate and the k most frequent values of each column in ONE pass.
+def category_counts(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    """(_name, _value, n, pos): rows and positives of every value of each column, in ONE pass.
 
     Each row contributes one (column, value) pair per column (a generator); a single
     aggregate counts rows and positives per pair, combined map-side, so the large
-    input is scanned once. The rate and the per-column top-k (ties by value, as
-    ``top_values``) are read from that small result: a scalar and k values per column
-    reach the driver.
+    input is scanned once.
     """
-    from pyspark import StorageLevel
-
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_name"),
                                          F.col(c).cast("string").alias("_value"))
                                 for c in cols]))
-    counts = (df.select(F.col(label).alias("_y"), pairs.alias("_p"))
-              .groupBy(F.col("_p._name").alias("_name"), F.col("_p._value").alias("_value"))
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    return (df.select(F.col(label).alias("_y"), pairs.alias("_p"))
+            .groupBy(F.col("_p._name").alias("_name"), F.col("_p._value").alias("_value"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos")))
+
+
+def rate_and_tops(counts: DataFrame, cols: Sequence[str], k: int) -> tuple[float, dict]:
+    """Positive rate and the k most frequent values of each column (ties by value, as ``top_values``) from
+    ``category_counts``: a scalar and k values per column reach the driver."""
+    first = counts.filter(F.col("_name") == F.lit(cols[0]))
+    rate = first.agg((F.sum("pos") / F.sum("n")).alias("r")).first()["r"]
+    tops = {}
+    for c in cols:
+        top = (counts.filter(F.col("_name") == F.lit(c))
+               .orderBy(F.col("n").desc(), F.col("_value").asc()).limit(k))
+        tops[c] = [r["_value"] for r in top.select("_value").collect()]
+    return float(rate), tops
+
+
+def category_stats(df: DataFrame, label: str, cols: list[str], k: int) -> tuple[float, dict]:
+    """Positive rate and the k most frequent values of each column in ONE pass (see ``category_counts``)."""
+    from pyspark import StorageLevel
+
+    counts = category_counts(df, label, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = counts.filter(F.col("_name") == F.lit(cols[0]))
-        rate = first.agg((F.sum("pos") / F.sum("n")).alias("r")).first()["r"]
-        tops = {}
-        for c in cols:
-            top = (counts.filter(F.col("_name") == F.lit(c))
-                   .orderBy(F.col("n").desc(), F.col("_value").asc()).limit(k))
-            tops[c] = [r["_value"] for r in top.select("_value").collect()]
+        return rate_and_tops(counts, cols, k)
     finally:
         counts.unpersist()
-    return float(rate), tops
+
+
+def labels_by_count(counts: DataFrame) -> list[str]:
+    """The values of (_value, n) as ``StringIndexer`` orders them: most frequent first, ties by their UTF-16 form; nulls have none."""
+    found = counts.where("_value is not null").groupBy("_value").agg(F.sum("n").alias("n")).collect()
+    return [r["_value"] for r in sorted(found, key=lambda r: (-r["n"], r["_value"].encode("utf-16-be", "surrogatepass")))]
 
 
 def bucket_list(df: DataFrame, col: str, keep: list[str], out: str) -> DataFrame:
@@ -171,10 +185,9 @@ class Trained:
 def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     """Fit the weighted forest on rows whose label and numeric inputs are present.
 
-    Only the model's input columns are kept and persisted (memory, spilling to disk)
-    until they are binned: one pass gives the rate and all top-k lists, then the indexer
-    reads that copy instead of recomputing the upstream joins. A lost
-    block is recomputed from lineage. The forest is grown by ``forest_fit`` on bins and category
+    ``train_df`` is read three times, so it should be a written table: one pass counts the values of all categorical
+    columns, which gives the rate, the top-k lists, the indexer's labels and the number of rows; one takes the sample for the
+    numeric bins; one bins the rows. Only the bins are kept, not the joined or assembled rows. The forest is grown by ``forest_fit`` on bins and category
     numbers, not on assembled vectors, so that it does not slow down with the number of categories.
     """
     from pyspark import StorageLevel
@@ -184,21 +197,30 @@ def train(train_df: DataFrame, cfg: ForestConfig | None = None) -> Trained:
     cats = [c for c in cfg.categorical if c not in ("origin_b", "dest_b")]
     cols = list(dict.fromkeys([cfg.label, "origin", "dest", *cats, *cfg.numeric]))
     complete = require(train_df.select(*cols), [cfg.label, *cfg.numeric])
-    complete = complete.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = category_counts(complete, cfg.label, list(dict.fromkeys(["origin", "dest", *cats]))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bucketed = ["origin", "dest"] + (["carrier"] if cfg.bucket_carrier else [])
-        rate, tops = category_stats(complete, cfg.label, bucketed, cfg.top_k)
+        rate, tops = rate_and_tops(counts, bucketed, cfg.top_k)
         keep_o, keep_d = tops["origin"], tops["dest"]
         keep_c = tops.get("carrier")
-        prepared = with_class_weight(prepare(complete, keep_o, keep_d, keep_c), rate,
-                                     cfg.label, cfg.weight)
-        inputs = build_pipeline(cfg).fit(prepared)
-        known = indexer_labels(inputs)
-        trees = forest_fit.fit(inputs.stages[0].transform(prepared), classifier(cfg),
-                               [(f"{c}_idx", len(known[c])) for c in cfg.categorical], cfg.numeric, complete.unpersist)
-        model = PipelineModel(stages=[*inputs.stages, trees])
+        kept = {"origin_b": ("origin", keep_o), "dest_b": ("dest", keep_d), "carrier": ("carrier", keep_c)}
+        labels = []
+        for c in cfg.categorical:
+            source, keep = kept.get(c, (c, None))
+            own = counts.where(F.col("_name") == F.lit(source))
+            labels.append(labels_by_count(own if keep is None else bucket_list(own, "_value", keep, "_value")))
+        total = counts.where(F.col("_name") == "origin").agg(F.sum("n")).first()[0]
     finally:
-        complete.unpersist()
+        counts.unpersist()
+    prepared = with_class_weight(prepare(complete, keep_o, keep_d, keep_c), rate, cfg.label, cfg.weight)
+    indexer, *rest = build_pipeline(cfg).getStages()
+    # one model per column: PySpark pads labels of several columns to one length with nulls
+    known = [StringIndexerModel.from_arrays_of_labels([own], [c], [idx], indexer.getHandleInvalid())
+             for own, c, idx in zip(labels, indexer.getInputCols(), indexer.getOutputCols())]
+    inputs = Pipeline(stages=[*known, *rest]).fit(prepared)
+    trees = forest_fit.fit(PipelineModel(stages=known).transform(prepared), classifier(cfg),
+                           [(f"{c}_idx", len(own)) for c, own in zip(cfg.categorical, labels)], cfg.numeric, total)
+    model = PipelineModel(stages=[*inputs.stages, trees])
     return Trained(model, rate, keep_o, keep_d, cfg, keep_c)
 
 

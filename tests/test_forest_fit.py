@@ -76,3 +76,58 @@ def test_level_sums_are_those_of_every_drawn_row(spark):
         assert [r.neg, r.pos] == pytest.approx(wanted[r.tree, r.slot, r.bin][1:], abs=1e-9)
     mean = sum(r.n for r in got if r.slot == -1) / 6 / 1500
     assert mean == pytest.approx(1, abs=0.1)  # Poisson(1) draws
+
+
+def test_deeper_level_counts_each_nodes_own_rows(spark):
+    df = rows_of(spark, 40)
+    ready, known, numeric = indexed(df)
+    sizes = [size for _, size in known]
+    slots = sum(sizes)
+    cuts = forest_fit.thresholds(ready, numeric, "w", 1500, 32, 1)
+    ranges = [(0, sizes[0]), (sizes[0], slots)]
+    rows = forest_fit.binned(ready.repartition(3), numeric, cuts, [(known[0][0], 0, sizes[0]), (known[1][0], sizes[0], slots)], "y", "w").cache()
+    # root by a bin of the first number, its left child by category 3, which goes right, and its right child by category 5, which goes left
+    place, cut, kind = (np.full(16, v) for v in (-1, 0, 0))
+    place[1], cut[1], place[2], cut[2], kind[2], place[3], cut[3], kind[3] = 0, 4, 2, 3, 2, 2, 5, 1
+    trees = [forest_fit.Tree(place, cut, kind)] * 2
+    allowed = [{4: np.arange(slots + 2), 6: np.array([1, 5, slots + 1])}, {7: np.array([2, slots - 1])}]
+    got = forest_fit.level_cells(rows, trees, allowed, 2, slots, 2, 32, np.uint8, 7, ranges).collect()
+    wanted = {}
+    for block in rows.collect():
+        ids, y, w = (np.frombuffer(v, t) for v, t in zip(block[:3], (np.int64, np.uint8, float)))
+        x = [*np.frombuffer(block.bins, np.uint8).reshape(2, -1), *np.frombuffer(block.slots, np.int32).reshape(2, -1)]
+        drawn = forest_fit.bags(ids, 2, 7)
+        for t in range(2):
+            for i in range(len(ids)):
+                node = (4 if x[2][i] != 3 else 5) if x[0][i] <= 4 else (6 if x[2][i] == 5 else 7)
+                of = set(allowed[t].get(node, []))
+                own = [(-1, 0), *((slots + k, x[k][i]) for k in (0, 1) if slots + k in of), *((c[i], 0) for c in x[2:] if c[i] in of)]
+                for cell in own if drawn[t, i] and node in allowed[t] else ():
+                    held = wanted.setdefault((t, node, *map(int, cell)), [0, 0.0, 0.0])
+                    held[0] += int(drawn[t, i])
+                    held[1 + y[i]] += float(drawn[t, i]) * w[i]
+    assert {(r.tree, r.node, r.slot, r.bin): r.n for r in got} == {k: v[0] for k, v in wanted.items()}
+    for r in got:
+        assert [r.neg, r.pos] == pytest.approx(wanted[r.tree, r.node, r.slot, r.bin][1:], abs=1e-9)
+
+
+def test_training_keeps_no_rows_but_their_bins(spark, monkeypatch):
+    """The indexer's labels are StringIndexer's, and the fit reads its rows where they are, not from a cached copy."""
+    r = random.Random(5)
+    some = [None, "a", "b", "\U0001F600", "￮", *(f"v{i}" for i in range(9))]
+    schema = "dep_del15 double, origin string, dest string, carrier string, a double"
+    df = spark.createDataFrame([(float(r.random() < 0.3), *(r.choice(some) for _ in range(3)), r.random() if i % 9 else None)
+                                for i in range(400)], schema)
+    cfg = ml.ForestConfig(categorical=["carrier", "origin_b", "dest_b"], numeric=["a"], num_trees=2, max_depth=2, top_k=5)
+    seen = {}
+
+    def look(rows, *given):
+        seen["plan"], seen["total"] = rows._jdf.queryExecution().withCachedData().toString(), given[3]
+        return fit(rows, *given)
+    fit = forest_fit.fit
+    monkeypatch.setattr(forest_fit, "fit", look)
+    trained = ml.train(df, cfg)
+    assert "InMemoryRelation" not in seen["plan"] and seen["total"] == df.where("a is not null").count()
+    ready = ml.prepare(df.where("a is not null"), trained.keep_origin, trained.keep_dest)
+    theirs = ml.build_pipeline(cfg).getStages()[0].fit(ready).labelsArray
+    assert [ml.indexer_labels(trained.model)[c] for c in cfg.categorical] == [list(v) for v in theirs]
