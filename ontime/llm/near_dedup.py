@@ -173,6 +173,19 @@ def similar(common: Column, one: Column, other: Column, percent: int) -> Column:
     return 100 * common >= percent * (one + other - common)
 
 
+#: Rows of a checkpoint's file in the rounds of ``components``, whose tables are narrow.
+FILE_ROWS = 1 << 17
+
+
+def kept_small(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` (at most ``rows`` narrow rows) checkpointed in as few files as hold ``FILE_ROWS`` each.
+
+    Every file of a checkpoint costs its executor some processes on a local file system, so tiny ones for every shuffle
+    partition are most of a round's work.
+    """
+    return cut_lineage(table.coalesce(max(1, -(-rows // FILE_ROWS))))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node that the links reach, for every node on a link.
 
@@ -182,24 +195,25 @@ def components(links: DataFrame) -> DataFrame:
     in the nodes, whatever the order of the ids; rounds go on until no edge is left.
     """
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    edges = cut_lineage(edges.union(edges.select("v", "u")).where("u <> v").distinct())
+    rows = 2 * links.count()  # no table below has more
+    edges = kept_small(edges.union(edges.select("v", "u")).where("u <> v").distinct(), rows)
     state = edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     while not edges.isEmpty():
         hooks = edges.groupBy(F.col("u").alias("root")).agg(F.min("v").alias("near"))
-        up = ends(cut_lineage(hooks.select("root", F.least("root", "near").alias("above"))))
+        up = ends(kept_small(hooks.select("root", F.least("root", "near").alias("above")), rows), rows)
         state = state.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-        state = cut_lineage(state)
+        state = kept_small(state, rows)
         edges = edges.join(up.select(F.col("root").alias("u"), F.col("above").alias("up_u")), "u")
         edges = edges.join(up.select(F.col("root").alias("v"), F.col("above").alias("up_v")), "v").where("up_u <> up_v")
-        edges = cut_lineage(edges.select(F.col("up_u").alias("u"), F.col("up_v").alias("v")).distinct())
+        edges = kept_small(edges.select(F.col("up_u").alias("u"), F.col("up_v").alias("v")).distinct(), rows)
     return state
 
 
-def ends(up: DataFrame) -> DataFrame:
-    """(root, above) with ``above`` followed to its end; every round halves the way there."""
+def ends(up: DataFrame, rows: int) -> DataFrame:
+    """(root, above), at most ``rows`` of them, with ``above`` followed to its end; every round halves the way there."""
     while True:
         top = up.select(F.col("root").alias("above"), F.col("above").alias("top"))
-        moved = cut_lineage(up.join(top, "above").select("root", F.col("above").alias("before"), F.col("top").alias("above")))
+        moved = kept_small(up.join(top, "above").select("root", F.col("above").alias("before"), F.col("top").alias("above")), rows)
         up = moved.select("root", "above")
         if moved.where("before <> above").isEmpty():
             return up

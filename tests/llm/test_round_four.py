@@ -2,7 +2,7 @@
 
 import random
 
-from ontime.llm import langid
+from ontime.llm import langid, near_dedup
 
 
 def test_language_model_keeps_every_trigram_of_a_large_corpus(spark):
@@ -12,3 +12,23 @@ def test_language_model_keeps_every_trigram_of_a_large_corpus(spark):
     assert len(want) > 140_000  # 32 MB of rows for 64 languages hold 131,072
     model = langid.fit(spark.createDataFrame(texts, "text string, lang string"))
     assert len(model.keys3) == len(want)
+
+
+def test_rounds_of_components_write_few_files(spark):
+    """Tables of a few rows are not written as a file for each shuffle partition, and those of many rows not as one."""
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 300) if i % 10 != 9], "a long, b long")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    limit = near_dedup.FILE_ROWS
+    try:
+        found = near_dedup.components(links)
+        assert found.rdd.getNumPartitions() == 1
+        near_dedup.FILE_ROWS = 100
+        more = near_dedup.components(links)
+        assert more.rdd.getNumPartitions() == 6
+    finally:
+        near_dedup.FILE_ROWS = limit
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.node, r.root) for r in found.collect()} == {(r.node, r.root) for r in more.collect()} == {(i, i // 10 * 10) for i in range(300)}
