@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ontime.session import scratch_path
 
 # Fixed value: rows of a block, which a task counts at once.
-BLOCK = 131072
+BLOCK = 32768
 
 BLOCKS = "ids binary, y binary, weight binary, bins binary, slots binary"
 CELLS = "tree int, node int, slot int, bin int, n long, neg double, pos double"
