@@ -25,14 +25,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ontime.session import scratch_path
 
 # Fixed value: rows of a block, which a task counts at once.
 BLOCK = 32768
+# Fixed value: a column with at most as many cuts is compared with each of them.
+FEW_CUTS = 8
 
 BLOCKS = "ids binary, y binary, weight binary, bins binary, slots binary"
 CELLS = "tree int, node int, slot int, bin int, n long, neg double, pos double"
@@ -81,6 +84,47 @@ def thresholds(df: DataFrame, numeric: Sequence[str], weight: str, rows: int, ma
     return [sorted(cuts) for cuts in found]
 
 
+def as_number(col: str) -> Column:
+    return F.coalesce(F.col(col).cast("double"), F.lit(math.nan))
+
+
+def bin_column(col: str, cuts: Sequence[float]) -> Column:
+    """How many of a few ``cuts`` are below the value; all of them for NaN and null."""
+    return sum(((as_number(col) > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+
+
+def bucketed(df: DataFrame, numeric: Sequence[str], cuts: Sequence[Sequence[float]]) -> tuple[DataFrame, list[Column]]:
+    """``df`` and the bins of its numeric columns; NaN and null get the last one or the one after it.
+
+    A bucket is a row's number of limits up to its value: the number after each cut is the limit, so a cut belongs to the lower bin.
+    """
+    many = [i for i, own in enumerate(cuts) if len(own) > FEW_CUTS]
+    if not many:
+        return df, [bin_column(c, own) for c, own in zip(numeric, cuts)]
+    after = [[float(v) for v in np.nextafter(np.asarray(cuts[i], float), math.inf)] for i in many]
+    buckets = Bucketizer(splitsArray=[[-math.inf, *(v for v in own if v < math.inf), math.inf] for own in after],
+                         inputCols=[f"_x{i}" for i in many], outputCols=[f"_bin{i}" for i in many], handleInvalid="keep")
+    df = buckets.transform(df.withColumns({f"_x{i}": as_number(numeric[i]) for i in many}))
+    return df, [F.col(f"_bin{i}") if i in many else bin_column(c, own) for i, (c, own) in enumerate(zip(numeric, cuts))]
+
+
+def packed(fields: Sequence[tuple[Column, int]]) -> tuple[list[Column], list[tuple[int, int, int]]]:
+    """Numbers with their bits, side by side in as few longs as hold them, and the (long, shift, mask) of each.
+
+    Each value of a row is written for Python by a call of its own, which costs more than all that is done with it there.
+    """
+    words: list[Column] = []
+    where, used = [], 63
+    for number, bits in fields:
+        if used + bits > 63:
+            words.append(F.lit(0).cast("long"))
+            used = 0
+        words[-1] = words[-1].bitwiseOR(F.shiftleft(number.cast("long"), used))
+        where.append((len(words) - 1, used, (1 << bits) - 1))
+        used += bits
+    return words, where
+
+
 def binned(df: DataFrame, numeric: Sequence[str], cuts: Sequence[Sequence[float]], slots: Sequence[tuple[str, int, int]],
            label: str, weight: str) -> DataFrame:
     """The rows in blocks (``BLOCKS``, arrays column by column): number, label, weight, bins of the numeric columns and slots
@@ -88,22 +132,27 @@ def binned(df: DataFrame, numeric: Sequence[str], cuts: Sequence[Sequence[float]
 
     ``slots`` has an index column, its first slot and its number of known categories per categorical column.
     """
-    arrays = [np.asarray(c, float) for c in cuts]
     none = sum(size for _, _, size in slots)
     small = bin_type(cuts)
+    last = [len(own) for own in cuts]
 
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in together(batches):
-            ids, y, w, *columns = (c.to_numpy() for c in table.columns)
-            bins = [np.searchsorted(cut, x, side="left").astype(small) for cut, x in zip(arrays, columns)]
-            block = [ids, y.astype(np.uint8), w, np.array(bins, small), np.array(columns[len(arrays):], np.int32)]
+            ids, w, *words = (c.to_numpy() for c in table.columns)
+            y, *found = (words[at] >> shift & mask for at, shift, mask in where)
+            bins = [np.minimum(b, most) for b, most in zip(found, last)]
+            block = [ids, y.astype(np.uint8), w, np.array(bins, small), np.array(found[len(last):], np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array([b.tobytes()], pa.binary()) for b in block], names=names)
 
     names = [c.split()[0] for c in BLOCKS.split(", ")]
-    known = [F.when(F.col(c) < size, F.col(c).cast("int") + first).otherwise(F.lit(none)).alias(f"c{i}")
-             for i, (c, first, size) in enumerate(slots)]
-    rows = df.select(F.monotonically_increasing_id(), (F.col(label) == 1).cast("int"), F.col(weight).cast("double"),
-                     *[F.col(c).cast("double").alias(f"b{i}") for i, c in enumerate(numeric)], *known)
+    known = [F.when(F.col(c) < size, F.col(c).cast("int") + first).otherwise(F.lit(none)) for c, first, size in slots]
+    # A step without generated code: else the columns and their bins would be one method of over 8,000 bytes, which the JVM
+    # interprets only.
+    df, places = bucketed(df.observe("rows_to_bin", F.count(F.lit(1)).alias("n")), numeric, cuts)
+    positive = F.coalesce((F.col(label) == 1).cast("int"), F.lit(0))
+    words, where = packed([(positive, 1), *((b, (most + 1).bit_length()) for b, most in zip(places, last)),
+                           *((slot, none.bit_length()) for slot in known)])
+    rows = df.select(F.monotonically_increasing_id(), F.col(weight).cast("double"), *[v.alias(f"v{i}") for i, v in enumerate(words)])
     return rows.mapInArrow(to_blocks, BLOCKS)
 
 

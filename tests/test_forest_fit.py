@@ -1,5 +1,6 @@
 """The forest grown by Spark aggregates: against MLlib's tree, and rows whose size does not grow with the categories."""
 
+import math
 import random
 
 import numpy as np
@@ -131,3 +132,34 @@ def test_training_keeps_no_rows_but_their_bins(spark, monkeypatch):
     ready = ml.prepare(df.where("a is not null"), trained.keep_origin, trained.keep_dest)
     theirs = ml.build_pipeline(cfg).getStages()[0].fit(ready).labelsArray
     assert [ml.indexer_labels(trained.model)[c] for c in cfg.categorical] == [list(v) for v in theirs]
+
+
+def test_rows_reach_python_as_few_numbers(spark):
+    """22 numeric and 4 categorical columns are three longs beside the row's number and weight; no method is too long for the JVM to compile."""
+    r = random.Random(4)
+    numeric = list(ml.ForestConfig().numeric)
+    odd = [None, math.nan, math.inf, -math.inf, 0.0, -0.0]
+    rows = [(float(i % 3 == 0), 1.0 + i % 2, *(float(r.randrange(n)) for n in (901, 26, 26, 4)),
+             *(r.choice(odd) if r.random() < 0.2 else round(r.gauss(0, 2), 2) for _ in numeric)) for i in range(700)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "y double, w double, k0 double, k1 double, k2 double, k3 double, "
+                               + ", ".join(f"{c} double" for c in numeric))
+    cuts = [sorted({round(r.gauss(0, 2), 2) for _ in range(n)}) for n in (40, 31, 9, 8, 3, 1)]
+    cuts += [[], [math.inf], [-math.inf, 0.0], [-math.inf, *(v / 4 for v in range(-9, 9)), math.inf]]
+    cuts += [sorted({round(r.gauss(0, 2), 2) for _ in range(32)}) for _ in numeric[len(cuts):]]
+    slots = [("k0", 0, 900), ("k1", 900, 25), ("k2", 925, 25), ("k3", 950, 3)]
+    got = forest_fit.binned(df, numeric, cuts, slots, "y", "w")
+    assert got._jdf.queryExecution().optimizedPlan().child().output().size() == 5
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenStringSeq(got._jdf.queryExecution().executedPlan())
+    assert all(code.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(code.length()))
+    found = {}
+    for block in got.collect():
+        ids, y, w = (np.frombuffer(v, t) for v, t in zip(block[:3], (np.int64, np.uint8, float)))
+        bins, places = np.frombuffer(block.bins, np.uint8).reshape(len(numeric), -1), np.frombuffer(block.slots, np.int32).reshape(4, -1)
+        found.update({int(i): (int(y[n]), w[n], bins[:, n].tolist(), places[:, n].tolist()) for n, i in enumerate(ids)})
+    wanted = {}
+    for row in df.withColumn("id", F.monotonically_increasing_id()).collect():
+        values = [math.nan if row[c] is None else row[c] for c in numeric]
+        wanted[row.id] = (int(row.y), row.w, [int(np.searchsorted(c, v)) for c, v in zip(cuts, values)],
+                          [int(row[c]) + first if row[c] < size else 953 for c, first, size in slots])
+    assert found == wanted
