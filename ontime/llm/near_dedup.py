@@ -29,6 +29,7 @@ columns other than the id and text columns play no part.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from . import words as W
 
 
@@ -173,17 +174,24 @@ def similar(common: Column, one: Column, other: Column, percent: int) -> Column:
     return 100 * common >= percent * (one + other - common)
 
 
-#: Rows of a checkpoint's file in the rounds of ``components``, whose tables are narrow.
+#: Rows of a file that the rounds of ``components`` write, whose tables are narrow.
 FILE_ROWS = 1 << 17
 
 
 def kept_small(table: DataFrame, rows: int) -> DataFrame:
-    """``table`` (at most ``rows`` narrow rows) checkpointed in as few files as hold ``FILE_ROWS`` each.
+    """``table`` (at most ``rows`` narrow rows) written to the checkpoint folder in as few files as hold ``FILE_ROWS`` each, and read back.
 
-    Every file of a checkpoint costs its executor some processes on a local file system, so tiny ones for every shuffle
-    partition are most of a round's work.
+    Every file costs its executor some processes on a local file system, so tiny ones for every shuffle partition are most
+    of a round's work. A checkpoint would keep the size estimate of the joins before it, which is the product of their
+    sides' estimates: round after round its digits double, until they fill the driver's memory. Files that are read
+    back have their own size, and neither codes nor compression make it less than what a broadcast of them takes.
     """
-    return cut_lineage(table.coalesce(max(1, -(-rows // FILE_ROWS))))
+    spark = table.sparkSession
+    path = scratch_path(spark, f"components-{uuid.uuid4().hex}")
+    files = table.coalesce(max(1, -(-rows // FILE_ROWS))).write.option("compression", "none")
+    files = files.option("parquet.enable.dictionary", "false").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    files.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def components(links: DataFrame) -> DataFrame:

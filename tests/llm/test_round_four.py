@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from ontime.llm import langid, near_dedup
 
 
@@ -32,3 +34,12 @@ def test_rounds_of_components_write_few_files(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert {(r.node, r.root) for r in found.collect()} == {(r.node, r.root) for r in more.collect()} == {(i, i // 10 * 10) for i in range(300)}
+
+
+def test_size_estimates_stay_small_through_the_rounds_of_components(spark):
+    """A path needs several rounds of joins; the estimate of what they find is that of its rows, not the joins' product."""
+    order = list(range(40))
+    random.Random(3).shuffle(order)
+    roots = near_dedup.components(spark.createDataFrame(list(zip(order, order[1:])), "a long, b long"))
+    assert {(r.node, r.root) for r in roots.collect()} == {(i, 0) for i in range(40)}
+    assert roots._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 20
